@@ -52,6 +52,22 @@ FROM f GROUP BY conv_id
 """
 
 
+OP10 = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(lower_text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+           FROM (SELECT doc_id, LOWERED AS lower_text FROM documents)),
+i AS (SELECT item_id, w, least(13, len(w)) AS n FROM (SELECT item_id, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM i)),
+grams AS (SELECT rn, n, p, array_to_string(w[p:p + n - 1], ' ') AS g
+       FROM (SELECT d.*, l.n, unnest(range(1, len(w) - l.n + 2)) AS p FROM d, (SELECT DISTINCT n FROM i) l WHERE len(w) >= l.n)),
+h AS (SELECT DISTINCT rn, item_id, p, win.n FROM grams JOIN win ON grams.g = win.g AND grams.n = win.n),
+hit AS (SELECT rn, count(DISTINCT q) AS n_hit FROM (SELECT rn, unnest(range(p, p + n)) AS q FROM h) GROUP BY rn),
+its AS (SELECT rn, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT rn, item_id::VARCHAR AS x FROM h) GROUP BY rn)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (rn) LEFT JOIN its USING (rn)
+""".replace("LOWERED", ASCII_LOWER)
+
+
 def _located(pattern: str, rank: int, keep: str = "") -> str:
     """Spans of one kind: matches and gaps alternate, so running sums of their lengths are the positions."""
     return f"""
@@ -89,4 +105,4 @@ FROM d LEFT JOIN b USING (rn) LEFT JOIN a USING (rn)
 """
 
 
-ORACLES = {"op2_secret_scans": _op2(), "op7_mixing": OP7, "op8_exact_dedup": OP8, "op9_chat_formatting": OP9}
+ORACLES = {"op2_secret_scans": _op2(), "op7_mixing": OP7, "op8_exact_dedup": OP8, "op9_chat_formatting": OP9, "op10_decontamination": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import chat_format, exact_dedup, mixing, secret_scan
+from docloom.llm import chat_format, decontaminate, exact_dedup, mixing, secret_scan
 from docloom.llm.oracles import ORACLES
 
 
@@ -45,8 +45,15 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secret_scans, op7_mixing, op8_exact_dedup, op9_chat_formatting)}
+    return {f.__name__: f for f in (op2_secret_scans, op7_mixing, op8_exact_dedup, op9_chat_formatting, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
