@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 
 from docloom.llm.shared import ascii_lower, scratch, written
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; a store is closed once its batch is committed, so that idle stores hold neither memory nor preallocated files.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def normal(text: str) -> Column:
@@ -42,14 +46,15 @@ def run_stream(keys: DataFrame, files_per_batch: int | None) -> DataFrame:
     grow, so the latest state of a digest is the maximum over the batches. A
     batch that runs again after a failure overwrites its own folder.
     """
-    spark, conf = keys.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    spark = keys.sparkSession
     source, out, state = scratch(spark, "dedup-in"), scratch(spark, "dedup-out"), scratch(spark, "dedup-state")
     keys.write.parquet(source)
     reader = spark.readStream.schema(keys.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    before = spark.conf.get(conf, None)
-    spark.conf.set(conf, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         query = (
             keyed_state(reader.parquet(source))
@@ -61,7 +66,8 @@ def run_stream(keys: DataFrame, files_per_batch: int | None) -> DataFrame:
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(conf, before) if before else spark.conf.unset(conf)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
     shape = "digest string, keeper struct<id: bigint, row: bigint>, group_size bigint, batch int"
     states = spark.read.schema(shape).option("basePath", out).parquet(f"{out}/batch=*") if query.lastProgress else spark.createDataFrame([], shape)
     return states.groupBy("digest").agg(F.max("keeper").alias("keeper"), F.max("group_size").alias("group_size"))
