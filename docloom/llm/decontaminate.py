@@ -17,6 +17,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +34,6 @@ def gram_and_window(span: int) -> tuple[int, int]:
     return k, span - k + 1
 
 
-def encoded(texts) -> list[bytes]:
-    return [b"" if t is None else t.encode() for t in texts]
-
-
 def fingerprints(hashes: np.ndarray, counts: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, fingerprint) of texts that hold at least span words, ordered by text."""
     k, w = gram_and_window(span)
@@ -56,29 +54,29 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray, span: int) -> tuple[np.
 
 
 def with_fingerprints(spans: list[int], known=None):
-    """A mapInPandas function: (row, id, text) to (row, id, n_words, fps, text); fps only those in known, if that is given.
+    """A mapInArrow function: (row, id, text) to (row, id, n_words, fps, text); fps only those in known, if that is given.
 
     text is kept only where a fingerprint is.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = None if known is None else known.value
-        for frame in frames:
-            texts = encoded(frame["text"])
+        for part in parts:
+            texts = wordhash.byte_strings(part["text"])
             for a, b in wordhash.batches(texts, len(texts)):
                 hashes, counts = wordhash.words(texts[a:b], wordhash.ALNUM)
-                found: list[list[np.ndarray]] = [[] for _ in range(b - a)]
+                owner, fp = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
                 for span in spans:
-                    owner, fp = fingerprints(hashes, counts, span)
+                    o, f = fingerprints(hashes, counts, span)
                     if wanted is not None:
-                        hit = np.isin(fp, wanted)
-                        owner, fp = owner[hit], fp[hit]
-                    at = np.flatnonzero(np.diff(owner)) + 1
-                    for i, part in zip(owner[np.r_[0, at]] if len(owner) else [], np.split(fp, at), strict=False):
-                        found[i].append(part)
-                part = frame.iloc[a:b]
-                fps = [np.concatenate(x).view(np.int64) if x else np.zeros(0, dtype=np.int64) for x in found]
-                yield pd.DataFrame({"row": part["row"].to_numpy(), "id": part["id"].array, "n_words": counts, "fps": fps, "text": [t if len(f) else None for t, f in zip(part["text"], fps, strict=True)]})
+                        hit = np.isin(f, wanted)
+                        o, f = o[hit], f[hit]
+                    owner, fp = np.r_[owner, o], np.r_[fp, f]
+                order = np.argsort(owner, kind="stable")
+                many = np.bincount(owner, minlength=b - a)
+                fps = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), pa.array(fp[order].view(np.int64), pa.int64()))
+                text = pc.if_else(pa.array(many > 0), part["text"].slice(a, b - a), pa.scalar(None, part["text"].type))
+                yield pa.RecordBatch.from_arrays([part["row"].slice(a, b - a), part["id"].slice(a, b - a), pa.array(counts, pa.int64()), fps, text], ["row", "id", "n_words", "fps", "text"])
 
     return run
 
@@ -165,7 +163,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         side = items.where(F.col("n") >= WINDOW if span == WINDOW else F.col("n") < WINDOW).withColumn("row", F.monotonically_increasing_id())
         side = side.select("row", F.lit(0).cast("bigint").alias("id"), F.col("item").alias("text"), "item_id")
         side = written(side, "decon-side")
-        prints = side.mapInPandas(with_fingerprints([span]), shape).select("row", F.explode("fps").alias("fp"))
+        prints = side.mapInArrow(with_fingerprints([span]), shape).select("row", F.explode("fps").alias("fp"))
         parts.append(prints.join(side.select("row", "item_id", F.col("text").alias("item")), "row").select("fp", "item_id", "item"))
     tests = spark.createDataFrame([], "fp bigint, item_id string, item string")
     for one in parts:
@@ -175,7 +173,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     known = spark.sparkContext.broadcast(np.unique(tests.select("fp").distinct().toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64))) if few else None
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    rows = written(rows.mapInPandas(with_fingerprints(spans, known), shape), "decon-docs")
+    rows = written(rows.mapInArrow(with_fingerprints(spans, known), shape), "decon-docs")
     keys = tests.select("fp", "item_id").distinct()
     hits = rows.where(F.size("fps") > 0).select("row", F.explode("fps").alias("fp"))
     pairs = hits.join(F.broadcast(keys) if few else keys, "fp").select("row", "item_id").distinct()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import chat_format, decontaminate, exact_dedup, mixing, secret_scan
+from docloom.llm import chat_format, decontaminate, exact_dedup, mixing, ngram_jaccard, secret_scan
 from docloom.llm.oracles import ORACLES
 
 
@@ -25,6 +25,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -53,7 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secret_scans, op7_mixing, op8_exact_dedup, op9_chat_formatting, op10_decontamination)}
+    return {f.__name__: f for f in (op2_secret_scans, op4_ngram_jaccard, op7_mixing, op8_exact_dedup, op9_chat_formatting, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,6 +10,7 @@ every machine.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 _BASE, _GRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _IDENTITY = np.arange(256, dtype=np.uint8)
@@ -77,6 +78,11 @@ def grams(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray
     return mixed(h + np.uint64(size)), owner, place
 
 
+def byte_strings(column: pa.Array) -> list[bytes]:
+    """The UTF-8 bytes of a string column; null counts as empty."""
+    return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
+
+
 def batches(columns, rows: int, most_bytes: int = 8_000_000):
     """Cuts the rows of a list of byte strings into runs of at most most_bytes (a longer text stands alone)."""
     start = total = 0
