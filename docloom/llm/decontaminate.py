@@ -18,7 +18,6 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +33,8 @@ def gram_and_window(span: int) -> tuple[int, int]:
     return k, span - k + 1
 
 
-def fingerprints(hashes: np.ndarray, counts: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, fingerprint) of texts that hold at least span words, ordered by text."""
+def fingerprints(hashes: np.ndarray, counts: np.ndarray, span: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, fingerprint) of texts that hold at least span words, ordered by text; only those that are wanted (sorted), if given."""
     k, w = gram_and_window(span)
     h, owner, _ = wordhash.grams(hashes, counts, k)
     n = len(h) - w + 1
@@ -44,8 +43,12 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray, span: int) -> tuple[np.
     least = h[:n].copy()
     for s in range(1, w):
         np.minimum(least, h[s : s + n], out=least)
-    one_text = owner[:n] == owner[w - 1 : w - 1 + n]
-    least, owner = least[one_text], owner[:n][one_text]
+    fresh = owner[:n] == owner[w - 1 : w - 1 + n]
+    fresh[1:] &= (least[1:] != least[:-1]) | (owner[1:n] != owner[: n - 1])
+    least, owner = least[fresh], owner[:n][fresh]
+    if wanted is not None:
+        hit = wanted[np.minimum(np.searchsorted(wanted, least), len(wanted) - 1)] == least if len(wanted) else np.zeros(len(least), dtype=bool)
+        least, owner = least[hit], owner[hit]
     order = np.lexsort((least, owner))
     least, owner = least[order], owner[order]
     fresh = np.ones(len(least), dtype=bool)
@@ -67,15 +70,12 @@ def with_fingerprints(spans: list[int], known=None):
                 hashes, counts = wordhash.words(texts[a:b], wordhash.ALNUM)
                 owner, fp = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
                 for span in spans:
-                    o, f = fingerprints(hashes, counts, span)
-                    if wanted is not None:
-                        hit = np.isin(f, wanted)
-                        o, f = o[hit], f[hit]
+                    o, f = fingerprints(hashes, counts, span, wanted)
                     owner, fp = np.r_[owner, o], np.r_[fp, f]
                 order = np.argsort(owner, kind="stable")
                 many = np.bincount(owner, minlength=b - a)
                 fps = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), pa.array(fp[order].view(np.int64), pa.int64()))
-                text = pc.if_else(pa.array(many > 0), part["text"].slice(a, b - a), pa.scalar(None, part["text"].type))
+                text = pa.array([t if m else None for t, m in zip(texts[a:b], many.tolist(), strict=True)], pa.binary()).cast(part["text"].type)
                 yield pa.RecordBatch.from_arrays([part["row"].slice(a, b - a), part["id"].slice(a, b - a), pa.array(counts, pa.int64()), fps, text], ["row", "id", "n_words", "fps", "text"])
 
     return run

@@ -12,9 +12,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-_BASE, _GRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_BASE, _GRAM, _ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(1)
 _IDENTITY = np.arange(256, dtype=np.uint8)
-LOWERED = np.where((_IDENTITY >= 65) & (_IDENTITY <= 90), _IDENTITY + 32, _IDENTITY).astype(np.uint8)
+LOWERED = np.where((_IDENTITY >= 65) & (_IDENTITY <= 90), _IDENTITY + 32, _IDENTITY).astype(np.uint64)
 
 #: Anything but ASCII white space.
 SPACED = ~((_IDENTITY == 0x20) | ((_IDENTITY >= 0x09) & (_IDENTITY <= 0x0D)))
@@ -33,36 +33,40 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2^64; kept, and made longer when needed."""
+    if len(_powers[0]) < n:
+        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        for i, base in enumerate((_BASE, inverse)):
+            steps = np.full(n, base, dtype=np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps, dtype=np.uint64)
+    return _powers[0][:n], _powers[1][:n]
+
+
 def words(texts: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of every text, and the number of words in each text."""
+    """Hash of every word of every text, and the number of words in each text.
+
+    With prefix sums of byte * base^place, a word's polynomial is the difference
+    of two sums, moved to place 0 by the inverse base.
+    """
     joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     ends = np.cumsum(sizes)
     word = inside[joined]
-    edge = np.diff(word.view(np.int8), prepend=np.int8(0))
-    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    n = np.searchsorted(first, ends, side="left")
-    counts = np.diff(n, prepend=0)
-    if not len(first):
-        return np.zeros(0, dtype=np.uint64), counts
-    value = LOWERED[joined].astype(np.uint64) + np.uint64(1)
-    value *= word
-    length = last - first
-    h = np.zeros(len(first), dtype=np.uint64)
-    # Characters of all words are taken in step, so the work is the number of bytes; words longer than the rest go on alone.
-    left, at = np.arange(len(first)), first.copy()
-    step = 0
-    while len(left):
-        h[left] = h[left] * _BASE + value[at[left] + step]
-        step += 1
-        if step == 64:
-            break
-        left = left[length[left] > step]
-    for i in np.flatnonzero(length > 64):
-        rest = value[first[i] + 64 : last[i]]
-        power = np.cumprod(np.full(len(rest), _BASE, dtype=np.uint64))[::-1]
-        h[i : i + 1] = h[i : i + 1] * power[:1] + np.sum(rest[:-1] * power[1:], dtype=np.uint64, keepdims=True) + rest[-1:]
-    return mixed(h + length.astype(np.uint64)), counts
+    edges = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if len(word) and word[0]:
+        edges = np.r_[0, edges]
+    first, last = edges[0::2], edges[1::2]
+    counts = np.diff(np.searchsorted(first, ends, side="left"), prepend=0)
+    up, down = powers(len(joined))
+    sums = np.empty(len(joined) + 1, dtype=np.uint64)
+    sums[0] = 0
+    np.cumsum((LOWERED[joined] + _ONE) * up, dtype=np.uint64, out=sums[1:])
+    return mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)), counts
 
 
 def grams(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,7 +87,7 @@ def byte_strings(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def batches(columns, rows: int, most_bytes: int = 8_000_000):
+def batches(columns, rows: int, most_bytes: int = 1_000_000):
     """Cuts the rows of a list of byte strings into runs of at most most_bytes (a longer text stands alone)."""
     start = total = 0
     for i in range(rows):
