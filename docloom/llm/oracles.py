@@ -106,3 +106,31 @@ FROM d LEFT JOIN b USING (rn) LEFT JOIN a USING (rn)
 
 
 ORACLES = {"op2_secret_scans": _op2(), "op7_mixing": OP7, "op8_exact_dedup": OP8, "op9_chat_formatting": OP9, "op10_decontamination": OP10}
+
+
+def _base32(digest: str) -> str:
+    """Base32 of 40 hexadecimal digits: 5 digits at a time are 4 letters."""
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    parts = []
+    for i in range(8):
+        n = f"('0x' || substring({digest}, {5 * i + 1}, 5))::BIGINT"
+        parts += [f"substring({letters}, ((({n}) >> {s}) & 31)::BIGINT + 1, 1)" for s in (15, 10, 5, 0)]
+    return " || ".join(parts)
+
+
+ORACLES["op3_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper FROM p)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, {_base32("d")} AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN NULL ELSE true END AS digest_ok
+FROM k
+"""
+ORACLES["op5_html_extraction"] = r"""
+WITH p AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)', 1, 's') AS a FROM pages),
+b AS (SELECT page_id, url, string_split_regex(CASE WHEN contains(a, '</article>') THEN string_split(a, '</article>')[1] ELSE a END, '</?(?:h1|p|br)>') AS parts FROM p),
+t AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(html_unescape(regexp_replace(x, '<[^>]*>', '', 'g')), '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM b)
+SELECT page_id, url, array_to_string(lines, chr(10)) AS text, length(array_to_string(lines, chr(10)))::BIGINT AS n_chars FROM t
+"""
+del ORACLES["op5_html_extraction"]

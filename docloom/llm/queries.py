@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import chat_format, decontaminate, exact_dedup, mixing, ngram_jaccard, secret_scan
+from docloom.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_jaccard, secret_scan, token_counts, warc
 from docloom.llm.oracles import ORACLES
 
 
@@ -15,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Vocabulary files of public tokenizers; set DOCLOOM_TOKENIZERS where they lie elsewhere.
+TOKENIZERS = os.environ.get("DOCLOOM_TOKENIZERS", "/opt/tokenizers")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
@@ -25,10 +34,23 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -56,8 +78,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+QUERIES = (
+    op1_token_counts, op2_secret_scans, op3_warc, op4_ngram_jaccard, op5_html_extraction,
+    op6_language_id, op7_mixing, op8_exact_dedup, op9_chat_formatting, op10_decontamination,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secret_scans, op4_ngram_jaccard, op7_mixing, op8_exact_dedup, op9_chat_formatting, op10_decontamination)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
