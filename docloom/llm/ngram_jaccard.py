@@ -9,8 +9,8 @@ n - ceil(t * n) + 1 of each, their prefixes. The steps:
    grams back to their classes. Grams of one class only come first in the order
    and can match nothing: a class whose prefix holds only such grams is done.
 3. Classes with the same size and prefix form one group. Groups that share a
-   prefix gram are paired once, at their first common gram, if their sizes and
-   prefixes still allow the threshold.
+   prefix gram are paired, if their sizes, the gram's places and then their
+   whole prefixes allow the threshold.
 4. Group pairs are expanded to their members, and each pair is verified on the
    whole sets. In a long list of groups with a common gram, members are first
    verified against one of them; those that both link to it need no link of
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm import wordhash
 from docloom.llm.components import connected_components
-from docloom.llm.shared import written
+from docloom.llm.shared import text_key, without, written
 
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -69,14 +69,14 @@ def signed(h: np.ndarray) -> np.ndarray:
 
 
 def describe(size: int):
-    """A mapInArrow function: (id, text) to (id, n, sig)."""
+    """A mapInArrow function: (id, key, text) to (id, key, n, sig)."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = wordhash.byte_strings(part["text"])
             for a, b in wordhash.batches(texts, len(texts)):
                 _, _, many, sig = sets_of(texts[a:b], size)
-                yield pa.RecordBatch.from_arrays([part["id"].slice(a, b - a), pa.array(many, pa.int64()), pa.array(signed(sig), pa.int64())], ["id", "n", "sig"])
+                yield pa.RecordBatch.from_arrays([part["id"].slice(a, b - a), part["key"].slice(a, b - a), pa.array(many, pa.int64()), pa.array(signed(sig), pa.int64())], ["id", "key", "n", "sig"])
 
     return run
 
@@ -189,17 +189,29 @@ def reaches(percent: int, common: Column, n_a: Column, n_b: Column) -> Column:
     return common * (100 + percent) >= (n_a + n_b) * percent
 
 
-def could_link(percent: int) -> Column:
-    """Of two groups a and b: whether sizes and prefixes allow the similarity.
+def sizes_allow(percent: int) -> Column:
+    """Of two groups a and b: whether sizes and the numbers of shared grams allow the similarity."""
+    return (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent) & reaches(percent, F.least("a.shared", "b.shared"), F.col("a.n"), F.col("b.n"))
+
+
+def places_allow(percent: int) -> Column:
+    """Of two groups that have a gram in common, at pos in each prefix: whether it may be their first one.
+
+    If it is, the common grams are this one and at most what follows it in either set.
+    """
+    return reaches(percent, F.least(F.col("a.shared") - F.col("a.pos"), F.col("b.shared") - F.col("b.pos")), F.col("a.n"), F.col("b.n"))
+
+
+def prefixes_allow(percent: int) -> Column:
+    """Of two groups a and b: whether their whole prefixes allow the similarity.
 
     Common grams are those in both prefixes and, of the set whose prefix ends
     first in the order, at most the rest of it.
     """
     c = F.size(F.array_intersect("a.prefix", "b.prefix"))
-    rest_a, rest_b = F.col("a.n") - F.col("a.single") - F.size("a.prefix"), F.col("b.n") - F.col("b.single") - F.size("b.prefix")
+    rest_a, rest_b = F.col("a.shared") - F.size("a.prefix"), F.col("b.shared") - F.size("b.prefix")
     rest = F.when(F.element_at("a.prefix", -1) < F.element_at("b.prefix", -1), rest_a).otherwise(rest_b)
-    sizes = (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent) & reaches(percent, F.least(F.col("a.n") - F.col("a.single"), F.col("b.n") - F.col("b.single")), F.col("a.n"), F.col("b.n"))
-    return sizes & reaches(percent, c + rest, F.col("a.n"), F.col("b.n"))
+    return reaches(percent, c + rest, F.col("a.n"), F.col("b.n"))
 
 
 def verified(percent: int) -> Column:
@@ -207,40 +219,62 @@ def verified(percent: int) -> Column:
     return reaches(percent, F.size(F.array_intersect("a.keys", "b.keys")), F.col("a.n"), F.col("b.n"))
 
 
-def links_of(classes: DataFrame, percent: int, long_list: int) -> DataFrame:
-    """Links (a, b) between classes (sig, n, single, prefix, keys): enough of them to connect all that are linked."""
-    groups = classes.groupBy("n", "single", "prefix").agg(F.min("sig").alias("g"), F.count(F.lit(1)).alias("members"))
+def links_of(classes: DataFrame, percent: int, long_list: int) -> tuple[DataFrame, DataFrame]:
+    """From classes (sig, n, single, prefix, keys): labels (sig, label) and links (a, b) between labels.
+
+    Classes with one label are connected; the links connect the labels of all
+    other classes that are linked.
+    """
+    groups = classes.groupBy("n", "single", "prefix").agg(F.min("sig").alias("g"))
     groups = written(groups, "ngram-groups")
-    members = written(classes.join(groups.select("n", "single", "prefix", "g"), ["n", "single", "prefix"]).select("sig", "g", "n", "keys"), "ngram-members")
-    lists = groups.select("g", "n", "single", "prefix", F.explode("prefix").alias("gram"))
+    members = written(classes.join(groups, ["n", "single", "prefix"]).select("sig", "g", "n", "keys"), "ngram-members")
+    groups = groups.withColumn("shared", F.col("n") - F.col("single"))
+    lists = groups.select("g", "n", "single", "shared", F.posexplode("prefix").alias("pos", "gram"))
 
-    # Stars: in long lists each group's first member against that of the group with the fewest single grams; in groups each member against the first.
+    # Stars: the first member of each group against that of the group with the fewest single grams in its longest list; other members against the first.
     centre = lists.groupBy("gram").agg(F.min(F.struct("single", "g")).alias("c"), F.count(F.lit(1)).alias("many")).where(F.col("many") > long_list)
-    rays = lists.join(centre, "gram").select(F.col("g").alias("x"), F.col("c.g").alias("y")).distinct().where("x <> y")
+    rays = lists.select("g", "gram").join(centre, "gram").groupBy("g").agg(F.max(F.struct("many", "c")).alias("best"))
+    rays = rays.select(F.col("g").alias("x"), F.col("best.c.g").alias("y")).where("x <> y")
     rays = rays.unionByName(members.where("sig <> g").select(F.col("sig").alias("x"), F.col("g").alias("y")))
     sets = members.select("sig", "n", "keys")
     rays = rays.join(sets.alias("a"), F.col("x") == F.col("a.sig")).select("y", F.struct(F.col("a.sig").alias("sig"), F.col("a.n").alias("n"), F.col("a.keys").alias("keys")).alias("a"))
-    stars = written(rays.join(sets.alias("b"), (F.col("y") == F.col("b.sig")) & verified(percent)).select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")), "ngram-stars")
-    # Classes with one label are known to be connected.
-    label = stars.groupBy(F.col("a").alias("sig")).agg(F.min("b").alias("label"))
+    stars = written(rays.join(sets.alias("b"), (F.col("y") == F.col("b.sig")) & verified(percent)).select(F.col("a.sig").alias("sig"), F.col("b.sig").alias("hub")), "ngram-stars")
+    further = stars.select(F.col("sig").alias("hub"), F.col("hub").alias("label"))
+    label = stars.join(further, "hub", "left").select("sig", F.coalesce("label", "hub").alias("label"))
     members = written(members.join(label, "sig", "left").withColumn("label", F.coalesce("label", "sig")), "ngram-labels")
     known = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     lists = lists.join(known, "g")
 
-    first = F.get(F.array_sort(F.array_intersect("a.prefix", "b.prefix")), F.lit(0)) == F.col("a.gram")
     settled = (F.col("a.lo") == F.col("b.hi")) & (F.col("b.lo") == F.col("a.hi"))
-    pairs = lists.alias("a").join(lists.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.g") < F.col("b.g")) & ~settled & could_link(percent) & first)
-    pairs = pairs.select(F.col("a.g").alias("g1"), F.col("b.g").alias("g2"))
+    met = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.g") < F.col("b.g")) & ~settled & sizes_allow(percent) & places_allow(percent)
+    pairs = lists.alias("a").join(lists.alias("b"), met).select(F.col("a.g").alias("g1"), F.col("b.g").alias("g2")).distinct()
+    front = groups.select("g", F.struct("n", "shared", "prefix").alias("s"))
+    pairs = pairs.join(front.select(F.col("g").alias("g1"), F.col("s").alias("a")), "g1").join(front.select(F.col("g").alias("g2"), F.col("s").alias("b")), "g2")
+    pairs = pairs.where(prefixes_allow(percent)).select("g1", "g2")
     pairs = pairs.unionByName(known.where("lo <> hi").select(F.col("g").alias("g1"), F.col("g").alias("g2")))
 
     left = pairs.join(members.alias("m"), F.col("g1") == F.col("m.g")).select("g2", F.struct("m.sig", "m.n", "m.keys", "m.label", "m.g").alias("a"))
     apart = (F.col("a.label") != F.col("b.label")) & ((F.col("a.g") != F.col("b.g")) | (F.col("a.sig") < F.col("b.sig")))
-    pairs = left.join(members.alias("b"), (F.col("g2") == F.col("b.g")) & apart & verified(percent))
-    return stars.unionByName(pairs.select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")))
+    pairs = left.join(members.alias("b"), (F.col("g2") == F.col("b.g")) & apart & verified(percent)).select(F.col("a.label").alias("a"), F.col("b.label").alias("b"))
+    hubs = members.join(stars, "sig").select(F.col("label").alias("a"), F.col("hub").alias("b"))
+    hubs = hubs.join(members.select(F.col("sig").alias("b"), F.col("label").alias("c")), "b").select("a", F.col("c").alias("b"))
+    links = hubs.unionByName(pairs).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return members.select("sig", "label"), links
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None) -> DataFrame:
+    """components_of() without key."""
+    return components_of(docs, id_col, text_col, size, percent, long_list, buckets).drop("key")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text, ...) with the least id of their component, with all their columns. Equal rows stay or go together."""
+    found = written(components_of(docs), "ngram-found")
+    return without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 64, buckets: int | None = None) -> DataFrame:
-    """One row per row of docs: id, n_shingles, component_id.
+def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None) -> DataFrame:
+    """One row per row of docs: id, key (a hash of the text), n_shingles, component_id.
 
     Words are runs of anything but ASCII white space, A-Z as a-z; the set holds
     the distinct runs of size words, or the whole sequence of a text with fewer.
@@ -253,19 +287,19 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    documents = written(rows.mapInArrow(describe(size), "id bigint, n bigint, sig bigint"), "ngram-docs")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    documents = written(rows.mapInArrow(describe(size), "id bigint, key bigint, n bigint, sig bigint"), "ngram-docs")
     grams = rows.select("text").mapInArrow(dealt(size, buckets), "bucket int, sigs binary, counts binary, low binary, high binary")
     packed = grams.groupBy("bucket").applyInPandas(counted(buckets), "bucket int, sigs binary, single binary, shared binary, keys binary")
     classes = packed.groupBy("bucket").applyInPandas(prefixed(percent), "sig bigint, n bigint, single bigint, prefix array<bigint>, keys array<bigint>")
     classes = written(classes, "ngram-classes")
-    links = links_of(classes, percent, long_list)
-    linked = connected_components(links)
+    labels, links = links_of(classes, percent, long_list)
+    labels = labels.join(connected_components(links).withColumnRenamed("node", "label"), "label", "left").select("sig", F.coalesce("component", "label").alias("component"))
 
     own = documents.where("n > 0").groupBy("sig").agg(F.min("id").alias("least_id"))
-    own = own.join(linked.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    own = own.join(labels, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = own.groupBy("component").agg(F.min("least_id").alias("component_id"))
     classes = own.join(least, "component").select("sig", "component_id")
-    filled = documents.where("n > 0").join(classes, "sig").select("id", "n", "component_id")
-    empty = documents.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return filled.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    filled = documents.where("n > 0").join(classes, "sig").select("id", "key", "n", "component_id")
+    empty = documents.where("n = 0").select("id", "key", "n", F.col("id").alias("component_id"))
+    return filled.unionByName(empty).select(F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"), "component_id")

@@ -63,3 +63,18 @@ def running_total(df: DataFrame, group: list[str], bucket: str, order: list, val
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*group, bucket]]
     joined = df.withColumn("_inside", inside).join(sums, same, "left")
     return joined.withColumn(out, F.col("_before") + F.col("_inside")).select(*df.columns, out)
+
+
+def without(docs: DataFrame, drop: DataFrame, most: int = 500_000) -> DataFrame:
+    """The rows of docs whose (doc_id, text) is not among those of drop (doc_id, key); key is text_key(text).
+
+    Up to most rows are broadcast, after counting them; more are joined by a shuffle.
+    """
+    drop = drop.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    few = drop.limit(most + 1).count() <= most
+    return docs.join(F.broadcast(drop) if few else drop, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_key(F.col("text")) == F.col("_key")), "left_anti")
+
+
+def text_key(text: Column) -> Column:
+    """A 64-bit hash that tells the texts of one id apart; null differs from empty."""
+    return F.xxhash64(text, text.isNull())
