@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm import wordhash
-from docloom.llm.shared import written
+from docloom.llm.shared import text_key, without, written
 
 WINDOW = 13
 
@@ -57,7 +57,7 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray, span: int, wanted: np.n
 
 
 def with_fingerprints(spans: list[int], known=None):
-    """A mapInArrow function: (row, id, text) to (row, id, n_words, fps, text); fps only those in known, if that is given.
+    """A mapInArrow function: (row, id, key, text) to (row, id, key, n_words, fps, text); fps only those in known, if that is given.
 
     text is kept only where a fingerprint is.
     """
@@ -76,7 +76,7 @@ def with_fingerprints(spans: list[int], known=None):
                 many = np.bincount(owner, minlength=b - a)
                 fps = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), pa.array(fp[order].view(np.int64), pa.int64()))
                 text = pa.array([t if m else None for t, m in zip(texts[a:b], many.tolist(), strict=True)], pa.binary()).cast(part["text"].type)
-                yield pa.RecordBatch.from_arrays([part["row"].slice(a, b - a), part["id"].slice(a, b - a), pa.array(counts, pa.int64()), fps, text], ["row", "id", "n_words", "fps", "text"])
+                yield pa.RecordBatch.from_arrays([part["row"].slice(a, b - a), part["id"].slice(a, b - a), part["key"].slice(a, b - a), pa.array(counts, pa.int64()), fps, text], ["row", "id", "key", "n_words", "fps", "text"])
 
     return run
 
@@ -136,7 +136,7 @@ def extended(short: int):
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", one_in: int = 20, known_most: int = 500_000) -> DataFrame:
-    """One row per row of docs: id, n_words, n_hit, item_ids (sorted as strings), contaminated.
+    """One row per row of docs: id, key (a hash of the text), n_words, n_hit, item_ids (sorted as strings), contaminated.
 
     Words are runs of ASCII letters and digits and non-ASCII characters, A-Z as
     a-z. A word is hit if it lies in an occurrence of a window: 13 consecutive
@@ -157,11 +157,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     spans = ([WINDOW] if (has["long"] or 0) >= WINDOW else []) + ([has["short"]] if has["short"] and has["short"] < WINDOW else [])
     short = has["short"] or WINDOW
 
-    shape = "row bigint, id bigint, n_words bigint, fps array<bigint>, text string"
+    shape = "row bigint, id bigint, key bigint, n_words bigint, fps array<bigint>, text string"
     parts = []
     for span in spans:
         side = items.where(F.col("n") >= WINDOW if span == WINDOW else F.col("n") < WINDOW).withColumn("row", F.monotonically_increasing_id())
-        side = side.select("row", F.lit(0).cast("bigint").alias("id"), F.col("item").alias("text"), "item_id")
+        side = side.select("row", F.lit(0).cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("key"), F.col("item").alias("text"), "item_id")
         side = written(side, "decon-side")
         prints = side.mapInArrow(with_fingerprints([span]), shape).select("row", F.explode("fps").alias("fp"))
         parts.append(prints.join(side.select("row", "item_id", F.col("text").alias("item")), "row").select("fp", "item_id", "item"))
@@ -172,7 +172,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     few = tests.select("fp").distinct().limit(known_most + 1).count() <= known_most
     known = spark.sparkContext.broadcast(np.unique(tests.select("fp").distinct().toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64))) if few else None
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     rows = written(rows.mapInArrow(with_fingerprints(spans, known), shape), "decon-docs")
     keys = tests.select("fp", "item_id").distinct()
     hits = rows.where(F.size("fps") > 0).select("row", F.explode("fps").alias("fp"))
@@ -183,7 +183,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     found = found.select("row", "text", F.col("i.item_id").alias("item_ids"), F.col("i.item").alias("items"))
     found = found.mapInPandas(extended(short), "row bigint, n_hit bigint, item_ids array<string>")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
-    return rows.select("row", "id", "n_words").join(found, "row", "left").select(
-        F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+    return rows.select("row", "id", "key", "n_words").join(found, "row", "left").select(
+        F.col("id").alias(id_col), "key", "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         ((n_hit > 0) & (n_hit * one_in >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text, ...) that are not contaminated, with all their columns."""
+    return without(docs, written(find_contamination(docs, benchmark), "decon-found").where("contaminated"))

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import ascii_lower, scratch, written
+from docloom.llm.shared import ascii_lower, scratch, text_key, without, written
 
 #: State on disk; a store is closed once its batch is committed, so that idle stores hold neither memory nor preallocated files.
 STATE = {
@@ -74,7 +74,12 @@ def run_stream(keys: DataFrame, files_per_batch: int | None) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, digest.
+    """decide() without key."""
+    return decide(docs, id_col, text_col, digest, files_per_batch).drop("key")
+
+
+def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, digest, key (a hash of the text as it is).
 
     The row with the largest id of each group of equal texts stays. Null text
     counts as empty. A null id counts as smallest. If an id occurs more than
@@ -83,38 +88,41 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     use one that collides); the result does not depend on it.
     """
     text = normal(text_col)
-    keys = docs.select(F.col(id_col).cast("long").alias("id"), digest(text).alias("digest")).withColumn("row", F.monotonically_increasing_id())
-    keys = written(keys.select("digest", F.struct("id", "row").alias("locator")), "dedup-keys")
-    states = written(run_stream(keys, files_per_batch), "dedup-states")
+    keys = docs.select(F.col(id_col).cast("long").alias("id"), digest(text).alias("digest"), text_key(F.col(text_col)).alias("key")).withColumn("row", F.monotonically_increasing_id())
+    keys = written(keys.select("digest", F.struct("id", "row").alias("locator"), "key"), "dedup-keys")
+    states = written(run_stream(keys.select("digest", "locator"), files_per_batch), "dedup-states")
 
     hit = states.where("group_size > 1").select(F.col("digest").alias("_digest"), F.col("keeper.id").alias("keep_id"))
     content = docs.select(F.col(id_col).cast("long").alias("id"), digest(text).alias("digest"), text.alias("content"))
     content = written(content.join(hit, F.col("digest") == F.col("_digest")).select("digest", "id", "keep_id", "content"), "dedup-hits")
     stays = content.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.max("content").alias("kept_content"))
     other = content.join(stays, "digest").where(F.col("content") != F.col("kept_content")).select("digest", "id", "content")
-    result = keys.select("digest", "locator").join(states, "digest")
+    result = keys.join(states, "digest")
     if other.isEmpty():
         return result.select(
-            F.col("locator.id").alias("doc_id"), F.col("keeper.id").alias("keep_id"), "group_size", (F.col("locator.row") == F.col("keeper.row")).alias("kept"), F.col("digest")
+            F.col("locator.id").alias("doc_id"), F.col("keeper.id").alias("keep_id"), "group_size", (F.col("locator.row") == F.col("keeper.row")).alias("kept"), "digest", "key"
         )
-    return by_content(docs, id_col, text)
+    return by_content(docs, id_col, text, text_key(F.col(text_col)))
 
 
-def by_content(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
+def by_content(docs: DataFrame, id_col: str, text: Column, key: Column) -> DataFrame:
     """The same result when digests have collided: groups are the texts themselves."""
-    rows = written(docs.select(F.col(id_col).cast("long").alias("id"), text.alias("content")).withColumn("row", F.monotonically_increasing_id()), "dedup-rows")
+    rows = written(docs.select(F.col(id_col).cast("long").alias("id"), text.alias("content"), key.alias("key")).withColumn("row", F.monotonically_increasing_id()), "dedup-rows")
     groups = rows.groupBy("content").agg(F.max(F.struct("id", "row")).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
     return rows.join(groups, "content").select(
-        F.col("id").alias("doc_id"), F.col("keeper.id").alias("keep_id"), "group_size", (F.col("row") == F.col("keeper.row")).alias("kept"), sha256(F.col("content")).alias("digest")
+        F.col("id").alias("doc_id"), F.col("keeper.id").alias("keep_id"), "group_size", (F.col("row") == F.col("keeper.row")).alias("kept"), sha256(F.col("content")).alias("digest"), "key"
     )
 
 
-def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns: those whose id is the keep_id of their group.
-
-    An id that occurs more than once with one text stays once.
-    """
-    decided = deduplicate(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    marked = docs.withColumn("_digest_of", sha256(normal(text_col)))
-    chosen = marked.join(decided, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest_of") == F.col("_digest")))
-    return chosen.dropDuplicates([id_col, "_digest_of"]).select(*docs.columns)
+def survivors(docs: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text, ...) that stay, with all their columns; of rows with one id and one text, one stays."""
+    rows = written(decide(docs), "dedup-decided")
+    kept = rows.where("kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    out = without(docs, rows.where("not kept").join(kept, same, "left_anti"))
+    twins = rows.groupBy("doc_id", "key").count().where("count > 1").join(kept, same, "left_semi").select("doc_id", "key")
+    if twins.isEmpty():
+        return out
+    ids = twins.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    twice = out.withColumn("key_of_text", text_key(F.col("text"))).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key_of_text") == F.col("_key")), "left_semi")
+    return without(out, twins).unionByName(twice.dropDuplicates(["doc_id", "key_of_text"]).select(*docs.columns))

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.llm.shared import written
 
@@ -29,6 +30,8 @@ BITS = 15
 FEATURES = 1 << BITS
 SIZES = (1, 2, 3)
 UNKNOWN = "und"
+#: Names of the columns that are added, not to clash with the table's own.
+PREDICTED, SCORE = "_lang_pred", "_lang_score"
 
 _MIX = [np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)]
 _LETTER = np.array([chr(i).isalpha() for i in range(0x10000)], dtype=bool)
@@ -155,9 +158,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, idf:
 
 
 def temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The temperature with the least negative log likelihood, by golden-section search on its logarithm."""
+    """The temperature with the least negative log likelihood, from 0.5 (a small sample without errors would drive it to 0) to 20.
+
+    Golden-section search on its logarithm.
+    """
     loss = lambda t: -np.log(softmax(logits / np.exp(t))[np.arange(len(y)), y] + 1e-12).mean()
-    a, b, r = np.log(0.05), np.log(20.0), (np.sqrt(5) - 1) / 2
+    a, b, r = np.log(0.5), np.log(20.0), (np.sqrt(5) - 1) / 2
     for _ in range(60):
         c, d = b - r * (b - a), a + r * (b - a)
         a, b = (a, d) if loss(c) < loss(d) else (c, b)
@@ -200,8 +206,8 @@ def fit(learn: DataFrame, sample_rows: int = 2000, epochs: int = 3, alpha: float
     return Model(languages, w.astype(np.float32), bias, t)
 
 
-def scored(shared):
-    """A mapInArrow function: adds the language and its probability to (keys ..., text), leaving text out."""
+def scored(shared, keep_text: bool):
+    """A mapInArrow function: adds the language of column text and its probability to the columns there are."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model | None = shared.value
@@ -220,8 +226,8 @@ def scored(shared):
                 some = letters_in > 0
                 names += [model.languages[k] if s else UNKNOWN for k, s in zip(best, some, strict=True)]
                 scores[a:b] = np.where(some, p[np.arange(b - a), best], 0.0)
-            kept = [i for i, name in enumerate(part.schema.names) if name != "text"]
-            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*[part.schema.names[i] for i in kept], "lang_pred", "score"])
+            kept = [i for i, name in enumerate(part.schema.names) if name != "text" or keep_text]
+            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*[part.schema.names[i] for i in kept], PREDICTED, SCORE])
 
     return run
 
@@ -231,11 +237,26 @@ def held_out() -> object:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def identify(docs: DataFrame, model: Model | None, keys: list[str]) -> DataFrame:
-    """The key columns of docs, lang_pred and score, a row per row. Texts that are null or without a letter are und with score 0."""
+def identify(docs: DataFrame, model: Model | None, keep_text: bool = False) -> DataFrame:
+    """docs with the columns PREDICTED and SCORE, a row per row; text stays only if asked for.
+
+    Texts that are null or without a letter are und with score 0.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    shape = ", ".join([*[f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys], "lang_pred string", "score double"])
-    return docs.select(*keys, "text").mapInArrow(scored(shared), shape)
+    kept = [f for f in docs.schema.fields if f.name != "text" or keep_text]
+    shape = T.StructType([*[T.StructField(f.name, f.dataType) for f in kept], T.StructField(PREDICTED, T.StringType()), T.StructField(SCORE, T.DoubleType())])
+    return docs.mapInArrow(scored(shared, keep_text), shape)
+
+
+def learn_from(docs: DataFrame) -> DataFrame:
+    """The rows that are not held out."""
+    return docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).select("doc_id", "text", "lang")
+
+
+def accepted(docs: DataFrame, sample_rows: int = 2000, least_score: float = 0.5) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is recognised: not und, and with at least the given score."""
+    found = identify(docs, fit(learn_from(docs), sample_rows), keep_text=True)
+    return found.where((F.col(PREDICTED) != UNKNOWN) & (F.col(SCORE) >= least_score)).select(*docs.columns)
 
 
 def identify_documents(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
@@ -245,6 +266,5 @@ def identify_documents(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
     predicts every row from its text alone. Without any row to learn from all
     are und. Repeated rows each get their result; other columns are not read.
     """
-    learn = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    model = fit(learn.select("doc_id", "text", "lang"), sample_rows)
-    return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model, ["doc_id", "held_out"])
+    found = identify(docs.select("doc_id", held_out().alias("held_out"), "text"), fit(learn_from(docs), sample_rows))
+    return found.select("doc_id", "held_out", F.col(PREDICTED).alias("lang_pred"), F.col(SCORE).alias("score"))

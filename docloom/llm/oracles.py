@@ -129,8 +129,9 @@ FROM k
 """
 ORACLES["op5_html_extraction"] = r"""
 WITH p AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)', 1, 's') AS a FROM pages),
-b AS (SELECT page_id, url, string_split_regex(CASE WHEN contains(a, '</article>') THEN string_split(a, '</article>')[1] ELSE a END, '</?(?:h1|p|br)>') AS parts FROM p),
-t AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(html_unescape(regexp_replace(x, '<[^>]*>', '', 'g')), '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM b)
+b AS (SELECT page_id, url, regexp_split_to_array(string_split(a, '</article>')[1], '</?(?:h1|p|br)>') AS parts FROM p),
+d AS (SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(replace(replace(replace(replace(
+        regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#39;', chr(39)), '&amp;?', '&', 'g')) AS parts FROM b),
+t AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM d)
 SELECT page_id, url, array_to_string(lines, chr(10)) AS text, length(array_to_string(lines, chr(10)))::BIGINT AS n_chars FROM t
 """
-del ORACLES["op5_html_extraction"]
