@@ -179,7 +179,7 @@ def prefixed(percent: int):
         owner, keys = owner[order], signed(keys[order])
         ids = np.flatnonzero(alive)
         parts = np.split(keys, np.cumsum(many[ids])[:-1]) if len(ids) else []
-        return pd.DataFrame({"sig": signed(who[ids]), "n": n[ids], "single": s[ids], "prefix": [k[: first[i]] for i, k in zip(ids, parts, strict=True)], "keys": parts})
+        return pd.DataFrame({"sig": signed(who[ids]), "n": n[ids], "single": s[ids], "prefix": pd.Series([k[: first[i]] for i, k in zip(ids, parts, strict=True)], dtype=object), "keys": pd.Series(parts, dtype=object)})
 
     return run
 
