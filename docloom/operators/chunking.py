@@ -104,6 +104,12 @@ def greedy_windows(df: DataFrame, keys: list[str], order: str, size: Column, mos
     return rows.select(*keys, F.col("_r.o").alias(order), F.col("_r.w").alias("window"))
 
 
+def climb(scores: np.ndarray) -> float:
+    """How far the scores rise from the first one until they fall."""
+    falls = np.flatnonzero(np.diff(scores) < 0)
+    return float(scores[falls[0] if len(falls) else -1] - scores[0])
+
+
 def text_tiles(texts: list[str], width: int = 20, block: int = 10) -> list[str]:
     """TextTiling of one text (Hearst 1997): tile boundaries at deep valleys of the similarity of neighbouring blocks."""
     out: list[str] = []
@@ -121,8 +127,10 @@ def text_tiles(texts: list[str], width: int = 20, block: int = 10) -> list[str]:
         left = np.array([sums[g] - sums[max(0, g - block)] for g in range(1, n)])
         right = np.array([sums[min(n, g + block)] - sums[g] for g in range(1, n)])
         scores = (left * right).sum(axis=1) / np.maximum(np.linalg.norm(left, axis=1) * np.linalg.norm(right, axis=1), 1e-12)
-        depth = np.maximum.accumulate(scores) - scores + np.maximum.accumulate(scores[::-1])[::-1] - scores
-        cuts = [g + 1 for g in range(len(depth)) if depth[g] > depth.mean() + depth.std() / 2]
+        depth = np.array([climb(scores[: g + 1][::-1]) + climb(scores[g:]) for g in range(n - 1)])
+        floor = depth.mean() + depth.std() / 2
+        rim = np.r_[-1.0, depth, -1.0]
+        cuts = [g + 1 for g in range(n - 1) if depth[g] > floor and rim[g] < depth[g] >= rim[g + 2]]
         tiles = [words[a * width : (b * width if b != n else None)] for a, b in zip([0, *cuts], [*cuts, n], strict=True)]
         out.append("\f".join(" ".join(t) for t in tiles if t))
     return out
