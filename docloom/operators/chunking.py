@@ -34,6 +34,46 @@ def sliding_words(df: DataFrame, keys: list[str], text: str = "text", size: int
     return at.select(*keys, (F.col("_n") + 1).alias("chunk_index"), (end - F.length("chunk_text")).alias("chunk_start"), end.alias("chunk_end"), "n_words", "chunk_text")
 
 
+def sliding_tokens(df: DataFrame, keys: list[str], text: str, tokenizer_path: str, size: int = 500, overlap: int = 50) -> DataFrame:
+    """Windows of size tokens of a public tokenizer file, as sliding_words: chunk_start and chunk_end come from the tokens' own offsets."""
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be at least 0 and less than size")
+
+    @F.pandas_udf("array<struct<chunk_start: int, chunk_end: int, n_tokens: int>>")
+    def spans(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        tokenizer.encode_special_tokens = True
+        for part in parts:
+            out = []
+            for encoded in tokenizer.encode_batch(part.fillna("").tolist(), add_special_tokens=False):
+                at = encoded.offsets
+                out.append([{"chunk_start": at[i][0], "chunk_end": at[min(i + size, len(at)) - 1][1], "n_tokens": min(size, len(at) - i)} for i in range(0, len(at), size - overlap)])
+            yield pd.Series(out, dtype=object)
+
+    rows = df.select(*keys, text, F.posexplode(spans(F.col(text))).alias("_n", "s"))
+    body = F.col(text).substr(F.col("s.chunk_start") + 1, F.col("s.chunk_end") - F.col("s.chunk_start"))
+    return rows.select(*keys, (F.col("_n") + 1).alias("chunk_index"), "s.chunk_start", "s.chunk_end", "s.n_tokens", body.alias("chunk_text"))
+
+
+def generative_chunks(entries: DataFrame, keys: list[str], order: str, text: str, answer, most_words: int = 500) -> DataFrame:
+    """(keys, window, chunk_index, chunk_text, entries): greedy windows, each cut by a model into the chunks of its JSON answer.
+
+    answer(df, prompt column) adds column answer. A window whose answer can't be
+    read is one chunk. A chunk's entries are those of its window of whose words
+    it has more than half.
+    """
+    packed = greedy_windows(entries, keys, order, F.size(tx.words(F.col(text))), most_words)
+    rows = entries.select(*keys, order, F.col(text).alias("entry_text")).join(packed, [*keys, order])
+    whole = rows.groupBy(*keys, "window").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "entry_text"))), lambda e: e["entry_text"]), " ").alias("window_text"))
+    said = F.from_json("answer", "chunks ARRAY<STRING>")["chunks"]
+    cut = answer(whole, F.col("window_text")).withColumn("_c", F.when(F.size(said) > 0, said).otherwise(F.array("window_text")))
+    chunks = cut.select(*keys, "window", F.posexplode("_c").alias("_n", "chunk_text")).withColumn("chunk_index", F.col("_n") + 1).drop("_n")
+    from_ = word_overlap_contributors(chunks, rows, [*keys, "window"]).groupBy(*keys, "window", "chunk_index").agg(F.array_join(F.array_sort(F.collect_list(order)), ",").alias("entries"))
+    return chunks.join(from_, [*keys, "window", "chunk_index"], "left")
+
+
 def joined_entries(entries: DataFrame, keys: list[str], order: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(keys, text of all entries in order without separator) and (keys, order, entry_start, entry_end)."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -159,3 +159,25 @@ def citation_groups(cited: DataFrame, keys: list[str], number: str) -> DataFrame
     once = cited.select(*keys, number).distinct()
     run = once.withColumn("_g", F.col(number) - F.row_number().over(Window.partitionBy(*keys).orderBy(number)))
     return run.groupBy(*keys, "_g").agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.count(F.lit(1)).alias("n")).drop("_g")
+
+
+def annotated(sentences: DataFrame, cited: DataFrame, key: str, number: str = "sentence_no") -> DataFrame:
+    """Sentences with their citation numbers behind them: sentence [1][2]. Each number once, in order."""
+    marks = cited.groupBy(key, number).agg(F.array_join(F.transform(F.array_sort(F.collect_set("citation")), lambda c: F.concat(F.lit("["), c.cast("string"), F.lit("]"))), "").alias("_m"))
+    both = sentences.join(marks, [key, number], "left")
+    return both.select(key, number, F.concat_ws(" ", "sentence", "_m").alias("annotated"))
+
+
+def rerank_remote(points: DataFrame, score, top_n: int = 10) -> DataFrame:
+    """The top_n points of each query by a model's score. score(df) adds new_score from query_text and text; null counts as 0."""
+    scored = score(points).withColumn("rerank_score", F.coalesce(F.col("new_score").cast("double"), F.lit(0.0))).drop("new_score")
+    w = Window.partitionBy("query_id").orderBy(F.col("rerank_score").desc(), F.col("score").desc(), "id")
+    return scored.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= top_n).drop("_n")
+
+
+def upsert_vectors(stored: DataFrame, incoming: DataFrame, key: str, seq: str) -> tuple[DataFrame, DataFrame]:
+    """(collection after the merge, rows left out for want of a vector)."""
+    from docloom.operators.merge import merge
+
+    has = F.coalesce(F.size("embedding") > 0, F.lit(False))
+    return merge(stored, incoming.where(has), [key], seq), incoming.where(~has)

@@ -5,6 +5,7 @@ Doubles are rounded to 6 digits on both sides.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import dates, geometry, vectors, web
 from docloom.functions import text as tx
-from docloom.operators import chunking, evaluation, extraction, features, filters, lineage, merge, retrieval
+from docloom.operators import chunking, crawl, evaluation, extraction, features, filters, lineage, merge, retrieval
 from docloom.schemas import validate
 from docloom.sources import files
 from docloom.streaming import incremental
@@ -90,6 +91,23 @@ def visited_dedupe(spark, d):
     return rows.groupBy("norm_url").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n"))
 
 
+@query(r"""WITH l AS (SELECT DISTINCT url, nullif(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), '') AS title, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"', 1)) || '.pdf' AS link FROM pages)
+SELECT DISTINCT url, title, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || trim(link) AS pdf_url FROM l""")
+def page_pdf_links(spark, d):
+    html = F.regexp_replace("html", '(<a[^>]*href="[^"]*)"', '$1.pdf"')
+    return crawl.pdf_links(t(spark, d, "pages").select("url", html.alias("html")))
+
+
+@query("""SELECT p.norm_url, coalesce(c.file_path, p.file_path) AS file_path FROM (SELECT norm_url, min(page_id)::VARCHAR AS file_path FROM (SELECT *, regexp_replace(url, '[;?#].*', '') AS norm_url FROM pages) WHERE page_id % 3 <> 0 GROUP BY 1) p
+FULL JOIN (SELECT norm_url, 'c' || max(page_id)::VARCHAR AS file_path FROM (SELECT *, regexp_replace(url, '[;?#].*', '') AS norm_url FROM pages) WHERE page_id % 2 = 0 GROUP BY 1) c ON p.norm_url = c.norm_url WHERE p.norm_url IS NOT NULL
+UNION ALL SELECT norm_url, 'c' || max(page_id)::VARCHAR FROM (SELECT *, regexp_replace(url, '[;?#].*', '') AS norm_url FROM pages) x WHERE page_id % 2 = 0 AND norm_url NOT IN (SELECT regexp_replace(url, '[;?#].*', '') FROM pages WHERE page_id % 3 <> 0) GROUP BY 1""")
+def crawl_merge_back(spark, d):
+    rows = t(spark, d, "pages").select(web.normalized(F.col("url")).alias("public_url"), "page_id")
+    docs = rows.where("page_id % 3 <> 0").groupBy("public_url").agg(F.min("page_id").cast("string").alias("file_path")).withColumn("file_type", F.lit("html"))
+    got = rows.where("page_id % 2 = 0").select("public_url", F.concat(F.lit("c"), "page_id").alias("file_path"), F.lit("html").alias("file_type"), F.col("page_id").alias("round"))
+    return crawl.merge_back(docs, got).select(F.col("public_url").alias("norm_url"), "file_path")
+
+
 # ---- projections and filters
 
 
@@ -259,6 +277,26 @@ def sentence_split(spark, d):
     return t(spark, d, "documents").select("doc_id", F.size(s).alias("n_sentences"), F.sha2(F.array_join(s, "|"), 256).alias("sentences"))
 
 
+@query()
+def sliding_tokens(spark, d):
+    """Files of public tokenizers lie where DOCLOOM_TOKENIZERS says."""
+    return chunking.sliding_tokens(t(spark, d, "documents"), ["doc_id"], "text", f"{os.environ.get('DOCLOOM_TOKENIZERS', '/opt/tokenizers')}/byte_bpe_50k.json").drop("chunk_text")
+
+
+@query(rf"""WITH RECURSIVE {GREEDY.format(most=120, overlap=0)}, w AS (SELECT c.conv_id, f.win, string_agg(text, ' ' ORDER BY c.turn) AS tx FROM conversations c JOIN f ON f.conv_id = c.conv_id AND f.turn = c.turn GROUP BY 1, 2),
+k AS (SELECT conv_id, win, CASE WHEN win % 2 = 0 THEN string_split(tx, '. ') ELSE [tx] END AS l FROM w), ch AS (SELECT conv_id, win, unnest(l) AS chunk_text, unnest(range(1, len(l) + 1)) AS i FROM k),
+s AS (SELECT ch.conv_id, ch.win, i, string_agg(c.turn::VARCHAR, ',' ORDER BY c.turn) AS entries FROM ch JOIN f ON f.conv_id = ch.conv_id AND f.win = ch.win JOIN conversations c ON c.conv_id = f.conv_id AND c.turn = f.turn
+ WHERE len(list_intersect(list_distinct(regexp_extract_all(lower(chunk_text), '\S+')), list_distinct(regexp_extract_all(lower(c.text), '\S+')))) > 0.5 * len(list_distinct(regexp_extract_all(lower(c.text), '\S+'))) GROUP BY 1, 2, 3)
+SELECT conv_id, win AS "window", i::INT AS chunk_index, sha256(chunk_text) AS chunk_hash, entries FROM ch LEFT JOIN s USING (conv_id, win, i)""")
+def generative_chunks(spark, d):
+    def answer(df, prompt):
+        parts = F.to_json(F.struct(F.split(prompt, r"\. ", -1).alias("chunks")))
+        return df.withColumn("answer", F.when(F.col("window") % 2 == 0, parts).otherwise("no JSON"))
+
+    out = chunking.generative_chunks(t(spark, d, "conversations"), ["conv_id"], "turn", "text", answer, 120)
+    return out.select("conv_id", "window", "chunk_index", F.sha2("chunk_text", 256).alias("chunk_hash"), "entries")
+
+
 @query()
 def topic_segments(spark, d):
     return chunking.topic_segments(t(spark, d, "documents"), ["doc_id"])
@@ -535,6 +573,24 @@ def sentence_index(spark, d):
     return retrieval.indexed_sentences(t(spark, d, "documents"), "doc_id", "text")
 
 
+@query(r"""WITH s AS (SELECT doc_id, i::INT AS sentence_no, x AS sentence FROM (SELECT doc_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM (
+SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])\s+', concat('\1', chr(1)), 'g'), chr(1)), lambda s: s <> '') AS l FROM documents)))
+SELECT doc_id, sentence_no, concat_ws(' ', sentence, CASE WHEN sentence_no % 3 = 0 THEN '[1][' || (sentence_no % 5 + 2)::VARCHAR || ']' END) AS annotated FROM s""")
+def citation_annotate(spark, d):
+    s = retrieval.indexed_sentences(t(spark, d, "documents"), "doc_id", "text")
+    cited = s.where("sentence_no % 3 = 0").select("doc_id", "sentence_no", F.explode(F.array((F.col("sentence_no") % 5 + 2), F.lit(1), F.lit(1))).alias("citation"))
+    return retrieval.annotated(s, cited, "doc_id")
+
+
+@query("""SELECT vec_id, coalesce(n.tag, o.tag) AS tag, CASE WHEN o.vec_id IS NULL THEN 'insert' WHEN n.vec_id IS NULL THEN 'keep' ELSE 'update' END AS action
+FROM (SELECT vec_id, 'old' AS tag FROM embeddings WHERE label < 6) o FULL JOIN (SELECT vec_id, 'new' AS tag FROM embeddings WHERE label > 3 AND vec_id % 4 <> 0) n USING (vec_id)""")
+def upsert_vectors(spark, d):
+    e = t(spark, d, "embeddings")
+    old = e.where("label < 6").select("vec_id", "embedding", F.lit("old").alias("tag"))
+    new = e.where("label > 3").select("vec_id", F.when(F.col("vec_id") % 4 != 0, F.col("embedding")).alias("embedding"), F.lit("new").alias("tag"), F.col("vec_id").alias("seq"))
+    return retrieval.upsert_vectors(old, new, "vec_id", "seq")[0].select("vec_id", "tag", "action")
+
+
 # ---- evaluation
 
 

@@ -181,3 +181,41 @@ def test_plug_ins(spark):
     assert [tuple(r.p) for r in parsed] == [("x", "!"), ("?", "!")]
     stamped = features.stamp_feature(spark.createDataFrame([(None, ["d"], [])], "feature_models array<string>, feature_dates array<string>, feature_types array<string>"), "m", "t", "p").first()
     assert (stamped.feature_models, stamped.feature_dates, stamped.feature_types) == (["m"], ["d", "t"], ["p"])
+
+
+# ---- crawling, tokens, plug-in compositions
+
+
+def test_crawl_rounds(spark, tmp_path):
+    from docloom.operators import crawl
+
+    site = {"http://h/a": '<a href="/b?x=1">b</a><a href="c.pdf">p</a><a href="mailto:x">m</a>', "http://h/b": '<a href="/a#t">a</a><a href="/d">d</a>', "http://h/d": None}
+    web_rows = spark.createDataFrame(list(site.items()), "norm_url string, html string")
+
+    def fetch(urls):
+        return urls.join(web_rows, "norm_url", "left").withColumn("error", F.when(F.col("html").isNull(), "404"))
+
+    def keep(df, n):
+        df.write.parquet(str(tmp_path / str(n)))
+        return spark.read.parquet(str(tmp_path / str(n)))
+
+    out = crawl.crawl(spark.createDataFrame([("http://h/a?q=2",), ("http://h/a",)], "url string"), fetch, 5, keep)
+    assert sorted((r.norm_url, r.round, r.error) for r in out.collect()) == [("http://h/a", 0, None), ("http://h/b", 1, None), ("http://h/d", 2, "404")]
+
+
+def test_token_windows(spark):
+    import os
+
+    path = f"{os.environ.get('DOCLOOM_TOKENIZERS', '/opt/tokenizers')}/byte_bpe_50k.json"
+    if not os.path.exists(path):
+        pytest.skip("no vocabulary file")
+    text = "The same words, the same words, the same words again: naïve déjà vu."
+    rows = chunking.sliding_tokens(spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, text string"), ["id"], "text", path, 6, 2).orderBy("chunk_index").collect()
+    assert {r.id for r in rows} == {1} and rows[0].chunk_start == 0 and max(r.chunk_end for r in rows) == len(text)
+    assert all(text[r.chunk_start : r.chunk_end] == r.chunk_text for r in rows) and all(a.chunk_end > b.chunk_start for a, b in zip(rows, rows[1:]))
+
+
+def test_rerank_remote_keeps_scores_with_their_points(spark):
+    points = spark.createDataFrame([(1, i, 1.0 - i / 100, str(i)) for i in range(30)], "query_id int, id int, score double, text string")
+    out = retrieval.rerank_remote(points, lambda d: d.withColumn("new_score", F.when(F.col("id") % 2 == 0, F.col("id") / 30.0)), 5).orderBy("id").collect()
+    assert [r.id for r in out] == [20, 22, 24, 26, 28] and all(abs(r.rerank_score - r.id / 30) < 1e-9 for r in out)
