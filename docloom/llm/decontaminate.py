@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm import wordhash
-from docloom.llm.shared import text_key, without, written
+from docloom.llm.shared import small_batches, text_key, without, written
 
 WINDOW = 13
 
@@ -77,6 +77,7 @@ def with_fingerprints(spans: list[int], known=None):
                 fps = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), pa.array(fp[order].view(np.int64), pa.int64()))
                 text = pa.array([t if m else None for t, m in zip(texts[a:b], many.tolist(), strict=True)], pa.binary()).cast(part["text"].type)
                 yield pa.RecordBatch.from_arrays([part["row"].slice(a, b - a), part["id"].slice(a, b - a), part["key"].slice(a, b - a), pa.array(counts, pa.int64()), fps, text], ["row", "id", "key", "n_words", "fps", "text"])
+        wordhash.release()
 
     return run
 
@@ -151,6 +152,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     sides' fingerprints meet in a shuffled join. The result is the same.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     count = F.regexp_count(F.coalesce(F.col(item_text), F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
     items = written(benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item_id"), F.col(item_text).alias("item"), count.alias("n")).where("n > 0"), "decon-items")
     has = items.agg(F.min("n").alias("short"), F.max("n").alias("long")).first()

@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from docloom.llm.shared import ascii_lower, scratch, text_key, without, written
 
-#: State on disk; a store is closed once its batch is committed, so that idle stores hold neither memory nor preallocated files.
+#: State on disk, with a bound on the memory of all stores of an executor; a store is closed once its batch is committed, so that idle stores hold neither memory nor preallocated files.
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 
@@ -95,7 +97,8 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dige
     hit = states.where("group_size > 1").select(F.col("digest").alias("_digest"), F.col("keeper.id").alias("keep_id"))
     content = docs.select(F.col(id_col).cast("long").alias("id"), digest(text).alias("digest"), text.alias("content"))
     content = written(content.join(hit, F.col("digest") == F.col("_digest")).select("digest", "id", "keep_id", "content"), "dedup-hits")
-    stays = content.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.max("content").alias("kept_content"))
+    # Written, so that the join below has a plain exchange on both sides and a digest with very many rows may be split.
+    stays = written(content.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.max("content").alias("kept_content")), "dedup-stays")
     other = content.join(stays, "digest").where(F.col("content") != F.col("kept_content")).select("digest", "id", "content")
     result = keys.join(states, "digest")
     if other.isEmpty():

@@ -6,7 +6,9 @@ n - ceil(t * n) + 1 of each, their prefixes. The steps:
 
 1. Hash the grams of every text; texts with equal sets form one class.
 2. Deal (gram, class) by gram, count the classes of each gram and deal the
-   grams back to their classes. Grams of one class only come first in the order
+   grams back to their classes. Grams that a great part of the texts have are
+   found in step 1; they come last in the order and are dealt by class, not by
+   gram, so that no task gets all of them. Grams of one class only come first in the order
    and can match nothing: a class whose prefix holds only such grams is done.
 3. Classes with the same size and prefix form one group. Groups that share a
    prefix gram are paired, if their sizes, the gram's places and then their
@@ -33,9 +35,10 @@ from pyspark.sql import functions as F
 
 from docloom.llm import wordhash
 from docloom.llm.components import connected_components
-from docloom.llm.shared import text_key, without, written
+from docloom.llm.shared import small_batches, text_key, without, written
 
-LOW48 = np.uint64((1 << 48) - 1)
+LOW48, MOST = np.uint64((1 << 48) - 1), 0x7FFF
+COLUMNS = ["id", "key", "n", "sig", "gram", "many"]
 
 
 def sets_of(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -68,28 +71,69 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def describe(size: int):
-    """A mapInArrow function: (id, key, text) to (id, key, n, sig)."""
+def describe(size: int, share: float):
+    """A mapInArrow function: (id, key, text) to (id, key, n, sig), and rows (gram, many) of the grams that at least a share of the task's texts have.
+
+    Grams are counted piece by piece, leaving out those in fewer than 4 texts
+    of a piece; the table of counts is halved, rarest first, beyond a million.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often: dict[int, int] = {}
+        rows, ids = 0, pa.int64()
         for part in parts:
             texts = wordhash.byte_strings(part["text"])
+            ids = part["id"].type
             for a, b in wordhash.batches(texts, len(texts)):
-                _, _, many, sig = sets_of(texts[a:b], size)
-                yield pa.RecordBatch.from_arrays([part["id"].slice(a, b - a), part["key"].slice(a, b - a), pa.array(many, pa.int64()), pa.array(signed(sig), pa.int64())], ["id", "key", "n", "sig"])
+                h, _, many, sig = sets_of(texts[a:b], size)
+                none = pa.nulls(b - a, pa.int64())
+                yield pa.RecordBatch.from_arrays([part["id"].slice(a, b - a), part["key"].slice(a, b - a), pa.array(many, pa.int64()), pa.array(signed(sig), pa.int64()), none, none], COLUMNS)
+                rows += b - a
+                h = np.sort(h)
+                starts = np.flatnonzero(np.r_[len(h) > 0, h[1:] != h[:-1]])
+                counts = np.diff(np.r_[starts, len(h)])
+                for g, c in zip(h[starts[counts > 3]].tolist(), counts[counts > 3].tolist(), strict=True):
+                    often[g] = often.get(g, 0) + c
+                if len(often) > 1_000_000:
+                    often = dict(sorted(often.items(), key=lambda x: -x[1])[:500_000])
+        found = [(g, c) for g, c in often.items() if c >= max(8, share * rows)]
+        if found:
+            none = pa.nulls(len(found), pa.int64())
+            grams = pa.array(signed(np.array([g for g, _ in found], dtype=np.uint64)), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(found), ids), none, none, none, grams, pa.array([c for _, c in found], pa.int64())], COLUMNS)
+        wordhash.release()
 
     return run
 
 
-def dealt(size: int, buckets: int):
-    """A mapInArrow function: texts to packed grams by bucket.
+def dealt(size: int, buckets: int, hot, flush: int = 500_000):
+    """A mapInArrow function: texts to packed grams by bucket, sent whenever a task has flush of them.
+
+    Hot grams (a broadcast, sorted array) are dealt by class instead of by gram,
+    so that no bucket gets all classes of one; they need not be counted.
 
     Each task sends the grams of a set once, however many copies it reads (the
     sets that were sent are remembered, up to a million at a time).
     """
 
+    def packed(grams: list[np.ndarray], sigs: list[np.ndarray]) -> pa.RecordBatch:
+        h, owner = np.concatenate(grams), np.concatenate(sigs)
+        to = bucket_of(np.where(among(h & LOW48, hot.value), owner, h), buckets)
+        order = np.argsort(to, kind="stable")
+        h, owner, to = h[order], owner[order], to[order]
+        cuts = np.r_[0, np.flatnonzero(np.diff(to)) + 1, len(to)]
+        last = np.r_[(owner[1:] != owner[:-1]) | (to[1:] != to[:-1]), True]
+        low, high = h.astype(np.uint32), ((h >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16)
+        out = []
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            ends = np.flatnonzero(last[x:y])
+            out.append((int(to[x]), owner[x:y][ends].tobytes(), np.diff(np.r_[-1, ends]).astype(np.uint32).tobytes(), low[x:y].tobytes(), high[x:y].tobytes()))
+        columns = list(zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", "sigs", "counts", "low", "high"])
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
+        grams, sigs, held = [], [], 0
         for part in parts:
             texts = wordhash.byte_strings(part["text"])
             for a, b in wordhash.batches(texts, len(texts)):
@@ -102,20 +146,16 @@ def dealt(size: int, buckets: int):
                 if len(sent) > 1_000_000:
                     sent.clear()
                 use = first[owner]
-                h, owner = h[use], owner[use]
-                to = bucket_of(h, buckets)
-                order = np.argsort(to, kind="stable")
-                h, owner, to = h[order], owner[order], to[order]
-                cuts = np.flatnonzero(np.diff(to)) + 1
-                out = []
-                for x, o, t in zip(np.split(h, cuts), np.split(owner, cuts), np.split(to, cuts), strict=True):
-                    if len(x):
-                        ends = np.flatnonzero(np.r_[np.diff(o) != 0, True])
-                        high = ((x >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16)
-                        out.append((int(t[0]), sig[o[ends]].tobytes(), np.diff(np.r_[-1, ends]).astype(np.uint32).tobytes(), x.astype(np.uint32).tobytes(), high.tobytes()))
-                if out:
-                    columns = list(zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["bucket", "sigs", "counts", "low", "high"])
+                grams.append(h[use])
+                sigs.append(sig[owner[use]])
+                held += len(grams[-1])
+                if held >= flush:
+                    yield packed(grams, sigs)
+                    grams, sigs, held = [], [], 0
+        if held:
+            yield packed(grams, sigs)
+        del grams, sigs
+        wordhash.release()
 
     return run
 
@@ -124,27 +164,34 @@ def joined(column, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=dtype)
 
 
-def counted(buckets: int):
-    """An applyInPandas function over one bucket of grams: what each class has there, packed by bucket of the class.
+def among(grams: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return hot[np.minimum(np.searchsorted(hot, grams), len(hot) - 1)] == grams if len(hot) else np.zeros(len(grams), dtype=bool)
+
+
+def counted(buckets: int, hot):
+    """An applyInPandas function over one bucket of grams: what each class has there, packed by one of so many buckets of classes.
 
     For each class the number of grams that no other class has, and the others
-    as order keys: classes with the gram (16 bits, the most if more), then 48
-    bits of the gram.
+    as order keys: classes with the gram (15 bits, the most if more or hot),
+    then 48 bits of the gram.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         sigs, counts = joined(frame["sigs"], np.uint64), joined(frame["counts"], np.uint32)
         gram = joined(frame["low"], np.uint32).astype(np.uint64) | (joined(frame["high"], np.uint16).astype(np.uint64) << np.uint64(32))
         owner = np.repeat(sigs, counts)
+        del frame, sigs, counts
         order = np.lexsort((owner, gram))
         gram, owner = gram[order], owner[order]
+        del order
         fresh = np.ones(len(gram), dtype=bool)
         fresh[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
         gram, owner = gram[fresh], owner[fresh]
         starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
         df = np.diff(np.r_[starts, len(gram)])
         df = np.repeat(df, df)
-        key = (np.minimum(df, 0x7FFF).astype(np.uint64) << np.uint64(48)) | gram
+        df[among(gram, hot.value)] = MOST
+        key = (np.minimum(df, MOST).astype(np.uint64) << np.uint64(48)) | gram
         order = np.argsort(owner, kind="stable")
         owner, key, df = owner[order], key[order], df[order]
         ends = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True])
@@ -156,6 +203,8 @@ def counted(buckets: int):
         for t in np.unique(to):
             own = to == t
             out.append((int(t), who[own].tobytes(), (total - shared)[own].astype(np.uint32).tobytes(), shared[own].astype(np.uint32).tobytes(), key[key_to == t].tobytes()))
+        del gram, owner, key, key_to, df
+        wordhash.release()
         return pd.DataFrame(out, columns=["bucket", "sigs", "single", "shared", "keys"])
 
     return run
@@ -262,9 +311,21 @@ def links_of(classes: DataFrame, percent: int, long_list: int) -> tuple[DataFram
     return members.select("sig", "label"), links
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None) -> DataFrame:
+def hot_grams(described: DataFrame, share: float, most: int) -> np.ndarray:
+    """The grams (48 bits, sorted) that a share of the rows have by the tasks' counts, the most frequent ones up to a bound.
+
+    They come last in the order, whatever their exact counts; any choice gives
+    the same result, this one keeps buckets even.
+    """
+    counts = described.agg(F.count("n").alias("rows")).first()
+    often = described.where("gram is not null").groupBy("gram").agg(F.sum("many").alias("many")).where(F.col("many") >= max(64, share * counts["rows"]))
+    grams = often.orderBy(F.col("many").desc(), "gram").limit(most).select("gram").toPandas()["gram"].to_numpy(dtype=np.int64)
+    return np.unique(grams.view(np.uint64) & LOW48)
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None, hot_share: float = 0.001, hot_most: int = 100_000) -> DataFrame:
     """components_of() without key."""
-    return components_of(docs, id_col, text_col, size, percent, long_list, buckets).drop("key")
+    return components_of(docs, id_col, text_col, size, percent, long_list, buckets, hot_share, hot_most).drop("key")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -273,7 +334,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     return without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None) -> DataFrame:
+def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None, hot_share: float = 0.001, hot_most: int = 100_000) -> DataFrame:
     """One row per row of docs: id, key (a hash of the text), n_shingles, component_id.
 
     Words are runs of anything but ASCII white space, A-Z as a-z; the set holds
@@ -286,11 +347,15 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     An empty table gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
-    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Two buckets of grams for each shuffle partition, so that one bucket's grams are a small part of a task's memory; one of classes, as the packets are their product.
+    buckets = buckets or min(1 << 16, max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    documents = written(rows.mapInArrow(describe(size), "id bigint, key bigint, n bigint, sig bigint"), "ngram-docs")
-    grams = rows.select("text").mapInArrow(dealt(size, buckets), "bucket int, sigs binary, counts binary, low binary, high binary")
-    packed = grams.groupBy("bucket").applyInPandas(counted(buckets), "bucket int, sigs binary, single binary, shared binary, keys binary")
+    described = written(rows.mapInArrow(describe(size, hot_share), "id bigint, key bigint, n bigint, sig bigint, gram bigint, many bigint"), "ngram-docs")
+    documents = described.where("gram is null")
+    hot = spark.sparkContext.broadcast(hot_grams(described, hot_share, hot_most))
+    grams = rows.select("text").mapInArrow(dealt(size, buckets, hot), "bucket int, sigs binary, counts binary, low binary, high binary")
+    packed = grams.groupBy("bucket").applyInPandas(counted((buckets + 1) // 2, hot), "bucket int, sigs binary, single binary, shared binary, keys binary")
     classes = packed.groupBy("bucket").applyInPandas(prefixed(percent), "sig bigint, n bigint, single bigint, prefix array<bigint>, keys array<bigint>")
     classes = written(classes, "ngram-classes")
     labels, links = links_of(classes, percent, long_list)

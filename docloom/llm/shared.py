@@ -42,6 +42,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/docloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Bounds the bytes of an Arrow batch that goes to Python workers: ten thousand long texts would be too much for one."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) != str(most):
+        spark.conf.set(name, str(most))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)

@@ -9,6 +9,8 @@ every machine.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -82,6 +84,14 @@ def grams(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray
     return mixed(h + np.uint64(size)), owner, place
 
 
+def release() -> None:
+    """Hands freed memory back to the system; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def byte_strings(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -80,6 +80,15 @@ def test_hot_group_of_one_word_edits(spark):
     assert found(df) == brute(rows)
 
 
+@pytest.mark.parametrize("hot_share", [0.0, 0.001, 1.0])
+def test_a_passage_in_most_documents(spark, hot_share):
+    """Grams that most documents have, in texts that consist of little else; counted or dealt as hot, the result is the same."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([*passage[: rng.randint(12, 40)], *(f"u{rng.randrange(60)}" for _ in range(rng.randint(0, 6)))])) for i in range(400)]
+    assert found(spark.createDataFrame(rows, "doc_id int, text string").repartition(2), hot_share=hot_share) == brute(rows)
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in nj.similar_documents(odd_docs).collect()}
     assert nj.similar_documents(odd_docs).count() == odd_docs.count() and nj.similar_documents(no_docs).collect() == []
