@@ -42,10 +42,18 @@ def share_of_words(chunk: Column, entry: Column) -> Column:
 
 
 def shared_edge(before: Column, after: Column, least: int = 11) -> Column:
-    """Length of the longest suffix of before that after begins with; 0 if shorter than least."""
+    """Length of the longest suffix of before that after begins with; 0 if shorter than least.
+
+    Such a suffix starts with the first characters of after, so their first
+    place in before is tried first: if it fits, it is the longest. Only if it
+    does not are all lengths tried.
+    """
     n = F.least(F.length(before), F.length(after))
+    place = F.position(F.left(after, F.lit(least)), before)
+    size = F.length(before) - place + 1
     lengths = F.filter(F.sequence(F.lit(least), F.greatest(n, F.lit(least))), lambda i: (i <= n) & F.startswith(after, F.right(before, i)))
-    return F.coalesce(F.array_max(lengths), F.lit(0))
+    found = F.when(F.startswith(after, F.right(before, size)), size).otherwise(F.coalesce(F.array_max(lengths), F.lit(0)))
+    return F.when((n >= least) & (place > 0), found).otherwise(F.lit(0))
 
 
 def tagged_chunks(text: Column) -> Column:
