@@ -116,3 +116,9 @@ def organized(members: DataFrame, cluster: str) -> DataFrame:
 
     sizes = members.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"))
     return sizes.withColumn("place", F.row_number().over(Window.partitionBy().orderBy(F.col("size").desc(), cluster)))
+
+
+def keywords_of(members: DataFrame, labels: DataFrame, key: str, cluster: str) -> DataFrame:
+    """(key, keywords, n_clusters): the distinct labels, sorted, of the clusters that each key's rows belong to, by cluster id."""
+    both = members.select(key, cluster).distinct().join(labels, cluster)
+    return both.groupBy(key).agg(F.array_sort(F.collect_set("label")).alias("keywords"), F.count_distinct(cluster).alias("n_clusters"))

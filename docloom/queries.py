@@ -755,6 +755,43 @@ def summarize_entries(spark, d):
     return out.select(F.col("citation.target_uuid").cast("long").alias("doc_id"), "string", "embedded_feature_type", F.col("citation.target_uuid").alias("target_uuid"))
 
 
+@query("SELECT vec_id, label FROM embeddings WHERE label = 3 ORDER BY vec_id LIMIT 200")
+def vector_scroll(spark, d):
+    """A page of a collection's listing; the limit of 200 is what a page is."""
+    return files.vector_rows(t(spark, d, "embeddings"), {"label": 3})
+
+
+@query("""SELECT c.source, string_agg(DISTINCT n.n_name, ',' ORDER BY n.n_name) AS keywords, count(DISTINCT c.cluster) AS n_clusters
+FROM (SELECT source, length(text) % 25 AS cluster FROM documents) c JOIN nation n ON n.n_nationkey = c.cluster GROUP BY c.source""")
+def cluster_keywords(spark, d):
+    members = t(spark, d, "documents").select("source", (F.length("text") % 25).alias("cluster"))
+    labels = t(spark, d, "nation").select(F.col("n_nationkey").alias("cluster"), F.col("n_name").alias("label"))
+    return features.keywords_of(members, labels, "source", "cluster").select("source", F.array_join("keywords", ",").alias("keywords"), "n_clusters")
+
+
+@query("""SELECT doc_id, 2 AS n_messages, 'user' AS last_role, sha256('Summarize: ' || text) AS content_hash FROM documents""")
+def chat_prompts(spark, d):
+    m = features.chat_prompt("You sum up documents.", F.concat(F.lit("Summarize: "), "text"))
+    rows = t(spark, d, "documents").select("doc_id", m.alias("m"))
+    return rows.select("doc_id", F.size("m").alias("n_messages"), F.element_at("m", -1)["role"].alias("last_role"), F.sha2(F.element_at("m", -1)["content"], 256).alias("content_hash"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'unreadable' WHEN doc_id % 3 = 1 THEN 'A' ELSE '' END AS winner, CASE WHEN doc_id % 3 = 1 THEN lang ELSE 'none' END AS reasoning FROM documents""")
+def parse_answers(spark, d):
+    k = F.col("doc_id") % 3
+    answer = F.when(k == 0, F.lit("not JSON")).when(k == 1, F.to_json(F.struct(F.lit("A").alias("winner"), F.col("lang").alias("reasoning")))).otherwise(F.to_json(F.struct(F.lit("").alias("winner"))))
+    parsed = features.parsed_answer(answer, "winner STRING, reasoning STRING", {"winner": "unreadable", "reasoning": "none"})
+    return t(spark, d, "documents").select("doc_id", parsed["winner"].alias("winner"), parsed["reasoning"].alias("reasoning"))
+
+
+@query("""SELECT 'a' AS dataset, item_id AS id, text AS query, 0 AS page_id, string_split('file' || item_id || '.tar.gz', '.')[1] AS document_id FROM benchmark
+UNION ALL SELECT 'b', doc_id, left(text, 50), (doc_id % 9)::INT, source FROM documents""")
+def dataset_harmonize(spark, d):
+    a = t(spark, d, "benchmark").select(F.lit("a").alias("dataset"), F.col("item_id").alias("id"), F.col("text").alias("query"), F.lit(0).alias("page_id"), F.substring_index(F.concat(F.lit("file"), "item_id", F.lit(".tar.gz")), ".", 1).alias("document_id"))
+    b = t(spark, d, "documents").select(F.lit("b").alias("dataset"), F.col("doc_id").alias("id"), F.left("text", F.lit(50)).alias("query"), (F.col("doc_id") % 9).cast("int").alias("page_id"), F.col("source").alias("document_id"))
+    return a.unionByName(b)
+
+
 # ---- streams, run as tables here; tests run them as streams too
 
 
