@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.llm.shared import written
+from docloom.llm.shared import small_batches, written
+from docloom.llm.wordhash import release
 
 #: Feature space; the last number stands for n-grams that would reach into the next text.
 BITS = 15
@@ -73,10 +74,11 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(owner), counts
 
 
-def cut(texts: list[str], most: int = 500_000):
+def cut(texts: list[str], most: int = 500_000, rows: int = 200):
+    """Runs of at most so many characters (a longer text stands alone) and rows."""
     start = total = 0
     for i, t in enumerate(texts):
-        if total and total + len(t) > most:
+        if i - start == rows or (total and total + len(t) > most):
             yield start, i
             start, total = i, 0
         total += len(t)
@@ -95,15 +97,12 @@ def frequencies(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = strings(part["text"])
         for a, b in cut(texts):
             f, owner, _ = features(texts[a:b])
-            seen = np.zeros((b - a, FEATURES), dtype=bool) if (b - a) * FEATURES <= 8_000_000 else None
-            if seen is not None:
-                seen[owner, f] = True
-                df += seen.sum(axis=0)
-            else:
-                pairs = np.unique(owner.astype(np.int64) * FEATURES + f)
-                df += np.bincount(pairs % FEATURES, minlength=FEATURES)
+            seen = np.zeros((b - a, FEATURES), dtype=bool)
+            seen[owner, f] = True
+            df += seen.sum(axis=0)
             n += b - a
     at = np.flatnonzero(df)
+    release()
     yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[n, df[at]], pa.int64())], ["feature", "df"])
 
 
@@ -178,6 +177,7 @@ def fit(learn: DataFrame, sample_rows: int = 2000, epochs: int = 3, alpha: float
     of doc_id, and never more than twice sample_rows in all. Every fifth is
     held back for the temperature. Document frequencies cover all rows.
     """
+    small_batches(learn.sparkSession)
     has_letter = F.rlike("text", F.lit(r"\p{L}"))
     learn = learn.where(F.col("lang").isNotNull() & has_letter).select("doc_id", "text", "lang")
     per = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -211,6 +211,7 @@ def scored(shared, keep_text: bool):
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model | None = shared.value
+        columns = [] if model is None else list(np.ascontiguousarray(model.weights.T, dtype=np.float64))
         for part in parts:
             texts = strings(part["text"])
             names, scores = [], np.zeros(len(texts))
@@ -220,7 +221,9 @@ def scored(shared, keep_text: bool):
                     names += [UNKNOWN] * (b - a)
                     continue
                 total = np.maximum(np.bincount(owner, minlength=b - a), 1)
-                logits = np.stack([np.bincount(owner, model.weights[f, k], minlength=b - a) / total for k in range(len(model.languages))], axis=1) + model.bias
+                runs = np.flatnonzero(np.r_[len(owner) > 0, owner[1:] != owner[:-1]])
+                sums = [np.bincount(owner[runs], np.add.reduceat(w[f], runs), minlength=b - a) if len(runs) else np.zeros(b - a) for w in columns]
+                logits = np.stack(sums, axis=1) / total[:, None] + model.bias
                 p = softmax(logits / model.temperature)
                 best = p.argmax(axis=1)
                 some = letters_in > 0
@@ -228,6 +231,7 @@ def scored(shared, keep_text: bool):
                 scores[a:b] = np.where(some, p[np.arange(b - a), best], 0.0)
             kept = [i for i, name in enumerate(part.schema.names) if name != "text" or keep_text]
             yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*[part.schema.names[i] for i in kept], PREDICTED, SCORE])
+        release()
 
     return run
 
@@ -242,6 +246,7 @@ def identify(docs: DataFrame, model: Model | None, keep_text: bool = False) -> D
 
     Texts that are null or without a letter are und with score 0.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f for f in docs.schema.fields if f.name != "text" or keep_text]
     shape = T.StructType([*[T.StructField(f.name, f.dataType) for f in kept], T.StructField(PREDICTED, T.StringType()), T.StructField(SCORE, T.DoubleType())])
