@@ -25,6 +25,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from docloom.llm.shared import small_batches
+
 #: A word with one space before it, else white space that a word does not need.
 PRE_TOKEN = re.compile(r"\x20?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+(?=[\x20\x09-\x0D]|$)|[\x20\x09-\x0D]", re.DOTALL)
 #: How much less likely than the rarest piece a byte of an unknown character is.
@@ -77,6 +79,11 @@ class Trie:
 
     def __init__(self, pieces: dict[str, float], longest: int, byte_score: float) -> None:
         self.pieces, self.longest, self.byte_score = pieces, longest, byte_score
+        #: Longest piece with these last three characters: how far back a node has to look.
+        self.reach: dict[str, int] = {}
+        for p in pieces:
+            if len(p) > 2 and len(p) > self.reach.get(p[-3:], 2):
+                self.reach[p[-3:]] = len(p)
         self.children: list[dict[str, int]] = [{}]
         self.score: list[float] = [0.0]
         self.count: list[int] = [0]
@@ -93,7 +100,7 @@ class Trie:
                 below[c] = node
                 size = len(c.encode("utf-8", "surrogatepass"))
                 best, n = score[path[-1]] + size * self.byte_score, count[path[-1]] + size
-                for k in range(1, min(self.longest, i + 1) + 1):
+                for k in range(1, min(self.reach.get(token[i - 2 : i + 1], 2) if i > 1 else 2, i + 1) + 1):
                     p = pieces.get(token[i + 1 - k : i + 1])
                     if p is not None:
                         up = path[-k]
@@ -141,5 +148,6 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     other columns are not read; an empty table gives an empty result. The
     vocabulary file must be readable at vocabulary_path on every worker.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
     return rows.mapInArrow(counts(vocabulary_path, scores, most_nodes), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, n_pretokens bigint")
