@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.operators import mixtures
+
 Model = Callable[[list[str]], list]
 
 
@@ -89,24 +90,37 @@ def stamp_feature(df: DataFrame, model: str, date: str, prompt: str) -> DataFram
     return df.withColumns({c: add(c, v) for c, v in (("feature_models", model), ("feature_dates", date), ("feature_types", prompt))})
 
 
-def reduced(df: DataFrame, vector: str, dimensions: int) -> DataFrame:
-    """Adds the projection on the first principal components (in place of a manifold projection)."""
-    rows = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
-    return PCA(k=dimensions, inputCol="_v", outputCol="_p").fit(rows).transform(rows).withColumn("reduced", vector_to_array("_p")).drop("_v", "_p")
+def reduced(df: DataFrame, vector: str, dimensions: int = 20) -> DataFrame:
+    """Adds the projection on the first principal components (in place of a manifold projection).
+
+    Fewer dimensions only where the vectors have fewer; tables of no more rows than dimensions keep their vectors.
+    Rows without a vector get null.
+    """
+    have = df.where(F.col(vector).isNotNull())
+    head = have.select(vector).limit(dimensions + 1).collect()
+    if len(head) <= dimensions:
+        return df.withColumn("reduced", F.col(vector).cast("array<double>"))
+    as_vector = lambda rows: rows.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
+    model = PCA(k=min(dimensions, len(head[0][0])), inputCol="_v", outputCol="_p").fit(as_vector(have))
+    found = model.transform(as_vector(have)).withColumn("reduced", vector_to_array("_p")).drop("_v", "_p")
+    return found.unionByName(df.where(F.col(vector).isNull()).withColumn("reduced", F.lit(None).cast("array<double>")))
 
 
-def soft_clusters(df: DataFrame, vector: str, ks: range = range(2, 6), least: float = 0.1, seed: int = 7) -> DataFrame:
-    """(columns, cluster, probability): memberships above least of the Gaussian mixture with the lowest BIC among ks."""
-    rows = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>"))).cache()
-    n, d = rows.count(), len(rows.first()["_v"])
+def soft_clusters(df: DataFrame, vector: str, ks: range = range(5, 21), least: float = 0.1, seed: int = 7) -> DataFrame:
+    """(columns, cluster, probability): memberships above least of the Gaussian mixture with the lowest BIC among ks.
 
-    def bic(model, k: int) -> float:
-        free = k - 1 + k * d + k * d * (d + 1) / 2
-        return free * np.log(max(n, 1)) - 2 * model.summary.logLikelihood
+    No more components than rows are tried. Rows without a vector belong to no cluster; an empty table gives no rows.
+    """
+    rows = df.where(F.col(vector).isNotNull()).withColumn("_v", F.col(vector).cast("array<double>")).cache()
+    n = rows.count()
+    best = mixtures.fitted(rows, "_v", n, [k for k in ks if k <= n] or [n], seed) if n else None
+
+    @F.pandas_udf("array<double>")
+    def memberships(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series(list(mixtures.shares(np.stack(part.to_numpy()), best)[0]) if len(part) else [], dtype=object)
 
-    models = [(k, GaussianMixture(k=k, featuresCol="_v", probabilityCol="_p", seed=seed, maxIter=20).fit(rows)) for k in ks]
-    best = min(models, key=lambda m: bic(m[1], m[0]))[1]
-    found = best.transform(rows).select(*df.columns, F.posexplode(vector_to_array("_p")).alias("cluster", "probability"))
+    found = rows.select(*df.columns, F.posexplode(memberships("_v")).alias("cluster", "probability"))
     return found.where(F.col("probability") > least)
 
 

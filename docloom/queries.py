@@ -739,7 +739,7 @@ def cluster_organize(spark, d):
 
 @query()
 def gmm_soft_assign(spark, d):
-    rows = features.reduced(t(spark, d, "embeddings").select("vec_id", "embedding"), "embedding", 4)
+    rows = features.reduced(t(spark, d, "embeddings").select("vec_id", "embedding"), "embedding")
     return features.soft_clusters(rows.select("vec_id", "reduced"), "reduced").select("vec_id", "cluster", r6(F.col("probability")).alias("probability"))
 
 

@@ -219,3 +219,26 @@ def test_rerank_remote_keeps_scores_with_their_points(spark):
     points = spark.createDataFrame([(1, i, 1.0 - i / 100, str(i)) for i in range(30)], "query_id int, id int, score double, text string")
     out = retrieval.rerank_remote(points, lambda d: d.withColumn("new_score", F.when(F.col("id") % 2 == 0, F.col("id") / 30.0)), 5).orderBy("id").collect()
     assert [r.id for r in out] == [20, 22, 24, 26, 28] and all(abs(r.rerank_score - r.id / 30) < 1e-9 for r in out)
+
+
+def test_mixtures_of_more_than_five_components_are_told_apart(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = np.repeat(rng.normal(size=(8, 24)) * 6, 400, axis=0) + rng.normal(size=(3200, 24))  # with few rows BIC rightly takes fewer
+    rows = [(i, i // 400, v.tolist()) for i, v in enumerate(x)] + [(3200, -1, None)]
+    small = features.reduced(spark.createDataFrame(rows, "id int, planted int, v array<double>"), "v")
+    assert {len(r.reduced) for r in small.where("id < 3200").collect()} == {20}
+    found = features.soft_clusters(small.select("id", "planted", "reduced"), "reduced").collect()
+    kinds = {}
+    for r in found:
+        kinds.setdefault(r.cluster, set()).add(r.planted)
+    assert {r.id for r in found} == set(range(3200))
+    assert all(len(k) == 1 for k in kinds.values()) and set().union(*kinds.values()) == set(range(8))
+
+
+def test_mixtures_of_few_rows(spark):
+    few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(3)], "id int, v array<double>")
+    for n in (0, 3):
+        rows = features.reduced(few.limit(n), "v")
+        assert {r.id for r in features.soft_clusters(rows, "reduced").collect()} == set(range(n))
