@@ -3,8 +3,10 @@
 The standard library's parser streams events; block elements cut the page into
 lines. Each line has a ratio of text characters to tags. The ratios are
 smoothed with a Gaussian, lines above a threshold form the content cluster, and
-the region that holds the cluster is the article: an article or main element if
-there is one, else the smallest container with most of the cluster's text. Of
+the region that holds the cluster is the article: an article or main element
+with most of the cluster's text if there is one, else the smallest section-like
+container around all lines of the cluster that are long themselves (smoothing
+also lifts short neighbours, which widen nothing) and the headings before them. Of
 the region every line counts, short ones too, except those inside elements that
 are marked as something else (menus, headers, forms, adverts, comments ...).
 """
@@ -25,6 +27,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("article aside blockquote body center details dialog div dl fieldset figure footer form header hgroup main menu nav ol search section table tbody td tfoot th thead tr ul".split())
+SECTIONS = frozenset("page article body center div main section".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SKIPPED = frozenset("script style noscript template head title iframe object svg math canvas audio video select option textarea button".split())
 BESIDE = frozenset("nav header footer aside form menu dialog search fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -37,7 +41,7 @@ SPACES = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, path) of each line; path holds the numbers of the open containers, outermost first.
+    """Collects (text, tags, path, heading) of each line; path holds the numbers of the open containers, outermost first.
 
     Lines inside skipped or marked elements are not collected; their tags count
     for nothing. An end tag closes what is open inside its element; unknown end
@@ -46,7 +50,7 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.kinds: list[str] = ["page"]
         self.open: list[tuple[str, int, bool]] = []
         self.path: tuple[int, ...] = (0,)
@@ -54,17 +58,19 @@ class Lines(HTMLParser):
         self.skip: list[str] = []
         self.text: list[str] = []
         self.tags = 0
+        self.heading = False
 
     def cut(self) -> None:
         text = SPACES.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, self.tags, self.path))
+            self.lines.append((text, self.tags, self.path, self.heading))
             self.tags = 0
         self.text.clear()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.cut()
+            self.heading = tag in HEADINGS
         if tag in SKIPPED:
             self.skip.append(tag)
             return
@@ -83,6 +89,7 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.cut()
+            self.heading = False
         if tag in SKIPPED:
             if tag in self.skip:
                 del self.skip[self.skip.index(tag) :]
@@ -116,22 +123,28 @@ def smoothed(ratios: np.ndarray, radius: int, sigma: float) -> np.ndarray:
     return total / np.convolve(np.ones(len(ratios)), kernel, "full")[radius : radius + len(ratios)]
 
 
-def region(lines: list[tuple[str, int, tuple[int, ...]]], kinds: list[str], radius: int, sigma: float, most: float) -> list[str]:
+def region(lines: list[tuple[str, int, tuple[int, ...], bool]], kinds: list[str], radius: int, sigma: float, most: float) -> list[str]:
     """The texts of the lines in the region that holds the content cluster."""
-    sizes = np.array([len(t) for t, _, _ in lines], dtype=float)
-    ratios = smoothed(sizes / np.maximum([n for _, n, _ in lines], 1), radius, sigma)
-    content = ratios >= min(ratios.std(), ratios.max())
+    sizes = np.array([len(t) for t, _, _, _ in lines], dtype=float)
+    own = sizes / np.maximum([n for _, n, _, _ in lines], 1)
+    ratios = smoothed(own, radius, sigma)
+    least = min(ratios.std(), ratios.max())
+    content = ratios >= least
     weight: dict[int, float] = {}
-    for (_, _, path), size in zip(lines, np.where(content, sizes, 0), strict=True):
+    for (_, _, path, _), size in zip(lines, np.where(content, sizes, 0), strict=True):
         for node in path:
             weight[node] = weight.get(node, 0.0) + size
-    named = [k for k in weight if kinds[k] in ("article", "main")]
+    named = [k for k in weight if kinds[k] in ("article", "main") and weight[k] >= most * weight[0]]
     if named:
         # The main element around several articles wins over each of them; numbers grow inwards.
         best = max(named, key=lambda k: (weight[k], -k))
     else:
-        best = max((k for k in weight if weight[k] >= most * weight[0]), default=0)
-    return [t for t, _, path in lines if best in path]
+        held = content & (own >= least)
+        for i in range(len(lines) - 2, -1, -1):
+            held[i] |= lines[i][3] and held[i + 1]
+        paths = [p for (_, _, p, _), h in zip(lines, held if held.any() else content, strict=True) if h]
+        best = max(k for k in set(paths[0]).intersection(*paths[1:]) if kinds[k] in SECTIONS)
+    return [t for t, _, path, _ in lines if best in path]
 
 
 def main_text(html: str | None, radius: int = 2, sigma: float = 1.0, most: float = 0.8) -> str:

@@ -41,6 +41,27 @@ def test_without_an_article_element():
     assert len(lines) == 5 and lines[-1] == "End."
 
 
+LONG = ARTICLE[3:-4].strip()
+
+
+def test_regions_are_not_lists_tables_or_quotes():
+    for tag, item in (("blockquote", "p"), ("ul", "li"), ("ol", "li"), ("figure", "p"), ("table", "tr")):
+        inner = f"<{tag}>" + f"<{item}>{'<td>' * (tag == 'table')}{LONG}</{item}>" * 9 + f"</{tag}>"
+        lines = hx.main_text(page(f"<nav><a>1</a></nav><div><p>Opening. {LONG}</p>{inner}<p>Closing. {LONG}</p></div>")).split("\n")
+        assert len(lines) == 11 and lines[0].startswith("Opening.") and lines[-1].startswith("Closing."), tag
+
+
+def test_a_heading_beside_the_body_stays():
+    lines = hx.main_text(page(f"<div><a>1</a> <a>2</a></div><div><h1>The title</h1><div>{ARTICLE * 4}</div></div>")).split("\n")
+    assert lines == ["The title", *[LONG] * 4]
+
+
+def test_article_cards_beside_the_text_do_not_win():
+    cards = "".join(f"<article><a href=/{i}>Card {i}</a></article>" for i in range(3))
+    text = hx.main_text(page(f"<div id=x>{ARTICLE * 5}</div><div>{cards}</div>"))
+    assert text.split("\n")[:5] == [LONG] * 5
+
+
 def test_broken_pages():
     assert hx.main_text(None) == hx.main_text("") == hx.main_text("<p></p>") == ""
     assert hx.main_text("just text") == "just text"
