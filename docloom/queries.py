@@ -787,8 +787,13 @@ def parse_answers(spark, d):
 @query("""SELECT 'a' AS dataset, item_id AS id, text AS query, 0 AS page_id, string_split('file' || item_id || '.tar.gz', '.')[1] AS document_id FROM benchmark
 UNION ALL SELECT 'b', doc_id, left(text, 50), (doc_id % 9)::INT, source FROM documents""")
 def dataset_harmonize(spark, d):
-    a = t(spark, d, "benchmark").select(F.lit("a").alias("dataset"), F.col("item_id").alias("id"), F.col("text").alias("query"), F.lit(0).alias("page_id"), F.substring_index(F.concat(F.lit("file"), "item_id", F.lit(".tar.gz")), ".", 1).alias("document_id"))
-    b = t(spark, d, "documents").select(F.lit("b").alias("dataset"), F.col("doc_id").alias("id"), F.left("text", F.lit(50)).alias("query"), (F.col("doc_id") % 9).cast("int").alias("page_id"), F.col("source").alias("document_id"))
+    """The SQL shows the first 50 characters of the second set's queries; harmonized_questions has them whole."""
+    return harmonized_questions(spark, d).withColumn("query", F.when(F.col("dataset") == "b", F.left("query", F.lit(50))).otherwise(F.col("query")))
+
+
+def harmonized_questions(spark, d):
+    a = files.question_rows(t(spark, d, "benchmark"), "a", F.col("item_id"), F.col("text"), F.lit(0), F.substring_index(F.concat(F.lit("file"), "item_id", F.lit(".tar.gz")), ".", 1))
+    b = files.question_rows(t(spark, d, "documents"), "b", F.col("doc_id"), F.col("text"), F.col("doc_id") % 9, F.col("source"))
     return a.unionByName(b)
 
 

@@ -65,6 +65,11 @@ def scan_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
 
 
+def question_rows(df: DataFrame, dataset: str, id: Column, query: Column, page_id: Column, document: Column) -> DataFrame:
+    """(dataset, id, query, page_id, document_id): a question set in common columns. All values are passed whole."""
+    return df.select(F.lit(dataset).alias("dataset"), id.alias("id"), query.alias("query"), page_id.cast("int").alias("page_id"), document.alias("document_id"))
+
+
 def vector_rows(vectors: DataFrame, must: dict[str, object], limit: int = 200) -> DataFrame:
     """Rows of a collection that meet all equalities, without vectors, up to limit by id (a page of a listing)."""
     from docloom.operators.filters import predicate

@@ -35,3 +35,9 @@ def test_passages_are_packed_greedily(spark, sf):
 def test_memberships_add_up(spark, sf):
     rows = q.gmm_soft_assign(spark, sf).collect()
     assert all(0.1 < r.probability <= 1 + 1e-6 for r in rows)
+
+
+def test_harmonized_questions_are_whole(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = {r.id: r.query for r in q.harmonized_questions(spark, sf).where("dataset = 'b'").collect()}
+    assert found == texts and max(map(len, found.values())) > 50
