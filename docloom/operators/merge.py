@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.sources.workspace import written
+
 
 def last_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The row with the largest seq of each key: combined before the shuffle, no window over hot keys."""
@@ -63,9 +65,14 @@ def refresh(documents: DataFrame, results: DataFrame, key: str, seq: str) -> Dat
 
 
 def with_new_ids(df: DataFrame, order: list[str], after: int, out: str = "id") -> DataFrame:
-    """Ids from after + 1 on, in the given order; ranks are counted by range, so no task sees all rows."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
+    """df with ids from after + 1 on, dense, in the given order (ties in any order).
+
+    Rows are ranged by the order and written once, with their place inside their
+    range: a range plan that ran twice could cut the rows at other bounds. The
+    ranges' sizes (one row for each range) then give each its first id.
+    """
+    place = F.monotonically_increasing_id()
+    ranged = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_p": F.shiftright(place, 33), "_i": place.bitwiseAND(F.lit((1 << 33) - 1))}), "new-ids")
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.withColumn("_b", F.coalesce(F.sum("_n").over(Window.partitionBy().orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranged.join(before.select("_p", "_b"), "_p").withColumn(out, F.lit(after) + F.col("_b") + F.col("_i")).drop("_p", "_i", "_b")
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.partitionBy().orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return ranged.join(before, "_p").withColumn(out, F.lit(after + 1) + F.col("_b") + F.col("_i")).select(*df.columns, out)

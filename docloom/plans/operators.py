@@ -11,27 +11,27 @@ from docloom.plans.registry import operator
 from docloom.sources import files
 
 
-@operator("ingest", "local")
+@operator("load", "local")
 def local(spark: SparkSession, df: DataFrame | None, directory_path, ending_with: str = "", added_metadata: dict | None = None) -> DataFrame:
     return filters.overlay(files.scan_files(spark, directory_path, ending_with), added_metadata or {}, {})
 
 
-@operator("ingest", "s3")
+@operator("load", "s3")
 def s3(spark: SparkSession, df: DataFrame | None, bucket: str, prefixes: list[str], ending_with: str = "", added_metadata: dict | None = None) -> DataFrame:
     return filters.overlay(files.scan_files(spark, [f"s3a://{bucket}/{p}" for p in prefixes], ending_with, "s3"), added_metadata or {}, {})
 
 
-@operator("ingest", "table")
+@operator("load", "table")
 def table(spark: SparkSession, df: DataFrame | None, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@operator("ingest", "pages")
+@operator("load", "pages")
 def pages(spark: SparkSession, df: DataFrame | None, path: str) -> DataFrame:
     """Fetched pages (url, html): one document per normalized URL, hashed by content."""
     rows = spark.read.parquet(path).withColumn("public_url", web.normalized(F.col("url")))
     first = rows.groupBy("public_url").agg(F.min(F.struct("url", "html")).alias("p"))
-    return first.select(F.sha2(F.coalesce("p.html", F.lit("")), 256).alias("document_hash"), "public_url", web.title(F.col("p.html")).alias("document_title"), F.col("p.html").alias("text"), F.lit("html").alias("file_type"), F.lit("url_scrape").alias("ingestion_method"))
+    return first.select(F.sha2(F.coalesce("p.html", F.lit("")), 256).alias("document_hash"), "public_url", web.title(F.col("p.html")).alias("document_title"), F.col("p.html").alias("text"), F.lit("html").alias("file_type"), F.lit("url_scrape").alias("load_method"))
 
 
 @operator("extract", "simple")

@@ -44,13 +44,13 @@ def r6(c: Column) -> Column:
 # ---- sources
 
 
-@query("SELECT doc_id, sha256(text) AS document_hash, octet_length(encode(text))::BIGINT AS file_size, 'internal' AS scope, 'other' AS content_type, 'local_file' AS ingestion_method FROM documents")
-def ingest_documents(spark, d):
+@query("SELECT doc_id, sha256(text) AS document_hash, octet_length(encode(text))::BIGINT AS file_size, 'internal' AS scope, 'other' AS content_type, 'local_file' AS load_method FROM documents")
+def load_documents(spark, d):
     rows = t(spark, d, "documents").select("doc_id", F.concat(F.lit("/d/"), "doc_id", F.lit(".txt")).alias("path"), F.col("text").cast("binary").alias("content"))
     rows = rows.withColumns({"length": F.length("content").cast("long"), "modificationTime": F.lit(None).cast("timestamp")})
     made = files.document_rows(rows, "local_file", "2024-01-01 00:00:00")
     ids = rows.select("doc_id", F.col("path").alias("file_path"))
-    return made.join(ids, "file_path").select("doc_id", "document_hash", "file_size", "scope", "content_type", "ingestion_method")
+    return made.join(ids, "file_path").select("doc_id", "document_hash", "file_size", "scope", "content_type", "load_method")
 
 
 @query(r"""
@@ -420,9 +420,10 @@ def refresh_documents(spark, d):
     return merge.refresh(base, rows.withColumn("seq", F.col("last_id")), "lang", "seq")
 
 
-@query("SELECT doc_id, 1000 + row_number() OVER (ORDER BY source, doc_id) AS id FROM documents")
+@query("SELECT doc_id, lang, sha256(text) AS text_hash, 1000 + row_number() OVER (ORDER BY source, doc_id) AS id FROM documents")
 def new_ids(spark, d):
-    return merge.with_new_ids(t(spark, d, "documents").select("source", "doc_id"), ["source", "doc_id"], 1000).select("doc_id", "id")
+    made = merge.with_new_ids(t(spark, d, "documents").select("source", "doc_id", "lang", "text"), ["source", "doc_id"], 1000)
+    return made.select("doc_id", "lang", F.sha2("text", 256).alias("text_hash"), "id")
 
 
 STEPS = """s AS (SELECT user_id AS pipeline_id, event_id AS step_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1)::INT AS position,
@@ -784,11 +785,13 @@ def parse_answers(spark, d):
     return t(spark, d, "documents").select("doc_id", parsed["winner"].alias("winner"), parsed["reasoning"].alias("reasoning"))
 
 
-@query("""SELECT 'a' AS dataset, item_id AS id, text AS query, 0 AS page_id, string_split('file' || item_id || '.tar.gz', '.')[1] AS document_id FROM benchmark
-UNION ALL SELECT 'b', doc_id, left(text, 50), (doc_id % 9)::INT, source FROM documents""")
+@query("""SELECT dataset, id, page_id, document_id, sha256(query) AS query_hash, length(query)::BIGINT AS query_length FROM (
+SELECT 'a' AS dataset, item_id AS id, text AS query, 0 AS page_id, string_split('file' || item_id || '.tar.gz', '.')[1] AS document_id FROM benchmark
+UNION ALL SELECT 'b', doc_id, text, (doc_id % 9)::INT, source FROM documents)""")
 def dataset_harmonize(spark, d):
-    """The SQL shows the first 50 characters of the second set's queries; harmonized_questions has them whole."""
-    return harmonized_questions(spark, d).withColumn("query", F.when(F.col("dataset") == "b", F.left("query", F.lit(50))).otherwise(F.col("query")))
+    """Whole texts, shown by length and digest."""
+    rows = harmonized_questions(spark, d)
+    return rows.select("dataset", "id", "page_id", "document_id", F.sha2("query", 256).alias("query_hash"), F.char_length("query").cast("long").alias("query_length"))
 
 
 def harmonized_questions(spark, d):

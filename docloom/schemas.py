@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # The domains of the enumerated columns.
 SCOPES = ("external", "internal")
 STEP_STATES = ("pending", "running", "completed", "failed")
-STEP_TYPES = ("ingest", "extract", "chunk", "featurize", "embed", "upsert")
+STEP_TYPES = ("load", "extract", "chunk", "featurize", "embed", "upsert")
 CHUNKING_METHODS = ("topic_segmentation", "sliding_window", "distance", "generative", "textract", "none")
 CONTENT_TYPES = tuple(
     "zoning_map meeting_minutes local_ordinance state_law federal_law other_law gold_articles other_articles blog rss market_research text email linkedin tweet youtube podcast zoom_recording_video zoom_recording_audio zoom_recording_transcript other".split()
@@ -26,9 +26,9 @@ BOX = "STRUCT<left: DOUBLE, top: DOUBLE, width: DOUBLE, height: DOUBLE, page_wid
 LOCATION = f"STRUCT<index: {INDEX}, bounding_box: {BOX}, extracted_feature_type: STRING, page_file_path: STRING, extracted_file_path: STRING>"
 CITATION = "STRUCT<relationship_type: STRING, target_uuid: STRING, source_uuid: STRING>"
 
-DOCUMENT = """document_hash STRING, ingestion_id BIGINT, pipeline_id BIGINT, document_title STRING, scope STRING, content_type STRING,
+DOCUMENT = """document_hash STRING, document_id BIGINT, pipeline_id BIGINT, document_title STRING, scope STRING, content_type STRING,
  creator_name STRING, creation_date TIMESTAMP, file_type STRING, file_path STRING, file_size BIGINT, public_url STRING,
- ingestion_method STRING, ingestion_date TIMESTAMP, document_summary STRING, document_keywords ARRAY<STRING>,
+ load_method STRING, load_date TIMESTAMP, document_summary STRING, document_keywords ARRAY<STRING>,
  document_metadata MAP<STRING, STRING>, extracted_document_file_path STRING, chunking_method STRING"""
 ENTRY = f"""uuid STRING, document_hash STRING, string STRING, entry_title STRING, keywords ARRAY<STRING>,
  consolidated_feature_type STRING, chunk_locations ARRAY<{LOCATION}>, min_primary_index INT, max_primary_index INT,
@@ -36,7 +36,7 @@ ENTRY = f"""uuid STRING, document_hash STRING, string STRING, entry_title STRING
 
 #: Schema tag to DDL; a row's tag says which of them it follows.
 SCHEMAS = {
-    "Ingestion": DOCUMENT,
+    "Document": DOCUMENT,
     "Entry": ENTRY,
     "Record": ENTRY,
     "Embedding": f"{ENTRY}, embedding ARRAY<FLOAT>, tokens INT",

@@ -35,7 +35,7 @@ def document_rows(files: DataFrame, method: str, run_ts: str) -> DataFrame:
     return files.select(
         F.sha2("content", 256).alias("document_hash"), F.regexp_extract("path", r"([^/]+)$", 1).alias("document_title"), F.lit("internal").alias("scope"), F.lit("other").alias("content_type"),
         F.col("modificationTime").alias("creation_date"), file_type(F.col("path")).alias("file_type"), F.col("path").alias("file_path"), F.col("length").alias("file_size"),
-        F.lit(method).alias("ingestion_method"), F.lit(run_ts).cast("timestamp").alias("ingestion_date"),
+        F.lit(method).alias("load_method"), F.lit(run_ts).cast("timestamp").alias("load_date"),
     )
 
 

@@ -17,7 +17,9 @@ class Storage:
     @classmethod
     def of(cls, config: dict) -> Storage:
         if config.get("storage_type", "local") == "local":
-            return cls(config.get("base_path", "/tmp/docloom"))
+            if not config.get("base_path"):
+                raise ValueError("base_path is required: a folder that driver and executors share")
+            return cls(config["base_path"])
         if not config.get("bucket_name"):
             raise ValueError("bucket_name is required")
         return cls(f"s3a://{config['bucket_name']}")
@@ -33,7 +35,7 @@ class Storage:
         return spark.read.format(form).load(self.path(name))
 
 
-def payload(df: DataFrame, drop: tuple[str, ...] = ("schema__", "embedding", "tokens", "ingestion")) -> Column:
+def payload(df: DataFrame, drop: tuple[str, ...] = ("schema__", "embedding", "tokens", "document")) -> Column:
     """A row as JSON without nulls and without those columns."""
     return F.to_json(F.struct(*[c for c in df.columns if c not in drop]))
 

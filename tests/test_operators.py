@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docloom.operators import chunking, evaluation, extraction, features, filters, lineage, merge, retrieval
@@ -89,6 +90,21 @@ def test_new_ids_are_dense(spark):
     assert [r.id for r in rows] == list(range(11, 1011))
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_new_ids_neither_lose_nor_repeat_rows(spark, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        rows = spark.range(400_000).select(F.col("id").alias("n"), F.pmod(F.xxhash64("id"), F.lit(100_000)).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        made = merge.with_new_ids(rows, ["k"], 1000)
+        got = made.agg(F.count(F.lit(1)), F.count_distinct("id"), F.min("id"), F.max("id"), F.count_distinct("n"), F.count_if(F.col("payload") != F.sha2(F.col("n").cast("string"), 256))).first()
+        assert tuple(got) == (400_000, 400_000, 1001, 401_000, 400_000, 0)
+        falls = made.withColumn("_after", F.lead("k").over(Window.partitionBy(F.expr("id div 50000")).orderBy("id"))).where("_after < k")
+        assert falls.count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_citations_prefer_the_batch(spark):
     c = spark.createDataFrame([("r1",), ("r2",), ("r3",)], "ref string")
     side = lambda rows: spark.createDataFrame(rows, "ref string, target_id int")

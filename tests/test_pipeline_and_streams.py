@@ -20,7 +20,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def config(sf, base, **pipeline):
     return {
         "stages": [
-            {"name": "ingest", "functions": [{"name": "pages", "params": {"path": f"{sf}/pages.parquet"}}]},
+            {"name": "load", "functions": [{"name": "pages", "params": {"path": f"{sf}/pages.parquet"}}]},
             {"name": "extract", "functions": [{"name": "html_passages"}]},
             {"name": "chunk_2", "functions": [{"name": "sliding_window", "params": {"chunk_size": 50, "overlap": 5, "order": "passage"}}, {"name": "topic_segmentation"}]},
             {"name": "embed", "functions": [{"name": "embed"}]},
@@ -43,7 +43,7 @@ def test_run_resume_and_rerun(spark, sf, tmp_path):
 
 
 def test_all_errors_are_collected():
-    bad = {"stages": [{"name": "chunk_1", "functions": [{"name": "sliding_window", "params": {"size": 1}}, {"name": "nothing"}]}, {"name": "dream"}, {"name": "ingest", "functions": [{"name": "local", "params": {"added_metadata": {"content_type": "novel"}}}]}]}
+    bad = {"stages": [{"name": "chunk_1", "functions": [{"name": "sliding_window", "params": {"size": 1}}, {"name": "nothing"}]}, {"name": "dream"}, {"name": "load", "functions": [{"name": "local", "params": {"added_metadata": {"content_type": "novel"}}}]}]}
     found = errors(bad)
     assert len(found) == 5 and any("missing parameter directory_path" in e for e in found)
     with pytest.raises(ValueError, match="unknown stage dream"):
