@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from docloom.llm import secret_scan
 from docloom.llm.shared import LOWER, UPPER
 
 ASCII_LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -79,18 +78,27 @@ SELECT doc_id, rn, {rank} AS rank, s, s + length(m) AS e, m FROM (
         FROM d WHERE regexp_matches(t, '{_sql(pattern)}'))) {keep}"""
 
 
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
 def _op2() -> str:
-    w = secret_scan.WINDOW
-    allowed = " OR ".join(f"regexp_matches(m, '{_sql(p)}')" for p in secret_scan.ALLOWED)
-    bits = "CASE " + " ".join(f"WHEN regexp_matches(m, '{_sql(p)}') THEN {b}e0" for _, p, b in secret_scan.CLASSES if p) + f" ELSE {secret_scan.CLASSES[-1][2]}e0 END"
+    """Patterns, lengths and bits are written here again, so that a wrong one of the operator shows."""
+    w = 20
+    keys = "|".join(_either_case(k) for k in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = f"""({keys})["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)"""
+    words = ("EXAMPLE", "example", "PLACEHOLDER", "placeholder", "CHANGEME", "changeme")
+    shapes = ("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "^[a-z][a-z/_=-]*$", "^[A-Z][A-Z/_=-]*$", "^[0-9+/_=-]+$")
+    allowed = " OR ".join([*(f"contains(m, '{x}')" for x in words), *(f"regexp_matches(m, '{p}')" for p in shapes)])
+    bits = "CASE WHEN regexp_matches(m, '^[0-9a-fA-F]+$') THEN 3.0e0 WHEN regexp_matches(m, '^[A-Za-z]+$') THEN 4.1e0 ELSE 3.75e0 END"
     kinds = "['assign', 'access', 'hex', 'entropy'][rank + 1]"
     text = f"string_agg({kinds} || ':' || s || ':' || e, ',' ORDER BY s, rank, e)"
     return f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rn, coalesce(text, '') AS t FROM documents),
-base AS ({_located(secret_scan.ASSIGN, 0, f"WHERE length(regexp_extract(m, '{_sql(secret_scan.ASSIGN)}', 2)) >= 8")}
-  UNION ALL {_located(secret_scan.ACCESS, 1)}
-  UNION ALL {_located(secret_scan.HEX, 2)}),
-runs AS ({_located(secret_scan.CANDIDATE, 3)}),
+base AS ({_located(assign, 0, f"WHERE length(regexp_extract(m, '{_sql(assign)}', 2)) >= 8")}
+  UNION ALL {_located("AKIA[A-Z0-9]+", 1, "WHERE length(m) >= 16")}
+  UNION ALL {_located("[0-9a-f]+", 2, "WHERE length(m) >= 32")}),
+runs AS ({_located("[A-Za-z0-9+/_=-]+", 3, "WHERE length(m) >= 20")}),
 free AS (SELECT * FROM runs r WHERE NOT ({allowed}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rn = r.rn AND b.s < r.e AND r.s < b.e)),
 wins AS (SELECT rn, s, m, unnest(range(1, length(m) - {w} + 2)) AS pos FROM free),
 chars AS (SELECT rn, s, m, pos, c, count(*) AS n FROM (SELECT rn, s, m, pos, unnest(string_split(substring(m, pos, {w}), '')) AS c FROM wins) GROUP BY ALL),
