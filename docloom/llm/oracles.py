@@ -28,12 +28,20 @@ w AS (SELECT *, ([5.0e0, 2.0e0, 1.0e0])[(row_number() OVER (ORDER BY source NULL
 r AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0))
              / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM w),
 t AS (SELECT *, least(cap, coalesce(max(CASE WHEN lv * weight <= cap THEN lv END) OVER () * weight, cap)) AS target FROM r),
-p AS (SELECT d.*, t.source_size, t.target, round(t.target)::BIGINT AS quota,
+p AS (SELECT row_number() OVER () AS rn, d.*, t.source_size, t.target, round(t.target)::BIGINT AS quota,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY k, doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(start + size, quota) - start) + greatest(0, least(start + source_size + size, quota) - start - source_size))::BIGINT AS taken
-FROM p
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+n AS (SELECT greatest(12, ceil(log2((SELECT count(*) FROM d) / 64.0e0)), ceil(log2(2 * count(*) + 1.0e0)))::BIGINT AS bits, count(*) AS sources, coalesce(sum(round(target)), 0)::BIGINT AS words FROM t),
+bs AS (SELECT bits, greatest(1, ceil(words / ((1 << bits) - sources)::DOUBLE))::BIGINT AS b FROM n),
+own AS (SELECT source, nb, (sum(nb) OVER (ORDER BY source NULLS LAST) - nb)::BIGINT AS lo FROM (SELECT source, ceil(round(target) / b::DOUBLE)::BIGINT AS nb FROM t, bs) WHERE nb > 0),
+points AS (SELECT source, unnest(range(lo, lo + nb)) AS point FROM own),
+slots AS (SELECT source, list_sum(list_transform(range(bits), lambda x: ((point >> x) & 1) << (bits - 1 - x)))::BIGINT AS slot FROM points, bs),
+ranked AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block FROM slots),
+turns AS (SELECT rn, source, start + turn * source_size AS f, least(start + turn * source_size + size, quota) AS e FROM p, (SELECT unnest([0, 1]) AS turn) WHERE size > 0),
+pieces AS (SELECT rn, source, f, e, unnest(range(f // b, (e - 1) // b + 1)) AS block, b FROM turns, bs WHERE f < e),
+takes AS (SELECT rn, sum(least(e, (pieces.block + 1) * b) - greatest(f, pieces.block * b))::BIGINT AS taken, min(slot) AS first_slot
+          FROM pieces JOIN ranked ON pieces.source IS NOT DISTINCT FROM ranked.source AND pieces.block = ranked.block GROUP BY rn)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot FROM p LEFT JOIN takes USING (rn)
 """
 
 OP9 = r"""
