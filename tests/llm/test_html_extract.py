@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 from docloom.llm import html_extract as hx
@@ -62,6 +63,63 @@ def test_article_cards_beside_the_text_do_not_win():
     assert text.split("\n")[:5] == [LONG] * 5
 
 
+def test_marks_count_on_every_element():
+    beside = (
+        "<p class='advert'>Buy now</p>", "<p class=cookie-notice>We use cookies", "<h3 class=comments>Comments</h3>", "<span class='ad ad-slot-2'>Ad</span>", "<li class=sponsored>S</li>",
+        "<div class=siteHeader>Site</div>", "<p id=newsletter_signup>Join</p>", "<div role=alert>!</div>", "<p hidden>x</p>", "<p style='display: none'>x</p>", "<dl class=related-posts><dt>R<dd>S</dl>",
+        "<p><a href=1>One</a> | <a href=2>Two</a> | <a href=3>Three</a></p>", "<div class=post-comments><p>First!</p></div>", "<button>Go</button>", "<form>Name <input></form>",
+    )
+    for x in beside:
+        assert hx.main_text(page(f"<article><h1>T</h1>{ARTICLE * 2}{x}{ARTICLE}<p>End.</p></article>")).split("\n") == ["T", LONG, LONG, LONG, "End."], x
+
+
+def test_words_that_only_resemble_marks_stay():
+    kept = (
+        "<section id=related-work><p>Kept</p></section>", "<section id='modal-logic'><p>Kept</p></section>", "<p class=social-history>Kept</p>", "<h2 id=comments>Kept</h2>", "<div class=entry-header><p>Kept</p></div>",
+        "<header><p>Kept</p></header>", "<p>Kept</p>", "<div class=menu-theory><p>Kept</p></div>", "<pre><code><span class=comment>Kept</span></code></pre>", "<p><a href=1>Kept</a></p>", "<p class=shared>Kept</p>",
+    )
+    for x in kept:
+        assert hx.main_text(page(f"<article><h1>T</h1>{ARTICLE * 2}{x}<p>End.</p></article>")).split("\n") == ["T", LONG, LONG, "Kept", "End."], x
+
+
+def test_dense_text_wins_over_an_element_named_article():
+    assert hx.main_text(page(f"<article><p>x</p></article><div>{ARTICLE * 40}</div>")).split("\n")[-40:] == [LONG] * 40
+
+
+def plain(html):
+    """The page without what its tags and classes say: one kind of container, no head."""
+    html = re.sub("(?s)<head>.*?</head>", "", html)
+    return re.sub("<(/?)(?:nav|article|footer|div class=\"ad\"|ul)>", r"<\1div>", html)
+
+
+def test_ratios_find_the_article_without_names(spark, sf):
+    """Nothing of an article is lost, and where every other line is short nothing else is taken."""
+    exact = 0
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    for html in pages:
+        want, bare = brute(html), plain(html)
+        got = hx.main_text(bare)
+        assert want in got
+        exact += got == want
+        short = re.sub("(?s)(</div>)<div>&copy;.*?</div>(?=</body>|$)", r"\1<div>&copy; 2024</div>", re.sub("(?s)<!-- ad .*?</div>", "<div>Ad</div>", bare))
+        if max(map(len, want.split("\n"))) > 200:
+            assert hx.main_text(short) == want
+    assert exact > len(pages) / 2
+    assert all(hx.main_text(h.replace("<article>", "<div>").replace("</article>", "</div>")) == brute(h) for h in pages)
+
+
+def test_missing_end_tags_are_supplied():
+    assert hx.main_text(f"<head><title>No</title><body><article>{ARTICLE}<p>End.").split("\n") == [LONG, "End."]
+    assert hx.main_text(f"<article>{ARTICLE}<ul><li class=ad>Buy<li>Kept</ul><table><tr><td class=ad>Buy<td>Kept<tr><td>Too</table><p class=ad>Buy<p>End.</article>").split("\n") == [LONG, "Kept", "Kept", "Too", "End."]
+
+
+def test_time_grows_with_the_page():
+    for html in ("<article><table>" + "<tr><td>a<td>b" * 40_000 + "</table></article>", "<ul>" + "<li>a" * 80_000, "<div>" * 80_000 + "deep", "<b>" * 80_000 + "x", "<p class=ad>" * 40_000 + "<p>x"):
+        began = time.time()
+        assert hx.main_text(html)
+        assert time.time() - began < 10
+
+
 def test_broken_pages():
     assert hx.main_text(None) == hx.main_text("") == hx.main_text("<p></p>") == ""
     assert hx.main_text("just text") == "just text"
