@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from docloom.sources.workspace import scratch as scratch
+from docloom.sources.workspace import written as written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Words are runs of anything but ASCII white space.
@@ -26,36 +26,16 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder that driver and executors share.
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Bounds the bytes of an Arrow batch that goes to Python workers: ten thousand long texts would be too much for one.
 
-    It lies in spark.checkpoint.dir. Only where that is unset, as in tests on
-    one machine, a temporary folder becomes the checkpoint folder.
+    It is a setting of the session and stays, since plans run after their operator has returned.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        known = spark.sparkContext.getCheckpointDir()
-        if known is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docloom-"))
-            known = spark.sparkContext.getCheckpointDir()
-        base = known
-    return f"{base.rstrip('/')}/docloom-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
-    """Bounds the bytes of an Arrow batch that goes to Python workers: ten thousand long texts would be too much for one."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(name, None) != str(most):
         spark.conf.set(name, str(most))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def running_total(df: DataFrame, group: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
     """Adds out: the sum of value over the rows of the group before this one, in the order (bucket, order).
 

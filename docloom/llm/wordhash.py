@@ -35,44 +35,64 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes that are hashed at a time; only a longer word makes a longer block.
+BLOCK = 1 << 20
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse modulo 2^64; kept, and made longer when needed."""
-    if len(_powers[0]) < n:
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for i, base in enumerate((_BASE, inverse)):
-            steps = np.full(n, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
-
-
-def words(texts: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of every text, and the number of words in each text.
+    """The first n powers of the base and of its inverse modulo 2^64; kept for blocks of the usual size."""
+    if len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    size, made = max(n, min(2 * n, BLOCK)), []
+    for base in (_BASE, inverse):
+        steps = np.full(size, base, dtype=np.uint64)
+        steps[0] = 1
+        made.append(np.cumprod(steps, dtype=np.uint64))
+    if size <= 2 * BLOCK:
+        _powers[:] = made
+    return made[0][:n], made[1][:n]
+
+
+def block_words(block: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of every word of a block of bytes that ends outside a word.
 
     With prefix sums of byte * base^place, a word's polynomial is the difference
     of two sums, moved to place 0 by the inverse base.
     """
-    joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-    sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    ends = np.cumsum(sizes)
-    word = inside[joined]
+    word = inside[block]
     edges = np.flatnonzero(word[1:] != word[:-1]) + 1
     if len(word) and word[0]:
         edges = np.r_[0, edges]
     first, last = edges[0::2], edges[1::2]
-    counts = np.diff(np.searchsorted(first, ends, side="left"), prepend=0)
-    up, down = powers(len(joined))
-    sums = np.empty(len(joined) + 1, dtype=np.uint64)
+    up, down = powers(len(block))
+    sums = np.empty(len(block) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum((LOWERED[joined] + _ONE) * up, dtype=np.uint64, out=sums[1:])
-    return mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)), counts
+    np.cumsum((LOWERED[block] + _ONE) * up, dtype=np.uint64, out=sums[1:])
+    return mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)), first
 
 
-def grams(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all runs of size words within a text: hash, text, place of its first word in the text."""
+def words(texts: list[bytes], inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of every text, and the number of words in each text. Beside the texts themselves memory grows with the number of words only."""
+    joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts)))
+    hashes, firsts, at = [], [], 0
+    while at < len(joined):
+        end = min(at + BLOCK, len(joined))
+        while inside[joined[end - 1]]:  # on to the end of the word that the block would cut; the last byte is in none
+            out = np.flatnonzero(~inside[joined[end : end + BLOCK]])
+            end = end + int(out[0]) + 1 if len(out) else end + BLOCK
+        h, first = block_words(joined[at:end], inside)
+        hashes.append(h)
+        firsts.append(first + at)
+        at = end
+    counts = np.diff(np.searchsorted(np.concatenate(firsts), ends, side="left"), prepend=0)
+    return np.concatenate(hashes), counts
+
+
+def grams(hashes: np.ndarray, counts: np.ndarray, size: int, factor: np.uint64 = _GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of size words within a text: hash, text, place of its first word in the text. Other factors give independent hashes."""
     starts = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(counts)), np.maximum(counts - size + 1, 0))
     many = np.maximum(counts - size + 1, 0)
@@ -80,7 +100,7 @@ def grams(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray
     at = starts[owner] + place
     h = np.zeros(len(at), dtype=np.uint64)
     for k in range(size):
-        h = h * _GRAM + hashes[at + k]
+        h = h * factor + hashes[at + k]
     return mixed(h + np.uint64(size)), owner, place
 
 

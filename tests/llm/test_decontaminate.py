@@ -1,9 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import decontaminate as dc
+from docloom.llm import wordhash
 
 UPPER = {c: c + 32 for c in range(65, 91)}
 
@@ -73,6 +76,49 @@ def test_threshold_is_exact(spark):
     assert [r[4] for r in found(spark, docs, [(1, item)])] == [True, True, False]
 
 
+@pytest.mark.parametrize("known_most", [500_000, 0])
+def test_a_template_in_very_many_items(spark, known_most):
+    """One window that 100,000 items share: one set, no pair of texts."""
+    template = " ".join(f"t{k}" for k in range(13))
+    items = spark.range(100_000).select(F.col("id").alias("item_id"), F.concat(F.lit(template + " own"), F.col("id").cast("string")).alias("text"))
+    docs = spark.createDataFrame([(1, "x " + template + " y"), (2, template.replace("t5", "u5")), (3, template[3:] + " own77")], "doc_id int, text string")
+    rows = {r.doc_id: r for r in dc.find_contamination(docs, items, known_most=known_most).collect()}
+    assert (len(rows[1].item_ids), rows[1].n_hit) == (100_000, 13) and rows[1].item_ids == sorted(rows[1].item_ids)
+    assert not rows[2].item_ids and (rows[3].item_ids, rows[3].n_hit) == (["77"], 13)
+
+
+def test_a_short_item_costs_the_others_nothing(spark, sf):
+    """Items of 12 words match on 12 words, whatever other lengths there are: no document but the real ones becomes a candidate."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = [words(r.text) for r in docs.collect()]
+    items = [(i, " ".join(w[5:17])) for i, w in enumerate(texts) if len(w) > 20][:100] + [(1000, "occursnowhere"), (1001, texts[0][0])]
+    table = spark.createDataFrame(items, "item_id int, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, tuple(r.item_ids), r.contaminated) for r in dc.find_contamination(docs, table).collect())
+    assert got == brute([(r.doc_id, r.text) for r in docs.collect()], items)
+    once = np.array([w for t in texts for w in wordhash.words([" ".join(t).encode()], wordhash.ALNUM)[0]])
+    prints = np.unique(dc.windows(wordhash.words([items[0][1].encode()], wordhash.ALNUM)[0], np.array([12]), 12).fingerprint)
+    assert len(dc.windows(once, np.array([len(once)]), 12, prints).text) < 100
+
+
+def test_ids_of_any_type_and_long_texts(spark):
+    item = " ".join(f"i{k}" for k in range(13))
+    long = "word " * 600_000 + item + " x" * 100
+    docs = spark.createDataFrame([("a", item), ("https://x/b", long), (None, "i0 i1"), ("w", "x" * 3_000_000)], "doc_id string, text string")
+    rows = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in dc.find_contamination(docs, spark.createDataFrame([(1, item)], "item_id int, text string")).collect()}
+    assert rows == {"a": (13, 13, True), "https://x/b": (600_113, 13, False), None: (2, 0, False), "w": (1, 0, False)}
+
+
+def test_block_size_does_not_matter(monkeypatch):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(["a", "bc", " ", "\n", "xyz", "  ", "é"]) for _ in range(rng.randint(0, 50))).encode() for _ in range(200)]
+    want = wordhash.words(texts, wordhash.SPACED)
+    assert want[1].tolist() == [len(t.split()) for t in texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(wordhash, "BLOCK", size)
+        got = wordhash.words(texts, wordhash.SPACED)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "Same text here five words at least")], "item_id int, text string")
     none = spark.createDataFrame([], "item_id int, text string")
