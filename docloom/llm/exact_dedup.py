@@ -1,23 +1,30 @@
 """Exact deduplication as a stateful stream.
 
-Texts are equal when they are identical after lower-casing A-Z only. The state
-of the stream is keyed by digest, lives in RocksDB (disk-backed, bounded memory)
-and never expires; for each digest it retains the stable identifier of the row
-that stays, that row's locator and the number of rows seen. Digests that were
-hit more than once are then checked byte for byte against the retained row's
-content; rows that only share a digest are grouped by their full text instead.
+Texts are equal when they are identical after lower-casing A-Z only. Rows are
+kept in a content folder; a stream reads what is new there. Its state is keyed
+by digest, lives in RocksDB (disk-backed, bounded memory) and never expires; for
+each digest it retains the stable identifier of the row that stays, that row's
+content locator (file and row in the file) and the number of rows seen. The rows
+of digests that were hit more than once are then fetched by their locators and
+compared in full; if texts that differ share a digest, rows are grouped by their
+full text instead.
+
+Folder, state and checkpoint last as long as the caller keeps them: a later call
+with the same folder goes on where the last one ended.
 
 Only DataFrame and SQL functions run: no Python on executors.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.shared import ascii_lower, scratch, text_key, without, written
+from docloom.llm.shared import ascii_lower, scratch, written
 
 #: State on disk, with a bound on the memory of all stores of an executor; a store is closed once its batch is committed, so that idle stores hold neither memory nor preallocated files.
 STATE = {
@@ -26,10 +33,11 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
+LOCATOR = ("file", "at")
 
 
-def normal(text: str) -> Column:
-    return ascii_lower(F.coalesce(F.col(text), F.lit("")))
+def normal(text: Column) -> Column:
+    return ascii_lower(F.coalesce(text, F.lit("")))
 
 
 def sha256(text: Column) -> Column:
@@ -41,27 +49,37 @@ def keyed_state(stream: DataFrame) -> DataFrame:
     return stream.groupBy("digest").agg(F.max("locator").alias("keeper"), F.count(F.lit(1)).alias("group_size"))
 
 
-def run_stream(keys: DataFrame, files_per_batch: int | None) -> DataFrame:
-    """Streams the files of keys through the keyed state; returns (digest, keeper, group_size).
+def located(rows: DataFrame, id_col: str) -> DataFrame:
+    """(digest, locator, call) of rows of the content folder; a locator begins with the id, so the largest one is that of the row that stays."""
+    place = F.struct(F.col("doc")[id_col].alias("id"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return rows.select("digest", place.alias("locator"), "call")
+
+
+class Decided(NamedTuple):
+    content: DataFrame
+    rows: DataFrame
+
+
+def run_stream(content: DataFrame, folder: str, id_col: str, files_per_batch: int | None) -> DataFrame:
+    """Streams the new files of the content folder through the keyed state; returns (digest, keeper, group_size) of all files so far.
 
     Every micro-batch writes the states it changed. keeper and group_size only
     grow, so the latest state of a digest is the maximum over the batches. A
     batch that runs again after a failure overwrites its own folder.
     """
-    spark = keys.sparkSession
-    source, out, state = scratch(spark, "dedup-in"), scratch(spark, "dedup-out"), scratch(spark, "dedup-state")
-    keys.write.parquet(source)
-    reader = spark.readStream.schema(keys.schema)
+    spark, out = content.sparkSession, f"{folder}/states"
+    reader = spark.readStream.schema(content.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    keyed = keyed_state(located(reader.parquet(f"{folder}/content"), id_col).select("digest", "locator"))
+    spark.createDataFrame([], keyed.schema).coalesce(1).write.mode("ignore").parquet(f"{out}/batch=-1")
     before = {k: spark.conf.get(k, None) for k in STATE}
     for k, v in STATE.items():
         spark.conf.set(k, v)
     try:
         query = (
-            keyed_state(reader.parquet(source))
-            .writeStream.outputMode("update")
-            .option("checkpointLocation", state)
+            keyed.writeStream.outputMode("update")
+            .option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(availableNow=True)
             .foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch={n}"))
             .start()
@@ -70,62 +88,74 @@ def run_stream(keys: DataFrame, files_per_batch: int | None) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v else spark.conf.unset(k)
-    shape = "digest string, keeper struct<id: bigint, row: bigint>, group_size bigint, batch int"
-    states = spark.read.schema(shape).option("basePath", out).parquet(f"{out}/batch=*") if query.lastProgress else spark.createDataFrame([], shape)
+    states = spark.read.schema(keyed.schema).option("basePath", out).parquet(f"{out}/batch=*")
     return states.groupBy("digest").agg(F.max("keeper").alias("keeper"), F.max("group_size").alias("group_size"))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
-    """decide() without key."""
-    return decide(docs, id_col, text_col, digest, files_per_batch).drop("key")
+def collided(content: DataFrame, rows: DataFrame, text_col: str, most: int) -> bool:
+    """Whether texts that differ share a digest.
 
-
-def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, digest, key (a hash of the text as it is).
+    Rows of digests with more than one row are fetched by their locators: up to
+    most locators are broadcast, after counting them; more meet the content in
+    a shuffle join. Of each digest the least and the greatest text are found,
+    combined before the shuffle; they are equal if all are.
+    """
+    hits = rows.where("group_size > 1").select("digest", "locator.file", "locator.at")
+    few = hits.limit(most + 1).count() <= most
+    texts = content.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"), normal(F.col("doc")[text_col]).alias("text"))
+    fetched = texts.join(F.broadcast(hits) if few else hits, list(LOCATOR)).select("digest", "text")
+    return not fetched.groupBy("digest").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo <> hi").isEmpty()
+
+
+def decide(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], files_per_batch: int | None, folder: str | None, columns: list[str], most: int) -> Decided:
+    """The content folder, and one row for each row of docs: locator, keeper, group_size, digest."""
+    spark, call = docs.sparkSession, uuid.uuid4().hex
+    folder = folder or scratch(spark, "dedup")
+    text = normal(F.col(f"`{text_col}`"))
+    kept = F.struct(*[F.col(f"`{c}`") for c in columns])
+    docs.select(kept.alias("doc"), F.unhex(digest(text)).alias("digest"), F.lit(call).alias("call")).write.mode("append").parquet(f"{folder}/content")
+    content = spark.read.parquet(f"{folder}/content")
+    states = written(run_stream(content, folder, id_col, files_per_batch), "dedup-states")
+    rows = written(located(content, id_col).join(states, "digest"), "dedup-rows")
+    if collided(content, rows, text_col, most):
+        rows = written(by_content(content, id_col, text_col), "dedup-rows")
+    return Decided(content, rows.where(F.col("call") == call).drop("call"))
+
+
+def by_content(content: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The same rows when digests have collided: groups are the texts themselves."""
+    own = located(content.withColumn("digest", normal(F.col("doc")[text_col])), id_col).withColumnRenamed("digest", "text")
+    groups = own.groupBy("text").agg(F.max("locator").alias("keeper"), F.count(F.lit(1)).alias("group_size"))
+    return own.join(groups, "text").select(F.unhex(sha256(F.col("text"))).alias("digest"), "locator", "call", "keeper", "group_size")
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None, folder: str | None = None, most: int = 200_000) -> DataFrame:
+    """One row per row of docs: id, keep_id, group_size, kept, digest (hexadecimal).
 
     The row with the largest id of each group of equal texts stays. Null text
-    counts as empty. A null id counts as smallest. If an id occurs more than
-    once with one text, one of those rows stays. An empty table gives an empty
-    result. Further columns of docs are not read. digest may be replaced (tests
-    use one that collides); the result does not depend on it.
+    counts as empty. Ids may be of any type that has an order; null counts as
+    smallest. If an id occurs more than once with one text, one of those rows
+    stays. An empty table gives an empty result. Further columns of docs are
+    not read, whatever their names. A text may be of any length that fits a
+    row. digest may be replaced (tests use one that collides); the result does
+    not depend on it.
+
+    folder holds content, state and checkpoint; it has to be shared. With a
+    folder of earlier calls, groups go over all rows seen so far, and rows that
+    stayed before may have been replaced by those of this call. Without one, a
+    fresh folder is used.
     """
-    text = normal(text_col)
-    keys = docs.select(F.col(id_col).cast("long").alias("id"), digest(text).alias("digest"), text_key(F.col(text_col)).alias("key")).withColumn("row", F.monotonically_increasing_id())
-    keys = written(keys.select("digest", F.struct("id", "row").alias("locator"), "key"), "dedup-keys")
-    states = written(run_stream(keys.select("digest", "locator"), files_per_batch), "dedup-states")
-
-    hit = states.where("group_size > 1").select(F.col("digest").alias("_digest"), F.col("keeper.id").alias("keep_id"))
-    content = docs.select(F.col(id_col).cast("long").alias("id"), digest(text).alias("digest"), text.alias("content"))
-    content = written(content.join(hit, F.col("digest") == F.col("_digest")).select("digest", "id", "keep_id", "content"), "dedup-hits")
-    # Written, so that the join below has a plain exchange on both sides and a digest with very many rows may be split.
-    stays = written(content.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.max("content").alias("kept_content")), "dedup-stays")
-    other = content.join(stays, "digest").where(F.col("content") != F.col("kept_content")).select("digest", "id", "content")
-    result = keys.join(states, "digest")
-    if other.isEmpty():
-        return result.select(
-            F.col("locator.id").alias("doc_id"), F.col("keeper.id").alias("keep_id"), "group_size", (F.col("locator.row") == F.col("keeper.row")).alias("kept"), "digest", "key"
-        )
-    return by_content(docs, id_col, text, text_key(F.col(text_col)))
-
-
-def by_content(docs: DataFrame, id_col: str, text: Column, key: Column) -> DataFrame:
-    """The same result when digests have collided: groups are the texts themselves."""
-    rows = written(docs.select(F.col(id_col).cast("long").alias("id"), text.alias("content"), key.alias("key")).withColumn("row", F.monotonically_increasing_id()), "dedup-rows")
-    groups = rows.groupBy("content").agg(F.max(F.struct("id", "row")).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, "content").select(
-        F.col("id").alias("doc_id"), F.col("keeper.id").alias("keep_id"), "group_size", (F.col("row") == F.col("keeper.row")).alias("kept"), sha256(F.col("content")).alias("digest"), "key"
-    )
-
-
-def survivors(docs: DataFrame) -> DataFrame:
-    """The rows of docs (doc_id, text, ...) that stay, with all their columns; of rows with one id and one text, one stays."""
-    rows = written(decide(docs), "dedup-decided")
-    kept = rows.where("kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    out = without(docs, rows.where("not kept").join(kept, same, "left_anti"))
-    twins = rows.groupBy("doc_id", "key").count().where("count > 1").join(kept, same, "left_semi").select("doc_id", "key")
-    if twins.isEmpty():
-        return out
-    ids = twins.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    twice = out.withColumn("key_of_text", text_key(F.col("text"))).join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key_of_text") == F.col("_key")), "left_semi")
-    return without(out, twins).unionByName(twice.dropDuplicates(["doc_id", "key_of_text"]).select(*docs.columns))
+    rows = decide(docs, id_col, text_col, digest, files_per_batch, folder, list(dict.fromkeys([id_col, text_col])), most).rows
+    return rows.select(F.col("locator.id").alias(id_col), F.col("keeper.id").alias("keep_id"), "group_size", (F.col("locator") == F.col("keeper")).alias("kept"), F.lower(F.hex("digest")).alias("digest"))
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, most: int = 200_000) -> DataFrame:
+    """The rows of docs that stay, with all their columns; of rows with one id and one text, one stays. They are fetched by their locators."""
+    content, rows = decide(docs, id_col, text_col, sha256, None, folder, docs.columns, most)
+    gone = rows.where(~F.col("locator").eqNullSafe(F.col("keeper"))).select("locator.file", "locator.at")
+    few = gone.limit(most + 1).count() <= most
+    place = content.select("doc", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    left = place.join(F.broadcast(gone) if few else gone, list(LOCATOR), "left_anti")
+    if folder:
+        left = left.join(rows.select("locator.file").distinct(), "file", "left_semi")
+    return left.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
