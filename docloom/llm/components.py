@@ -15,7 +15,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     between the same components until every node points at its component's
     least node. Edges of a hub are joined with one row, so that a skewed join
     may be split; no node's neighbours are ever gathered into a row. Lineage is
-    cut each round by writing to the shared folder.
+    cut each round by writing to the shared folder. Beyond most_rounds (paths
+    of any real length take a few) an error is raised.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
     before = None

@@ -25,6 +25,7 @@ tasks; the rest are DataFrame joins.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,7 +65,8 @@ def sets_of(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+    """Equal ranges of the hash's upper 32 bits; buckets is below 2^31."""
+    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def signed(h: np.ndarray) -> np.ndarray:
@@ -268,6 +270,31 @@ def verified(percent: int) -> Column:
     return reaches(percent, F.size(F.array_intersect("a.keys", "b.keys")), F.col("a.n"), F.col("b.n"))
 
 
+def size_band(n: Column, percent: int) -> Column:
+    """Sizes that allow the similarity lie in the same band or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / math.log(max(100 / percent, 1.01)) + 1e-9).cast("int")
+
+
+def met(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (g1, g2) of groups that have a prefix gram in common, whose sizes and places allow the similarity and whose labels differ.
+
+    lists holds (gram, g, n, shared, pos, lo, hi), lo and hi the labels of the
+    group's members. Groups that have all the most frequent label of a gram's
+    list need no pairs among themselves: however long a list of near copies is,
+    only its other groups are paired, and those by bands of sizes.
+    """
+    same = lists.where("lo = hi").groupBy("gram", "lo").agg(F.count(F.lit(1)).alias("n_same"))
+    often = same.groupBy("gram").agg(F.max_by("lo", "n_same").alias("often"))
+    marked = lists.join(often, "gram", "left").withColumn("main", F.coalesce((F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("often")), F.lit(False))).drop("often")
+    marked = written(marked.withColumn("band", size_band(F.col("n"), percent)), "ngram-lists")
+    a = marked.where("not main").alias("a")
+    b = marked.withColumn("near", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("b")
+    once = F.col("b.main") | (F.col("a.g") < F.col("b.g"))
+    settled = (F.col("a.lo") == F.col("b.hi")) & (F.col("b.lo") == F.col("a.hi"))
+    on = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.band") == F.col("b.near")) & once & ~settled & sizes_allow(percent) & places_allow(percent)
+    return a.join(b, on).select(F.col("a.g").alias("g1"), F.col("b.g").alias("g2")).distinct()
+
+
 def links_of(classes: DataFrame, percent: int, long_list: int) -> tuple[DataFrame, DataFrame]:
     """From classes (sig, n, single, prefix, keys): labels (sig, label) and links (a, b) between labels.
 
@@ -294,9 +321,7 @@ def links_of(classes: DataFrame, percent: int, long_list: int) -> tuple[DataFram
     known = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     lists = lists.join(known, "g")
 
-    settled = (F.col("a.lo") == F.col("b.hi")) & (F.col("b.lo") == F.col("a.hi"))
-    met = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.g") < F.col("b.g")) & ~settled & sizes_allow(percent) & places_allow(percent)
-    pairs = lists.alias("a").join(lists.alias("b"), met).select(F.col("a.g").alias("g1"), F.col("b.g").alias("g2")).distinct()
+    pairs = met(lists, percent)
     front = groups.select("g", F.struct("n", "shared", "prefix").alias("s"))
     pairs = pairs.join(front.select(F.col("g").alias("g1"), F.col("s").alias("a")), "g1").join(front.select(F.col("g").alias("g2"), F.col("s").alias("b")), "g2")
     pairs = pairs.where(prefixes_allow(percent)).select("g1", "g2")
@@ -323,9 +348,9 @@ def hot_grams(described: DataFrame, share: float, most: int) -> np.ndarray:
     return np.unique(grams.view(np.uint64) & LOW48)
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None, hot_share: float = 0.001, hot_most: int = 100_000) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None, hot_share: float = 0.001, hot_most: int = 100_000, part_bytes: int = 32 << 20) -> DataFrame:
     """components_of() without key."""
-    return components_of(docs, id_col, text_col, size, percent, long_list, buckets, hot_share, hot_most).drop("key")
+    return components_of(docs, id_col, text_col, size, percent, long_list, buckets, hot_share, hot_most, part_bytes).drop("key")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -334,7 +359,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     return without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None, hot_share: float = 0.001, hot_most: int = 100_000) -> DataFrame:
+def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, long_list: int = 4, buckets: int | None = None, hot_share: float = 0.001, hot_most: int = 100_000, part_bytes: int = 32 << 20) -> DataFrame:
     """One row per row of docs: id, key (a hash of the text), n_shingles, component_id.
 
     Words are runs of anything but ASCII white space, A-Z as a-z; the set holds
@@ -343,20 +368,33 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least id that can be reached by links, the row's own included. Null texts
     and texts without words have empty sets and link with nothing, each a
     component of its own. Equal ids count as one document's copies only through
-    their texts. A null id is never the least, unless there is no other.
-    An empty table gives an empty result; other columns are not read.
+    their texts. Ids may be of any type that has an order; a null id is never
+    the least, unless there is no other. An empty table gives an empty result;
+    other columns are not read. A text may be of any length; its words take a
+    few dozen bytes each in its task.
+
+    Grams are compared by 48 bits of their hashes, and sets count as equal when
+    64 bits computed from all their grams are; the search loses no link.
+    Components take a number of rounds in the logarithm of their longest path;
+    beyond 60 rounds an error is raised.
+
+    Grams are dealt into buckets of about part_bytes, counted before; each
+    bucket is one group in a task's memory.
     """
     spark = docs.sparkSession
-    # Two buckets of grams for each shuffle partition, so that one bucket's grams are a small part of a task's memory; one of classes, as the packets are their product.
-    buckets = buckets or min(1 << 16, max(8, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     small_batches(spark)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    described = written(rows.mapInArrow(describe(size, hot_share), "id bigint, key bigint, n bigint, sig bigint, gram bigint, many bigint"), "ngram-docs")
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    described = written(rows.mapInArrow(describe(size, hot_share), f"id {kind}, key bigint, n bigint, sig bigint, gram bigint, many bigint"), "ngram-docs")
     documents = described.where("gram is null")
+    # Grams of equal sets are mostly sent once, so those of all rows are an upper bound.
+    grams_of_all = documents.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(4, -(-14 * grams_of_all // part_bytes))
+    buckets = buckets or 4 * parts
     hot = spark.sparkContext.broadcast(hot_grams(described, hot_share, hot_most))
     grams = rows.select("text").mapInArrow(dealt(size, buckets, hot), "bucket int, sigs binary, counts binary, low binary, high binary")
-    packed = grams.groupBy("bucket").applyInPandas(counted((buckets + 1) // 2, hot), "bucket int, sigs binary, single binary, shared binary, keys binary")
-    classes = packed.groupBy("bucket").applyInPandas(prefixed(percent), "sig bigint, n bigint, single bigint, prefix array<bigint>, keys array<bigint>")
+    packed = grams.repartition(parts, "bucket").groupBy("bucket").applyInPandas(counted((buckets + 1) // 2, hot), "bucket int, sigs binary, single binary, shared binary, keys binary")
+    classes = packed.repartition(parts, "bucket").groupBy("bucket").applyInPandas(prefixed(percent), "sig bigint, n bigint, single bigint, prefix array<bigint>, keys array<bigint>")
     classes = written(classes, "ngram-classes")
     labels, links = links_of(classes, percent, long_list)
     labels = labels.join(connected_components(links).withColumnRenamed("node", "label"), "label", "left").select("sig", F.coalesce("component", "label").alias("component"))

@@ -1,8 +1,10 @@
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import ngram_jaccard as nj
 from docloom.llm.components import connected_components
@@ -89,6 +91,27 @@ def test_a_passage_in_most_documents(spark, hot_share):
     assert found(spark.createDataFrame(rows, "doc_id int, text string").repartition(2), hot_share=hot_share) == brute(rows)
 
 
+def test_long_lists_are_paired_by_label_and_size(spark):
+    """30,000 near copies of one label and a few others in one gram's list: only pairs with one of the others are made."""
+    lists = spark.range(30_020).select(
+        F.lit(7).cast("bigint").alias("gram"), F.col("id").alias("g"), F.when(F.col("id") % 3 == 0, 1000).otherwise(100).cast("bigint").alias("n"),
+        F.when(F.col("id") % 3 == 0, 1000).otherwise(100).cast("bigint").alias("shared"), F.lit(0).alias("pos"), F.greatest(F.col("id") - 30_000, F.lit(-1)).alias("lo"), F.greatest(F.col("id") - 30_000, F.lit(-1)).alias("hi"),
+    )
+    began = time.time()
+    pairs = {(min(r), max(r)) for r in nj.met(lists, 80).collect()}
+    assert time.time() - began < 60
+    others = range(30_000, 30_020)
+    assert pairs == {(min(x, o), max(x, o)) for o in others for x in range(30_020) if x != o and (x % 3 == 0) == (o % 3 == 0)}
+
+
+@pytest.mark.parametrize("part_bytes", [1, 2000, 1 << 25])
+def test_ids_of_any_type_and_small_parts(spark, part_bytes):
+    base = [f"b{i}" for i in range(60)]
+    rows = [(f"u/{i}", " ".join([*base[:30], f"x{i}", *base[31:]])) for i in range(20)] + [("z", "alone"), (None, None)]
+    got = {r.doc_id: r.component_id for r in nj.similar_documents(spark.createDataFrame(rows, "doc_id string, text string"), part_bytes=max(part_bytes, 100)).collect()}
+    assert got == {**{f"u/{i}": "u/0" for i in range(20)}, "z": "z", None: None}
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in nj.similar_documents(odd_docs).collect()}
     assert nj.similar_documents(odd_docs).count() == odd_docs.count() and nj.similar_documents(no_docs).collect() == []
