@@ -19,6 +19,7 @@ import base64
 import json
 import math
 import re
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -114,12 +115,30 @@ class Trie:
         return path[-1]
 
 
-def counts(path: str, scores: str, most_nodes: int):
+    def walked(self, token: str) -> int:
+        """The count of a token that is not worth nodes: the same scores, of which only as many are held as the longest piece reaches back."""
+        scores, counts = deque([0.0], self.longest), deque([0], self.longest)
+        for i, c in enumerate(token):
+            size = len(c.encode("utf-8", "surrogatepass"))
+            best, n = scores[-1] + size * self.byte_score, counts[-1] + size
+            for k in range(1, min(self.reach.get(token[i - 2 : i + 1], 2) if i > 1 else 2, i + 1) + 1):
+                p = self.pieces.get(token[i + 1 - k : i + 1])
+                if p is not None:
+                    s, m = scores[-k] + p, counts[-k] + 1
+                    if s > best or (s == best and m < n):
+                        best, n = s, m
+            scores.append(best)
+            counts.append(n)
+        return counts[-1]
+
+
+def counts(path: str, scores: str, most_nodes: int, longest_token: int):
     """A mapInArrow function: replaces the column text by n_tokens and n_pretokens.
 
-    The trie and the counts of known pre-tokens live as long as a task; they
-    are dropped and begun again whenever the trie passes most_nodes, which
-    bounds their memory and changes no count.
+    The trie and the counts of known pre-tokens live as long as a task. The trie
+    is begun again whenever it passes most_nodes, also inside a text, and the
+    counts go with it; pre-tokens of more than longest_token characters get no
+    nodes. Both bound the memory and change no count.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,25 +148,34 @@ def counts(path: str, scores: str, most_nodes: int):
             tokens, pre = [], []
             for text in part["text"].to_pylist():
                 words = PRE_TOKEN.findall(text) if text else []
+                full = False
                 for word in set(words).difference(known):
+                    if len(word) > longest_token:
+                        known[word] = trie.walked(word)
+                        full = True
+                        continue
                     known[word] = trie.count[trie.insert(word)]
+                    if len(trie.children) > most_nodes:
+                        trie, full = Trie(*model), True
                 tokens.append(sum(map(known.__getitem__, words)))
                 pre.append(len(words))
-                if len(trie.children) > most_nodes:
-                    trie, known = Trie(*model), {}
+                if full:
+                    known = {}
             kept = [i for i, name in enumerate(part.schema.names) if name != "text"]
             yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], pa.array(tokens, pa.int64()), pa.array(pre, pa.int64())], [*[part.schema.names[i] for i in kept], "n_tokens", "n_pretokens"])
 
     return run
 
 
-def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", scores: str = "zipf", most_nodes: int = 1_000_000) -> DataFrame:
+def count_tokens(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", scores: str = "zipf", most_nodes: int = 1_000_000, longest_token: int = 512) -> DataFrame:
     """One row per row of docs: id, n_tokens, n_pretokens.
 
     Null and empty texts have no tokens. Repeated rows each get their result;
     other columns are not read; an empty table gives an empty result. The
-    vocabulary file must be readable at vocabulary_path on every worker.
+    vocabulary file must be readable at vocabulary_path on every worker. A text
+    may be of any length, with white space or without: beside the text itself a
+    task holds the trie and the distinct pre-tokens of one text.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
-    return rows.mapInArrow(counts(vocabulary_path, scores, most_nodes), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, n_pretokens bigint")
+    return rows.mapInArrow(counts(vocabulary_path, scores, most_nodes, longest_token), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, n_pretokens bigint")

@@ -1,6 +1,7 @@
 import math
 import os
 import random
+import tracemalloc
 
 import pytest
 
@@ -29,7 +30,7 @@ def test_trie_equals_brute_force(scores):
     model = tc.vocabulary(MODEL, scores)
     trie, rng = tc.Trie(*model), random.Random(1)
     words = [" the", " there", " therefore", "日本", "\U0001F600x", "\n\n", " "] + ["".join(rng.choice("abcdeéß ñ") for _ in range(rng.randint(1, 12))) for _ in range(500)]
-    assert [trie.count[trie.insert(w)] for w in words] == [brute(w, *model) for w in words]
+    assert [trie.count[trie.insert(w)] for w in words] == [brute(w, *model) for w in words] == [trie.walked(w) for w in words]
 
 
 def test_shared_prefixes_have_one_node():
@@ -79,4 +80,21 @@ def test_odd_rows_and_small_memory(odd_docs, no_docs):
     rows = tc.count_tokens(odd_docs, MODEL).collect()
     assert len(rows) == odd_docs.count() and {r.n_tokens for r in rows if r.doc_id in (3, 4)} == {0}
     assert sorted(map(str, rows)) == sorted(map(str, tc.count_tokens(odd_docs, MODEL, most_nodes=10).collect()))
+    assert sorted(map(str, rows)) == sorted(map(str, tc.count_tokens(odd_docs, MODEL, longest_token=3).collect()))
     assert tc.count_tokens(no_docs, MODEL).collect() == []
+
+
+def test_a_text_without_white_space_takes_no_nodes():
+    """320,000 characters in one pre-token, and very many distinct short ones in one text."""
+    import pyarrow as pa
+
+    model = tc.vocabulary(MODEL, "zipf")
+    long = "thequickbrownfox" * 20_000
+    many = " ".join(f"{i:x}q{i}" for i in range(15_000))
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "text": [long, many, "the end"]})
+    tracemalloc.start()
+    (out,) = tc.counts(MODEL, "zipf", 20_000, 512)([batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and out["n_pretokens"].to_pylist() == [1, 15_000, 2]
+    assert out["n_tokens"].to_pylist()[0] == tc.Trie(*model).walked(long) and out["n_tokens"].to_pylist()[2] == brute("the", *model) + brute(" end", *model)
