@@ -85,6 +85,9 @@ class Trie:
         for p in pieces:
             if len(p) > 2 and len(p) > self.reach.get(p[-3:], 2):
                 self.reach[p[-3:]] = len(p)
+        self.clear()
+
+    def clear(self) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.score: list[float] = [0.0]
         self.count: list[int] = [0]
@@ -142,8 +145,7 @@ def counts(path: str, scores: str, most_nodes: int, longest_token: int):
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = vocabulary(path, scores)
-        trie, known = Trie(*model), {}
+        trie, known = Trie(*vocabulary(path, scores)), {}
         for part in parts:
             tokens, pre = [], []
             for text in part["text"].to_pylist():
@@ -156,7 +158,8 @@ def counts(path: str, scores: str, most_nodes: int, longest_token: int):
                         continue
                     known[word] = trie.count[trie.insert(word)]
                     if len(trie.children) > most_nodes:
-                        trie, full = Trie(*model), True
+                        trie.clear()
+                        full = True
                 tokens.append(sum(map(known.__getitem__, words)))
                 pre.append(len(words))
                 if full:
