@@ -170,12 +170,15 @@ def among(grams: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, grams), len(hot) - 1)] == grams if len(hot) else np.zeros(len(grams), dtype=bool)
 
 
+PACKET = "bucket int, sigs binary, sizes binary, shared binary, keys binary"
+
+
 def counted(buckets: int, hot):
-    """An applyInPandas function over one bucket of grams: what each class has there, packed by one of so many buckets of classes.
+    """An applyInPandas function over one bucket of grams: what each class shares there, packed by one of so many buckets of classes.
 
-    For each class the number of grams that no other class has, and the others
-    as order keys: classes with the gram (15 bits, the most if more or hot),
-    then 48 bits of the gram.
+    For each class the grams that other classes have too, as order keys: classes
+    with the gram (15 bits, the most if more or hot), then 48 bits of the gram.
+    Grams of one class alone are not sent: a class's size tells their number.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
@@ -193,21 +196,36 @@ def counted(buckets: int, hot):
         df = np.diff(np.r_[starts, len(gram)])
         df = np.repeat(df, df)
         df[among(gram, hot.value)] = MOST
-        key = (np.minimum(df, MOST).astype(np.uint64) << np.uint64(48)) | gram
+        use = df > 1
+        owner, key = owner[use], (np.minimum(df[use], MOST).astype(np.uint64) << np.uint64(48)) | gram[use]
+        del gram, df, use
         order = np.argsort(owner, kind="stable")
-        owner, key, df = owner[order], key[order], df[order]
-        ends = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True])
-        who, total = owner[ends], np.diff(np.r_[-1, ends])
-        shared = np.add.reduceat((df > 1).astype(np.int64), np.r_[0, ends[:-1] + 1])
+        owner, key = owner[order], key[order]
+        ends = np.flatnonzero(np.r_[owner[1:] != owner[:-1], len(owner) > 0])
+        who, shared = owner[ends], np.diff(np.r_[-1, ends])
         to = bucket_of(who, buckets)
-        out = []
-        key_to, key = np.repeat(to, shared), key[df > 1]
-        for t in np.unique(to):
-            own = to == t
-            out.append((int(t), who[own].tobytes(), (total - shared)[own].astype(np.uint32).tobytes(), shared[own].astype(np.uint32).tobytes(), key[key_to == t].tobytes()))
-        del gram, owner, key, key_to, df
+        # Owners are in order, and so are their buckets: each packet is a run.
+        cuts = np.r_[np.flatnonzero(np.r_[len(to) > 0, to[1:] != to[:-1]]), len(to)]
+        at = np.r_[0, np.cumsum(shared)]
+        out = [(int(to[x]), who[x:y].tobytes(), b"", shared[x:y].astype(np.uint32).tobytes(), key[at[x] : at[y]].tobytes()) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        del owner, key, order
         wordhash.release()
-        return pd.DataFrame(out, columns=["bucket", "sigs", "single", "shared", "keys"])
+        return pd.DataFrame(out, columns=["bucket", "sigs", "sizes", "shared", "keys"])
+
+    return run
+
+
+def sized(buckets: int):
+    """A mapInArrow function: (sig, n) to packets that tell the sizes of classes, each once for a batch."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            who, first = np.unique(np.asarray(part["sig"]).view(np.uint64), return_index=True)
+            n = np.asarray(part["n"])[first].astype(np.uint32)
+            to = bucket_of(who, buckets)
+            cuts = np.r_[np.flatnonzero(np.r_[len(to) > 0, to[1:] != to[:-1]]), len(to)]
+            rows = [(int(to[x]), who[x:y].tobytes(), n[x:y].tobytes(), b"", b"") for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 5)]], ["bucket", "sigs", "sizes", "shared", "keys"])
 
     return run
 
@@ -216,11 +234,15 @@ def prefixed(percent: int):
     """An applyInPandas function over one bucket of classes: those that can link, with prefix and ordered keys."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        sigs, single, shared = joined(frame["sigs"], np.uint64), joined(frame["single"], np.uint32).astype(np.int64), joined(frame["shared"], np.uint32).astype(np.int64)
-        keys = joined(frame["keys"], np.uint64)
+        tells = frame["sizes"].str.len() > 0
+        known, sizes = joined(frame.loc[tells, "sigs"], np.uint64), joined(frame.loc[tells, "sizes"], np.uint32).astype(np.int64)
+        frame = frame[~tells]
+        sigs, shared, keys = joined(frame["sigs"], np.uint64), joined(frame["shared"], np.uint32).astype(np.int64), joined(frame["keys"], np.uint64)
         who, at = np.unique(sigs, return_inverse=True)
-        s, many = np.bincount(at, single).astype(np.int64), np.bincount(at, shared).astype(np.int64)
-        n = s + many
+        order = np.argsort(known, kind="stable")
+        n = sizes[order][np.searchsorted(known[order], who)] if len(who) else np.zeros(0, dtype=np.int64)
+        many = np.bincount(at, shared, minlength=len(who)).astype(np.int64)
+        s = n - many
         first = n - (percent * n + 99) // 100 + 1 - s
         owner = np.repeat(at, shared)
         alive = (first > 0) & (many > 0)
@@ -278,15 +300,14 @@ def size_band(n: Column, percent: int) -> Column:
 def met(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (g1, g2) of groups that have a prefix gram in common, whose sizes and places allow the similarity and whose labels differ.
 
-    lists holds (gram, g, n, shared, pos, lo, hi), lo and hi the labels of the
-    group's members. Groups that have all the most frequent label of a gram's
-    list need no pairs among themselves: however long a list of near copies is,
-    only its other groups are paired, and those by bands of sizes.
+    lists holds (gram, g, n, shared, pos, lo, hi, hub): lo and hi are the labels
+    of the group's members, hub that of the gram's centre (null in short lists).
+    Groups with the hub's label alone need no pairs among themselves: however
+    long a list of near copies is, only its other groups are paired, and those
+    by bands of sizes.
     """
-    same = lists.where("lo = hi").groupBy("gram", "lo").agg(F.count(F.lit(1)).alias("n_same"))
-    often = same.groupBy("gram").agg(F.max_by("lo", "n_same").alias("often"))
-    marked = lists.join(often, "gram", "left").withColumn("main", F.coalesce((F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("often")), F.lit(False))).drop("often")
-    marked = written(marked.withColumn("band", size_band(F.col("n"), percent)), "ngram-lists")
+    main = F.coalesce((F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("hub")), F.lit(False))
+    marked = lists.withColumns({"main": main, "band": size_band(F.col("n"), percent)})
     a = marked.where("not main").alias("a")
     b = marked.withColumn("near", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("b")
     once = F.col("b.main") | (F.col("a.g") < F.col("b.g"))
@@ -319,9 +340,8 @@ def links_of(classes: DataFrame, percent: int, long_list: int) -> tuple[DataFram
     label = stars.join(further, "hub", "left").select("sig", F.coalesce("label", "hub").alias("label"))
     members = written(members.join(label, "sig", "left").withColumn("label", F.coalesce("label", "sig")), "ngram-labels")
     known = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    lists = lists.join(known, "g")
-
-    pairs = met(lists, percent)
+    hubs = centre.select("gram", F.col("c.g").alias("g")).join(known, "g").select("gram", F.col("lo").alias("hub"))
+    pairs = met(lists.join(known, "g").join(hubs, "gram", "left"), percent)
     front = groups.select("g", F.struct("n", "shared", "prefix").alias("s"))
     pairs = pairs.join(front.select(F.col("g").alias("g1"), F.col("s").alias("a")), "g1").join(front.select(F.col("g").alias("g2"), F.col("s").alias("b")), "g2")
     pairs = pairs.where(prefixes_allow(percent)).select("g1", "g2")
@@ -389,12 +409,13 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     documents = described.where("gram is null")
     # Grams of equal sets are mostly sent once, so those of all rows are an upper bound.
     grams_of_all = documents.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = max(4, -(-14 * grams_of_all // part_bytes))
-    buckets = buckets or 4 * parts
+    parts = max(24, -(-14 * grams_of_all // part_bytes))
+    buckets = buckets or 2 * parts
     hot = spark.sparkContext.broadcast(hot_grams(described, hot_share, hot_most))
     grams = rows.select("text").mapInArrow(dealt(size, buckets, hot), "bucket int, sigs binary, counts binary, low binary, high binary")
-    packed = grams.repartition(parts, "bucket").groupBy("bucket").applyInPandas(counted((buckets + 1) // 2, hot), "bucket int, sigs binary, single binary, shared binary, keys binary")
-    classes = packed.repartition(parts, "bucket").groupBy("bucket").applyInPandas(prefixed(percent), "sig bigint, n bigint, single bigint, prefix array<bigint>, keys array<bigint>")
+    packed = grams.repartition(parts, "bucket").groupBy("bucket").applyInPandas(counted(parts, hot), PACKET)
+    sizes = documents.where("n > 0").select("sig", "n").mapInArrow(sized(parts), PACKET)
+    classes = packed.unionByName(sizes).repartition(parts, "bucket").groupBy("bucket").applyInPandas(prefixed(percent), "sig bigint, n bigint, single bigint, prefix array<bigint>, keys array<bigint>")
     classes = written(classes, "ngram-classes")
     labels, links = links_of(classes, percent, long_list)
     labels = labels.join(connected_components(links).withColumnRenamed("node", "label"), "label", "left").select("sig", F.coalesce("component", "label").alias("component"))

@@ -95,7 +95,7 @@ def test_long_lists_are_paired_by_label_and_size(spark):
     """30,000 near copies of one label and a few others in one gram's list: only pairs with one of the others are made."""
     lists = spark.range(30_020).select(
         F.lit(7).cast("bigint").alias("gram"), F.col("id").alias("g"), F.when(F.col("id") % 3 == 0, 1000).otherwise(100).cast("bigint").alias("n"),
-        F.when(F.col("id") % 3 == 0, 1000).otherwise(100).cast("bigint").alias("shared"), F.lit(0).alias("pos"), F.greatest(F.col("id") - 30_000, F.lit(-1)).alias("lo"), F.greatest(F.col("id") - 30_000, F.lit(-1)).alias("hi"),
+        F.when(F.col("id") % 3 == 0, 1000).otherwise(100).cast("bigint").alias("shared"), F.lit(0).alias("pos"), F.greatest(F.col("id") - 30_000, F.lit(-1)).alias("lo"), F.greatest(F.col("id") - 30_000, F.lit(-1)).alias("hi"), F.lit(-1).cast("bigint").alias("hub"),
     )
     began = time.time()
     pairs = {(min(r), max(r)) for r in nj.met(lists, 80).collect()}
