@@ -89,13 +89,14 @@ def format_chats(turns: DataFrame, learn_role: str = "assistant") -> DataFrame:
     conversation whose turns can't be recovered raises an error. loss_spans are
     (start, end) code points in formatted, end exclusive, of the texts to learn
     from (those of learn_role). Null texts and roles count as empty. Rows are
-    ordered by turn (null first), then role and text, repeated rows included. Rows with
-    a null conv_id form one conversation. Other columns are ignored; an empty
-    table gives an empty result. A conversation is one string and so one row:
+    ordered by turn (null first), then role and text, repeated rows included. A row
+    with a null conv_id belongs to no other and is a conversation of its own.
+    Other columns are ignored; an empty table gives an empty result. A conversation is one string and so one row:
     what has to fit a task is one conversation, not the table.
     """
     row = F.struct(F.col("turn"), F.coalesce("role", lit("")).alias("role"), F.coalesce("text", lit("")).alias("text"))
-    chats = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    own = turns.select("conv_id", row.alias("row"), F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone"))
+    chats = own.groupBy("conv_id", "alone").agg(F.array_sort(F.collect_list("row")).alias("rows"))
     chats = chats.select("conv_id", F.transform("rows", lambda r: F.struct(r["role"].alias("role"), r["text"].alias("text"))).alias("turns"))
     steps = [
         render(F.col("turns"), lambda t: t),

@@ -202,7 +202,7 @@ def fit(learn: DataFrame, sample_rows: int = 2000, epochs: int = 3, alpha: float
     w, bias = train(used, len(languages), idf, epochs, alpha, beta, l1, l2, scale)
     w = w * (idf * scale)[:, None]
     logits = np.array([(c / c.sum()) @ w[f] + bias for f, c, _ in held])
-    t = temperature(logits, np.array([y for _, _, y in held])) if len(held) > 20 else 1.0
+    t = temperature(logits, np.array([y for _, _, y in held])) if held else 1.0
     return Model(languages, w.astype(np.float32), bias, t)
 
 
@@ -258,8 +258,11 @@ def learn_from(docs: DataFrame) -> DataFrame:
     return docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).select("doc_id", "text", "lang")
 
 
-def accepted(docs: DataFrame, sample_rows: int = 2000, least_score: float = 0.5) -> DataFrame:
-    """The rows of docs, with all their columns, whose language is recognised: not und, and with at least the given score."""
+def accepted(docs: DataFrame, sample_rows: int = 2000, least_score: float = 0.0) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is recognised: not und, and with at least the given score (0: any).
+
+    A higher bound also drops clean documents: short ones, and those in two languages.
+    """
     found = identify(docs, fit(learn_from(docs), sample_rows), keep_text=True)
     return found.where((F.col(PREDICTED) != UNKNOWN) & (F.col(SCORE) >= least_score)).select(*docs.columns)
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import uuid
 import zlib
@@ -46,7 +47,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from docloom.llm.shared import scratch
+from docloom.llm.shared import scratch, small_batches
 
 # Fixed values of the format: version line, header of each column, revisit profile, suffix.
 VERSION = b"WARC/1.1"
@@ -60,11 +61,27 @@ HEADERS = {
 }
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SUFFIXES = (".warc", ".warc.gz")
+#: Lists of files that a finished job wrote, and the names of such files.
+LISTED = "_files-"
+OURS = re.compile(r"part-[0-9a-f]{32}\.warc\.gz")
 SCHEMA = ", ".join([f"{c} string" for c in HEADERS]) + ", content_length bigint, http_length bigint, payload binary, digest_ok boolean"
 
 
+#: What the connectors of Spark call a store, and what pyarrow does.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "gcs": "gs"}
+
+
+def store_uri(path: str) -> str:
+    """path with a scheme that pyarrow knows: workers reach the store without the JVM, with the credentials of their environment."""
+    scheme, colon, rest = path.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}{colon}{rest}"
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    path = store_uri(path)
+    if "://" not in path and not path.startswith("file:"):
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(path)
 
 
 def sha1_base32(data: bytes) -> str:
@@ -109,24 +126,30 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
+    """Tasks write their files where they stay; a list of the files of a job, written at its end, makes them part of the archive.
+
+    Files of ours that no list names (of failed or repeated tasks) are not
+    read, so nothing has to be moved.
+    """
+
     def __init__(self, options, overwrite: bool) -> None:
         self.path, self.overwrite = options["path"].rstrip("/"), overwrite
         self.level, self.most = int(options.get("level", 6)), int(options.get("max_file_bytes", 1 << 30))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, path = filesystem(self.path)
-        fs.create_dir(f"{path}/_pending", recursive=True)
+        fs.create_dir(path, recursive=True)
         files: list[str] = []
         out = None
         size = 0
         for part in iterator:
-            for row in part.to_pylist():
+            for i in range(part.num_rows):
                 if out is None or size >= self.most:
                     if out is not None:
                         out.close()
                     files.append(f"part-{uuid.uuid4().hex}.warc.gz")
-                    out, size = fs.open_output_stream(f"{path}/_pending/{files[-1]}", compression=None), 0
-                data = member(record(row), self.level)
+                    out, size = fs.open_output_stream(f"{path}/{files[-1]}", compression=None), 0
+                data = member(record(part.slice(i, 1).to_pylist()[0]), self.level)
                 out.write(data)
                 size += len(data)
         if out is not None:
@@ -135,22 +158,20 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, path = filesystem(self.path)
-        if self.overwrite:
-            for info in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
-                if info.base_name.endswith(SUFFIXES):
-                    fs.delete_file(info.path)
         fs.create_dir(path, recursive=True)
-        for name in (f for m in messages if m is not None for f in m.files):
-            fs.move(f"{path}/_pending/{name}", f"{path}/{name}")
-        self.clear()
+        before = [i.path for i in fs.get_file_info(pafs.FileSelector(path)) if i.is_file] if self.overwrite else []
+        names = [f for m in messages if m is not None for f in m.files]
+        with fs.open_output_stream(f"{path}/{LISTED}{uuid.uuid4().hex}", compression=None) as out:
+            out.write("\n".join(names).encode())
+        kept = {f"{path}/{n}" for n in names}
+        for old in before:
+            if old not in kept and (old.endswith(SUFFIXES) or old.rpartition("/")[2].startswith(LISTED)):
+                fs.delete_file(old)
 
     def abort(self, messages: list[Written | None]) -> None:
-        self.clear()
-
-    def clear(self) -> None:
         fs, path = filesystem(self.path)
-        if fs.get_file_info(f"{path}/_pending").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{path}/_pending")
+        for name in (f for m in messages if m is not None for f in m.files):
+            fs.delete_file(f"{path}/{name}")
 
 
 # ---- reading
@@ -292,9 +313,14 @@ class WarcReader(DataSourceReader):
                 yield test
 
     def partitions(self) -> list[Files]:
-        """Files, largest first, each to the emptiest partition."""
+        """Files, largest first, each to the emptiest partition. Files that only an unfinished job wrote are left out."""
         fs, path = filesystem(self.path)
-        infos = [i for i in fs.get_file_info(pafs.FileSelector(path, recursive=True, allow_not_found=True)) if i.is_file and i.base_name.endswith(SUFFIXES) and "/_pending/" not in i.path]
+        found = [i for i in fs.get_file_info(pafs.FileSelector(path, recursive=True, allow_not_found=True)) if i.is_file]
+        listed = set()
+        for info in (i for i in found if i.base_name.startswith(LISTED)):
+            with fs.open_input_file(info.path) as file:
+                listed.update(f"{info.path.rpartition('/')[0]}/{name}" for name in file.read().decode().split("\n"))
+        infos = [i for i in found if i.base_name.endswith(SUFFIXES) and (i.path in listed or not OURS.fullmatch(i.base_name))]
         infos.sort(key=lambda i: (-i.size, i.path))
         n = max(1, min(len(infos), -(-sum(i.size for i in infos) // self.per_partition)))
         plans, sizes = [Files([]) for _ in range(n)], [0] * n
@@ -371,7 +397,7 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Makes format("warc") known and lets its filters be pushed down."""
+    """Makes format("warc") known and lets its filters be pushed down (settings of the session, which stay)."""
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
@@ -406,7 +432,9 @@ def page_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame, path: str, least_bytes: int = 0, level: int = 6) -> None:
+    """Adds pages to the archive at path. Batches are bounded in bytes; a task holds one payload a few times over."""
     register(pages.sparkSession)
+    small_batches(pages.sparkSession)
     page_records(pages, least_bytes).write.format("warc").option("level", level).mode("append").save(path)
 
 
@@ -419,7 +447,12 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Pages, written as archives and read back: page_id, payload_bytes, payload_digest, record_type, refers_to, digest_ok.
 
     Responses are read with their payloads, from which length and digest are
-    taken; revisits by their headers alone.
+    taken; revisits by their headers alone. Null html counts as empty; repeated
+    rows each have their record; an empty table gives an empty result; columns
+    other than page_id, url and html are not read. A payload may be of any
+    length that a task can hold a few times over. The archives lie below
+    spark.checkpoint.dir, which may be a local folder or an object store that
+    pyarrow reaches too (s3a, abfs, wasb, gs and hdfs paths).
     """
     spark, path = pages.sparkSession, scratch(pages.sparkSession, "warc")
     archive_pages(pages, path, least_bytes)

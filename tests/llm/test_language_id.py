@@ -1,6 +1,10 @@
+import math
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import language_id as li
 from docloom.llm.queries import op6_language_id
@@ -48,6 +52,79 @@ def test_scores_equal_brute_force(spark, odd_docs):
         assert r[li.PREDICTED] == model.languages[p.argmax()] and abs(r[li.SCORE] - p.max()) < 1e-5
 
 
+def hashed(gram):
+    """The feature of one n-gram, character by character."""
+    h = 0
+    for i, c in enumerate(gram):
+        h = (h * 0x01000193 & 0xFFFFFFFF) ^ (ord(c) * (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[i] & 0xFFFFFFFF)
+    h ^= h >> 15
+    return (h * 0x2C1B3C6D & 0xFFFFFFFF) >> 17
+
+
+def plain_fit(rows, sample_rows, epochs=3, alpha=0.5, beta=1.0, l1=0.02, l2=0.01, scale=20.0):
+    """rows: (order, text, lang). Everything in dictionaries, a coordinate at a time."""
+    langs = sorted({lang for _, _, lang in rows})
+    texts = [(order, Counter(map(hashed, brute_features(t))), lang) for order, t, lang in rows]
+    df = Counter(f for _, c, _ in texts for f in c)
+    idf = lambda f: math.log((1 + len(texts)) / (1 + df[f])) + 1.0
+    size = Counter(lang for _, _, lang in texts)
+    sample = sorted((x for x in texts if x[0] % (1 << 30) < min(1.0, sample_rows / len(langs) / size[x[2]]) * (1 << 30)), key=lambda x: x[0])[: 2 * sample_rows]
+    z, g2 = defaultdict(float), defaultdict(float)
+
+    def weight(f, k):
+        v = z[f, k]
+        return 0.0 if abs(v) <= l1 else -(v - math.copysign(l1, v)) / ((beta + math.sqrt(g2[f, k])) / alpha + l2)
+
+    def share(logits):
+        e = [math.exp(v - max(logits)) for v in logits]
+        return [v / sum(e) for v in e]
+
+    def vector(c):
+        return {**{f: n / sum(c.values()) * idf(f) * scale for f, n in c.items()}, "bias": 1.0}
+
+    for _ in range(epochs):
+        for i, (_, c, lang) in enumerate(sample):
+            if i % 5 == 0:
+                continue
+            x = vector(c)
+            p = share([sum(v * weight(f, k) for f, v in x.items()) for k in range(len(langs))])
+            for k in range(len(langs)):
+                for f, v in x.items():
+                    g = v * (p[k] - (langs[k] == lang))
+                    w = weight(f, k)
+                    z[f, k] += g - (math.sqrt(g2[f, k] + g * g) - math.sqrt(g2[f, k])) / alpha * w
+                    g2[f, k] += g * g
+    logits = lambda c: [sum(v * weight(f, k) for f, v in vector(c).items()) for k in range(len(langs))]
+    held = [(logits(c), langs.index(lang)) for i, (_, c, lang) in enumerate(sample) if i % 5 == 0]
+    grid = [0.5 * 40 ** (i / 4000) for i in range(4001)]
+    loss = lambda t: -sum(math.log(share([v / t for v in ls])[y] + 1e-12) for ls, y in held)
+    best = min(grid[::40], key=loss)
+    t = min((x for x in grid if best / 1.1 < x < best * 1.1), key=loss)
+    return langs, lambda text: share([v / t for v in logits(Counter(map(hashed, brute_features(text))))]), t
+
+
+@pytest.mark.parametrize("sample_rows", [10_000, 60])
+def test_fit_equals_a_plain_version(spark, sf, sample_rows):
+    """Frequencies, sample, weights, temperature and predictions against dictionaries and loops, from texts alone."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("text", F.left("text", F.lit(300)))
+    rows = [(r.o, r.text, r.lang) for r in li.learn_from(docs).withColumn("o", F.xxhash64(F.lit(7), F.col("doc_id"))).collect() if any(c.isalpha() for c in r.text)]
+    langs, predict, t = plain_fit(rows, sample_rows)
+    model = li.fit(li.learn_from(docs), sample_rows)
+    assert list(model.languages) == langs and abs(math.log(model.temperature / t)) < 0.02
+    for r in li.identify(docs, model, keep_text=True).select("text", li.PREDICTED, li.SCORE).collect():
+        if any(c.isalpha() for c in r.text):
+            p = predict(r.text)
+            assert r[li.PREDICTED] == langs[p.index(max(p))] and abs(r[li.SCORE] - max(p)) < 0.01
+
+
+def test_only_undetermined_documents_are_rejected(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "the", None), (-2, "der the la de", None), (-3, "123 !!", None), (-4, None, "en"), (-5, "", "en")], "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in li.accepted(docs.unionByName(odd)).collect()}
+    assert {-1, -2} <= kept and not {-3, -4, -5} & kept
+    assert {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text)} <= kept
+
+
 def test_elastic_net_makes_weights_sparse():
     rng = np.random.default_rng(0)
     rows = [(np.unique(np.r_[y * 10 + rng.integers(0, 10, 5), 100 + rng.integers(0, 500, 5)]), None, y) for y in rng.integers(0, 3, 300)]

@@ -37,10 +37,20 @@ def test_stages(spark, sf):
 
 
 def test_odd_documents_pass_through(spark, odd_docs, no_docs, sf):
-    for docs in (odd_docs, no_docs):
-        for _, stage in cp.STAGES[:4]:
-            docs = stage(spark, docs, sf)
-        assert {"doc_id", "taken"} <= set(cp.STAGES[4][1](spark, docs, sf).columns)
+    """Only documents with a letter pass the first stage; of copies one stays; null ids, sources and languages are kept."""
+    docs, left = odd_docs, []
+    for _, stage in cp.STAGES[:4]:
+        docs = stage(spark, docs, sf)
+        assert docs.columns == odd_docs.columns
+        left.append(sorted((str(r.doc_id) for r in docs.collect()), key=str))
+    assert left[0] == sorted(map(str, [1, 2, 2, 6, 7, None, 8, 9, 10]))
+    assert left[1] == sorted(map(str, [2, 6, 7, None, 8, 10]))
+    assert left[2] == left[3] == sorted(map(str, [2, 6, None, 8, 10]))
+    rows = {str(r.doc_id): r for r in cp.STAGES[4][1](spark, docs, sf).collect()}
+    assert sorted(rows) == left[3] and rows["6"].size == 20000 and sum(r.taken for r in rows.values()) > 0
+    for _, stage in cp.STAGES:
+        none = stage(spark, no_docs, sf)
+        assert none.collect() == [] and {"doc_id"} <= set(none.columns)
 
 
 def test_ten_queries():

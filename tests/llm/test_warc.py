@@ -2,6 +2,7 @@ import gzip
 import io
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +73,32 @@ def test_foreign_files(spark, tmp_path, name):
     rows = warc.read_records(spark, str(tmp_path)).collect()
     assert sorted((r.record_id, len(r.payload), r.digest_ok) for r in rows) == [("<0>", 0, True), ("<5>", 5, True), ("<70000>", 70000, True)]
     assert warc.read_records(spark, str(tmp_path), "record_id string").count() == 3
+
+
+def test_stores_of_spark_are_known():
+    assert warc.store_uri("s3a://bucket/x") == "s3://bucket/x" and warc.store_uri("/tmp/x") == "/tmp/x" and warc.store_uri("file:/tmp/x") == "file:/tmp/x"
+    assert warc.store_uri("wasbs://c@a.blob.core.windows.net/x").startswith("abfss://")
+    assert warc.filesystem("file:///tmp/x")[1] == "/tmp/x"
+    fs, path = warc.filesystem("s3a://bucket/x?region=us-east-1")
+    assert fs.type_name == "s3" and path == "bucket/x"
+
+
+def test_files_of_unfinished_jobs_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "a")
+    warc.archive_pages(pages(spark), path)
+    writer = warc.WarcWriter({"path": path}, False)
+    batch = pa.RecordBatch.from_pylist([{"record_type": "response", "record_id": "<urn:page:99>", "payload": b"x"}])
+    failed = writer.write(iter([batch]))
+    assert warc.read_records(spark, path, "record_id string").count() == 7
+    writer.commit([failed, None])
+    assert warc.read_records(spark, path, "record_id string").count() == 8
+    other = writer.write(iter([batch]))
+    writer.abort([other])
+    assert len(list((tmp_path / "a").glob("part-*"))) == len({f for f in os.listdir(path) if f.startswith("part-")}) and warc.read_records(spark, path, "record_id string").count() == 8
+    warc.page_records(pages(spark).limit(2)).write.format("warc").mode("overwrite").save(path)
+    assert warc.read_records(spark, path, "record_id string").count() == 2
+
+
+def test_a_very_long_payload(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "u", "x" * 20_000_000, "", 0), (2, "u", "x" * 20_000_000, "", 0)], PAGES)
+    assert sorted((r.page_id, r.payload_bytes, r.record_type) for r in warc.round_trip(rows).collect()) == [(1, 20_000_000, "revisit"), (2, 20_000_000, "response")]
