@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
+from docloom.functions.arrays import folded, let, sums_before
 from docloom.functions.vectors import cosine
 
 
@@ -23,13 +24,16 @@ def sliding_words(df: DataFrame, keys: list[str], text: str = "text", size: int
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and less than size")
     step = size - overlap
-    spaced = df.select(*keys, tx.spaced_words(F.col(text)).alias("_w")).where(F.size("_w") > 0)
-    starts = F.sequence(F.lit(0), F.size("_w") - 1, F.lit(step))
-    at = spaced.select(*keys, "_w", F.posexplode(starts).alias("_n", "_at"))
-    before = F.length(F.array_join(F.slice("_w", F.lit(1), F.col("_at")), ""))
-    at = at.withColumns({"_raw": F.array_join(F.slice("_w", F.col("_at") + 1, F.lit(size)), ""), "_before": before, "n_words": F.least(F.lit(size), F.size("_w") - F.col("_at"))})
-    body = F.regexp_replace("_raw", r"^\s+", "")
-    at = at.withColumn("chunk_text", body)
+
+    def cut(w: Column) -> Column:
+        own = lambda at: F.length(F.array_join(F.slice(w, at + 1, F.lit(step)), ""))
+        return F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(step)), lambda at: F.struct(own(at).alias("own"), F.array_join(F.slice(w, at + 1, F.lit(size)), "").alias("raw"), F.least(F.lit(size), F.size(w) - at).alias("n")))
+
+    # Each window joins its own words once; the words between two starts give the running offset.
+    rows = df.where(F.rlike(F.col(text), F.lit(r"\S"))).select(*keys, let(tx.spaced_words(F.col(text)), cut).alias("_c"))
+    rows = rows.select(*keys, F.arrays_zip("_c", sums_before(F.transform("_c", lambda c: c["own"])).alias("_b")).alias("_z"))
+    at = rows.select(*keys, F.posexplode("_z").alias("_n", "_w")).select(*keys, "_n", F.col("_w._c.raw").alias("_raw"), F.col("_w._c.n").alias("n_words"), F.col("_w._b").cast("int").alias("_before"))
+    at = at.withColumn("chunk_text", F.regexp_replace("_raw", r"^\s+", ""))
     end = F.col("_before") + F.length("_raw")
     return at.select(*keys, (F.col("_n") + 1).alias("chunk_index"), (end - F.length("chunk_text")).alias("chunk_start"), end.alias("chunk_end"), "n_words", "chunk_text")
 
@@ -131,15 +135,15 @@ def greedy_windows(df: DataFrame, keys: list[str], order: str, size: Column, mos
     An entry larger than most has a window of its own.
     """
     packed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), size.cast("bigint").alias("n")))).alias("_e"))
-    start = F.struct(F.lit(0).cast("bigint").alias("size"), F.lit(0).alias("k"), F.lit(False).alias("any"), F.array().cast("array<int>").alias("out"))
+    start = F.struct(F.lit(0).cast("bigint").alias("size"), F.lit(0).alias("k"), F.lit(False).alias("any"))
 
     def step(acc, e):
         full = acc["any"] & (acc["size"] + e["n"] > most)
         k = acc["k"] + full.cast("int")
         total = F.when(full, F.least(acc["size"], F.lit(overlap)) + e["n"]).otherwise(acc["size"] + e["n"])
-        return F.struct(total.alias("size"), k.alias("k"), F.lit(True).alias("any"), F.concat(acc["out"], F.array(k)).alias("out"))
+        return F.struct(total.alias("size"), k.alias("k"), F.lit(True).alias("any")), k
 
-    packed = packed.withColumn("_w", F.aggregate("_e", start, step, lambda a: a["out"]))
+    packed = packed.withColumn("_w", folded(F.col("_e"), start, step, "int"))
     rows = packed.select(*keys, F.explode(F.arrays_zip(F.col("_e.o").alias("o"), F.col("_w").alias("w"))).alias("_r"))
     return rows.select(*keys, F.col("_r.o").alias(order), F.col("_r.w").alias("window"))
 

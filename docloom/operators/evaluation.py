@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.sources.workspace import written
+
 
 def chunk_metrics(chunks: DataFrame, keys: list[str], text: str = "chunk_text") -> DataFrame:
     """Number, mean length and population deviation of the lengths."""
@@ -38,11 +41,14 @@ def compare_page_ranges(a: DataFrame, b: DataFrame, keys: list[str], order: str)
 def mean_pairwise_distance(df: DataFrame, key: str, vector: str, block: int = 512) -> DataFrame:
     """(key, n, mean_distance): mean Euclidean distance over the pairs of each group; 0 for fewer than two rows.
 
-    Rows are dealt into blocks; each pair of blocks is one group of at most
-    2 * block rows, of which only sums come back.
+    Rows are dealt at random into blocks; each pair of blocks is one group of
+    about 2 * block rows, of which only sums come back. The mean is over all
+    pairs, so the work grows with the square of a group.
     """
     sizes = df.where(F.col(vector).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / block))
-    rows = df.where(F.col(vector).isNotNull()).join(sizes, key).withColumn("part", F.pmod(F.xxhash64(vector), F.col("parts")))
+    dealt = df.where(F.col(vector).isNotNull()).select(key, vector).join(sizes.select(key, "parts"), key)
+    # Rows are dealt by their place, not by their value: equal vectors go to different blocks. Written, so that a repeated task deals them alike.
+    rows = written(dealt.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))), "pairwise")
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("part", j).alias("i"), F.greatest("part", j).alias("j")))
     rows = rows.select(key, "part", vector, F.explode(cells).alias("c")).select(key, "part", F.col(vector).alias("v"), F.col("c.i").alias("i"), F.col("c.j").alias("j"))
 
@@ -77,22 +83,37 @@ def score_stats(scored: DataFrame, keys: list[str], score: str = "score") -> Dat
     return scored.groupBy(*keys).agg(F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"), F.count(F.lit(1)).alias("n"))
 
 
-def elo(matches: DataFrame, keys: list[str], seq: str, score: str, k: float = 32.0, start: float = 1500.0) -> DataFrame:
-    """(keys, rating_a, rating_b, n_matches) of a pair of rivals after its matches in order; score is a's result from 0 to 1.
+def elo(matches: DataFrame, keys: list[str], seq: str, score: str, k: float = 32.0, start: float = 1500.0, history: bool = False) -> DataFrame:
+    """(keys, rating_a, rating_b, n_matches) of a pair of rivals after its matches in order; score is a's result from 0 to 1 (null: a draw).
 
-    The fold is sequential, so a pair's matches (two numbers each) come together
-    in one row; pairs are independent.
+    With history, a row for each match, in which seq is kept and n_matches counts up. The
+    fold is sequential: a pair's matches stream through one task in order, which
+    holds two ratings, however many matches there are. Matches with the same seq
+    are taken in the order of their scores.
     """
-    games = matches.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), F.col(score).cast("double").alias("s")))).alias("_g"))
-
-    def step(acc, g):
-        expected = F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(10.0), (acc["b"] - acc["a"]) / 400.0))
-        change = F.lit(k) * (g["s"] - expected)
-        return F.struct((acc["a"] + change).alias("a"), (acc["b"] - change).alias("b"))
-
-    end = F.aggregate("_g", F.struct(F.lit(start).alias("a"), F.lit(start).alias("b")), step)
-    out = games.withColumn("_end", end)
-    return out.select(*keys, F.col("_end.a").alias("rating_a"), F.col("_end.b").alias("rating_b"), F.size("_g").alias("n_matches"))
+    names = [*keys, *([seq] if history else [])]
+    shape = ", ".join(f"`{c}` {matches.schema[c].dataType.simpleString()}" for c in names) + ", rating_a double, rating_b double, n_matches int"
+    rows = matches.select(*keys, seq, F.coalesce(F.col(score).cast("double"), F.lit(0.5)).alias("_score"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, a, b, n, last = None, start, start, 0, None
+        for frame in frames:
+            out = []
+            for *own, at, s in frame.astype(object).where(frame.notna(), None).itertuples(index=False, name=None):
+                if own != now:
+                    if now is not None and not history:
+                        out.append((*now, a, b, n))
+                    now, a, b, n = own, start, start, 0
+                change = k * (s - 1.0 / (1.0 + 10.0 ** ((b - a) / 400.0)))
+                a, b, n = a + change, b - change, n + 1
+                if history:
+                    out.append((*own, at, a, b, n))
+            last = frame
+            yield pd.DataFrame(out, columns=[*names, "rating_a", "rating_b", "n_matches"])
+        if last is not None and now is not None and not history:
+            yield pd.DataFrame([(*now, a, b, n)], columns=[*names, "rating_a", "rating_b", "n_matches"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, seq, "_score").mapInPandas(run, shape)
 
 
 def elo_summary(matches: DataFrame, keys: list[str], score: str) -> DataFrame:
@@ -123,5 +144,3 @@ def ndcg(ranked: DataFrame, k: int = 10) -> DataFrame:
     gain = lambda r: F.sum(F.col("relevance") / F.log2(r + 1.0))
     both = own.withColumn("_i", ideal).groupBy("query_id").agg(gain(F.col("rank")).alias("dcg"), gain(F.col("_i")).alias("best"))
     return both.select("query_id", F.when(F.col("best") > 0, F.col("dcg") / F.col("best")).otherwise(F.lit(0.0)).alias("ndcg"))
-
-
