@@ -22,6 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.arrays import folded, let
+
 # The patterns of the three kinds, the characters of candidates, the classes with their least entropy in bits, and the allow-list.
 ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -44,38 +46,6 @@ PIECE = 4096
 SPAN = "array<struct<start: int, rank: int, end: int, m: string>>"
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), where value is evaluated once, however often use names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def folded(items: Column, state: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, block: int = 64) -> Column:
-    """What step emits (null: nothing) while it goes through items with a state, as array<kind>.
-
-    step(state, item) gives the next state and what is emitted. An aggregate
-    copies all it holds at each step, so items are cut into blocks: a first pass
-    finds the state at the start of each block, a second one lets every block
-    emit by itself.
-    """
-
-    def emitting(acc, x):
-        now, emitted = step(acc["s"], x)
-        return F.struct(now.alias("s"), let(emitted, lambda e: F.when(e.isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(e)))).alias("out"))
-
-    def per_block(blocks):
-        start = F.struct(state.alias("s"), F.filter(F.array(state), lambda _: F.lit(False)).alias("all"))
-        after = lambda acc, b: F.struct(F.aggregate(b, acc["s"], lambda s, x: step(s, x)[0]).alias("s"), F.concat(acc["all"], F.array(acc["s"])).alias("all"))
-        states = F.aggregate(blocks, start, after, lambda acc: acc["all"])
-        none = F.array().cast(f"array<{kind}>")
-        return F.transform(F.arrays_zip(blocks.alias("b"), states.alias("s")), lambda z: F.aggregate(z["b"], F.struct(z["s"].alias("s"), none.alias("out")), emitting, lambda acc: acc["out"]))
-
-    def whole(xs):
-        last = F.floor((F.size(xs) - 1) / block).cast("int")
-        return let(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(xs, b * block + 1, F.lit(block))), lambda blocks: F.flatten(per_block(blocks)))
-
-    return F.when(F.size(items) > 0, let(F.transform(items, lambda x: x), whole)).otherwise(F.array().cast(f"array<{kind}>"))
-
-
 def pieces_of(text: Column, pattern: str) -> Column:
     """Matches of the pattern, each with the gap before it: array of (g, m). Empty where nothing matches."""
     both = F.arrays_zip(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
