@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Schemes of links that lead nowhere, and marks of links to PDF files.
+# Schemes of links that lead nowhere, and the ending and marks of links to PDF files.
 DEAD_SCHEMES = ("javascript:", "mailto:", "tel:", "data:")
-PDF_MARKS = (".pdf", "/pdf", "pdf/", "format=pdf", "type=pdf", "download=pdf")
+PDF_ENDING = ".pdf"
+PDF_MARKS = ("application/pdf", "/pdf/", "download=pdf", "type=pdf", "format=pdf")
 
 
 def normalized(url: Column) -> Column:
@@ -37,7 +38,8 @@ def cleaned_link(link: Column) -> Column:
 
 
 def leads_to_pdf(link: Column) -> Column:
-    found = F.lit(False)
+    """Whether a cleaned link ends in .pdf or has one of the marks."""
+    found = F.endswith(link, F.lit(PDF_ENDING))
     for mark in PDF_MARKS:
         found = found | F.contains(link, F.lit(mark))
     return found

@@ -95,13 +95,66 @@ def contributors(chunks: DataFrame, spans: DataFrame, keys: list[str], order: st
     return near.groupBy(*keys, "chunk_index").agg(F.min(order).alias("first_entry"), F.max(order).alias("last_entry"), F.array_join(F.array_sort(F.collect_list(order)), ",").alias("entries"))
 
 
+def merged_maps(maps: Column, order: Column) -> Column:
+    """One map of the maps of a group's rows; of a key the value of the last row by order counts. Null maps count as empty."""
+    pairs = F.flatten(F.collect_list(F.transform(F.map_entries(maps), lambda e: F.struct(e["key"].alias("k"), order.alias("o"), e["value"].alias("v")))))
+    last = lambda xs: F.filter(F.zip_with(xs, F.concat(F.slice(xs, F.lit(2), F.size(xs)), F.array(F.lit(None).cast("struct<k: string, o: bigint, v: string>"))), lambda x, y: F.struct(x["k"].alias("k"), x["v"].alias("v"), (y.isNull() | (y["k"] != x["k"])).alias("last"))), lambda z: z["last"] & z["k"].isNotNull())
+    return F.map_from_entries(F.transform(let(F.array_sort(pairs.cast("array<struct<k: string, o: bigint, v: string>>")), last), lambda z: F.struct(z["k"], z["v"])))
+
+
 def build_chunks(chunks: DataFrame, entries: DataFrame, keys: list[str], order: str, method: str) -> DataFrame:
-    """Chunk rows with what their contributing entries bring: pages, keywords and citations (each once), title of the first; stamped with the method."""
+    """Chunk rows with what their contributing entries bring, stamped with the method.
+
+    Pages, keywords and citations (each once), the title of the first entry;
+    where entries have them, chunk_locations (arrays of (primary, secondary), each
+    once, in that order) and added_featurization (maps; the last entry wins).
+    """
     own = chunks.join(entries, keys).where((F.col("chunk_start") < F.col("entry_end")) & (F.col("chunk_end") > F.col("entry_start")))
     every = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    return own.groupBy(*keys, "chunk_index", "chunk_text").agg(
-        F.min("page").alias("min_primary_index"), F.max("page").alias("max_primary_index"), every("keywords").alias("keywords"), every("citations").alias("citations"), F.min_by("entry_title", order).alias("entry_title")
-    ).withColumn("chunking_method", F.lit(method))
+    brought = {"keywords": every("keywords"), "citations": every("citations"), "entry_title": F.min_by("entry_title", order)}
+    if "chunk_locations" in entries.columns:
+        brought["chunk_locations"] = every("chunk_locations")
+    if "added_featurization" in entries.columns:
+        brought["added_featurization"] = merged_maps(F.col("added_featurization"), F.col(order))
+    return own.groupBy(*keys, "chunk_index", "chunk_text").agg(F.min("page").alias("min_primary_index"), F.max("page").alias("max_primary_index"), *[c.alias(n) for n, c in brought.items()]).withColumn("chunking_method", F.lit(method))
+
+
+def distance_chunks(entries: DataFrame, keys: list[str], order: str, text: str, embed, percent: float = 95.0, threshold: float | None = None, joint: str = " ") -> DataFrame:
+    """(keys, chunk_index from 1, chunk_text, first_entry, last_entry, n_units): sentences of the entries, cut where neighbours lie far apart.
+
+    Entries in order are cut into sentences (the units), embed(df) adds column
+    embedding from column unit, and a chunk ends after a unit whose cosine
+    distance to the next is above threshold, or above the given percentile of
+    the document's distances. A distance to a vector of no length counts as 0.
+    """
+    units = entries.select(*keys, F.col(order).alias("_entry"), F.posexplode(tx.sentences(F.col(text))).alias("_pos", "unit"))
+    w = Window.partitionBy(*keys).orderBy("_entry", "_pos")
+    vectors = embed(units).withColumn("_far", F.coalesce(1 - cosine(F.col("embedding"), F.lead("embedding").over(w)), F.lit(0.0)))
+    if threshold is None:
+        has = vectors.withColumn("_next", F.lead("_pos").over(w)).where("_next is not null")
+        bound = has.groupBy(*keys).agg(F.percentile("_far", percent / 100).alias("_bound"))
+        vectors = vectors.join(bound, keys, "left")
+    else:
+        vectors = vectors.withColumn("_bound", F.lit(float(threshold)))
+    cut = F.coalesce((F.lag("_far").over(w) > F.lag("_bound").over(w)).cast("int"), F.lit(0))
+    grouped = vectors.withColumn("_cut", cut).withColumn("chunk_index", F.sum("_cut").over(w) + 1)
+    own = grouped.groupBy(*keys, "chunk_index").agg(F.array_sort(F.collect_list(F.struct("_entry", "_pos", "unit"))).alias("_u"), F.min("_entry").alias("first_entry"), F.max("_entry").alias("last_entry"), F.count(F.lit(1)).alias("n_units"))
+    return own.select(*keys, "chunk_index", F.array_join(F.col("_u.unit"), joint).alias("chunk_text"), "first_entry", "last_entry", "n_units")
+
+
+def distance_chunks_of_pages(pages: DataFrame, keys: list[str], pages_json: str, embed, **settings) -> DataFrame:
+    """distance_chunks over documents given as JSON objects of page number to text; units are joined by line feeds."""
+    rows = pages.select(*keys, F.explode(F.from_json(pages_json, "MAP<STRING, STRING>")).alias("_page", "_text"))
+    return distance_chunks(rows.withColumn("page", F.col("_page").cast("int")), keys, "page", "_text", embed, joint="\n", **settings)
+
+
+def token_crops(tokens: Column, size: int, overlap: int = 0, padding: int = 0) -> Column:
+    """An array of tokens as arrays of size tokens, each size - overlap after the one before, the last one padded; a shorter array stays as it is."""
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be at least 0 and less than size")
+    padded = lambda t: F.concat(t, F.array_repeat(F.lit(padding), F.lit(size) - F.size(t)))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(tokens) - overlap - 1, F.lit(0)), F.lit(size - overlap))
+    return F.when(F.size(tokens) <= size, F.array(tokens)).otherwise(F.transform(starts, lambda at: padded(F.slice(tokens, at + 1, F.lit(size)))))
 
 
 def word_overlap_contributors(chunks: DataFrame, entries: DataFrame, keys: list[str], least: float = 0.5) -> DataFrame:

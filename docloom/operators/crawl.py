@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import re
+from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +52,112 @@ def merge_back(documents: DataFrame, crawled: DataFrame) -> DataFrame:
     kept = joined.select(*[F.coalesce(f"_c.{c}", c).alias(c) if c in ("file_path", "file_type") else F.col(c) for c in documents.columns])
     fresh = new.join(documents, "public_url", "left_anti").select("public_url", F.col("_c.file_path").alias("file_path"), F.col("_c.file_type").alias("file_type"))
     return kept.unionByName(fresh, allowMissingColumns=True)
+
+
+class Tree(HTMLParser):
+    """Elements of a page as a flat list: (tag, attributes, parent, last descendant, text)."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.nodes: list[dict] = []
+        self.open: list[int] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.nodes.append({"tag": tag, "attrs": dict(attrs), "parent": self.open[-1] if self.open else -1, "text": [], "end": len(self.nodes)})
+        if tag not in VOID:
+            self.open.append(len(self.nodes) - 1)
+
+    def handle_endtag(self, tag: str) -> None:
+        if any(self.nodes[i]["tag"] == tag for i in self.open):
+            while True:
+                i = self.open.pop()
+                self.nodes[i]["end"] = len(self.nodes) - 1
+                if self.nodes[i]["tag"] == tag:
+                    break
+
+    def handle_data(self, data: str) -> None:
+        for i in self.open:
+            self.nodes[i]["text"].append(data)
+
+    def finish(self) -> Tree:
+        self.close()
+        for i in self.open:
+            self.nodes[i]["end"] = len(self.nodes) - 1
+        return self
+
+
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+STEP = re.compile(r"^(?P<tag>[a-zA-Z][\w-]*|\*)?(?:#(?P<id>[\w-]+))?(?P<classes>(?:\.[\w-]+)*)(?:\[(?P<name>[\w-]+)(?:=[\"']?(?P<value>[^\"'\]]*)[\"']?)?\])?$")
+
+
+def fits(node: dict, step: re.Match) -> bool:
+    attrs, has = node["attrs"], set((node["attrs"].get("class") or "").split())
+    return (
+        (step["tag"] in (None, "*", node["tag"]))
+        and (step["id"] is None or attrs.get("id") == step["id"])
+        and all(c in has for c in step["classes"].split(".") if c)
+        and (step["name"] is None or (step["name"] in attrs and (step["value"] is None or attrs[step["name"]] == step["value"])))
+    )
+
+
+def selected(nodes: list[dict], selector: str, root: int = -1) -> list[int]:
+    """Elements inside root that a selector names: tag, #id, .class and [attribute=value], spaces for descendants; several with commas, in page order."""
+    low, high = (0, len(nodes) - 1) if root < 0 else (root + 1, nodes[root]["end"])
+    out = set()
+    for one in selector.split(","):
+        steps = [STEP.match(s) for s in one.split()]
+        if not steps or any(s is None for s in steps):
+            raise ValueError(f"selector {one!r} is not known")
+        for i in range(low, high + 1):
+            if not fits(nodes[i], steps[-1]):
+                continue
+            k, up = len(steps) - 2, nodes[i]["parent"]
+            while k >= 0 and up >= 0:
+                k -= fits(nodes[up], steps[k])
+                up = nodes[up]["parent"]
+            if k < 0:
+                out.add(i)
+    return sorted(out)
+
+
+def extracted(nodes: list[dict], at: int, config: dict) -> dict:
+    """What a configuration takes from an element: attributes, its text, and nested elements (one, or all with multiple)."""
+    found: dict = {name: nodes[at]["attrs"].get(name) for name in config.get("attributes", [])}
+    if config.get("extract") == "text":
+        found["text"] = " ".join("".join(nodes[at]["text"]).split())
+    for key, inner in (config.get("nested") or {}).items():
+        inside = selected(nodes, inner["selector"], at)
+        if inner.get("multiple"):
+            found[key] = [extracted(nodes, i, inner) for i in inside]
+        elif inside:
+            found[key] = extracted(nodes, inside[0], inner)
+    return found
+
+
+def rolled_up(data: dict[str, list | None]) -> dict:
+    """Counts of the lists and lists of their fields, empty values left out."""
+    out: dict = {}
+    for key, value in data.items():
+        if isinstance(value, list):
+            out[f"{key}_count"] = len(value)
+            for sub in value[0] if value and isinstance(value[0], dict) else ():
+                out[f"{key}_{sub}_list"] = [x[sub] for x in value if x.get(sub)]
+    return out
+
+
+def with_extracts(pages: DataFrame, configs: dict[str, dict], html: str = "html", out: str = "extracted") -> DataFrame:
+    """Adds a JSON column: what each configuration (selector, attributes, extract, nested) finds on the page (null: nothing), and the roll-up of it."""
+
+    @F.pandas_udf("string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            found = []
+            for text in part.fillna(""):
+                tree = Tree()
+                tree.feed(text)
+                nodes = tree.finish().nodes
+                data = {name: [extracted(nodes, i, c) for i in selected(nodes, c["selector"])] or None for name, c in configs.items()}
+                found.append(json.dumps({"extracted_data": data, **rolled_up(data)}, ensure_ascii=False))
+            yield pd.Series(found, dtype=object)
+
+    return pages.withColumn(out, run(F.col(html)))

@@ -144,3 +144,20 @@ def ndcg(ranked: DataFrame, k: int = 10) -> DataFrame:
     gain = lambda r: F.sum(F.col("relevance") / F.log2(r + 1.0))
     both = own.withColumn("_i", ideal).groupBy("query_id").agg(gain(F.col("rank")).alias("dcg"), gain(F.col("_i")).alias("best"))
     return both.select("query_id", F.when(F.col("best") > 0, F.col("dcg") / F.col("best")).otherwise(F.lit(0.0)).alias("ndcg"))
+
+
+def rating_history(history: DataFrame, time: str, rivals: tuple[str, str] = ("rival_a", "rival_b")) -> DataFrame:
+    """(rival, time, rating): each rating after a match (rival_a, rival_b, rating_a, rating_b) under the name of its rival, in order of time."""
+    side = lambda rival, rating: history.select(F.col(rival).alias("rival"), time, F.col(rating).alias("rating"))
+    return side(rivals[0], "rating_a").unionByName(side(rivals[1], "rating_b")).orderBy("rival", time)
+
+
+def needs_questions(questions: Column, force: bool = False) -> Column:
+    """Whether an entry has no questions yet (all do with force)."""
+    return F.lit(True) if force else questions.isNull() | (F.size(questions) == 0)
+
+
+def shown_by_pages(chunks_a: Column, chunks_b: Column) -> Column:
+    """Whether both sides of a comparison can be shown as page images: every chunk of both has locations."""
+    placed = lambda chunks: F.coalesce(F.forall(chunks, lambda c: F.coalesce(F.size(c["chunk_locations"]) > 0, F.lit(False))), F.lit(False))
+    return placed(chunks_a) & placed(chunks_b)

@@ -7,12 +7,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators import mixtures
+from docloom.sources.workspace import written
 
 Model = Callable[[list[str]], list]
 
@@ -136,3 +138,92 @@ def keywords_of(members: DataFrame, labels: DataFrame, key: str, cluster: str) -
     """(key, keywords, n_clusters): the distinct labels, sorted, of the clusters that each key's rows belong to, by cluster id."""
     both = members.select(key, cluster).distinct().join(labels, cluster)
     return both.groupBy(key).agg(F.array_sort(F.collect_set("label")).alias("keywords"), F.count_distinct(cluster).alias("n_clusters"))
+
+
+# How images in base64 begin.
+IMAGE_STARTS = ("data:image/", "/9j/", "iVBORw0KGgo")
+
+
+def is_image(text: Column) -> Column:
+    """Whether a string is an image in base64, by its beginning; null is none. Decided row by row."""
+    found = F.lit(False)
+    for start in IMAGE_STARTS:
+        found = found | F.startswith(text, F.lit(start))
+    return F.coalesce(found, F.lit(False))
+
+
+def stamp_embedding(df: DataFrame, text: str, model: str, date: str, dimensions: int) -> DataFrame:
+    """Sets what an embedding is of (text or image, where not set), its date, model and dimensions."""
+    kind = F.when(is_image(F.col(text)), "image").otherwise("text")
+    known = F.col("embedded_feature_type") if "embedded_feature_type" in df.columns else F.lit(None).cast("string")
+    return df.withColumns({"embedded_feature_type": F.coalesce(known, kind), "embedding_date": F.lit(date).cast("timestamp"), "embedding_model": F.lit(model), "embedding_dimensions": F.lit(dimensions)})
+
+
+def joined_texts(df: DataFrame, keys: list[str], order: str, text: str, joint: str = "--- --- \n --- --- ") -> DataFrame:
+    """(keys, text): the texts of each group in order, with a line of dashes between them."""
+    own = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias("_t"))
+    return own.select(*keys, F.array_join(F.col("_t.t"), joint).alias("text"))
+
+
+def likeliest(mixture: mixtures.Mixture):
+    """A UDF: the component of a mixture that a vector most likely comes from."""
+
+    @F.pandas_udf("int")
+    def run(part: pd.Series) -> pd.Series:
+        return pd.Series(mixtures.shares(np.stack(part.to_numpy()), mixture)[0].argmax(axis=1) if len(part) else [], dtype="int32")
+
+    return run
+
+
+def silhouettes(df: DataFrame, vector: str, ks: range = range(2, 11), seed: int = 7) -> DataFrame:
+    """(k, silhouette): how well the hard clusters of a mixture of k components keep apart, for each k; tables of fewer than 3 rows give none."""
+    rows = written(df.where(F.col(vector).isNotNull()).select(F.col(vector).cast("array<double>").alias("_v")), "silhouettes")
+    n, out = rows.count(), []
+    for k in (k for k in ks if k < n):
+        labelled = rows.select(array_to_vector("_v").alias("features"), likeliest(mixtures.fitted(rows, "_v", n, [k], seed))("_v").alias("prediction"))
+        if labelled.select("prediction").distinct().limit(2).count() > 1:
+            out.append((k, float(ClusteringEvaluator().evaluate(labelled))))
+    return df.sparkSession.createDataFrame(out, "k int, silhouette double")
+
+
+def nested_clusters(df: DataFrame, key: str, vector: str, dimensions: int = 20, ks: range = range(2, 11), least: float = 0.1, seed: int = 7) -> DataFrame:
+    """(key, cluster): clusters inside clusters, numbered from 0 through all outer ones.
+
+    The vectors are reduced and clustered as a whole; the members of each outer
+    cluster are reduced and clustered by themselves. A set of at most
+    dimensions + 1 rows is one cluster. A row may be in several clusters.
+    """
+    rows = written(df.where(F.col(vector).isNotNull()).select(key, F.col(vector).alias("_w")), "nested")
+    if rows.limit(dimensions + 2).count() <= dimensions + 1:
+        return rows.select(key, F.lit(0).alias("cluster"))
+    outer = written(soft_clusters(reduced(rows, "_w", dimensions), "reduced", ks, least, seed).select(key, "_w", "cluster"), "nested")
+    out, first = None, 0
+    # As many turns as there are outer clusters, which ks bounds.
+    for (c,) in sorted(outer.select("cluster").distinct().collect()):
+        own = outer.where(F.col("cluster") == c).select(key, "_w")
+        if own.limit(dimensions + 2).count() <= dimensions + 1:
+            inner = own.select(key, F.lit(0).alias("cluster"))
+        else:
+            inner = soft_clusters(reduced(own, "_w", dimensions), "reduced", ks, least, seed).select(key, "cluster")
+        inner = written(inner, "nested")
+        numbered = inner.withColumn("cluster", F.col("cluster") + first)
+        out = numbered if out is None else out.unionByName(numbered)
+        first += (inner.agg(F.max("cluster")).first()[0] or 0) + 1
+    return out.select(key, F.col("cluster").cast("int").alias("cluster"))
+
+
+#: (model, provider, context_length, input_price, output_price, requests_per_minute, tokens_per_minute); prices are in dollars for a token. Callers bring their own rows.
+MODELS = "model STRING, provider STRING, context_length INT, input_price DOUBLE, output_price DOUBLE, requests_per_minute INT, tokens_per_minute INT"
+
+
+def model_catalogue(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Models by name, each once (the last one given)."""
+    return spark.createDataFrame(list({r[0]: r for r in rows}.values()), MODELS)
+
+
+def priced(usage: DataFrame, models: DataFrame) -> DataFrame:
+    """usage (model, input_tokens, output_tokens, ...) with its cost, and fits: whether the tokens fit the model's context. Unknown models cost nothing and fit nothing."""
+    known = models.select("model", "input_price", "output_price", "context_length")
+    both = usage.join(known, "model", "left")
+    cost = F.coalesce(F.col("input_tokens") * F.col("input_price") + F.col("output_tokens") * F.col("output_price"), F.lit(0.0))
+    return both.withColumns({"cost": cost, "fits": F.coalesce(F.col("input_tokens") + F.col("output_tokens") <= F.col("context_length"), F.lit(False))}).drop("input_price", "output_price", "context_length")

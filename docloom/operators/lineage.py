@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,54 @@ def fork(steps: DataFrame, pipeline_id: int, new_id: int, before: int, first_ste
     return out.withColumn("pipeline_id", F.lit(new_id)).select(*steps.columns)
 
 
+def fork_pipeline(pipelines: DataFrame, links: DataFrame, pipeline_id: int, new_id: int) -> tuple[DataFrame, DataFrame]:
+    """(pipelines with a copy under new_id, links with the copy's documents): the copy's version ends in _fork and it is linked to the documents of the first."""
+    copy = pipelines.where(F.col("pipeline_id") == pipeline_id).withColumns({"pipeline_id": F.lit(new_id).cast(pipelines.schema["pipeline_id"].dataType), "version": F.concat("version", F.lit("_fork"))})
+    more = links.where(F.col("pipeline_id") == pipeline_id).withColumn("pipeline_id", F.lit(new_id).cast(links.schema["pipeline_id"].dataType))
+    return pipelines.unionByName(copy.select(*pipelines.columns)), links.unionByName(more.select(*links.columns))
+
+
+def ensure_pipeline(pipelines: DataFrame, pipeline_id: int, **values) -> DataFrame:
+    """pipelines with a row of that id: the one there is, or a new one with the given values (other columns null)."""
+    shape = {f.name: f.dataType for f in pipelines.schema.fields}
+    row = {"pipeline_id": pipeline_id, **values}
+    new = pipelines.sparkSession.range(1).select(*[F.lit(row.get(c)).cast(t).alias(c) for c, t in shape.items()])
+    return pipelines.unionByName(new.join(pipelines.select("pipeline_id"), "pipeline_id", "left_anti").select(*pipelines.columns))
+
+
+def put_steps(steps: DataFrame, new: DataFrame) -> DataFrame:
+    """steps after new ones (pipeline_id, position, status, ...) have been written: one for each pipeline and position, the new one.
+
+    A step with an error has status failed; its other values are kept.
+    """
+    new = new.withColumn("status", F.when(F.col("error").isNotNull(), "failed").otherwise(F.col("status"))) if "error" in new.columns else new
+    kept = steps.join(new.select("pipeline_id", "position"), ["pipeline_id", "position"], "left_anti")
+    return kept.unionByName(new.select(*[c for c in steps.columns if c in new.columns]), allowMissingColumns=True)
+
+
+def documents_of(documents: DataFrame, links: DataFrame, pipeline_id: int, key: str = "document_hash") -> DataFrame:
+    """The documents linked to a pipeline."""
+    return documents.join(links.where(F.col("pipeline_id") == pipeline_id).select(key).distinct(), key, "left_semi")
+
+
+def with_pipeline_id(df: DataFrame, pipeline_id: int, inner: str | None = None) -> DataFrame:
+    """Sets pipeline_id, as a column or in a struct column."""
+    value = F.lit(pipeline_id).cast("bigint")
+    return df.withColumn(inner, F.col(inner).withField("pipeline_id", value)) if inner else df.withColumn("pipeline_id", value)
+
+
+def without_points(points: DataFrame, ids: DataFrame | None = None, condition: Column | None = None, key: str = "id") -> DataFrame:
+    """A collection without the points of ids (key), or without those that meet the condition (null does not)."""
+    left = points.join(ids.select(key).distinct(), key, "left_anti") if ids is not None else points
+    return left.where(~F.coalesce(condition, F.lit(False))) if condition is not None else left
+
+
+def relations(entries: DataFrame, edges: DataFrame, key: str = "uuid") -> DataFrame:
+    """(key, direction, relationship_type, other): the edges of each entry in both directions."""
+    side = lambda mine, other, name: edges.select(F.col(f"{mine}_uuid").alias(key), F.lit(name).alias("direction"), "relationship_type", F.col(f"{other}_uuid").alias("other"))
+    return side("source", "target", "out").unionByName(side("target", "source", "in")).join(entries.select(key), key, "left_semi")
+
+
 def delete_pipeline(pipeline_ids: DataFrame, tables: dict[str, DataFrame], edges: DataFrame | None = None) -> dict[str, DataFrame]:
     """Tables without the rows of those pipelines; edges without those that touch a deleted entry."""
     out = {name: t.join(pipeline_ids, "pipeline_id", "left_anti") for name, t in tables.items()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.schemas import validate
 from docloom.sources.workspace import written
 
 
@@ -76,3 +77,23 @@ def with_new_ids(df: DataFrame, order: list[str], after: int, out: str = "id") -
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.partitionBy().orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     return ranged.join(before, "_p").withColumn(out, F.lit(after + 1) + F.col("_b") + F.col("_i")).select(*df.columns, out)
+
+
+def upsert_entries(stored: DataFrame, incoming: DataFrame, keys: list[str], text: str = "string", seq: str = "seq", update: bool = False, required: tuple[str, ...] = (), edges: DataFrame | None = None, ref: str = "ref") -> dict[str, DataFrame]:
+    """All that storing entries does: merged, counters, rejected, and edges.
+
+    Rows without what is required are rejected. The others are hashed by their
+    text (column content_hash, which keys may name) and merged. Edges
+    (source_ref, target_ref, relationship_type) are resolved by column ref, in
+    this batch before the store, and added once to those there are.
+    """
+    good, bad = validate(incoming, required=required)
+    good = good.withColumn("content_hash", content_hash(F.col(text)))
+    merged = merge(stored, good, keys, seq, update)
+    out = {"merged": merged, "counters": counters(merged), "rejected": bad}
+    if edges is not None:
+        batch, before = (df.select(F.col(ref).alias("_ref"), F.col("uuid").alias("target_id")) for df in (last_per_key(good, keys, seq), stored))
+        found = resolve_citations(edges.withColumnRenamed("target_ref", "_ref"), batch, before, "_ref").withColumnRenamed("target_id", "target_uuid").drop("_ref", "tier").withColumnRenamed("source_ref", "_ref")
+        found = resolve_citations(found, batch, before, "_ref").withColumnRenamed("target_id", "source_uuid")
+        out["edges"] = found.select("source_uuid", "target_uuid", "relationship_type").distinct()
+    return out

@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
+from docloom.functions.arrays import folded
+from docloom.functions.vectors import mean_pool
+from docloom.operators.chunking import token_crops
 
 
 def in_waves(rows: DataFrame, most_bytes: int) -> Iterator[list]:
@@ -160,6 +163,48 @@ def format_points(hits: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return hits.where(F.col("score") >= least).join(texts.where(F.length("text") > 0), "id").withColumn("rerank_score", F.lit(0.0))
 
 
+def parsed_points(hits: DataFrame, payloads: DataFrame, texts: DataFrame, least: float = 0.0, flatten: bool = False) -> DataFrame:
+    """Hits as points: (query_id, id, score, title, date, raw_text, ...).
+
+    payloads (id, payload) hold JSON of the hit's document; hits whose payload
+    can't be read are left out. The title falls back to the content type. With
+    flatten a point counts once however many queries found it: with the best score.
+    """
+    kind = "document_title STRING, content_type STRING, load_date TIMESTAMP, public_url STRING"
+    read = payloads.select("id", F.from_json("payload", kind + ", _broken STRING", {"columnNameOfCorruptRecord": "_broken"}).alias("p")).where("p is not null and p._broken is null")
+    own = read.select("id", F.coalesce("p.document_title", "p.content_type").alias("title"), F.col("p.load_date").alias("date"), F.col("p.public_url").alias("public_url"))
+    points = format_points(hits, texts, least).join(own, "id").withColumnRenamed("text", "raw_text")
+    if not flatten:
+        return points
+    rest = [c for c in points.columns if c not in ("id", "query_id")]
+    return points.groupBy("id").agg(F.max_by(F.struct(*rest), F.struct("score", -F.col("query_id"))).alias("_p")).select("id", *[F.col(f"_p.{c}").alias(c) for c in rest])
+
+
+def query_vectors(queries: DataFrame, query_id: str, text: str, tokenize, embed, size: int = 512, overlap: int = 0) -> DataFrame:
+    """(query_id, embedding): queries cut into crops of size tokens, each embedded, and the vectors of a query averaged.
+
+    tokenize(column) gives an array of token numbers, embed(df) adds column
+    embedding from column tokens.
+    """
+    crops = queries.select(F.col(query_id).alias("query_id"), F.explode(token_crops(tokenize(F.col(text)), size, overlap)).alias("tokens"))
+    mean = mean_pool(embed(crops).where("embedding is not null"), ["query_id"], "embedding")
+    return mean.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "mean"))), lambda s: s["mean"]).alias("embedding"))
+
+
+def hybrid_retrieval(corpus: DataFrame, docs: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 10, condition: Column | None = None, least: float = 0.0) -> DataFrame:
+    """Dense and sparse search of the same queries and collection as one operator: (query_id, id, score, rank, channel, text).
+
+    corpus holds (id, embedding ...), docs (id, text), vectors (query_id,
+    embedding), queries (query_id, text); condition is on corpus, and hits of
+    the sparse channel have to be in what it leaves.
+    """
+    allowed = corpus.where(condition) if condition is not None else corpus
+    dense = dense_top_k(allowed, vectors, k, ("id", "query_id"))
+    texts = docs.join(allowed.select("id"), "id", "left_semi") if condition is not None else docs
+    sparse = bm25_top_k(texts, queries, k, ("id", "text"), ("query_id", "text"))
+    return format_points(hybrid(dense, sparse), docs.select("id", "text"), least)
+
+
 def citation_numbers(points: DataFrame, document: str, order: list[str]) -> DataFrame:
     """Adds citation: 1 for the document that appears first in the query's order, 2 for the next, and so on."""
     first = points.groupBy("query_id", document).agg(F.min(F.struct(*order)).alias("_first"))
@@ -213,6 +258,27 @@ def citation_groups(cited: DataFrame, keys: list[str], number: str) -> DataFrame
     return run.groupBy(*keys, "_g").agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.count(F.lit(1)).alias("n")).drop("_g")
 
 
+def highlights(groups: DataFrame, docs: DataFrame, key: str = "id", around: int = 0) -> DataFrame:
+    """groups (key, lo, hi, ...) of sentence numbers, with citation_text and highlights (start, end): where its sentences stand in the text of docs (key, text).
+
+    around widens a group by so many sentences on both sides. Positions are
+    characters, end exclusive. Sentences stand in the text one after the other,
+    so each one's place follows from where the last one ended.
+    """
+    def places(text: Column) -> Column:
+        pieces = F.split(text, r"(?<=[.!?])\s+")
+        gaps = F.regexp_extract_all(text, F.lit(r"(?<=[.!?])\s+"), F.lit(0))
+        both = F.arrays_zip(pieces.alias("s"), gaps.alias("g"))
+        step = lambda at, p: (at + F.length(p["s"]) + F.coalesce(F.length(p["g"]), F.lit(0)), F.when(p["s"] != "", F.struct(at.cast("int").alias("start"), (at + F.length(p["s"])).cast("int").alias("end"), p["s"].alias("s"))))
+        return folded(both, F.lit(0).cast("bigint"), step, "struct<start: int, end: int, s: string>")
+
+    both = groups.join(docs.select(key, places(F.col("text")).alias("_s")), key)
+    low = F.greatest(F.col("lo") - around, F.lit(1))
+    both = both.withColumn("_s", F.slice("_s", low.cast("int"), (F.col("hi") + around - low + 1).cast("int")))
+    marks = F.transform("_s", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return both.withColumns({"citation_text": F.array_join(F.transform("_s", lambda s: s["s"]), " "), "highlights": marks}).drop("_s")
+
+
 def annotated(sentences: DataFrame, cited: DataFrame, key: str, number: str = "sentence_no") -> DataFrame:
     """Sentences with their citation numbers behind them: sentence [1][2]. Each number once, in order."""
     marks = cited.groupBy(key, number).agg(F.array_join(F.transform(F.array_sort(F.collect_set("citation")), lambda c: F.concat(F.lit("["), c.cast("string"), F.lit("]"))), "").alias("_m"))

@@ -38,6 +38,9 @@ def errors(config: dict[str, Any]) -> list[str]:
             known = parameters(kind, name)
             found += [f"{kind}/{name}: unknown parameter {p}" for p in params if p not in known]
             found += [f"{kind}/{name}: missing parameter {p}" for p, needed in known.items() if needed and p not in params]
+            own = (config.get("pipeline") or {}).get("collection_name")
+            if "collection_name" in params and own is not None and params["collection_name"] != own:
+                found.append(f"{kind}/{name}: collection_name is not the pipeline's {own}")
             for k, v in (params.get("added_metadata") or {}).items():
                 if k in DOMAINS and v is not None and str(v).lower() not in DOMAINS[k]:
                     found.append(f"{kind}/{name}: {k} can't be {v}")

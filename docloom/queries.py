@@ -76,13 +76,15 @@ def html_title_links(spark, d):
 
 
 @query(r"""WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"', 1)) AS link FROM pages),
-c AS (SELECT *, regexp_replace(lower(trim(link)), '#.*', '') AS p FROM l)
+m AS (SELECT page_id, url, link || (['', '.pdf', '.PDF#p2', '.pdf.html', '/pdf/x', '?download=pdf', '?type=application/pdf'])[page_id % 7 + 1] AS link FROM l),
+c AS (SELECT *, regexp_replace(lower(trim(link)), '#.*', '') AS p FROM m)
 SELECT page_id, link, CASE WHEN p = '' OR p LIKE 'javascript:%' OR p LIKE 'mailto:%' OR p LIKE 'tel:%' OR p LIKE 'data:%' THEN NULL ELSE p END AS cleaned,
- contains(link, '.pdf') AS to_pdf, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || link AS absolute FROM c""")
+ page_id % 7 IN (1, 2, 4, 5, 6) AS to_pdf, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || link AS absolute FROM c""")
 def link_classify(spark, d):
-    rows = t(spark, d, "pages").select("page_id", "url", F.explode(web.links(F.col("html"))).alias("link"))
+    ends = F.get(F.array(*[F.lit(x) for x in ("", ".pdf", ".PDF#p2", ".pdf.html", "/pdf/x", "?download=pdf", "?type=application/pdf")]), (F.col("page_id") % 7).cast("int"))
+    rows = t(spark, d, "pages").select("page_id", "url", F.explode(web.links(F.col("html"))).alias("link")).withColumn("link", F.concat("link", ends))
     link = F.col("link")
-    return rows.select("page_id", "link", web.cleaned_link(link).alias("cleaned"), web.leads_to_pdf(link).alias("to_pdf"), web.resolved(link, F.col("url")).alias("absolute"))
+    return rows.select("page_id", "link", web.cleaned_link(link).alias("cleaned"), web.leads_to_pdf(web.cleaned_link(link)).alias("to_pdf"), web.resolved(link, F.col("url")).alias("absolute"))
 
 
 @query("SELECT regexp_replace(url, '[;?#].*', '') AS norm_url, min(page_id) AS page_id, count(*) AS n FROM pages GROUP BY 1")
@@ -746,7 +748,7 @@ def gmm_soft_assign(spark, d):
 
 @query()
 def embed_documents(spark, d):
-    return features.embed(t(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", F.size("embedding").alias("dimensions"))
+    return features.embed(t(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", "embedding")
 
 
 @query("SELECT doc_id, trim(string_split(text, '. ')[1]) AS string, 'synthetic_summary' AS embedded_feature_type, doc_id::VARCHAR AS target_uuid FROM documents")
@@ -825,3 +827,6 @@ def stream_dedupe(spark, d):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to chunks with provenance to metrics per language."""
     return chunk_metrics(spark, sf_dir)
+
+
+from docloom import more_queries  # noqa: E402, F401  adds to QUERIES and ORACLES

@@ -69,3 +69,8 @@ def validate(df: DataFrame, **rules) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with reject_reasons); every row is in one of them."""
     marked = df.withColumn("reject_reasons", reject_reasons(**rules))
     return marked.where(F.size("reject_reasons") == 0).drop("reject_reasons"), marked.where(F.size("reject_reasons") > 0)
+
+
+def by_index(column: str) -> list[Column]:
+    """Order of an index struct: primary, secondary, tertiary, missing ones first."""
+    return [F.col(f"{column}.{part}").asc_nulls_first() for part in ("primary", "secondary", "tertiary")]

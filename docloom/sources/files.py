@@ -10,6 +10,9 @@ MIME_TYPES = {
     "application/pdf": "pdf", "text/plain": "txt", "text/html": "html", "text/markdown": "md", "application/json": "json", "application/xml": "xml", "text/csv": "csv",
     "text/tab-separated-values": "tsv", "application/sql": "sql", "application/x-yaml": "yaml", "application/toml": "toml", "video/mp4": "mp4", "audio/mpeg": "mp3", "audio/wav": "wav",
     "image/jpeg": "jpeg", "image/png": "png", "image/gif": "gif", "image/svg+xml": "svg", "video/webm": "webm",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": "docx", "application/vnd.openxmlformats-officedocument.presentationml.presentation": "pptx",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": "xlsx", "application/vnd.oasis.opendocument.text": "odt", "application/vnd.oasis.opendocument.spreadsheet": "ods",
+    "application/vnd.oasis.opendocument.presentation": "odp",
 }
 EXTENSIONS = {"doc": "docx", "ppt": "pptx", "xls": "xlsx", "htm": "html", "yml": "yaml", "text": "txt", "markdown": "md"}
 KNOWN = tuple("pdf docx pptx xlsx txt html md json xml csv tsv sql yaml toml mp4 mp3 wav jpg jpeg png gif svg webm odt ods odp".split())
@@ -76,3 +79,25 @@ def vector_rows(vectors: DataFrame, must: dict[str, object], limit: int = 200) -
 
     kept = [c for c, t in vectors.dtypes if not t.startswith("array<float")]
     return vectors.where(predicate(must)).select(*kept).orderBy(kept[0]).limit(limit)
+
+
+def vectors_by_id(vectors: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of a collection, vectors included, whose key is among ids (key); ids that are not there give nothing."""
+    return vectors.join(ids.select(key).distinct(), key, "left_semi")
+
+
+# The file types that extractors take.
+EXTRACTED_TYPES = {"simple": ("pdf",), "ocr": ("pdf", "jpg", "jpeg", "png")}
+
+
+def takes_file(extractor: str, file_type_col: Column) -> Column:
+    """Whether an extractor takes files of a type; extractors without a list take all."""
+    types = EXTRACTED_TYPES.get(extractor)
+    return F.coalesce(file_type_col.isin(*types), F.lit(False)) if types else F.lit(True)
+
+
+def entries_with_documents(entries: DataFrame, documents: DataFrame, pipeline_id: int | None = None, key: str = "document_hash") -> DataFrame:
+    """Entries (of one pipeline, if given) with their document as a struct column; entries without one have null."""
+    own = entries.where(F.col("pipeline_id") == pipeline_id) if pipeline_id is not None else entries
+    inner = documents.select(F.col(key), F.struct(*[c for c in documents.columns if c != key]).alias("document"))
+    return own.join(inner, key, "left")
