@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import web
-from docloom.operators import chunking, extraction, features, filters, merge
+from docloom.operators import blocks, chunking, extraction, features, filters, merge
 from docloom.plans.registry import operator
 from docloom.sources import files
 
@@ -72,19 +72,67 @@ def embed(spark: SparkSession, df: DataFrame, text: str = "chunk_text", filter_p
     return filters.pass_through(df, filter_params or {}, lambda d: features.embed(d, text))
 
 
+@operator("extract", "nested_blocks")
+def nested_blocks(spark: SparkSession, df: DataFrame, key: str = "document_hash", json: str = "text", mode: str = "by_page") -> DataFrame:
+    return blocks.block_entries(blocks.nested_blocks(df, key, json), key, mode == "by_title")
+
+
+@operator("extract", "recognized")
+def recognized(spark: SparkSession, df: DataFrame, key: str = "document_hash", json: str = "text") -> DataFrame:
+    return blocks.recognized_elements(df, key, json)
+
+
+@operator("chunk", "distance_chunking")
+def distance_chunking(spark: SparkSession, df: DataFrame, key: str = "document_hash", order: str = "page", text: str = "text", percentile_threshold: float = 95.0, threshold: float | None = None) -> DataFrame:
+    """Units are embedded by the default embedder."""
+    return chunking.distance_chunks(df, [key], order, text, lambda units: features.embed(units, "unit"), percentile_threshold, threshold)
+
+
+@operator("chunk", "generative")
+def generative(spark: SparkSession, df: DataFrame, key: str = "document_hash", order: str = "page", text: str = "text", most_words: int = 500) -> DataFrame:
+    """Answers come from the default model."""
+    return chunking.generative_chunks(df, [key], order, text, lambda d, prompt: features.complete(d, prompt, "answer"), most_words)
+
+
+@operator("featurize", "get_clusters")
+def get_clusters(spark: SparkSession, df: DataFrame, key: str = "uuid", vector: str = "embedding", dimensions: int = 20) -> DataFrame:
+    """Adds clusters, the sorted numbers of the clusters inside clusters that a row is in; rows without a vector have none."""
+    found = features.nested_clusters(df, key, vector, dimensions).groupBy(key).agg(F.array_sort(F.collect_set("cluster")).alias("clusters"))
+    return df.join(found, key, "left").withColumn("clusters", F.coalesce("clusters", F.array().cast("array<int>")))
+
+
+def next_version(spark: SparkSession, path: str) -> tuple[str | None, str]:
+    """(folder of the newest version, folder of the next): versions are folders v=1, v=2, ... below path; one counts once it has been written whole."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    known = [0]
+    if system.exists(folder):
+        for status in system.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith("v=") and system.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                known.append(int(name[2:]))
+    last = max(known)
+    base = path.rstrip("/")
+    return f"{base}/v={last}" if last else None, f"{base}/v={last + 1}"
+
+
+def merged_into(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], seq: str, update: bool) -> DataFrame:
+    """Merges into the table of versions at path and returns the new version with its actions. The version before stays whole, whatever happens on the way."""
+    last, new = next_version(spark, path)
+    existing = spark.read.parquet(last).drop("action") if last else incoming.drop(seq).limit(0)
+    merge.merge(existing, incoming, keys, seq, update).write.mode("overwrite").parquet(new)
+    return spark.read.parquet(new)
+
+
 @operator("upsert", "upsert_entries")
-def upsert_entries(spark: SparkSession, df: DataFrame, path: str, keys: list[str], update_on_collision: bool = False) -> DataFrame:
-    """Merges into the Parquet table at path (a new snapshot folder each time) and returns the actions."""
-    seq = df.withColumn("_seq", F.monotonically_increasing_id())
-    try:
-        existing = spark.read.parquet(path)
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        existing = df.limit(0)
-    merged = merge.merge(existing, seq, keys, "_seq", update_on_collision)
-    snapshot = f"{path.rstrip('/')}__next"
-    merged.write.mode("overwrite").parquet(snapshot)
-    done = spark.read.parquet(snapshot)
-    done.drop("action").write.mode("overwrite").parquet(path)
-    return done
+def upsert_entries(spark: SparkSession, df: DataFrame, path: str, keys: list[str], update_on_collision: bool = False, order: str | None = None) -> DataFrame:
+    """Merges into the table of versions at path and returns the actions. Of rows with one key the last by order counts (by all values, if no order is given)."""
+    seq = df.withColumn("_seq", F.col(order) if order else F.xxhash64(*df.columns))
+    return merged_into(spark, path, seq, keys, "_seq", update_on_collision)
+
+
+@operator("upsert", "upsert_embeddings")
+def upsert_embeddings(spark: SparkSession, df: DataFrame, path: str, key: str = "uuid", collection_name: str = "") -> DataFrame:
+    """Rows with a vector, merged into the collection's table of versions at path; the others are left out."""
+    has = df.where(F.coalesce(F.size("embedding") > 0, F.lit(False))).withColumn("_seq", F.xxhash64(*df.columns))
+    return merged_into(spark, path, has, [key], "_seq", True)

@@ -235,3 +235,26 @@ def test_steps_and_points(spark):
     assert [tuple(r) for r in out.collect()] == [(1, 0, "failed")]
     points = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id int, tag string")
     assert sorted(r.id for r in lineage.without_points(points, condition=F.col("tag") == "a").collect()) == [1, 3]
+
+
+def test_operators_of_pipelines(spark, tmp_path):
+    ops = registry.OPERATORS
+    rows = spark.createDataFrame([("d", 1, "One here. Two here. Three zzz."), ("d", 2, "Four here."), ("e", 1, None)], "document_hash string, page int, text string")
+    chunks = ops["chunk", "distance_chunking"](spark, rows, threshold=0.9).collect()
+    assert " ".join(r.chunk_text for r in sorted(chunks, key=lambda r: r.chunk_index)) == "One here. Two here. Three zzz. Four here."
+    assert ops["chunk", "generative"](spark, rows.where("text is not null")).count() >= 1
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", None), ("c", [0.0, 1.0])], "uuid string, embedding array<float>")
+    assert {r.uuid: r.clusters for r in ops["featurize", "get_clusters"](spark, vectors).collect()} == {"a": [0], "b": [], "c": [0]}
+    path = str(tmp_path / "points")
+    for n in (1, 2):
+        out = ops["upsert", "upsert_embeddings"](spark, vectors.withColumn("n", F.lit(n)), path)
+        assert {(r.uuid, r.n, r.action) for r in out.collect()} == {(u, n, "insert" if n == 1 else "update") for u in "ac"}
+
+
+def test_a_broken_version_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "entries")
+    put = lambda x: registry.OPERATORS["upsert", "upsert_entries"](spark, spark.createDataFrame([(1, x)], "k int, v string"), path, ["k"], update_on_collision=True)
+    assert put("a").count() == 1
+    (tmp_path / "entries" / "v=2").mkdir()
+    (tmp_path / "entries" / "v=2" / "part-0.parquet").write_text("broken")
+    assert [(r.v, r.action) for r in put("b").collect()] == [("b", "update")]
