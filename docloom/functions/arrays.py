@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,14 @@ def folded(items: Column, state: Column, step: Callable[[Column, Column], tuple[
 def sums_before(lengths: Column) -> Column:
     """For each element of an array of whole numbers the sum of those before it."""
     return folded(lengths, F.lit(0).cast("bigint"), lambda s, n: (s + n, s), "bigint")
+
+
+def rows_of(df: DataFrame, kept: list, array: Column, *names: str) -> DataFrame:
+    """kept columns and a row for each element of array: (position, element) under two names, or (element) under one.
+
+    As explode, but the array is computed once: for explode the optimizer adds a
+    filter on the array's size, which computes it again.
+    """
+    made = F.posexplode_outer(array).alias(*names) if len(names) == 2 else F.posexplode_outer(array).alias("_at", *names)
+    rows = df.select(*kept, made)
+    return rows.where(F.col(names[0] if len(names) == 2 else "_at").isNotNull()).drop(*([] if len(names) == 2 else ["_at"]))

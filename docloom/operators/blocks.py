@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.arrays import rows_of
 from docloom.operators.extraction import BLOCK_TYPES_OF_BODIES, common_type
 
 NODE = "array<struct<page: int, pos: int, level: int, block_type: string, parent_type: string, text: string, html: string, bbox: array<double>, page_width: double, page_height: double>>"
@@ -57,7 +58,7 @@ def nested_blocks(docs: DataFrame, key: str, json_col: str) -> DataFrame:
                     out.append([])
             yield pd.Series(out, dtype=object)
 
-    rows = docs.select(key, F.explode(flat(F.col(json_col))).alias("b")).select(key, "b.*")
+    rows = rows_of(docs, [key], flat(F.col(json_col)), "b").select(key, "b.*")
     of = lambda kind: F.startswith("block_type", F.lit(f"{kind}_")) | F.coalesce(F.col("parent_type") == kind, F.lit(False))
     kind = F.when(of("image"), "figure").when(of("table"), "table")
     return rows.withColumns({"feature_type": common_type(F.col("block_type"), BLOCK_TYPES_OF_BODIES), "parent_kind": kind})
@@ -119,7 +120,7 @@ def recognized_elements(docs: DataFrame, key: str, json_col: str) -> DataFrame:
     blocks without text take their type as text; secondary 0 is the page's
     combined_text, its lines joined by spaces.
     """
-    rows = docs.select(key, F.posexplode(F.from_json(json_col, RECOGNIZED)["Blocks"]).alias("_n", "b"))
+    rows = rows_of(docs, [key], F.from_json(json_col, RECOGNIZED)["Blocks"], "_n", "b")
     kind = F.lower("b.BlockType")
     rows = rows.select(key, "_n", F.coalesce("b.Page", F.lit(1)).alias("page"), kind.alias("kind"), "b.Text", F.col("b.Geometry.BoundingBox").alias("box")).where(kind.isin("line", "word") | F.startswith(kind, F.lit("layout_")))
     layout = F.regexp_replace("kind", "^layout_", "")

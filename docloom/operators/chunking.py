@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.functions.arrays import folded, let, sums_before
+from docloom.functions.arrays import folded, let, rows_of, sums_before
 from docloom.functions.vectors import cosine
 
 
@@ -32,7 +32,7 @@ def sliding_words(df: DataFrame, keys: list[str], text: str = "text", size: int
     # Each window joins its own words once; the words between two starts give the running offset.
     rows = df.where(F.rlike(F.col(text), F.lit(r"\S"))).select(*keys, let(tx.spaced_words(F.col(text)), cut).alias("_c"))
     rows = rows.select(*keys, F.arrays_zip("_c", sums_before(F.transform("_c", lambda c: c["own"])).alias("_b")).alias("_z"))
-    at = rows.select(*keys, F.posexplode("_z").alias("_n", "_w")).select(*keys, "_n", F.col("_w._c.raw").alias("_raw"), F.col("_w._c.n").alias("n_words"), F.col("_w._b").cast("int").alias("_before"))
+    at = rows_of(rows, keys, F.col("_z"), "_n", "_w").select(*keys, "_n", F.col("_w._c.raw").alias("_raw"), F.col("_w._c.n").alias("n_words"), F.col("_w._b").cast("int").alias("_before"))
     at = at.withColumn("chunk_text", F.regexp_replace("_raw", r"^\s+", ""))
     end = F.col("_before") + F.length("_raw")
     return at.select(*keys, (F.col("_n") + 1).alias("chunk_index"), (end - F.length("chunk_text")).alias("chunk_start"), end.alias("chunk_end"), "n_words", "chunk_text")
@@ -56,7 +56,7 @@ def sliding_tokens(df: DataFrame, keys: list[str], text: str, tokenizer_path: st
                 out.append([{"chunk_start": at[i][0], "chunk_end": at[min(i + size, len(at)) - 1][1], "n_tokens": min(size, len(at) - i)} for i in range(0, len(at), size - overlap)])
             yield pd.Series(out, dtype=object)
 
-    rows = df.select(*keys, text, F.posexplode(spans(F.col(text))).alias("_n", "s"))
+    rows = rows_of(df, [*keys, text], spans(F.col(text)), "_n", "s")
     body = F.col(text).substr(F.col("s.chunk_start") + 1, F.col("s.chunk_end") - F.col("s.chunk_start"))
     return rows.select(*keys, (F.col("_n") + 1).alias("chunk_index"), "s.chunk_start", "s.chunk_end", "s.n_tokens", body.alias("chunk_text"))
 
@@ -127,7 +127,7 @@ def distance_chunks(entries: DataFrame, keys: list[str], order: str, text: str,
     distance to the next is above threshold, or above the given percentile of
     the document's distances. A distance to a vector of no length counts as 0.
     """
-    units = entries.select(*keys, F.col(order).alias("_entry"), F.posexplode(tx.sentences(F.col(text))).alias("_pos", "unit"))
+    units = rows_of(entries, [*keys, F.col(order).alias("_entry")], tx.sentences(F.col(text)), "_pos", "unit")
     w = Window.partitionBy(*keys).orderBy("_entry", "_pos")
     vectors = embed(units).withColumn("_far", F.coalesce(1 - cosine(F.col("embedding"), F.lead("embedding").over(w)), F.lit(0.0)))
     if threshold is None:
@@ -197,7 +197,7 @@ def greedy_windows(df: DataFrame, keys: list[str], order: str, size: Column, mos
         return F.struct(total.alias("size"), k.alias("k"), F.lit(True).alias("any")), k
 
     packed = packed.withColumn("_w", folded(F.col("_e"), start, step, "int"))
-    rows = packed.select(*keys, F.explode(F.arrays_zip(F.col("_e.o").alias("o"), F.col("_w").alias("w"))).alias("_r"))
+    rows = rows_of(packed, keys, F.arrays_zip(F.col("_e.o").alias("o"), F.col("_w").alias("w")), "_r")
     return rows.select(*keys, F.col("_r.o").alias(order), F.col("_r.w").alias("window"))
 
 
@@ -242,5 +242,5 @@ def topic_segments(df: DataFrame, keys: list[str], text: str = "text") -> DataFr
             yield pd.Series(text_tiles(part.fillna("").str.replace("\f", " ").tolist()), dtype=object)
 
     tiles = F.filter(F.split(tiled(F.col(text)), "\f"), lambda t: F.trim(t) != "")
-    rows = df.select(*keys, F.posexplode(tiles).alias("_n", "chunk_text"))
+    rows = rows_of(df, keys, tiles, "_n", "chunk_text")
     return rows.select(*keys, (F.col("_n") + 1).alias("chunk_index"), "chunk_text")

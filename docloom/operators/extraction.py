@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.arrays import rows_of
+
 # Block types of layout parsers in common terms (anything else: other), and the types that stand alone.
 BLOCK_TYPES = {
     "text": "text", "word": "word", "line": "line", "image": "image", "table": "table", "tablegroup": "tablegroup", "figure": "figure", "figuregroup": "figuregroup",
@@ -38,7 +40,7 @@ def plain(html: Column) -> Column:
 
 def parsed_blocks(docs: DataFrame, key: str, json: str) -> DataFrame:
     """(key, page, pos, sub, block_type, feature_type, text, polygon): blocks of a layout parser's JSON, list groups flattened; broken JSON gives no rows."""
-    pages = docs.select(key, F.posexplode(F.from_json(json, PAGES)["children"]).alias("_p", "page_block"))
+    pages = rows_of(docs, [key], F.from_json(json, PAGES)["children"], "_p", "page_block")
     blocks = pages.select(key, (F.col("_p") + 1).alias("page"), F.posexplode("page_block.children").alias("pos", "b"))
     nested = F.array(F.struct(F.col("b.block_type").alias("block_type"), F.col("b.html").alias("html"), F.col("b.polygon").alias("polygon")))
     inner = F.when(F.size("b.children") > 0, F.col("b.children")).otherwise(nested)
@@ -82,7 +84,7 @@ def linked_to_parent(blocks: DataFrame, key: str, order: list[str], is_parent: C
 
 def split_pages(docs: DataFrame, key: str, text: str, mark: str = r"\f|\n\s*\n") -> DataFrame:
     """(key, page from 1, text): plain text cut at form feeds or blank lines; blank pages keep their number but give no row."""
-    rows = docs.select(key, F.posexplode(F.split(text, mark)).alias("_p", "page_text"))
+    rows = rows_of(docs, [key], F.split(text, mark), "_p", "page_text")
     return rows.where(F.trim("page_text") != "").select(key, (F.col("_p") + 1).alias("page"), F.trim("page_text").alias("text"))
 
 
@@ -100,7 +102,7 @@ def html_passages(pages: DataFrame, key: str, html: str, most_words: int = 220)
         return F.struct(F.when(full, b["n"]).otherwise(acc["n"] + b["n"]).alias("n"), F.when(full, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"), now.alias("now"))
 
     packed = F.aggregate(sized, start, step, lambda a: F.when(a["now"] != "", F.concat(a["done"], F.array(a["now"]))).otherwise(a["done"]))
-    rows = pages.select(key, F.posexplode(packed).alias("_n", "text"))
+    rows = rows_of(pages, [key], packed, "_n", "text")
     return rows.select(key, (F.col("_n") + 1).alias("passage"), F.size(F.split("text", " ")).alias("n_words"), "text")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.functions.arrays import folded
+from docloom.functions.arrays import folded, rows_of
 from docloom.functions.vectors import mean_pool
 from docloom.operators.chunking import token_crops
 
@@ -84,7 +84,7 @@ def nearest(shared, k: int, digits: int, block: int):
 
 def term_frequencies(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
     """(term, df): how many documents have each of the terms; counted where the documents are read."""
-    seen = docs.select(F.explode(F.array_distinct(tx.tokens(F.col(text)))).alias("term"))
+    seen = rows_of(docs, [], F.array_distinct(tx.tokens(F.col(text))), "term")
     return seen.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -99,7 +99,7 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int = 10, doc: tuple[str,
     smaller id.
     """
     spark = docs.sparkSession
-    terms = queries.select(F.col(query[0]).alias("query_id"), F.explode(F.array_distinct(tx.tokens(F.col(query[1])))).alias("term"))
+    terms = rows_of(queries, [F.col(query[0]).alias("query_id")], F.array_distinct(tx.tokens(F.col(query[1]))), "term")
     weighed = terms.join(term_frequencies(docs, terms, doc[1]), "term")
     weighed = weighed.groupBy("query_id").agg(F.collect_list("term").alias("terms"), F.collect_list(F.col("df").cast("double")).alias("df"))
     n = docs.count()
@@ -247,7 +247,7 @@ def merge_context(points: DataFrame, keys: list[str], order: str = "primary", le
 
 def indexed_sentences(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, sentence_no from 1, sentence) without [n] marks."""
-    rows = docs.select(key, F.posexplode(tx.sentences(tx.strip_citations(F.col(text)))).alias("_n", "sentence"))
+    rows = rows_of(docs, [key], tx.sentences(tx.strip_citations(F.col(text))), "_n", "sentence")
     return rows.select(key, (F.col("_n") + 1).alias("sentence_no"), "sentence")
 
 
