@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import blocks, chunking, crawl, evaluation, features, lineage, merge, retrieval
+from docloom.operators import blocks, chunking, crawl, evaluation, extraction, features, filters, lineage, merge, retrieval
 from docloom.queries import BM25, COS, query, r6, t, windows
 from docloom.sources import files
 
@@ -180,6 +182,40 @@ def recognized_elements(spark, d):
     return blocks.recognized_elements(docs, "conv_id", "json").select("conv_id", "page", "secondary", "feature_type", "string", "width")
 
 
+GROUPED = """b AS (SELECT conv_id, dense_rank() OVER (PARTITION BY conv_id ORDER BY turn // 4)::INT AS page, turn, role, (row_number() OVER (PARTITION BY conv_id, turn // 4 ORDER BY turn) - 1)::INT AS sub, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM conversations),
+k AS (SELECT *, CASE role WHEN 'system' THEN 'table' WHEN 'user' THEN 'figure' ELSE 'caption' END AS kind FROM b),
+p AS (SELECT *, coalesce(last_value(CASE WHEN kind <> 'caption' THEN sub END IGNORE NULLS) OVER w, first_value(CASE WHEN kind <> 'caption' THEN sub END IGNORE NULLS) OVER (PARTITION BY conv_id, page ORDER BY sub ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS seat,
+ row_number() OVER (PARTITION BY conv_id, kind ORDER BY page, sub) AS nth FROM k WINDOW w AS (PARTITION BY conv_id, page ORDER BY sub))"""
+
+
+@query(f"""WITH {GROUPED} SELECT conv_id, page, sub, kind, CASE WHEN kind <> 'caption' THEN nth END AS number, CASE WHEN kind = 'figure' THEN '' ELSE text END AS string, CASE WHEN kind = 'caption' THEN seat END AS target_sub FROM p
+UNION ALL SELECT conv_id, page, sub, 'caption', NULL, text, sub FROM p WHERE kind = 'figure' AND text <> ''""")
+def group_elements(spark, d):
+    """Four turns of a conversation as a figure group: user turns are figures with text, system turns tables, assistant turns captions."""
+    kind = F.when(F.col("role") == "system", "Table").when(F.col("role") == "user", "Figure").otherwise("Caption")
+    block = F.struct("turn", kind.alias("block_type"), F.concat(F.lit("<p>"), F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("\n"), F.lit("<br>")), F.lit("</p>")).alias("html"))
+    pages = t(spark, d, "conversations").withColumn("page", F.expr("turn div 4")).groupBy("conv_id", "page").agg(F.array_sort(F.collect_list(block)).alias("children"))
+    pages = pages.select("conv_id", "page", F.array(F.struct(F.lit("FigureGroup").alias("block_type"), "children")).alias("children"))
+    docs = pages.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("page", "children"))).alias("children"))
+    return extraction.group_elements(docs.select("conv_id", F.to_json(F.struct("children")).alias("json")), "conv_id", "json").select("conv_id", "page", "sub", "kind", "number", "string", "target_sub")
+
+
+@query("SELECT conv_id, (turn % 3)::INT AS page, string_agg(turn::VARCHAR, ',' ORDER BY turn) AS entries FROM conversations GROUP BY 1, 2")
+def locations_by_page(spark, d):
+    """Entries with two locations on one page count once there."""
+    place = F.struct(F.struct((F.col("turn") % 3 + 1).cast("int").alias("primary")).alias("index"))
+    rows = t(spark, d, "conversations").select("conv_id", "turn", F.array(place, place).alias("chunk_locations"))
+    return extraction.on_pages(rows, "conv_id", "turn").select("conv_id", "page", F.array_join("uuids", ",").alias("entries"))
+
+
+@query("""SELECT doc_id, 'a' || source AS title, '["' || lang || '",null]' AS keywords, CASE WHEN doc_id % 2 = 0 THEN '{"k":"' || lang || '"}' END AS features FROM documents""")
+def stored_rows(spark, d):
+    """Complex columns as JSON, strings without NUL characters."""
+    lang = F.concat("lang", F.lit("\0"))
+    rows = t(spark, d, "documents").select("doc_id", F.concat(F.lit("a\0"), "source").alias("title"), F.array(lang, F.lit(None).cast("string")).alias("keywords"), F.when(F.col("doc_id") % 2 == 0, F.struct(lang.alias("k"))).alias("features"))
+    return filters.stored_rows(rows)
+
+
 # ---- catalogue and merge
 
 
@@ -262,6 +298,17 @@ def entry_edges(spark, d):
     return merge.upsert_entries(stored.unionByName(parts), even, ["ref"], edges=edges)["edges"]
 
 
+@query("""WITH i AS (SELECT sha256(text) AS h, max(doc_id) AS last FROM documents GROUP BY 1), o AS (SELECT sha256(text) AS h, min(doc_id) AS first FROM documents WHERE doc_id % 2 = 0 GROUP BY 1)
+SELECT i.h AS document_hash, i.last AS id, CASE WHEN o.h IS NULL THEN 'insert' ELSE 'update' END AS action, (1 + (o.h IS NOT NULL AND o.first % 4 = 0)::INT)::BIGINT AS n_links FROM i LEFT JOIN o ON o.h = i.h""")
+def document_upsert(spark, d):
+    """Documents by hash, each linked once to the pipeline; some were linked to another one before."""
+    docs = t(spark, d, "documents").select(F.sha2("text", 256).alias("document_hash"), F.col("doc_id").alias("id"))
+    old = docs.where("id % 2 = 0").groupBy("document_hash").agg(F.min("id").alias("id"))
+    links = old.where("id % 4 = 0").select(F.lit(1).cast("bigint").alias("pipeline_id"), "document_hash")
+    merged, linked = merge.upsert_documents(old, links, docs.withColumn("seq", F.col("id")), 2, "seq")
+    return merged.join(linked.groupBy("document_hash").agg(F.count(F.lit(1)).alias("n_links")), "document_hash").select("document_hash", "id", "action", "n_links")
+
+
 # ---- features and retrieval
 
 
@@ -298,6 +345,21 @@ def _both(spark, d):
     return retrieval.hybrid_retrieval(e, docs, vectors, t(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text"), condition=F.col("label") < 8, least=0.2)
 
 
+@query(r"""SELECT doc_id, lang, trim(x) AS feature FROM (SELECT doc_id, lang, unnest(string_split(source || ';' || lang, ';')) AS x FROM documents WHERE lang IN ('en', 'fr') AND doc_id % 4 <> 0) UNION ALL SELECT doc_id, lang, NULL FROM documents WHERE lang NOT IN ('en', 'fr') OR doc_id % 4 = 0""")
+def featurize_lists(spark, d):
+    """A model that answers with a list, rows that the filter leaves out, and answers that can't be read."""
+    model = lambda texts: [json.dumps({"items": t.split(";")}) if t != "-" else "no JSON" for t in texts]
+    said = F.when(F.col("doc_id") % 4 == 0, F.lit("-")).otherwise(F.concat_ws(";", "source", "lang"))
+    return features.featurized(t(spark, d, "documents").select("doc_id", "lang", "source"), said, model, "items", {"lang": ["en", "fr"]}).select("doc_id", "lang", "feature")
+
+
+@query("SELECT doc_id, 2 AS n_messages, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS n_images, sha256('Describe ' || text) AS content_hash FROM documents")
+def image_prompts(spark, d):
+    images = F.array(F.when(F.col("doc_id") % 2 == 0, F.lit("data:image/png;base64,x")), F.lit(""))
+    rows = t(spark, d, "documents").select("doc_id", features.image_prompt("You describe images.", F.concat(F.lit("Describe "), "text"), images).alias("m"))
+    return rows.select("doc_id", F.size("m").alias("n_messages"), F.size(F.get("m", F.lit(1))["images"]).alias("n_images"), F.sha2(F.get("m", F.lit(1))["content"], 256).alias("content_hash"))
+
+
 @query(f"WITH {BOTH} SELECT query_id, id, score, rank, channel FROM pts")
 def hybrid_search(spark, d):
     return _both(spark, d).select("query_id", "id", "score", "rank", "channel")

@@ -61,6 +61,35 @@ def sliding_tokens(df: DataFrame, keys: list[str], text: str, tokenizer_path: st
     return rows.select(*keys, (F.col("_n") + 1).alias("chunk_index"), "s.chunk_start", "s.chunk_end", "s.n_tokens", body.alias("chunk_text"))
 
 
+def tokenized(df: DataFrame, text: str, tokenizer_path: str, out: str = "tokens") -> DataFrame:
+    """Adds the token numbers of a public tokenizer file; null text has none."""
+
+    @F.pandas_udf("array<int>")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        tokenizer.encode_special_tokens = True
+        for part in parts:
+            yield pd.Series([e.ids for e in tokenizer.encode_batch(part.fillna("").tolist(), add_special_tokens=False)], dtype=object)
+
+    return df.withColumn(out, run(F.col(text)))
+
+
+def detokenized(df: DataFrame, tokens: str, tokenizer_path: str, out: str = "text") -> DataFrame:
+    """Adds the text of token numbers, special ones included; null tokens give empty text."""
+
+    @F.pandas_udf("string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        for part in parts:
+            yield pd.Series(tokenizer.decode_batch([[] if t is None else list(map(int, t)) for t in part], skip_special_tokens=False), dtype=object)
+
+    return df.withColumn(out, run(F.col(tokens)))
+
+
 def generative_chunks(entries: DataFrame, keys: list[str], order: str, text: str, answer, most_words: int = 500) -> DataFrame:
     """(keys, window, chunk_index, chunk_text, entries): greedy windows, each cut by a model into the chunks of its JSON answer.
 

@@ -114,3 +114,36 @@ def tei_header(docs: DataFrame, key: str, xml: str) -> DataFrame:
         key, part(local("titleStmt", "title")).alias("title"), F.expr(f"""array_join(xpath({xml}, '//*[local-name()="author"]//*[local-name()="surname"]/text()'), ', ')""").alias("authors"),
         F.expr(f"""xpath_string({xml}, '//*[local-name()="publicationStmt"]/*[local-name()="date"]/@when')""").alias("date"), part(local("abstract")).alias("abstract"),
     )
+
+
+def on_pages(entries: DataFrame, key: str, uuid: str, locations: str = "chunk_locations") -> DataFrame:
+    """(key, page from 0, uuids): the entries that have a location on each page, in order; an entry counts once on a page."""
+    rows = entries.select(key, uuid, F.explode(locations).alias("_l")).select(key, (F.col("_l.index.primary") - 1).alias("page"), uuid).distinct()
+    return rows.groupBy(key, "page").agg(F.array_sort(F.collect_list(uuid)).alias("uuids"))
+
+
+def group_elements(docs: DataFrame, key: str, json: str) -> DataFrame:
+    """(key, page, pos, sub, kind, number, string, target_sub): what figure, picture and table groups of a layout parser's JSON hold.
+
+    Figures (and pictures) and tables are numbered from 1 through the document
+    and, where they have text, bring a caption of it. A caption has target_sub, the place in the
+    group of the figure or table it belongs to: the latest before it, or the first one after it.
+    """
+    pages = rows_of(docs, [key], F.from_json(json, PAGES)["children"], "_p", "_page")
+    groups = rows_of(pages, [key, (F.col("_p") + 1).alias("page")], F.col("_page.children"), "pos", "b")
+    groups = groups.where(common_type(F.col("b.block_type")).isin("figuregroup", "picturegroup", "tablegroup"))
+    rows = rows_of(groups, [key, "page", "pos"], F.col("b.children"), "sub", "x")
+    kind = common_type(F.col("x.block_type"))
+    kind = F.when(kind.isin("figure", "picture"), "figure").when(kind == "table", "table").when(kind == "caption", "caption")
+    rows = rows.select(key, "page", "pos", "sub", kind.alias("kind"), plain(F.coalesce("x.html", F.lit(""))).alias("text")).where("kind is not null")
+    doc = Window.partitionBy(key).orderBy("page", "pos", "sub")
+    group = Window.partitionBy(key, "page", "pos").orderBy("sub")
+    seat = F.when(F.col("kind") != "caption", F.col("sub"))
+    before = F.last(seat, ignorenulls=True).over(group.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first(seat, ignorenulls=True).over(group.rowsBetween(0, Window.unboundedFollowing))
+    count = lambda k: F.when(F.col("kind") == k, F.sum((F.col("kind") == k).cast("int")).over(doc))
+    rows = rows.withColumns({"number": F.coalesce(count("figure"), count("table")), "target_sub": F.when(F.col("kind") == "caption", F.coalesce(before, after))})
+    own = rows.withColumn("string", F.when(F.col("kind") == "figure", F.lit("")).otherwise(F.col("text"))).drop("text")
+    said = rows.where("kind = 'figure' and text <> ''").withColumns({"kind": F.lit("caption"), "number": F.lit(None).cast("bigint"), "string": F.col("text"), "target_sub": F.col("sub")}).drop("text")
+    columns = [key, "page", "pos", "sub", "kind", "number", "string", "target_sub"]
+    return own.select(*columns).unionByName(said.select(*columns))

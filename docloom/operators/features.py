@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators import mixtures
+from docloom.operators.filters import partition
 from docloom.sources.workspace import written
 
 Model = Callable[[list[str]], list]
@@ -67,6 +68,26 @@ def chat_prompt(system: str, user: Column) -> Column:
     return F.array(message("system", F.lit(system)), message("user", user))
 
 
+def image_prompt(system: str, user: Column, images: Column) -> Column:
+    """Messages for a model that sees images: the user's text and an array of image URLs or data URIs, empty ones left out."""
+    some = F.filter(F.coalesce(images, F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")) != "")
+    message = lambda role, text, shown: F.struct(F.lit(role).alias("role"), text.alias("content"), shown.alias("images"))
+    return F.array(message("system", F.lit(system), F.array().cast("array<string>")), message("user", user, some))
+
+
+def featurized(df: DataFrame, text: Column, model: Model, items: str, filter_params: dict | None = None, out: str = "feature") -> DataFrame:
+    """A row for each item that the model finds in a row's text, with the row's columns; rows that the filter leaves out are kept as they are.
+
+    The answer is JSON with a list named items (or one value); a row whose
+    answer can't be read has no item and one row with null.
+    """
+    match, rest = partition(df, filter_params or {})
+    asked = complete(match, text, "_answer", model)
+    found = F.coalesce(F.from_json("_answer", f"`{items}` ARRAY<STRING>")[items], F.when(F.get_json_object("_answer", f"$.{items}").isNotNull(), F.array(F.get_json_object("_answer", f"$.{items}"))))
+    rows = asked.withColumn(out, F.explode_outer(found)).drop("_answer")
+    return rows.unionByName(rest, allowMissingColumns=True) if filter_params else rows
+
+
 def parsed_answer(answer: Column, schema: str, fallback: dict[str, str]) -> Column:
     """A JSON answer as a struct; what is missing or broken takes its fallback."""
     found = F.from_json(answer, schema)
@@ -113,7 +134,7 @@ def soft_clusters(df: DataFrame, vector: str, ks: range = range(5, 21), least: f
 
     No more components than rows are tried. Rows without a vector belong to no cluster; an empty table gives no rows.
     """
-    rows = df.where(F.col(vector).isNotNull()).withColumn("_v", F.col(vector).cast("array<double>")).cache()
+    rows = written(df.where(F.col(vector).isNotNull()).withColumn("_v", F.col(vector).cast("array<double>")), "clusters")
     n = rows.count()
     best = mixtures.fitted(rows, "_v", n, [k for k in ks if k <= n] or [n], seed) if n else None
 

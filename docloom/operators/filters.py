@@ -64,3 +64,12 @@ def flattened(df: DataFrame, inner: str) -> DataFrame:
     fields = df.schema[inner].dataType.names
     kept = [F.coalesce(F.col(f"{inner}.{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in df.columns if c != inner]
     return df.select(*kept, *[F.col(f"{inner}.{c}").alias(c) for c in fields if c not in df.columns])
+
+
+def stored_rows(df: DataFrame) -> DataFrame:
+    """Rows as a relational table holds them: arrays, maps and structs as JSON, strings without NUL characters."""
+    complex_ = {f.name: f.dataType.typeName() in ("array", "map", "struct") for f in df.schema.fields}
+    text = lambda c: F.translate(c, "\0", "")
+    # In JSON a NUL is written as an escape.
+    made = [F.replace(F.to_json(F.col(f"`{n}`")), F.lit("\\u0000"), F.lit("")).alias(n) if complex_[n] else text(F.col(f"`{n}`")).alias(n) if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes]
+    return df.select(*made)

@@ -97,3 +97,10 @@ def upsert_entries(stored: DataFrame, incoming: DataFrame, keys: list[str], text
         found = resolve_citations(found, batch, before, "_ref").withColumnRenamed("target_id", "source_uuid")
         out["edges"] = found.select("source_uuid", "target_uuid", "relationship_type").distinct()
     return out
+
+
+def upsert_documents(stored: DataFrame, links: DataFrame, incoming: DataFrame, pipeline_id: int, seq: str, key: str = "document_hash") -> tuple[DataFrame, DataFrame]:
+    """(documents with their actions, links with those of the pipeline): documents are merged by hash, given values win, and each is linked once."""
+    merged = merge(stored, incoming, [key], seq)
+    new = incoming.select(F.lit(pipeline_id).cast(links.schema["pipeline_id"].dataType).alias("pipeline_id"), key).distinct()
+    return merged, links.select("pipeline_id", key).unionByName(insert_ignore(links, new, ["pipeline_id", key]))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import web
-from docloom.operators import blocks, chunking, extraction, features, filters, merge
-from docloom.plans.registry import operator
+from docloom.operators import blocks, chunking, crawl, extraction, features, filters, merge
+from docloom.plans.registry import PROMPTS, operator
 from docloom.sources import files
 
 
@@ -34,6 +34,17 @@ def pages(spark: SparkSession, df: DataFrame | None, path: str) -> DataFrame:
     return first.select(F.sha2(F.coalesce("p.html", F.lit("")), 256).alias("document_hash"), "public_url", web.title(F.col("p.html")).alias("document_title"), F.col("p.html").alias("text"), F.lit("html").alias("file_type"), F.lit("url_scrape").alias("load_method"))
 
 
+@operator("load", "manual_links")
+def manual_links(spark: SparkSession, df: DataFrame | None, links: list[str], path: str) -> DataFrame:
+    """Pages of the given URLs and the PDF files they link to, from a table of what was fetched (url, html): a fetcher fills it, this reads it."""
+    wanted = spark.createDataFrame([(u,) for u in links], "url string").select(web.normalized(F.col("url")).alias("public_url")).distinct()
+    rows = spark.read.parquet(path).withColumn("public_url", web.normalized(F.col("url"))).join(wanted, "public_url", "left_semi")
+    own = rows.groupBy("public_url").agg(F.min("html").alias("text")).select("public_url", web.title(F.col("text")).alias("document_title"), "text", F.lit("html").alias("file_type"))
+    files_ = crawl.pdf_links(rows.select("url", "html")).select(F.col("pdf_url").alias("public_url"), F.col("title").alias("document_title"), F.lit(None).cast("string").alias("text"), F.lit("pdf").alias("file_type")).dropDuplicates(["public_url"])
+    hashed = F.sha2(F.coalesce("text", "public_url"), 256)
+    return own.unionByName(files_).select(hashed.alias("document_hash"), "public_url", "document_title", "text", "file_type", F.lit("url_scrape").alias("load_method"))
+
+
 @operator("extract", "simple")
 def simple(spark: SparkSession, df: DataFrame, key: str = "document_hash", text: str = "text") -> DataFrame:
     return extraction.split_pages(df, key, text).withColumn("consolidated_feature_type", F.lit("text"))
@@ -94,6 +105,13 @@ def generative(spark: SparkSession, df: DataFrame, key: str = "document_hash", o
     return chunking.generative_chunks(df, [key], order, text, lambda d, prompt: features.complete(d, prompt, "answer"), most_words)
 
 
+@operator("featurize", "featurize_model")
+def featurize_model(spark: SparkSession, df: DataFrame, prompt_name: str, text: str = "chunk_text", items: str = "items", filter_params: dict | None = None) -> DataFrame:
+    """Asks the default model with a registered prompt; a row for each item of its answer."""
+    made = PROMPTS[prompt_name]
+    return features.featurized(df, made.messages(F.col(text))[1]["content"], features.first_sentence, items, filter_params)
+
+
 @operator("featurize", "get_clusters")
 def get_clusters(spark: SparkSession, df: DataFrame, key: str = "uuid", vector: str = "embedding", dimensions: int = 20) -> DataFrame:
     """Adds clusters, the sorted numbers of the clusters inside clusters that a row is in; rows without a vector have none."""

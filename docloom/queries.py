@@ -457,15 +457,15 @@ def fork_steps(spark, d):
     return lineage.fork(_steps(spark, d), 7, 900, 5, 5000)
 
 
-@query("""SELECT 'entries' AS name, count(*) AS n FROM orders WHERE o_custkey % 10 <> 0
-UNION ALL SELECT 'edges', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 10 <> 0""")
+@query("""SELECT 'entries' AS name, o_orderkey AS a, o_custkey AS b FROM orders WHERE o_custkey % 10 <> 0
+UNION ALL SELECT 'edges', l_orderkey, -l_partkey - 1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey % 10 <> 0""")
 def delete_pipeline(spark, d):
     o = t(spark, d, "orders").select(F.col("o_custkey").alias("pipeline_id"), F.col("o_orderkey").alias("uuid"))
     edges = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("source_uuid"), (-F.col("l_partkey") - 1).alias("target_uuid"))
     gone = o.where("pipeline_id % 10 = 0").select("pipeline_id").distinct()
     left = lineage.delete_pipeline(gone, {"entries": o}, edges)
-    n = lambda name: left[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-    return n("entries").unionByName(n("edges"))
+    rows = lambda name, a, b: left[name].select(F.lit(name).alias("name"), F.col(a).alias("a"), F.col(b).alias("b"))
+    return rows("entries", "uuid", "pipeline_id").unionByName(rows("edges", "source_uuid", "target_uuid"))
 
 
 @query("SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'other' ELSE c_mktsegment END AS c_mktsegment FROM customer")

@@ -258,3 +258,28 @@ def test_a_broken_version_is_not_read(spark, tmp_path):
     (tmp_path / "entries" / "v=2").mkdir()
     (tmp_path / "entries" / "v=2" / "part-0.parquet").write_text("broken")
     assert [(r.v, r.action) for r in put("b").collect()] == [("b", "update")]
+
+
+def test_tokens_and_back(spark):
+    import os
+
+    path = f"{os.environ.get('DOCLOOM_TOKENIZERS', '/opt/tokenizers')}/byte_bpe_50k.json"
+    if not os.path.exists(path):
+        pytest.skip("no vocabulary file")
+    rows = [("Some text, with é and 日本.",), ("",), (None,), ("  two  spaces\n",)]
+    df = chunking.tokenized(spark.createDataFrame(rows, "text string"), "text", path)
+    assert [r.back for r in chunking.detokenized(df, "tokens", path, "back").collect()] == [t or "" for (t,) in rows]
+
+
+def test_manual_links_and_prompts(spark, tmp_path):
+    pages = [("http://a/x?q=1", "<title>A</title><a href=\"/f.pdf\">f</a>"), ("http://a/y", "<a href='z'>z</a>")]
+    spark.createDataFrame(pages, "url string, html string").write.parquet(str(tmp_path / "p"))
+    out = registry.OPERATORS["load", "manual_links"](spark, None, ["http://a/x", "http://nowhere/"], str(tmp_path / "p")).collect()
+    assert sorted((r.public_url, r.file_type, r.document_title) for r in out) == [("http://a/f.pdf", "pdf", "A"), ("http://a/x", "html", "A")]
+    registry.PROMPTS["probe"] = registry.Prompt("s", lambda c: c, "items ARRAY<STRING>", {})
+    try:
+        df = spark.createDataFrame([('{"items": ["a", "b"]}', 1), ("none", 2)], "chunk_text string, n int")
+        rows = registry.OPERATORS["featurize", "featurize_model"](spark, df, "probe").collect()
+        assert sorted((r.n, str(r.feature)) for r in rows) == [(1, "a"), (1, "b"), (2, "None")]
+    finally:
+        del registry.PROMPTS["probe"]
