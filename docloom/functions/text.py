@@ -13,7 +13,7 @@ def words(text: Column) -> Column:
 
 def spaced_words(text: Column) -> Column:
     """Each word with the white space before it: joined, they are the text up to its last word."""
-    return F.regexp_extract_all(text, F.lit(r"\s*\S+"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(r"\s*+\S++"), F.lit(0))
 
 
 def tokens(text: Column) -> Column:

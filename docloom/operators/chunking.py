@@ -26,8 +26,10 @@ def sliding_words(df: DataFrame, keys: list[str], text: str = "text", size: int
     step = size - overlap
 
     def cut(w: Column) -> Column:
-        own = lambda at: F.length(F.array_join(F.slice(w, at + 1, F.lit(step)), ""))
-        return F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(step)), lambda at: F.struct(own(at).alias("own"), F.array_join(F.slice(w, at + 1, F.lit(size)), "").alias("raw"), F.least(F.lit(size), F.size(w) - at).alias("n")))
+        joined = lambda at, n: F.array_join(F.slice(w, at, F.lit(n)), "")
+        own = lambda raw, at: F.length(raw) - (F.length(joined(at + step + 1, overlap)) if overlap else 0)
+        window = lambda at: let(joined(at + 1, size), lambda raw: F.struct(own(raw, at).alias("own"), raw.alias("raw"), F.least(F.lit(size), F.size(w) - at).alias("n")))
+        return F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(step)), window)
 
     # Each window joins its own words once; the words between two starts give the running offset.
     rows = df.where(F.rlike(F.col(text), F.lit(r"\S"))).select(*keys, let(tx.spaced_words(F.col(text)), cut).alias("_c"))
