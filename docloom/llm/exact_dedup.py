@@ -33,7 +33,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
-LOCATOR = ("file", "at")
+#: What stands for a row where locators are broadcast: the row in its file, and 64 bits each for the file's name and the digest.
+PLACE = ("_file", "at", "_digest")
 
 
 def normal(text: Column) -> Column:
@@ -55,9 +56,18 @@ def located(rows: DataFrame, id_col: str) -> DataFrame:
     return rows.select("digest", place.alias("locator"), "call")
 
 
+def placed(file: Column, at: Column, digest: Column) -> list[Column]:
+    return [c.alias(n) for c, n in zip((F.xxhash64(file), at, F.xxhash64(digest)), PLACE, strict=True)]
+
+
+def content_places(content: DataFrame, *columns: Column) -> DataFrame:
+    return content.select(*columns, *placed(F.col("_metadata.file_name"), F.col("_metadata.row_index"), F.col("digest")))
+
+
 class Decided(NamedTuple):
     content: DataFrame
     rows: DataFrame
+    call: str
 
 
 def run_stream(content: DataFrame, folder: str, id_col: str, files_per_batch: int | None) -> DataFrame:
@@ -100,10 +110,10 @@ def collided(content: DataFrame, rows: DataFrame, text_col: str, most: int) -> b
     a shuffle join. Of each digest the least and the greatest text are found,
     combined before the shuffle; they are equal if all are.
     """
-    hits = rows.where("group_size > 1").select("digest", "locator.file", "locator.at")
+    hits = rows.where("group_size > 1").select(*placed(F.col("locator.file"), F.col("locator.at"), F.col("digest")))
     few = hits.limit(most + 1).count() <= most
-    texts = content.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"), normal(F.col("doc")[text_col]).alias("text"))
-    fetched = texts.join(F.broadcast(hits) if few else hits, list(LOCATOR)).select("digest", "text")
+    texts = content_places(content, F.col("digest"), normal(F.col("doc")[text_col]).alias("text"))
+    fetched = texts.join(F.broadcast(hits) if few else hits, list(PLACE), "left_semi").select("digest", "text")
     return not fetched.groupBy("digest").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo <> hi").isEmpty()
 
 
@@ -119,7 +129,7 @@ def decide(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column
     rows = written(located(content, id_col).join(states, "digest"), "dedup-rows")
     if collided(content, rows, text_col, most):
         rows = written(by_content(content, id_col, text_col), "dedup-rows")
-    return Decided(content, rows.where(F.col("call") == call).drop("call"))
+    return Decided(content, rows.where(F.col("call") == call).drop("call"), call)
 
 
 def by_content(content: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -151,11 +161,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, most: int = 200_000) -> DataFrame:
     """The rows of docs that stay, with all their columns; of rows with one id and one text, one stays. They are fetched by their locators."""
-    content, rows = decide(docs, id_col, text_col, sha256, None, folder, docs.columns, most)
-    gone = rows.where(~F.col("locator").eqNullSafe(F.col("keeper"))).select("locator.file", "locator.at")
+    content, rows, call = decide(docs, id_col, text_col, sha256, None, folder, docs.columns, most)
+    gone = rows.where(~F.col("locator").eqNullSafe(F.col("keeper"))).select(*placed(F.col("locator.file"), F.col("locator.at"), F.col("digest")))
     few = gone.limit(most + 1).count() <= most
-    place = content.select("doc", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
-    left = place.join(F.broadcast(gone) if few else gone, list(LOCATOR), "left_anti")
-    if folder:
-        left = left.join(rows.select("locator.file").distinct(), "file", "left_semi")
+    own = content.where(F.col("call") == call) if folder else content
+    left = content_places(own, F.col("doc")).join(F.broadcast(gone) if few else gone, list(PLACE), "left_anti")
     return left.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
