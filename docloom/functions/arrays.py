@@ -37,7 +37,7 @@ def folded(items: Column, state: Column, step: Callable[[Column, Column], tuple[
         last = F.floor((F.size(xs) - 1) / block).cast("int")
         return let(F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(xs, b * block + 1, F.lit(block))), lambda blocks: F.flatten(per_block(blocks)))
 
-    return F.when(F.size(items) > 0, let(F.transform(items, lambda x: x), whole)).otherwise(F.array().cast(f"array<{kind}>"))
+    return let(F.transform(items, lambda x: x), lambda xs: F.when(F.size(xs) > 0, whole(xs)).otherwise(F.array().cast(f"array<{kind}>")))
 
 
 def sums_before(lengths: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.functions.arrays import rows_of
+from docloom.functions.arrays import folded, rows_of
 
 # Block types of layout parsers in common terms (anything else: other), and the types that stand alone.
 BLOCK_TYPES = {
@@ -94,14 +94,14 @@ def html_passages(pages: DataFrame, key: str, html: str, most_words: int = 220)
     blocks = F.split(body, r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|article|section|nav|footer|header|aside|table|tr|td|th|br)\b[^>]*>")
     clean = F.filter(F.transform(blocks, plain), lambda b: b != "")
     sized = F.transform(clean, lambda b: F.struct(b.alias("text"), F.size(F.split(b, " ")).alias("n")))
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("done"), F.lit("").alias("now"))
+    end = F.array(F.struct(F.lit(None).cast("string").alias("text"), F.lit(0).alias("n")))
 
-    def step(acc, b):
-        full = (acc["now"] != "") & (acc["n"] + b["n"] > most_words)
-        now = F.when(full | (acc["now"] == ""), b["text"]).otherwise(F.concat_ws(" ", acc["now"], b["text"]))
-        return F.struct(F.when(full, b["n"]).otherwise(acc["n"] + b["n"]).alias("n"), F.when(full, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"), now.alias("now"))
+    def step(now, b):
+        full = (now["text"] != "") & (b["text"].isNull() | (now["n"] + b["n"] > most_words))
+        text = F.when(full | (now["text"] == ""), F.coalesce(b["text"], F.lit(""))).otherwise(F.concat_ws(" ", now["text"], b["text"]))
+        return F.struct(F.when(full, b["n"]).otherwise(now["n"] + b["n"]).alias("n"), text.alias("text")), F.when(full, now["text"])
 
-    packed = F.aggregate(sized, start, step, lambda a: F.when(a["now"] != "", F.concat(a["done"], F.array(a["now"]))).otherwise(a["done"]))
+    packed = folded(F.concat(sized, end), F.struct(F.lit(0).alias("n"), F.lit("").alias("text")), step, "string")
     rows = rows_of(pages, [key], packed, "_n", "text")
     return rows.select(key, (F.col("_n") + 1).alias("passage"), F.size(F.split("text", " ")).alias("n_words"), "text")
 
