@@ -151,3 +151,31 @@ d AS (SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(replac
 t AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS lines FROM d)
 SELECT page_id, url, array_to_string(lines, chr(10)) AS text, length(array_to_string(lines, chr(10)))::BIGINT AS n_chars FROM t
 """
+
+
+def _op11(k: int = 8, rounds: int = 10) -> str:
+    """Plain k-means: every vector against every centroid in each round."""
+
+    def nearest(r: int) -> str:
+        return f"""a{r} AS MATERIALIZED (SELECT rn, cluster, d FROM (SELECT *, row_number() OVER (PARTITION BY rn ORDER BY d, cluster) AS n FROM
+  (SELECT rn, cluster, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS d FROM x JOIN c{r} c USING (pos) GROUP BY rn, cluster)) WHERE n = 1)"""
+
+    steps = []
+    for r in range(rounds):
+        steps += [nearest(r), f"""c{r + 1} AS MATERIALIZED (SELECT cluster, pos, CASE WHEN n IS NULL THEN c.v ELSE ((s - ((s % n) + n) % n) // n)::BIGINT END AS v
+  FROM c{r} c LEFT JOIN (SELECT cluster, pos, sum(v) AS s, count(*) AS n FROM a{r} JOIN x USING (rn) GROUP BY cluster, pos) m USING (cluster, pos))"""]
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda y: floor(1024 * y::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: coalesce(isfinite(y), false))) = 64),
+x AS MATERIALIZED (SELECT rn, unnest(range(64)) AS pos, unnest(v) AS v FROM kept),
+c0 AS MATERIALIZED (SELECT cluster, unnest(range(64)) AS pos, unnest(v) AS v FROM
+  (SELECT v, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS cluster FROM kept QUALIFY cluster < {k})),
+{", ".join(steps)},
+{nearest(rounds)},
+h AS (SELECT cluster, sha256(string_agg(v::VARCHAR, ',' ORDER BY pos)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (rn) JOIN h USING (cluster)
+"""
+
+
+ORACLES["op11_centroid_clustering"] = _op11()
