@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import centroids, chat_format, decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_jaccard, secret_scan, token_counts, warc
+from docloom.llm import alignment, centroids, chat_format, decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_jaccard, secret_scan, token_counts, warc
 from docloom.llm.oracles import ORACLES
 
 
@@ -82,10 +82,14 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 QUERIES = (
     op1_token_counts, op2_secret_scans, op3_warc, op4_ngram_jaccard, op5_html_extraction,
     op6_language_id, op7_mixing, op8_exact_dedup, op9_chat_formatting, op10_decontamination,
-    op11_centroid_clustering,
+    op11_centroid_clustering, op13_cross_tokenizer_alignment,
 )
 
 
