@@ -179,3 +179,31 @@ FROM a{rounds} JOIN kept USING (rn) JOIN h USING (cluster)
 
 
 ORACLES["op11_centroid_clustering"] = _op11()
+
+#: The log ratios are rounded to multiples of 2^-20 here as well; the bound is -0.2.
+ORACLES["op12_quality_rules"] = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (SELECT rn, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+runs AS (SELECT rn, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM (SELECT rn, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+again AS (SELECT rn, i FROM runs QUALIFY count(*) OVER (PARTITION BY rn, a, b, c) > 1),
+rep AS (SELECT rn, count(DISTINCT i + k) AS n FROM again, (SELECT unnest(range(3)) AS k) GROUP BY rn),
+dup AS (SELECT rn, (count(*) - count(DISTINCT line))::BIGINT AS n FROM (SELECT rn, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rn),
+tok AS MATERIALIZED (SELECT rn, row_number() OVER (PARTITION BY rn ORDER BY i, j) AS p, ('0x' || md5(x)[1:8])::BIGINT AS h FROM
+  (SELECT rn, i, unnest(xs) AS x, unnest(range(len(xs))) AS j FROM
+    (SELECT rn, i, regexp_extract_all(translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+|[^0-9a-z\x{80}-\x{10FFFF}]+') AS xs FROM
+      (SELECT rn, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM w)))),
+gram AS MATERIALIZED (SELECT rn, h % 10000 AS bucket FROM tok
+  UNION ALL SELECT rn, ((h % 10000) * 1000003 + g) % 10000 FROM (SELECT rn, h, lead(h) OVER (PARTITION BY rn ORDER BY p) AS g FROM tok) WHERE g IS NOT NULL),
+good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1 AND max(coalesce(toxic, 0)) = 0),
+cnt AS (SELECT b.bucket, count(g.rn)::DOUBLE AS raw, (count(g.rn) FILTER (WHERE d.doc_id IN (SELECT doc_id FROM good)))::DOUBLE AS trusted
+  FROM (SELECT unnest(range(10000)) AS bucket) b LEFT JOIN gram g USING (bucket) LEFT JOIN d USING (rn) GROUP BY b.bucket),
+tot AS (SELECT sum(raw) AS r, sum(trusted) AS g FROM cnt),
+weight AS (SELECT bucket, CASE WHEN g = 0 THEN 0 ELSE floor((ln((trusted + 1) / (g + 10000)) - ln((raw + 1) / (r + 10000))) * 1048576 + 0.5) END::BIGINT AS v FROM cnt, tot),
+score AS (SELECT rn, count(*) AS n, sum(v) AS s FROM gram JOIN weight USING (bucket) GROUP BY rn),
+base AS (SELECT d.rn, doc_id, len(ws)::BIGINT AS n_words, list_sum(list_transform(ws, lambda x: length(x)))::BIGINT AS word_chars, length(regexp_replace(d.t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(sc.s >= sc.n * -209716, true) AS enough
+  FROM d JOIN w USING (rn) LEFT JOIN dup USING (rn) LEFT JOIN rep USING (rn) LEFT JOIN score sc USING (rn))
+SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND enough AS kept
+FROM base
+"""

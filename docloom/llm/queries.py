@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import alignment, centroids, chat_format, decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_jaccard, secret_scan, token_counts, warc
+from docloom.llm import alignment, centroids, chat_format, decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_jaccard, quality, secret_scan, token_counts, warc
 from docloom.llm.oracles import ORACLES
 
 
@@ -82,6 +82,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.rate_documents(table(spark, sf_dir, "documents"), quality.trusted_ids(table(spark, sf_dir, "labels")))
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
 
@@ -89,7 +94,7 @@ def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = (
     op1_token_counts, op2_secret_scans, op3_warc, op4_ngram_jaccard, op5_html_extraction,
     op6_language_id, op7_mixing, op8_exact_dedup, op9_chat_formatting, op10_decontamination,
-    op11_centroid_clustering, op13_cross_tokenizer_alignment,
+    op11_centroid_clustering, op12_quality_rules, op13_cross_tokenizer_alignment,
 )
 
 
