@@ -4,6 +4,8 @@ import hashlib
 from collections import Counter, defaultdict
 from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -87,13 +89,13 @@ def test_odd_texts(spark, odd_docs, no_docs, libraries):
 def test_small_memory_and_slices_change_nothing(spark, odd_docs, libraries, monkeypatch):
     rows = [(i, t) for i, t in enumerate(ODD)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
-    assert got(alignment.align_documents(docs, A, B, most=3, longest=2)) == plain(rows, libraries)
+    assert got(alignment.align_documents(docs, A, B, most=3)) == plain(rows, libraries)
     monkeypatch.setattr(alignment, "SLICE", 10)
     for text in ODD:
-        block = alignment.Block()
-        block.add(text, alignment.Interned(alignment.tokenizer(A), alignment.tokenizer(B), 100, 100))
+        block = alignment.Block(alignment.Interned(alignment.tokenizer(A), alignment.tokenizer(B), 3))
+        block.add(text)
         assert "".join(alignment.slices(f" {text}")) == f" {text}"
-        assert block.digests[0] == plain([(0, text)], libraries)[0][-1]
+        assert block.row(pa.array([1]))["digests"].to_pylist() == [[plain([(0, text)], libraries)[0][-1]]]
 
 
 def test_whole_table(spark, sf, libraries):
@@ -111,8 +113,18 @@ def test_pieces_are_encoded_as_in_the_whole_text(text):
     if both is None:
         a = tokenizers.Tokenizer.from_file(A)
         a.encode_special_tokens = True
-        both = test_pieces_are_encoded_as_in_the_whole_text.both = (a, sentencepiece.SentencePieceProcessor(model_file=B), alignment.Interned(alignment.tokenizer(A), alignment.tokenizer(B), 10_000, 100))
-    block = alignment.Block()
-    block.add(text, both[2])
+        both = test_pieces_are_encoded_as_in_the_whole_text.both = (a, sentencepiece.SentencePieceProcessor(model_file=B), alignment.Interned(alignment.tokenizer(A), alignment.tokenizer(B), 10_000))
+    block = alignment.Block(both[2])
+    block.add(text)
+    row = block.row(pa.array([1]))
     _, n_a, n_b, n_groups, n_links, _, _, digest = plain([(0, text)], both[:2])[0]
-    assert (block.numbers[0], block.digests[0]) == ((n_a, n_b, n_groups, n_links), digest)
+    assert [row[n][0][0].as_py() for n in ("n_a", "n_b", "n_groups", "n_links", "digests")] == [n_a, n_b, n_groups, n_links, digest]
+
+
+def test_settled_characters_are_cut_alike(libraries):
+    """Every character of the quick way, in all positions to its neighbours, as the file's own library has it."""
+    quick = alignment.tokenizer(A)
+    letters = [chr(c) for c in range(0x250)]
+    texts = [f" {c}a{c}1{c} {c} {c}{c}  {c}'s{c}\n{c}" for c in letters]
+    ids, size = quick.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == [e.ids for e in libraries[0].encode_batch(texts, add_special_tokens=False)]
