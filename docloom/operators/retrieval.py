@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,141 +9,17 @@ from docloom.functions import text as tx
 from docloom.functions.arrays import folded, rows_of
 from docloom.functions.vectors import mean_pool
 from docloom.operators.chunking import token_crops
+from docloom.operators.dense_index import dense_top_k
+from docloom.operators.sparse_index import Weighing, build_index, search_index
 
 
-def in_waves(rows: DataFrame, most_bytes: int) -> Iterator[list]:
-    """The rows of a query table, so many at a time that their strings and vectors take about most_bytes."""
-    wave, size = [], 0
-    for row in rows.toLocalIterator():
-        wave.append(row)
-        size += sum(8 * len(v) for v in row if isinstance(v, (list, str)))
-        if size >= most_bytes:
-            yield wave
-            wave, size = [], 0
-    if wave:
-        yield wave
-
+def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int = 10, doc: tuple[str, str] = ("doc_id", "text"), query: tuple[str, str] = ("item_id", "text"), k1: float = 1.2, b: float = 0.75, average: float = 256.0, digits: int = 6) -> DataFrame:
+    """(query_id, id, score, rank): the k documents with the highest BM25 score for the distinct terms of each query, by an index that is built for this search.
 
-def dense_top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, ids: tuple[str, str] = ("vec_id", "query_id"), vector: str = "embedding", feature: str | None = None, condition: Column | None = None, block: int = 512, digits: int = 6, wave_bytes: int = 32 << 20) -> DataFrame:
-    """(query_id, feature, id, score, rank): the k corpus rows nearest by cosine, per query and value of feature.
-
-    The condition is applied before scoring. Queries go out in waves of at most
-    wave_bytes (60,000 vectors of 64 numbers), each of which reads the corpus
-    once; inside a task they are scored a block at a time. Each task keeps the k
-    best of what it reads for each query, and only those are shuffled. Scores
-    are rounded; ties go to the smaller id.
-    """
-    rows = corpus.where(condition) if condition is not None else corpus
-    rows = rows.select(F.col(ids[0]).cast("bigint").alias("id"), (F.col(feature).cast("string") if feature else F.lit("")).alias("feature"), F.col(vector).alias("v")).where("v is not null")
-    shape, spark = "query_id bigint, feature string, id bigint, score double", corpus.sparkSession
-    hits = spark.createDataFrame([], shape)
-    for wave in in_waves(queries.select(ids[1], vector).where(F.col(vector).isNotNull()), wave_bytes):
-        q = np.asarray([r[1] for r in wave], dtype=np.float64)
-        shared = spark.sparkContext.broadcast((np.asarray([r[0] for r in wave]), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)))
-        hits = hits.unionByName(rows.mapInArrow(nearest(shared, k, digits, block), shape))
-    w = Window.partitionBy("query_id", "feature").orderBy(F.col("score").desc(), "id")
-    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def best_of(s: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """In each row the k highest scores with their ids; ties go to the smaller id."""
-    order = np.lexsort((i, -s), axis=1)[:, :k]
-    return np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-
-
-def nearest(shared, k: int, digits: int, block: int):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q = shared.value
-        best: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
-        for part in parts:
-            if not part.num_rows:
-                continue
-            v = np.asarray(part["v"].flatten(), dtype=np.float64).reshape(part.num_rows, -1)
-            v = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)).T
-            ids, features = np.asarray(part["id"]), np.asarray(part["feature"].to_pylist(), dtype=object)
-            for f in dict.fromkeys(features):
-                own = features == f
-                for at in range(0, len(q), block):
-                    s = np.round(q[at : at + block] @ v[:, own], digits) + 0.0
-                    i = np.broadcast_to(ids[own], s.shape)
-                    if (f, at) in best:
-                        s, i = np.hstack([best[f, at][0], s]), np.hstack([best[f, at][1], i])
-                    best[f, at] = best_of(s, i, k)
-        for (f, at), (s, i) in best.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(q_ids[at : at + block], s.shape[1]), pa.int64()), pa.array([f] * s.size, pa.string()), pa.array(i.ravel(), pa.int64()), pa.array(s.ravel(), pa.float64())], ["query_id", "feature", "id", "score"]
-            )
-
-    return run
-
-
-def term_frequencies(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
-    """(term, df): how many documents have each of the terms; counted where the documents are read."""
-    seen = rows_of(docs, [], F.array_distinct(tx.tokens(F.col(text))), "term")
-    return seen.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-
-
-def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int = 10, doc: tuple[str, str] = ("doc_id", "text"), query: tuple[str, str] = ("item_id", "text"), k1: float = 1.2, b: float = 0.75, average: float = 256.0, digits: int = 6, wave_bytes: int = 8 << 20) -> DataFrame:
-    """(query_id, id, score, rank): the k documents with the highest BM25 score for the distinct terms of each query; documents with none of them are left out.
-
-    average stands for the mean document length, as in sparse encoders with a
-    fixed setting. A first pass counts the documents of each query term. Then
-    queries go out in waves of at most wave_bytes, as in dense_top_k: a task
-    weighs its documents' terms against them and keeps the k best for each
-    query, so no posting is shuffled, however frequent its term. Ties go to the
-    smaller id.
+    For more than one search of the same documents, build the index once
+    (sparse_index.build_index) and use sparse_index.search_index.
     """
-    spark = docs.sparkSession
-    terms = rows_of(queries, [F.col(query[0]).alias("query_id")], F.array_distinct(tx.tokens(F.col(query[1]))), "term")
-    weighed = terms.join(term_frequencies(docs, terms, doc[1]), "term")
-    weighed = weighed.groupBy("query_id").agg(F.collect_list("term").alias("terms"), F.collect_list(F.col("df").cast("double")).alias("df"))
-    n = docs.count()
-    rows = docs.select(F.col(doc[0]).cast("bigint").alias("id"), tx.tokens(F.col(doc[1])).alias("t"))
-    shape = "query_id bigint, id bigint, score double"
-    hits = spark.createDataFrame([], shape)
-    for wave in in_waves(weighed, wave_bytes):
-        place = {t: j for j, t in enumerate(dict.fromkeys(t for r in wave for t in r["terms"]))}
-        idf, of = np.zeros(len(place)), [[place[t] for t in r["terms"]] for r in wave]
-        for r, own in zip(wave, of, strict=True):
-            idf[own] = np.log((n - np.asarray(r["df"]) + 0.5) / (np.asarray(r["df"]) + 0.5) + 1.0)
-        shared = spark.sparkContext.broadcast((np.asarray([r["query_id"] for r in wave]), place, idf, of))
-        hits = hits.unionByName(rows.mapInArrow(scored_terms(shared, k, (k1, b, average), digits), shape))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def scored_terms(shared, k: int, setting: tuple[float, float, float], digits: int, cells: int = 4_000_000):
-    """A mapInArrow function: (id, tokens) to the k best documents of the task for each query. Weights of about so many cells are held at a time."""
-    k1, b, average = setting
-
-    def weights(part: pa.RecordBatch, place: dict[str, int], idf: np.ndarray) -> np.ndarray:
-        """Documents by terms. A token is looked up once for each of its occurrences."""
-        size = np.asarray(pc.fill_null(pc.list_value_length(part["t"]), 0))
-        known = pc.index_in(part["t"].flatten(), value_set=pa.array(list(place), pa.string()))
-        owner = np.repeat(np.arange(part.num_rows), size)
-        hit = np.asarray(known.is_valid())
-        cell, tf = np.unique(owner[hit] * len(place) + np.asarray(known.drop_null()), return_counts=True)
-        w = np.zeros(part.num_rows * len(place))
-        w[cell] = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * size[cell // len(place)] / average)) * idf[cell % len(place)]
-        return w.reshape(part.num_rows, len(place))
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, place, idf, of = shared.value
-        best_s, best_i = np.full((len(q_ids), k), -1.0), np.full((len(q_ids), k), np.iinfo(np.int64).max)
-        group = min(512, max(1, cells // len(place)))
-        for part in (p.slice(at, group) for p in parts for at in range(0, p.num_rows, group)):
-            w, ids = weights(part, place, idf), np.asarray(part["id"])
-            for j, own in enumerate(of):
-                s = w[:, own].sum(axis=1)
-                s = np.where(s > 0, np.round(s, digits), -1.0)
-                near = np.flatnonzero(s >= best_s[j, -1])
-                if len(near):
-                    top = best_of(np.r_[best_s[j], s[near]][None], np.r_[best_i[j], ids[near]][None], k)
-                    best_s[j], best_i[j] = top[0][0], top[1][0]
-        some = best_s.ravel() > -1.0
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, k)[some], pa.int64()), pa.array(best_i.ravel()[some], pa.int64()), pa.array(best_s.ravel()[some], pa.float64())], ["query_id", "id", "score"])
-
-    return run
+    return search_index(build_index(docs, *doc, weighing=Weighing(k1, b, average)), queries, k, query, digits)
 
 
 def hybrid(dense: DataFrame, sparse: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import dates, geometry, vectors, web
 from docloom.functions import text as tx
-from docloom.operators import chunking, crawl, evaluation, extraction, features, filters, lineage, merge, retrieval
+from docloom.operators import chunking, crawl, dense_index, evaluation, extraction, features, filters, lineage, merge, retrieval
 from docloom.schemas import validate
 from docloom.sources import files
 from docloom.streaming import incremental
@@ -492,6 +492,27 @@ def dense_topk(spark, d):
     return _dense(spark, d)
 
 
+def _indexed(spark, d, exact: bool) -> DataFrame:
+    """Queries: every vector whose id is divisible by 50, against an index of all vectors."""
+    e = t(spark, d, "embeddings")
+    return dense_index.search_dense_index(dense_index.build_dense_index(e), e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 10, exact=exact)
+
+
+@query("WITH " + DENSE.replace("label::VARCHAR", "''") + " SELECT query_id, feature, id, score, rank FROM dense")
+def dense_index_exact(spark, d):
+    return _indexed(spark, d, True)
+
+
+@query()
+def dense_index_recall(spark, d):
+    """How many of the exact hits the nearest cells alone give."""
+    e = t(spark, d, "embeddings")
+    queries = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    near, every = _indexed(spark, d, False), dense_index.dense_top_k(e, queries, 10)
+    both = every.select("query_id", "id").join(near.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    return both.groupBy("query_id").agg(F.count("hit").alias("n_found"), F.count(F.lit(1)).alias("n_exact"))
+
+
 BM25 = r"""dt AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z0-9]+)', 1) AS w FROM documents),
 p AS (SELECT doc_id, term, len_ AS length, count(*) AS tf FROM (SELECT doc_id, len(w) AS len_, unnest(w) AS term FROM dt) GROUP BY 1, 2, 3),
 qt AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '([a-z0-9]+)', 1)) AS term FROM benchmark),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docloom import queries as q
 from docloom.functions import text as tx
 from docloom.functions.arrays import folded, sums_before
-from docloom.operators import blocks, chunking, crawl, evaluation, features, lineage, merge, retrieval
+from docloom.operators import blocks, chunking, crawl, evaluation, features, lineage, merge, retrieval, sparse_index
 from docloom.plans import registry
 from docloom.plans.pipeline import errors
 from docloom.schemas import by_index
@@ -66,17 +66,18 @@ def test_bm25_equals_postings(spark, sf):
             if s:
                 scores.append((-round(s, 6), i))
         want[item] = [i for _, i in sorted(scores)[:10]]
-    for wave in (1, 8 << 20):
+    for parts, group in ((1, 256), (5, 1)):
         got = {}
-        for r in sorted(retrieval.bm25_top_k(docs, queries, wave_bytes=wave).collect(), key=lambda r: r.rank):
+        index = sparse_index.build_index(docs.repartition(parts))
+        for r in sorted(sparse_index.search_index(index, queries, query_block=group).collect(), key=lambda r: r.rank):
             got.setdefault(r.query_id, []).append(r.id)
         assert got == want
 
 
-def test_dense_waves_do_not_matter(spark, sf):
+def test_dense_cells_do_not_matter(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     queries = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
-    runs = [sorted(map(tuple, retrieval.dense_top_k(e, queries, feature="label", block=b, wave_bytes=w).collect())) for b, w in ((512, 1 << 25), (3, 2000))]
+    runs = [sorted(map(tuple, retrieval.dense_top_k(e, queries, feature="label", block=b, cells=c).collect())) for b, c in ((512, None), (3, (5, 2)))]
     assert runs[0] == runs[1]
 
 
