@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as tx
 from docloom.functions.arrays import folded, let, rows_of, sums_before
 from docloom.functions.vectors import cosine
+from docloom.operators.overlaps import containing, overlapping
 
 
 def sliding_words(df: DataFrame, keys: list[str], text: str = "text", size: int = 500, overlap: int = 50) -> DataFrame:
@@ -121,8 +122,7 @@ def joined_entries(entries: DataFrame, keys: list[str], order: str, text: str) -
 
 def contributors(chunks: DataFrame, spans: DataFrame, keys: list[str], order: str) -> DataFrame:
     """For each chunk the entries it overlaps, in order: first, last and all as text."""
-    near = chunks.select(*keys, "chunk_index", "chunk_start", "chunk_end").join(spans, keys)
-    near = near.where((F.col("chunk_start") < F.col("entry_end")) & (F.col("chunk_end") > F.col("entry_start")))
+    near = overlapping(chunks.select(*keys, "chunk_index", "chunk_start", "chunk_end"), spans, keys)
     return near.groupBy(*keys, "chunk_index").agg(F.min(order).alias("first_entry"), F.max(order).alias("last_entry"), F.array_join(F.array_sort(F.collect_list(order)), ",").alias("entries"))
 
 
@@ -140,7 +140,7 @@ def build_chunks(chunks: DataFrame, entries: DataFrame, keys: list[str], order:
     where entries have them, chunk_locations (arrays of (primary, secondary), each
     once, in that order) and added_featurization (maps; the last entry wins).
     """
-    own = chunks.join(entries, keys).where((F.col("chunk_start") < F.col("entry_end")) & (F.col("chunk_end") > F.col("entry_start")))
+    own = overlapping(chunks, entries, keys)
     every = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     brought = {"keywords": every("keywords"), "citations": every("citations"), "entry_title": F.min_by("entry_title", order)}
     if "chunk_locations" in entries.columns:
@@ -190,7 +190,7 @@ def token_crops(tokens: Column, size: int, overlap: int = 0, padding: int = 0) -
 
 def word_overlap_contributors(chunks: DataFrame, entries: DataFrame, keys: list[str], least: float = 0.5) -> DataFrame:
     """Pairs of chunk and entry of one document, where the chunk has more than the given part of the entry's words."""
-    return chunks.join(entries, keys).withColumn("share", tx.share_of_words(F.col("chunk_text"), F.col("entry_text"))).where(F.col("share") > least)
+    return containing(chunks, entries, keys, "chunk_text", "entry_text", least)
 
 
 def distance_groups(df: DataFrame, keys: list[str], order: str, vector: str, threshold: float) -> DataFrame:
