@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,10 @@ from pyspark.sql import functions as F
 from docloom.llm.shared import LOWER, UPPER, small_batches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-TOKEN = re.compile(r"[0-9a-z\x80-\U0010FFFF]+|[^0-9a-z\x80-\U0010FFFF]+")
+TOKEN = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+|[^0-9A-Za-z\x80-\U0010FFFF\x20\x09-\x0D]+")
 FOLD = str.maketrans(UPPER, LOWER)
 SYMBOLS = "#*$%&|<>"
+SPACES = "\x20\t\n\x0b\x0c\r"
 #: One natural logarithm in whole numbers.
 UNIT = 1 << 20
 #: Factor of the polynomial over tokens.
@@ -38,21 +41,24 @@ FACTOR = 1_000_003
 SLICE = 1 << 20
 
 
-class Tokens:
-    """Hashes of the tokens of each word, remembered for up to most words."""
+class Tokens(dict[str, int]):
+    """Hash of each token that was met; emptied between texts when there are more than most."""
 
-    def __init__(self, most: int = 200_000) -> None:
+    def __init__(self, most: int = 500_000) -> None:
+        super().__init__()
         self.most = most
-        self.met: dict[str, tuple[int, ...]] = {}
 
-    def hashes(self, words: list[str]) -> np.ndarray:
-        if len(self.met) > self.most:
-            self.met.clear()
-        met, own = self.met, {}
-        for word in set(words).difference(met):
-            own[word] = tuple(int.from_bytes(hashlib.md5(t.encode()).digest()[:4], "big") for t in TOKEN.findall(word.translate(FOLD)))
-        met.update((w, h) for w, h in own.items() if len(w) <= 64)
-        return np.fromiter((h for w in words for h in (own.get(w) or met[w])), dtype=np.int64)
+    def __missing__(self, token: str) -> int:
+        number = int.from_bytes(hashlib.md5(token.translate(FOLD).encode()).digest()[:4], "big")
+        if len(token) <= 64 and len(self) < self.most:
+            self[token] = number
+        return number
+
+    def hashes(self, text: str) -> np.ndarray:
+        if len(self) >= self.most:
+            self.clear()
+        found = TOKEN.findall(text)
+        return np.fromiter(map(self.__getitem__, found), dtype=np.int64, count=len(found))
 
 
 def slices(text: str) -> Iterator[str]:
@@ -77,37 +83,42 @@ def buckets(hashes: np.ndarray, sizes: tuple[int, ...], many: int) -> np.ndarray
 
 
 def repeated(words: np.ndarray, size: int = 3) -> int:
-    """How many words stand in runs of size words that are found twice or more. words: equal numbers for equal words."""
+    """How many words stand in runs of size words that are found twice or more. words: numbers from 0 on, equal for equal words."""
     n = len(words) - size + 1
     if n < 2:
         return 0
-    runs = words[:n].astype(np.int64)
+    runs, many, base = words[:n].astype(np.int64), int(words.max()) + 1, int(words.max()) + 1
     for k in range(1, size):
-        # Ranks of the runs so far times the next word stay below the square of their number.
-        runs = np.unique(runs, return_inverse=True)[1] * (int(words.max()) + 1) + words[k : k + n]
-    _, which, times = np.unique(runs, return_inverse=True, return_counts=True)
-    hit = np.zeros(len(words) + 1, dtype=np.int64)
-    again = np.flatnonzero(times[which] > 1)
-    np.add.at(hit, again, 1)
-    np.add.at(hit, again + size, -1)
-    return int((np.cumsum(hit[:-1]) > 0).sum())
+        if many > 2**62 // base:  # ranks of the runs so far, which stay below their number
+            runs = np.unique(runs, return_inverse=True)[1]
+            many = n
+        runs, many = runs * base + words[k : k + n], many * base
+    order = np.argsort(runs, kind="stable")
+    same = runs[order[1:]] == runs[order[:-1]]
+    again = np.zeros(n + 1, dtype=bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    hit = np.zeros(len(words), dtype=bool)
+    for k in range(size):
+        hit[k : k + n] |= again[:n]
+    return int(hit.sum())
 
 
 def measured(text: str, tokens: Tokens) -> tuple[list[int], np.ndarray]:
     """(words, characters in words, symbols, repeated lines, words in repeated runs) and the hashes of the text's tokens."""
-    numbers, hashes, ids, chars = {}, [], [], 0
+    numbers: dict[str, int] = defaultdict(count().__next__)
+    hashes, ids = [], []
     for run in slices(text):
         words = WORD.findall(run)
-        chars += sum(map(len, words))
-        ids.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int32, count=len(words)))
-        hashes.append(tokens.hashes(words))
-    ids = np.concatenate(ids)
+        ids.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words)))
+        hashes.append(tokens.hashes(run))
+    words = np.concatenate(ids)
     met, again = set(), 0
     for line in text.split("\n"):
         if WORD.search(line):
             again += line in met
             met.add(line)
-    return [len(ids), chars, sum(map(text.count, SYMBOLS)), again, repeated(ids)], np.concatenate(hashes)
+    chars = len(text) - sum(map(text.count, SPACES))
+    return [len(words), chars, sum(map(text.count, SYMBOLS)), again, repeated(words)], np.concatenate(hashes)
 
 
 def counted(sizes: tuple[int, ...], many: int):
@@ -116,12 +127,10 @@ def counted(sizes: tuple[int, ...], many: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, raw, good = Tokens(), np.zeros(many, dtype=np.int64), np.zeros(many, dtype=np.int64)
         for part in parts:
-            for text, trusted in zip(part["text"], part["trusted"].to_pylist(), strict=True):
-                words = [tokens.hashes(WORD.findall(s)) for s in slices(text.as_py() or "")]
-                own = np.bincount(buckets(np.concatenate(words), sizes, many), minlength=many)
-                raw += own
-                if trusted:
-                    good += own
+            none, trusted = np.zeros(0, dtype=np.int64), part["trusted"].to_pylist()
+            own = [buckets(np.concatenate([tokens.hashes(s) for s in slices(text.as_py() or "")]), sizes, many) for text in part["text"]]
+            raw += np.bincount(np.concatenate([none, *own]), minlength=many)
+            good += np.bincount(np.concatenate([none, *[x for x, t in zip(own, trusted, strict=True) if t]]), minlength=many)
         met = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(raw[met]), pa.array(good[met])], ["bucket", "raw", "trusted"])
 
