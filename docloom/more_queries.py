@@ -10,6 +10,8 @@ from docloom.functions import text as tx
 from docloom.operators import blocks, chunking, crawl, evaluation, extraction, features, filters, lineage, merge, retrieval
 from docloom.queries import BM25, COS, query, r6, t, windows
 from docloom.sources import files
+from docloom.sources.deltas import DeltaTable
+from docloom.sources.workspace import scratch
 
 # ---- sources
 
@@ -231,7 +233,7 @@ def pipeline_ensure(spark, d):
     return lineage.ensure_pipeline(lineage.ensure_pipeline(_pipelines(spark, d), 7, version="other"), 99, version="1.0")
 
 
-@query(f"""WITH {PIPES} SELECT pipeline_id, version, count(l.s_suppkey) AS n_documents FROM (SELECT pipeline_id, version FROM p UNION ALL SELECT 500, version || '_fork' FROM p WHERE pipeline_id = 7)
+@query(f"""WITH {PIPES} SELECT pipeline_id, version, count(l.s_suppkey) AS n_documents FROM (SELECT pipeline_id, version FROM p UNION ALL SELECT 500, version || '-branch' FROM p WHERE pipeline_id = 7)
 LEFT JOIN (SELECT s_nationkey AS k, s_suppkey FROM supplier UNION ALL SELECT 500, s_suppkey FROM supplier WHERE s_nationkey = 7) l ON l.k = pipeline_id GROUP BY 1, 2""")
 def pipeline_fork(spark, d):
     links = t(spark, d, "supplier").select(F.col("s_nationkey").cast("bigint").alias("pipeline_id"), F.col("s_suppkey").alias("document_hash"))
@@ -417,3 +419,15 @@ def pages_shown(spark, d):
     sides = t(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list(F.when(F.col("turn") < 4, chunk)).alias("a"), F.collect_list(F.when(F.col("turn") >= 4, chunk)).alias("b"))
     return sides.select("conv_id", evaluation.shown_by_pages(F.col("a"), F.col("b")).alias("shown"))
 
+
+
+@query("""SELECT user_id, event_type, arg_max(value, (event_id % 4) * 1e12 + event_id) AS value, count(DISTINCT event_id % 4)::BIGINT AS n_batches FROM events GROUP BY user_id, event_type""")
+def delta_upsert(spark, d):
+    """Events arrive in four batches; each writes its own rows into a table of deltas, some buckets are compacted on the way, and readers merge."""
+    events = t(spark, d, "events").select("user_id", "event_type", "value", "event_id")
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.drop("event_id").schema)
+    table = DeltaTable(spark, scratch(spark, "deltas"), shape, ("user_id", "event_type"), compact_after=2)
+    for n in range(4):
+        table.write(events.where(F.col("event_id") % 4 == n), n, "event_id")
+    batches = events.groupBy("user_id", "event_type").agg(F.count_distinct(F.col("event_id") % 4).alias("n_batches"))
+    return table.read().join(batches, ["user_id", "event_type"]).select("user_id", "event_type", "value", "n_batches")

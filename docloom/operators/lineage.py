@@ -33,8 +33,8 @@ def fork(steps: DataFrame, pipeline_id: int, new_id: int, before: int, first_ste
 
 
 def fork_pipeline(pipelines: DataFrame, links: DataFrame, pipeline_id: int, new_id: int) -> tuple[DataFrame, DataFrame]:
-    """(pipelines with a copy under new_id, links with the copy's documents): the copy's version ends in _fork and it is linked to the documents of the first."""
-    copy = pipelines.where(F.col("pipeline_id") == pipeline_id).withColumns({"pipeline_id": F.lit(new_id).cast(pipelines.schema["pipeline_id"].dataType), "version": F.concat("version", F.lit("_fork"))})
+    """(pipelines with a copy under new_id, links with the copy's documents): the copy's version ends in -branch and it is linked to the documents of the first."""
+    copy = pipelines.where(F.col("pipeline_id") == pipeline_id).withColumns({"pipeline_id": F.lit(new_id).cast(pipelines.schema["pipeline_id"].dataType), "version": F.concat("version", F.lit("-branch"))})
     more = links.where(F.col("pipeline_id") == pipeline_id).withColumn("pipeline_id", F.lit(new_id).cast(links.schema["pipeline_id"].dataType))
     return pipelines.unionByName(copy.select(*pipelines.columns)), links.unionByName(more.select(*links.columns))
 

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming import StreamingQuery
 
-from docloom.operators.merge import merge
+from docloom.sources.deltas import DeltaTable
 
 
 def event_time(df: DataFrame, column: str = "ts") -> DataFrame:
@@ -43,36 +41,11 @@ def drain(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint
     return query
 
 
-def merging(spark: SparkSession, base: str, schema: str, keys: list[str], seq: str, update: bool = True) -> Callable[[DataFrame, int], None]:
-    """A batch function that merges into snapshots base/v=<batch id>; a repeated batch rewrites its own snapshot from the one before."""
-
-    def run(rows: DataFrame, batch_id: int) -> None:
-        before = spark.read.schema(schema).parquet(f"{base}/v={batch_id - 1}") if batch_id else spark.createDataFrame([], schema)
-        merge(before, rows, keys, seq, update).drop("action").write.mode("overwrite").parquet(f"{base}/v={batch_id}")
-
-    return run
+def merging(table: DeltaTable, seq: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that adds each batch to a table of deltas; a repeated batch changes nothing."""
+    return lambda rows, batch_id: table.write(rows, batch_id, seq)
 
 
 def queue(spark: SparkSession, folder: str, schema: str, per_batch: int = 1) -> DataFrame:
     """Files of work (JSON lines) that are put into a folder, taken so many at a time, each once; drain() works them off and may be restarted."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).json(folder)
-
-
-def rating_stream(matches: DataFrame, key: str, seq: str, score: str, k: float = 32.0, start: float = 1500.0) -> DataFrame:
-    """(key, rating_a, rating_b, n_matches) after each batch of matches of a pair; ratings live in the state of the stream.
-
-    Matches of a batch are taken in order of seq; those of later batches follow.
-    """
-    kind = matches.schema[key].dataType.simpleString()
-
-    def run(own, frames, state: GroupState):
-        a, b, n = state.get if state.exists else (start, start, 0)
-        rows = pd.concat(list(frames)).sort_values([seq, score])
-        for s in rows[score]:
-            change = k * (float(s) - 1.0 / (1.0 + 10.0 ** ((b - a) / 400.0)))
-            a, b, n = a + change, b - change, n + 1
-        state.update((a, b, n))
-        yield pd.DataFrame([(own[0], a, b, n)], columns=[key, "rating_a", "rating_b", "n_matches"])
-
-    grouped = matches.select(key, seq, F.col(score).cast("double").alias(score)).groupBy(key)
-    return grouped.applyInPandasWithState(run, f"`{key}` {kind}, rating_a double, rating_b double, n_matches int", "rating_a double, rating_b double, n_matches int", "update", GroupStateTimeout.NoTimeout)

@@ -190,22 +190,6 @@ def test_index_order(spark):
     assert [r.id for r in df.orderBy(*by_index("index")).collect()] == [3, 2, 1, 4]
 
 
-def test_ratings_live_in_the_stream(spark, tmp_path):
-    rng = random.Random(3)
-    rows = [(f"p{rng.randrange(3)}", i, rng.choice([0.0, 0.5, 1.0])) for i in range(60)]
-    folder = tmp_path / "in"
-    shape = "pair string, at bigint, score double"
-    for n in range(3):
-        spark.createDataFrame(rows[20 * n : 20 * n + 20], shape).coalesce(1).write.mode("append").json(str(folder))
-        stream = incremental.rating_stream(incremental.queue(spark, str(folder), shape), "pair", "at", "score")
-        incremental.drain(stream, lambda df, i: df.write.mode("overwrite").parquet(str(tmp_path / f"out/b={i}")), str(tmp_path / "cp"), "update")
-    got = {}
-    for r in sorted(spark.read.parquet(str(tmp_path / "out")).collect(), key=lambda r: r.n_matches):
-        got[r.pair] = (r.rating_a, r.rating_b, r.n_matches)
-    want = {r.pair: (r.rating_a, r.rating_b, r.n_matches) for r in evaluation.elo(spark.createDataFrame(rows, shape), ["pair"], "at", "score").collect()}
-    assert {k: (round(a, 9), round(b, 9), n) for k, (a, b, n) in got.items()} == {k: (round(a, 9), round(b, 9), n) for k, (a, b, n) in want.items()}
-
-
 def test_ratings_of_null_keys_and_history(spark):
     rows = [(None, 1, 1.0), (None, 2, 1.0), (4, 1, None), (4, 2, 0.0)]
     df = spark.createDataFrame(rows, "k bigint, s int, score double")

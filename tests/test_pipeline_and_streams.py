@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docloom.plans import registry
 from docloom.plans.pipeline import Pipeline, errors
 from docloom.sources import files
+from docloom.sources.deltas import DeltaTable
 from docloom.sources.sinks import Storage, pages_json, payload
 from docloom.streaming import incremental
 
@@ -97,12 +98,10 @@ def test_merged_stream_equals_table(spark, sf, tmp_path):
     events, stream = streamed(spark, sf, tmp_path)
     cols = ["user_id", "event_type", "event_id", "value"]
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.select("user_id", "event_type", "value").schema)
-    base = str(tmp_path / "out")
-    incremental.drain(stream.select(*cols), incremental.merging(spark, base, shape, ["user_id", "event_type"], "event_id"), str(tmp_path / "cp"))
-    last = max(int(v[2:]) for v in os.listdir(base))
-    got = sorted(map(tuple, spark.read.parquet(f"{base}/v={last}").collect()))
+    table = DeltaTable(spark, str(tmp_path / "out"), shape, ("user_id", "event_type"), compact_after=2)
+    incremental.drain(stream.select(*cols), incremental.merging(table, "event_id"), str(tmp_path / "cp"))
     want = events.groupBy("user_id", "event_type").agg(F.max_by("value", "event_id").alias("value"))
-    assert got == sorted(map(tuple, want.select("user_id", "event_type", "value").collect()))
+    assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, want.select("user_id", "event_type", "value").collect()))
 
 
 def test_streamed_windows_and_dedupe(spark, sf, tmp_path):
