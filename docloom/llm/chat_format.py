@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.arrays import let, sums_before
+
 HEAD, SEP, END = "### ", ": ", "</turn>"
 TURNS = "array<struct<role: string, text: string>>"
 
@@ -92,7 +94,8 @@ def format_chats(turns: DataFrame, learn_role: str = "assistant") -> DataFrame:
     ordered by turn (null first), then role and text, repeated rows included. A row
     with a null conv_id belongs to no other and is a conversation of its own.
     Other columns are ignored; an empty table gives an empty result. A conversation is one string and so one row:
-    what has to fit a task is one conversation, not the table.
+    what has to fit a task is one conversation, not the table; time grows with its
+    length, not with the square of its turns.
     """
     row = F.struct(F.col("turn"), F.coalesce("role", lit("")).alias("role"), F.coalesce("text", lit("")).alias("text"))
     own = turns.select("conv_id", row.alias("row"), F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone"))
@@ -114,20 +117,16 @@ def format_chats(turns: DataFrame, learn_role: str = "assistant") -> DataFrame:
 
 
 def loss_spans(learn_role: str) -> Column:
-    """Walks the rendered turns, keeping the position and the spans so far."""
-    start = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans"))
-
-    def step(acc, t):
-        piece = t["piece"]
-        begin, end = (acc["pos"] + head_chars(piece)).cast("long"), (acc["pos"] + F.length(piece)).cast("long")
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        spans = F.when(t["role"] == lit(learn_role), F.concat(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct((end + len(END) + 1).alias("pos"), spans.alias("spans"))
+    """Where the texts to learn from stand: turns follow one another, so a turn begins where the lengths before it end."""
+    def spans(parts: Column) -> Column:
+        begins = sums_before(F.transform(parts, lambda p: (F.length(p) + len(END) + 1).cast("bigint")))
+        turns = F.filter(F.arrays_zip(parts.alias("piece"), F.col("parsed").alias("turn"), begins.alias("at")), lambda z: z["turn"]["role"] == lit(learn_role))
+        return F.transform(turns, lambda z: F.struct((z["at"] + head_chars(z["piece"])).alias("start"), (z["at"] + F.length(z["piece"])).alias("end")))
 
-    turns = F.zip_with(pieces(F.col("formatted")), F.col("parsed"), lambda p, t: F.struct(p.alias("piece"), t["role"].alias("role")))
-    return F.aggregate(turns, start, step, lambda acc: acc["spans"])
+    return let(pieces(F.col("formatted")), spans)
 
 
-def loss_text() -> Column:
-    """What the loss mask covers, unescaped: cut out of formatted by its spans."""
-    return F.concat_ws("", F.transform("loss_spans", lambda s: unescape(F.col("formatted").substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))))
+def loss_text(learn_role: str = "assistant") -> Column:
+    """What the loss mask covers, unescaped: the texts of the turns to learn from, cut out of formatted."""
+    turns = F.filter(F.arrays_zip(pieces(F.col("formatted")).alias("piece"), F.col("parsed").alias("turn")), lambda z: z["turn"]["role"] == lit(learn_role))
+    return F.concat_ws("", F.transform(turns, lambda z: unescape(z["piece"].substr(head_chars(z["piece"]) + 1, F.length(z["piece"])))))

@@ -16,7 +16,8 @@ counts, short ones too.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -103,7 +104,10 @@ class Lines(HTMLParser):
         self.lines: list[Line] = []
         self.kinds, self.parents, self.ends = ["page"], [-1], [-1]
         self.open: list[Open] = []
-        self.counts: Counter[str] = Counter()
+        #: Places in open of each tag, of containers, and of paragraphs and headings, so that nothing has to be searched.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.containers: list[int] = []
+        self.paragraphs: list[int] = []
         self.node = self.off = self.pre = self.articles = 0
         self.skip: list[str] = []
         self.text: list[str] = []
@@ -122,8 +126,12 @@ class Lines(HTMLParser):
         self.links = 0
 
     def push(self, tag: str, container: bool, beside: bool, main: bool) -> None:
+        self.places[tag].append(len(self.open))
+        if container:
+            self.containers.append(len(self.open))
+        if tag == "p" or tag in HEADINGS:
+            self.paragraphs.append(len(self.open))
         self.open.append(Open(tag, container, beside, self.node))
-        self.counts[tag] += 1
         self.off += beside
         self.articles += tag == "article"
         if container:
@@ -136,28 +144,27 @@ class Lines(HTMLParser):
         """Closes all but the first keep of the open elements."""
         while len(self.open) > keep:
             tag, container, beside, node = self.open.pop()
-            self.counts[tag] -= 1
+            self.places[tag].pop()
+            if self.paragraphs and self.paragraphs[-1] == len(self.open):
+                self.paragraphs.pop()
             self.off -= beside
             self.articles -= tag == "article"
             if container:
+                self.containers.pop()
                 self.ends[self.node] = len(self.kinds) - 1
                 self.node = node
 
     def inline(self) -> int:
         """How many elements are open, without the non-containers on top."""
-        n = len(self.open)
-        while n and not self.open[n - 1].container:
-            n -= 1
-        return n
+        return self.containers[-1] + 1 if self.containers else 0
 
     def implied(self, tag: str) -> None:
         """Closes what the start of tag closes."""
-        for n in range(self.inline(), len(self.open)):
-            if self.open[n].tag == "p" or self.open[n].tag in HEADINGS:
-                self.pop(n)
-                break
+        at = bisect_left(self.paragraphs, self.inline())
+        if at < len(self.paragraphs):
+            self.pop(self.paragraphs[at])
         closed, until = CLOSES.get(tag, ((), ()))
-        if any(self.counts[t] for t in closed):
+        if any(self.places[t] for t in closed):
             for n in range(len(self.open) - 1, max(-1, len(self.open) - 65), -1):
                 if self.open[n].tag in until:
                     break
@@ -211,12 +218,8 @@ class Lines(HTMLParser):
             self.pre = max(0, self.pre - 1)
         if self.skip and tag in CONTAINERS:
             self.skip.clear()
-        if self.counts[tag]:
-            least = 0 if tag in CONTAINERS else self.inline()
-            for n in range(len(self.open) - 1, least - 1, -1):
-                if self.open[n].tag == tag:
-                    self.pop(n)
-                    break
+        if self.places[tag] and self.places[tag][-1] >= (0 if tag in CONTAINERS else self.inline()):
+            self.pop(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
         if not self.off and not self.skip:

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -32,6 +34,21 @@ def test_any_texts_round_trip(spark, turns):
     assert [(t.role, t.text) for t in row.parsed] == turns and row.learnt == "".join(t for r, t in turns if r == "assistant")
 
 
+def test_a_conversation_of_very_many_turns(spark):
+    """100,000 turns, a third of them with reserved strings; spans cover what is learnt."""
+    from pyspark.sql import functions as F
+
+    turns = spark.range(100_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.when(F.col("id") % 3 == 0, "### </turn>").otherwise("text "), F.col("id")).alias("text"))
+    began = time.time()
+    row = cf.format_chats(turns).withColumn("learnt", cf.loss_text()).first()
+    assert time.time() - began < 60
+    want = [("### </turn>" if i % 3 == 0 else "text ") + str(i) for i in range(1, 100_000, 2)]
+    assert row.learnt == "".join(want) and len(row.parsed) == 100_000 and len(row.loss_spans) == 50_000
+    for i in (0, 1, 777, 49_999):
+        s = row.loss_spans[i]
+        assert row.formatted[s.start : s.end].replace("\\h", "### ").replace("\\t", "</turn>") == want[i]
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None, None, "", 0), (1, 2, "assistant", "x" * 200000, "", 0), (1, 2, "assistant", "x" * 200000, "", 0), (None, 1, "user", "lost", "", 0), (None, 1, "user", "also", "", 0)]
     found = cf.format_chats(spark.createDataFrame(rows, SCHEMA)).collect()

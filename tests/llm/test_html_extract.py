@@ -114,7 +114,7 @@ def test_missing_end_tags_are_supplied():
 
 
 def test_time_grows_with_the_page():
-    for html in ("<article><table>" + "<tr><td>a<td>b" * 40_000 + "</table></article>", "<ul>" + "<li>a" * 80_000, "<div>" * 80_000 + "deep", "<b>" * 80_000 + "x", "<p class=ad>" * 40_000 + "<p>x"):
+    for html in ("<article><table>" + "<tr><td>a<td>b" * 40_000 + "</table></article>", "<ul>" + "<li>a" * 80_000, "<div>" * 80_000 + "deep", "<b>" * 80_000 + "x", "<p class=ad>" * 40_000 + "<p>x", "x<i class='ad'><p>x</div>" * 80_000, "x<b class=ad><div>" + "<i class=ad>" * 80_000 + "</b>" * 80_000, "x" + "<i class='ad'><p class=ad>y" * 80_000):
         began = time.time()
         assert hx.main_text(html)
         assert time.time() - began < 10
