@@ -26,10 +26,14 @@ from pyspark.sql import types as T
 from docloom.llm.shared import small_batches, written
 from docloom.llm.wordhash import release
 
-#: Feature space; the last number stands for n-grams that would reach into the next text.
+#: Feature space, unless there are very many languages.
 BITS = 15
 FEATURES = 1 << BITS
 SIZES = (1, 2, 3)
+#: Weights of a model at most: with L languages there are as many features as a power of two that keeps features times L below this.
+MOST_WEIGHTS = 1 << 24
+#: Characters from which on a text is counted in slices.
+LONG = 500_000
 UNKNOWN = "und"
 #: Names of the columns that are added, not to clash with the table's own.
 PREDICTED, SCORE = "_lang_pred", "_lang_score"
@@ -45,7 +49,12 @@ def letters(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hashed(h: np.ndarray, bits: int) -> np.ndarray:
+    mixed = h ^ (h >> np.uint32(15))
+    return ((mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - bits)).astype(np.int32)
+
+
+def features(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, text of each, letters per text). Runs of anything but letters are one space; texts begin and end with one."""
     joined = "\0".join(texts).lower() if all("\0" not in t for t in texts) else "\0".join(t.replace("\0", " ") for t in texts).lower()
     codes = np.frombuffer(("\0 " + joined.replace("\0", " \0 ") + " \0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -62,20 +71,42 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         m = len(codes) - n
         h = (h[:m] * np.uint32(0x01000193)) ^ (codes[n:] * _MIX[n])
         if n + 1 in SIZES:
-            mixed = h ^ (h >> np.uint32(15))
-            mixed = (mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BITS)
             whole = ~end[:m]
             for k in range(1, n + 1):
                 whole &= ~end[k : k + m]
             if n == 0:
                 whole &= letter
-            found.append(mixed[whole].astype(np.int32))
+            found.append(hashed(h[whole], bits))
             owner.append(text[:m][whole].astype(np.int32))
     return np.concatenate(found), np.concatenate(owner), counts
 
 
-def cut(texts: list[str], most: int = 500_000, rows: int = 200):
-    """Runs of at most so many characters (a longer text stands alone) and rows."""
+def counts_of_long(text: str, bits: int = BITS, size: int = LONG) -> tuple[np.ndarray, int]:
+    """(how often each feature occurs, letters) of one text, as features() has it, with memory for a slice only: the last characters of a slice go with the next."""
+    text, reach = text.lower(), max(SIZES) - 1
+    counts, many = np.zeros(1 << bits, dtype=np.int64), 0
+    before = np.array([32], dtype=np.uint32)
+    for at in range(0, len(text) + size, size):
+        codes = np.frombuffer(text[at : at + size].encode("utf-32-le", "surrogatepass"), dtype=np.uint32) if at < len(text) else np.array([32], dtype=np.uint32)
+        letter = letters(codes)
+        many += int(letter.sum())
+        codes = np.where(letter, codes, np.uint32(32))
+        keep = codes != 32
+        keep |= np.r_[before[-1:], codes[:-1]] != 32
+        codes = np.r_[before, codes[keep]]
+        h = np.zeros(len(codes), dtype=np.uint32)
+        for n in range(max(SIZES)):
+            m = max(len(codes) - n, 0)
+            h = (h[:m] * np.uint32(0x01000193)) ^ (codes[n:] * _MIX[n])
+            if n + 1 in SIZES:
+                new = np.arange(m) + n >= len(before)
+                counts += np.bincount(hashed(h[new & (codes[:m] != 32) if n == 0 else new], bits), minlength=1 << bits)
+        before = codes[-reach:]
+    return counts, many
+
+
+def cut(texts: list[str], most: int = LONG, rows: int = 200):
+    """Runs of at most so many characters (a longer text stands alone, to be counted in slices) and rows."""
     start = total = 0
     for i, t in enumerate(texts):
         if i - start == rows or (total and total + len(t) > most):
@@ -90,40 +121,59 @@ def strings(column: pa.Array) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 
 
-def frequencies(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many texts of the task each feature occurs; feature -1 counts the texts."""
-    df, n = np.zeros(FEATURES, dtype=np.int64), 0
-    for part in parts:
-        texts = strings(part["text"])
-        for a, b in cut(texts):
-            f, owner, _ = features(texts[a:b])
-            seen = np.zeros((b - a, FEATURES), dtype=bool)
-            seen[owner, f] = True
-            df += seen.sum(axis=0)
-            n += b - a
-    at = np.flatnonzero(df)
-    release()
-    yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[n, df[at]], pa.int64())], ["feature", "df"])
-
-
-def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as sparse counts, for training."""
-    for part in parts:
-        keys, values = [], []
-        for t in strings(part["text"]):
-            f, _, _ = features([t])
-            k, v = np.unique(f, return_counts=True)
-            keys.append(k.astype(np.int32))
-            values.append(v.astype(np.int32))
-        yield pa.RecordBatch.from_arrays([part["order"], part["lang"], pa.array(keys, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.int32()))], ["order", "lang", "features", "counts"])
+def is_long(run: list[str]) -> bool:
+    return len(run) == 1 and len(run[0]) > LONG
+
+
+def frequencies(bits: int):
+    """A mapInArrow function: in how many texts of the task each feature occurs; feature -1 counts the texts."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n = np.zeros(1 << bits, dtype=np.int64), 0
+        for part in parts:
+            texts = strings(part["text"])
+            for a, b in cut(texts):
+                if is_long(texts[a:b]):
+                    df += counts_of_long(texts[a], bits)[0] > 0
+                else:
+                    f, owner, _ = features(texts[a:b], bits)
+                    seen = np.zeros((b - a, 1 << bits), dtype=bool)
+                    seen[owner, f] = True
+                    df += seen.sum(axis=0)
+                n += b - a
+        at = np.flatnonzero(df)
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[n, df[at]], pa.int64())], ["feature", "df"])
+
+    return run
+
+
+def counted(bits: int):
+    """A mapInArrow function: texts as sparse counts, for training."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            keys, values = [], []
+            for t in strings(part["text"]):
+                if is_long([t]):
+                    every = counts_of_long(t, bits)[0]
+                    k, v = np.flatnonzero(every), every[every > 0]
+                else:
+                    k, v = np.unique(features([t], bits)[0], return_counts=True)
+                keys.append(k.astype(np.int32))
+                values.append(v.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([part["order"], part["lang"], pa.array(keys, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.int32()))], ["order", "lang", "features", "counts"])
+
+    return run
 
 
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    weights: np.ndarray  # FEATURES x languages; idf and scale are multiplied in
+    weights: np.ndarray  # features x languages; idf and scale are multiplied in
     bias: np.ndarray
     temperature: float
+    bits: int = BITS
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -133,8 +183,9 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, idf: np.ndarray, epochs: int, alpha: float, beta: float, l1: float, l2: float, scale: float):
     """FTRL-proximal, one pass over the rows per epoch; rows are (features, counts, language). Returns weights, bias."""
-    z = np.zeros((FEATURES + 1, n_languages))
-    g2 = np.zeros((FEATURES + 1, n_languages))
+    many = len(idf)
+    z = np.zeros((many + 1, n_languages))
+    g2 = np.zeros((many + 1, n_languages))
 
     def weights(at: np.ndarray) -> np.ndarray:
         zz = z[at]
@@ -143,7 +194,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, idf:
 
     for _ in range(epochs):
         for f, c, y in rows:
-            at = np.r_[f, FEATURES]
+            at = np.r_[f, many]
             x = np.r_[c / c.sum() * idf[f] * scale, 1.0]
             w = weights(at)
             p = softmax(x @ w)
@@ -152,8 +203,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, idf:
             s = (np.sqrt(g2[at] + g * g) - np.sqrt(g2[at])) / alpha
             z[at] += g - s * w
             g2[at] += g * g
-    w = weights(np.arange(FEATURES + 1))
-    return w[:FEATURES], w[FEATURES]
+    w = weights(np.arange(many + 1))
+    return w[:many], w[many]
 
 
 def temperature(logits: np.ndarray, y: np.ndarray) -> float:
@@ -176,6 +227,11 @@ def fit(learn: DataFrame, sample_rows: int = 2000, epochs: int = 3, alpha: float
     about sample_rows / languages of each language, those with the least hash
     of doc_id, and never more than twice sample_rows in all. Every fifth is
     held back for the temperature. Document frequencies cover all rows.
+
+    The driver and every task hold the model, features times languages numbers:
+    32,768 features up to 512 languages, fewer beyond (MOST_WEIGHTS), so that
+    its size stays the same however many languages there are. More languages
+    than sample_rows leave some without a row to be fitted on: raise it then.
     """
     small_batches(learn.sparkSession)
     has_letter = F.rlike("text", F.lit(r"\p{L}"))
@@ -184,26 +240,26 @@ def fit(learn: DataFrame, sample_rows: int = 2000, epochs: int = 3, alpha: float
     if not per:
         return None
     languages = tuple(sorted(per))
-    rows = {r["feature"]: r["df"] for r in learn.select("text").mapInArrow(frequencies, "feature int, df bigint").groupBy("feature").agg(F.sum("df").alias("df")).collect()}
+    bits = min(BITS, (MOST_WEIGHTS // len(languages)).bit_length() - 1)
+    rows = {r["feature"]: r["df"] for r in learn.select("text").mapInArrow(frequencies(bits), "feature int, df bigint").groupBy("feature").agg(F.sum("df").alias("df")).collect()}
     n = rows.pop(-1)
-    df = np.zeros(FEATURES)
+    df = np.zeros(1 << bits)
     df[list(rows)] = list(rows.values())
     idf = np.log((1 + n) / (1 + df)) + 1.0
 
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    share = F.lit(0.0)
-    for lang, count in per.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_rows / len(languages) / count))).otherwise(share)
-    picked = learn.withColumn("order", order).where(F.pmod("order", F.lit(1 << 30)) < share * (1 << 30))
-    sample = picked.select("order", "lang", "text").mapInArrow(counted, "order bigint, lang string, features array<int>, counts array<int>")
+    shares = learn.sparkSession.createDataFrame([(lang, min(1.0, sample_rows / len(languages) / count)) for lang, count in per.items()], "lang string, share double")
+    picked = learn.withColumn("order", order).join(F.broadcast(shares), "lang").where(F.pmod("order", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    sample = picked.select("order", "lang", "text").mapInArrow(counted(bits), "order bigint, lang string, features array<int>, counts array<int>")
     sample = written(sample, "lang-sample").orderBy("order", "lang", F.hash("features")).limit(2 * sample_rows).toPandas()
-    data = [(np.asarray(f), np.asarray(c, dtype=float), languages.index(lang)) for f, c, lang in zip(sample["features"], sample["counts"], sample["lang"], strict=True) if len(f)]
+    place = {lang: i for i, lang in enumerate(languages)}
+    data = [(np.asarray(f), np.asarray(c, dtype=float), place[lang]) for f, c, lang in zip(sample["features"], sample["counts"], sample["lang"], strict=True) if len(f)]
     held, used = data[::5], [d for i, d in enumerate(data) if i % 5] or data
     w, bias = train(used, len(languages), idf, epochs, alpha, beta, l1, l2, scale)
     w = w * (idf * scale)[:, None]
     logits = np.array([(c / c.sum()) @ w[f] + bias for f, c, _ in held])
     t = temperature(logits, np.array([y for _, _, y in held])) if held else 1.0
-    return Model(languages, w.astype(np.float32), bias, t)
+    return Model(languages, w.astype(np.float32), bias, t, bits)
 
 
 def scored(shared, keep_text: bool):
@@ -211,19 +267,28 @@ def scored(shared, keep_text: bool):
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model | None = shared.value
-        columns = [] if model is None else list(np.ascontiguousarray(model.weights.T, dtype=np.float64))
+        few = model is not None and len(model.languages) <= 64
+        columns = list(np.ascontiguousarray(model.weights.T, dtype=np.float64)) if few else []
         for part in parts:
             texts = strings(part["text"])
             names, scores = [], np.zeros(len(texts))
             for a, b in cut(texts):
-                f, owner, letters_in = features(texts[a:b])
                 if model is None:
                     names += [UNKNOWN] * (b - a)
                     continue
-                total = np.maximum(np.bincount(owner, minlength=b - a), 1)
-                runs = np.flatnonzero(np.r_[len(owner) > 0, owner[1:] != owner[:-1]])
-                sums = [np.bincount(owner[runs], np.add.reduceat(w[f], runs), minlength=b - a) if len(runs) else np.zeros(b - a) for w in columns]
-                logits = np.stack(sums, axis=1) / total[:, None] + model.bias
+                if is_long(texts[a:b]):
+                    counts, many = counts_of_long(texts[a], model.bits)
+                    logits, letters_in = (counts / max(counts.sum(), 1) @ model.weights)[None] + model.bias, np.array([many])
+                else:
+                    f, owner, letters_in = features(texts[a:b], model.bits)
+                    total = np.maximum(np.bincount(owner, minlength=b - a), 1)
+                    if few:
+                        runs = np.flatnonzero(np.r_[len(owner) > 0, owner[1:] != owner[:-1]])
+                        sums = [np.bincount(owner[runs], np.add.reduceat(w[f], runs), minlength=b - a) if len(runs) else np.zeros(b - a) for w in columns]
+                        logits = np.stack(sums, axis=1) / total[:, None] + model.bias
+                    else:
+                        counts = np.bincount(owner.astype(np.int64) << model.bits | f, minlength=(b - a) << model.bits).reshape(b - a, -1)
+                        logits = counts.astype(np.float32) @ model.weights / total[:, None] + model.bias
                 p = softmax(logits / model.temperature)
                 best = p.argmax(axis=1)
                 some = letters_in > 0
@@ -272,7 +337,9 @@ def identify_documents(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
 
     Learns from the text and lang of the rows that are not held out, then
     predicts every row from its text alone. Without any row to learn from all
-    are und. Repeated rows each get their result; other columns are not read.
+    are und. Repeated rows each get their result; other columns are not read;
+    an empty table gives an empty result. A text may be of any length: beside the
+    text itself a task holds what half a million characters need.
     """
     found = identify(docs.select("doc_id", held_out().alias("held_out"), "text"), fit(learn_from(docs), sample_rows))
     return found.select("doc_id", "held_out", F.col(PREDICTED).alias("lang_pred"), F.col(SCORE).alias("score"))

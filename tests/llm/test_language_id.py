@@ -151,3 +151,37 @@ def test_odd_rows(odd_docs, no_docs):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None), (2, "123", "en")], "doc_id int, text string, lang string")
     assert {r.lang_pred for r in li.identify_documents(docs).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_long_texts_are_counted_in_slices(size):
+    for text in ("", "a", "1", "Ab cé, 12 xyz!", " .. Ab\0cd  ΑΣ ΑΣΑ İi ", "日本語 \U00020000\U00020001 x", "no end " * 40):
+        f, _, n = li.features([text])
+        counts, many = li.counts_of_long(text, size=size)
+        assert counts.tolist() == np.bincount(f, minlength=li.FEATURES).tolist() and many == n[0]
+
+
+def test_a_very_long_text(spark):
+    """20 million characters at a bounded peak; the same answer as for a shorter copy."""
+    import tracemalloc
+
+    text = "the quick brown fox jumps " * 800_000
+    tracemalloc.start()
+    counts, many = li.counts_of_long(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert many == 800_000 * 21 and peak < 3 * len(text)
+    docs = [(i, t, lang) for i in range(40) for t, lang in ((f"the quick fox {i} jumps", "en"), (f"der schnelle fuchs {i} springt", "de"))]
+    long = [(900, text[:2_600_000], None), (901, text[:260], None), (902, "der schnelle fuchs springt " * 40_000, None)]
+    found = {r.doc_id: r for r in li.identify_documents(spark.createDataFrame(docs + long, "doc_id int, text string, lang string")).collect() if r.doc_id >= 900}
+    assert [found[i].lang_pred for i in (900, 901, 902)] == ["en", "en", "de"] and abs(found[900].score - found[901].score) < 0.02
+
+
+def test_very_many_languages(spark):
+    """2,000 languages: the model keeps its size."""
+    docs = spark.range(8000).selectExpr("CAST(id AS int) AS doc_id", "concat('word', repeat(substr('abcdefghijklmnopqrstuvwxyz', id % 20 + 1, 3), 5)) AS text", "concat('lang', id % 2000) AS lang")
+    model = li.fit(li.learn_from(docs), sample_rows=400, epochs=1)
+    many = len(model.languages)
+    assert 1990 < many <= 2000 and model.weights.shape == (1 << 13, many) and model.weights.size <= li.MOST_WEIGHTS
+    found = li.identify(docs.limit(20), model).collect()
+    assert all(r[li.PREDICTED] in model.languages and 0 < r[li.SCORE] <= 1 for r in found)
