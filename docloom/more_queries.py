@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import blocks, chunking, crawl, evaluation, extraction, features, filters, lineage, merge, retrieval
+from docloom.operators import blocks, chunking, crawl, evaluation, extraction, features, filters, hulls, lineage, manifold, merge, retrieval, sentences
 from docloom.queries import BM25, COS, query, r6, t, windows
 from docloom.sources import files
 from docloom.sources.deltas import DeltaTable
@@ -431,3 +431,34 @@ def delta_upsert(spark, d):
         table.write(events.where(F.col("event_id") % 4 == n), n, "event_id")
     batches = events.groupBy("user_id", "event_type").agg(F.count_distinct(F.col("event_id") % 4).alias("n_batches"))
     return table.read().join(batches, ["user_id", "event_type"]).select("user_id", "event_type", "value", "n_batches")
+
+
+@query()
+def manifold_layout(spark, d):
+    """Vectors in three dimensions that keep their neighbourhoods."""
+    found = manifold.manifold(t(spark, d, "embeddings"), "vec_id", "embedding", 3)
+    return found.select("vec_id", *[r6(F.get("reduced", F.lit(i))).alias(f"y{i}") for i in range(3)])
+
+
+@query()
+def hull_volumes(spark, d):
+    """Of each label the volume of the hull of its vectors, taken three components at a time."""
+    parts = t(spark, d, "embeddings").select("label", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.slice("embedding", i * 3 + 1, F.lit(3)))).alias("part", "v"))
+    return hulls.hull_volumes(parts, ["label", "part"], "v").withColumn("volume", F.round("volume", 9))
+
+
+@query(r"""WITH tk AS (SELECT unnest(regexp_extract_all(text, '\S+')) AS t FROM documents),
+b AS (SELECT regexp_replace(lower(t), '^["''(\[]+|[,;:!?"'')\]]+$', '', 'g') AS b FROM tk),
+c AS (SELECT rtrim(b, '.') AS word, count(*) AS n, count(*) FILTER (b LIKE '%.') AS dotted FROM b WHERE regexp_matches(rtrim(b, '.'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]') GROUP BY 1),
+s AS (SELECT sum(dotted) / sum(n)::DOUBLE AS p FROM c),
+l AS (SELECT word, dotted, n, length(word) - length(replace(word, '.', '')) AS inside, 2.0e0 * (dotted * ln(0.99e0 / p) + (n - dotted) * ln(0.01e0 / (1 - p))) AS ratio FROM c, s WHERE dotted > 0),
+a AS (SELECT word FROM l WHERE ratio * exp(-(length(word) - inside)::DOUBLE) * (inside + 1) * pow((length(word) - inside)::DOUBLE, -(n - dotted)::DOUBLE) >= 0.3),
+p AS (SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS x FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?])(\s)', concat('\1', chr(1), '\2'), 'g'), chr(1)) AS l FROM documents)),
+m AS (SELECT *, CASE WHEN x LIKE '%.' THEN rtrim(regexp_replace(lower(regexp_extract(x, '(\S+)$', 1)), '^["''(\[]+|[,;:!?"'')\]]+$', '', 'g'), '.') END IN (SELECT word FROM a) AS known FROM p),
+g AS (SELECT doc_id, x, i, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (SELECT *, coalesce(lag((NOT coalesce(known, false))::INT) OVER (PARTITION BY doc_id ORDER BY i), 0) AS cut FROM m)),
+w AS (SELECT doc_id, k, regexp_replace(string_agg(x, '' ORDER BY i), '^\s+', '') AS sentence FROM g GROUP BY doc_id, k)
+SELECT doc_id, count(*) AS n_sentences, sha256(string_agg(sentence, chr(1) ORDER BY k)) AS sentences FROM w WHERE sentence <> '' GROUP BY doc_id""")
+def sentences_learnt(spark, d):
+    found = sentences.learnt_sentences(t(spark, d, "documents"), ["doc_id"])
+    own = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.array_sort(F.collect_list(F.struct("sentence_no", "sentence"))).alias("s"))
+    return own.select("doc_id", "n_sentences", F.sha2(F.array_join(F.col("s.sentence"), "\x01"), 256).alias("sentences"))

@@ -28,7 +28,15 @@ HITS = "query_id bigint, feature string, id bigint, score double"
 
 
 def best_of(s: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """In each row the k highest scores with their ids; ties go to the smaller id."""
+    """In each row the k highest scores with their ids; ties go to the smaller id. Of wide rows only those that reach the k-th score are sorted."""
+    wide = s.shape[1] - k
+    if wide > k:
+        row, col = np.nonzero(s >= np.partition(s, wide, axis=1)[:, wide, None])
+        order = np.lexsort((i[row, col], -s[row, col], row))
+        row, col = row[order], col[order]
+        first = np.arange(len(row)) - np.searchsorted(row, np.arange(len(s)))[row] < k
+        row, col = row[first], col[first]
+        return s[row, col].reshape(-1, k), i[row, col].reshape(-1, k)
     order = np.lexsort((i, -s), axis=1)[:, :k]
     return np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
