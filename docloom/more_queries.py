@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.operators import blocks, chunking, crawl, evaluation, extraction, features, filters, hulls, lineage, manifold, merge, retrieval, sentences
-from docloom.queries import BM25, COS, query, r6, t, windows
+from docloom.queries import BM25, COS, SPANS, WHOLE, query, r6, t, windows
 from docloom.sources import files
 from docloom.sources.deltas import DeltaTable
 from docloom.sources.workspace import scratch
@@ -462,3 +462,16 @@ def sentences_learnt(spark, d):
     found = sentences.learnt_sentences(t(spark, d, "documents"), ["doc_id"])
     own = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.array_sort(F.collect_list(F.struct("sentence_no", "sentence"))).alias("s"))
     return own.select("doc_id", "n_sentences", F.sha2(F.array_join(F.col("s.sentence"), "\x01"), 256).alias("sentences"))
+
+
+@query(f"""WITH {WHOLE}, {SPANS}, {windows('conv_id', 'whole', 12, 0)},
+v AS (SELECT conv_id, chunk_index AS i, chunk_start, chunk_end, regexp_replace(chunk_text, '\\s+', ' ', 'g') AS unit FROM chunks),
+x AS (SELECT *, [(length(unit) % 7)::DOUBLE, (length(unit) % 3)::DOUBLE, 1.0e0] AS a FROM v), n AS (SELECT *, lead(a) OVER w AS b FROM x WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+far AS (SELECT *, coalesce(1 - {COS.format(a="a", b="b")}, 0) AS far FROM n), bd AS (SELECT conv_id, quantile_cont(far, 0.8) AS bound FROM far WHERE b IS NOT NULL GROUP BY 1),
+c AS (SELECT far.*, coalesce((lag(far) OVER w > bound)::INT, 0) AS cut FROM far LEFT JOIN bd USING (conv_id) WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+g AS (SELECT *, sum(cut) OVER (PARTITION BY conv_id ORDER BY i) + 1 AS chunk_index FROM c),
+d AS (SELECT conv_id, chunk_index::BIGINT AS chunk_index, string_agg(unit, ' ' ORDER BY i) AS chunk_text, count(*) AS n_units, min(chunk_start) AS s, max(chunk_end) AS e FROM g GROUP BY 1, 2)
+SELECT d.conv_id, chunk_index, chunk_text, n_units, min(turn) AS first_entry, max(turn) AS last_entry, string_agg(turn::VARCHAR, ',' ORDER BY turn) AS entries
+FROM d JOIN spans p ON d.conv_id = p.conv_id AND d.s < p.e AND d.e > p.s GROUP BY ALL""")
+def distance_chunks_of_words(spark, d):
+    return chunking.distance_chunks_of_words(t(spark, d, "conversations"), ["conv_id"], "turn", "text", _told, 12, percent=80.0)

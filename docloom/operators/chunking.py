@@ -150,29 +150,49 @@ def build_chunks(chunks: DataFrame, entries: DataFrame, keys: list[str], order:
     return own.groupBy(*keys, "chunk_index", "chunk_text").agg(F.min("page").alias("min_primary_index"), F.max("page").alias("max_primary_index"), *[c.alias(n) for n, c in brought.items()]).withColumn("chunking_method", F.lit(method))
 
 
-def distance_chunks(entries: DataFrame, keys: list[str], order: str, text: str, embed, percent: float = 95.0, threshold: float | None = None, joint: str = " ") -> DataFrame:
-    """(keys, chunk_index from 1, chunk_text, first_entry, last_entry, n_units): sentences of the entries, cut where neighbours lie far apart.
+def cut_where_far(units: DataFrame, keys: list[str], order: list[str], embed, percent: float, threshold: float | None) -> DataFrame:
+    """units with chunk_index from 1: a chunk ends after a unit whose cosine distance to the next is above threshold, or above the given percentile of the document's distances.
 
-    Entries in order are cut into sentences (the units), embed(df) adds column
-    embedding from column unit, and a chunk ends after a unit whose cosine
-    distance to the next is above threshold, or above the given percentile of
-    the document's distances. A distance to a vector of no length counts as 0.
+    embed(df) adds column embedding from column unit. A distance to a vector of
+    no length counts as 0.
     """
-    units = rows_of(entries, [*keys, F.col(order).alias("_entry")], tx.sentences(F.col(text)), "_pos", "unit")
-    w = Window.partitionBy(*keys).orderBy("_entry", "_pos")
+    w = Window.partitionBy(*keys).orderBy(*order)
     vectors = embed(units).withColumn("_far", F.coalesce(1 - cosine(F.col("embedding"), F.lead("embedding").over(w)), F.lit(0.0)))
     if threshold is None:
-        has = vectors.withColumn("_next", F.lead("_pos").over(w)).where("_next is not null")
+        has = vectors.withColumn("_next", F.lead(order[-1]).over(w)).where("_next is not null")
         bound = has.groupBy(*keys).agg(F.percentile("_far", percent / 100).alias("_bound"))
         vectors = vectors.join(bound, keys, "left")
     else:
         vectors = vectors.withColumn("_bound", F.lit(float(threshold)))
     cut = F.coalesce((F.lag("_far").over(w) > F.lag("_bound").over(w)).cast("int"), F.lit(0))
-    grouped = vectors.withColumn("_cut", cut).withColumn("chunk_index", F.sum("_cut").over(w) + 1)
+    return vectors.withColumn("_cut", cut).withColumn("chunk_index", F.sum("_cut").over(w) + 1)
+
+
+def distance_chunks(entries: DataFrame, keys: list[str], order: str, text: str, embed, percent: float = 95.0, threshold: float | None = None, joint: str = " ") -> DataFrame:
+    """(keys, chunk_index from 1, chunk_text, first_entry, last_entry, n_units): sentences of the entries, cut where neighbours lie far apart.
+
+    Entries in order are cut into sentences, the units of cut_where_far.
+    """
+    units = rows_of(entries, [*keys, F.col(order).alias("_entry")], tx.sentences(F.col(text)), "_pos", "unit")
+    grouped = cut_where_far(units, keys, ["_entry", "_pos"], embed, percent, threshold)
     own = grouped.groupBy(*keys, "chunk_index").agg(F.array_sort(F.collect_list(F.struct("_entry", "_pos", "unit"))).alias("_u"), F.min("_entry").alias("first_entry"), F.max("_entry").alias("last_entry"), F.count(F.lit(1)).alias("n_units"))
     return own.select(*keys, "chunk_index", F.array_join(F.col("_u.unit"), joint).alias("chunk_text"), "first_entry", "last_entry", "n_units")
 
 
+def distance_chunks_of_words(entries: DataFrame, keys: list[str], order: str, text: str, embed, size: int, percent: float = 95.0, threshold: float | None = None) -> DataFrame:
+    """(keys, chunk_index from 1, chunk_text, n_units, first_entry, last_entry, entries): as distance_chunks, over units of size words of the entries' joined text.
+
+    Units may reach over entries; words of a unit are joined by one space. A
+    chunk's entries are all that it overlaps, from its first unit to its last.
+    """
+    whole, spans = joined_entries(entries, keys, order, text)
+    units = sliding_words(whole, keys, "text", size, 0).withColumnRenamed("chunk_index", "_pos").withColumn("unit", F.regexp_replace("chunk_text", r"\s+", " "))
+    grouped = cut_where_far(units, keys, ["_pos"], embed, percent, threshold)
+    own = grouped.groupBy(*keys, "chunk_index").agg(F.array_sort(F.collect_list(F.struct("_pos", "unit"))).alias("_u"), F.min("chunk_start").alias("chunk_start"), F.max("chunk_end").alias("chunk_end"), F.count(F.lit(1)).alias("n_units"))
+    made = own.select(*keys, "chunk_index", F.array_join(F.col("_u.unit"), " ").alias("chunk_text"), "n_units", "chunk_start", "chunk_end")
+    return made.join(contributors(made, spans, keys, order), [*keys, "chunk_index"]).drop("chunk_start", "chunk_end")
+
+
 def distance_chunks_of_pages(pages: DataFrame, keys: list[str], pages_json: str, embed, **settings) -> DataFrame:
     """distance_chunks over documents given as JSON objects of page number to text; units are joined by line feeds."""
     rows = pages.select(*keys, F.explode(F.from_json(pages_json, "MAP<STRING, STRING>")).alias("_page", "_text"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -54,35 +55,51 @@ def merge_back(documents: DataFrame, crawled: DataFrame) -> DataFrame:
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
+class Inside:
+    """The pieces of a page's text that lie in an element: the page holds each once, an element where they begin and end."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.texts, self.begin, self.end = texts, len(texts), len(texts)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.texts[self.begin : self.end])
+
+
 class Tree(HTMLParser):
-    """Elements of a page as a flat list: (tag, attributes, parent, last descendant, text)."""
+    """Elements of a page as a flat list: tag, attributes, parent, last descendant, text inside."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
+        self.texts: list[str] = []
         self.open: list[int] = []
+        self.counts: Counter[str] = Counter()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.nodes.append({"tag": tag, "attrs": dict(attrs), "parent": self.open[-1] if self.open else -1, "text": [], "end": len(self.nodes)})
+        self.nodes.append({"tag": tag, "attrs": dict(attrs), "parent": self.open[-1] if self.open else -1, "text": Inside(self.texts), "end": len(self.nodes)})
         if tag not in VOID:
             self.open.append(len(self.nodes) - 1)
+            self.counts[tag] += 1
+
+    def shut(self) -> str:
+        """Closes the innermost open element; its tag."""
+        node = self.nodes[self.open.pop()]
+        node["end"], node["text"].end = len(self.nodes) - 1, len(self.texts)
+        self.counts[node["tag"]] -= 1
+        return node["tag"]
 
     def handle_endtag(self, tag: str) -> None:
-        if any(self.nodes[i]["tag"] == tag for i in self.open):
-            while True:
-                i = self.open.pop()
-                self.nodes[i]["end"] = len(self.nodes) - 1
-                if self.nodes[i]["tag"] == tag:
-                    break
+        if self.counts[tag]:
+            while self.shut() != tag:
+                pass
 
     def handle_data(self, data: str) -> None:
-        for i in self.open:
-            self.nodes[i]["text"].append(data)
+        self.texts.append(data)
 
     def finish(self) -> Tree:
         self.close()
-        for i in self.open:
-            self.nodes[i]["end"] = len(self.nodes) - 1
+        while self.open:
+            self.shut()
         return self
 
 

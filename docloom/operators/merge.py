@@ -79,6 +79,14 @@ def with_new_ids(df: DataFrame, order: list[str], after: int, out: str = "id") -
     return ranged.join(before, "_p").withColumn(out, F.lit(after + 1) + F.col("_b") + F.col("_i")).select(*df.columns, out)
 
 
+def resolved_edges(edges: DataFrame, batch: DataFrame, stored: DataFrame, ref: str) -> DataFrame:
+    """(source_uuid, target_uuid, relationship_type) of edges (source_ref, target_ref, relationship_type): both ends are looked up by column ref in the batch, then in the store; each edge once."""
+    own, before = (df.select(F.col(ref).alias("_ref"), F.col("uuid").alias("target_id")) for df in (batch, stored))
+    found = resolve_citations(edges.withColumnRenamed("target_ref", "_ref"), own, before, "_ref").withColumnRenamed("target_id", "target_uuid").drop("_ref", "tier").withColumnRenamed("source_ref", "_ref")
+    found = resolve_citations(found, own, before, "_ref").withColumnRenamed("target_id", "source_uuid")
+    return found.select("source_uuid", "target_uuid", "relationship_type").distinct()
+
+
 def upsert_entries(stored: DataFrame, incoming: DataFrame, keys: list[str], text: str = "string", seq: str = "seq", update: bool = False, required: tuple[str, ...] = (), edges: DataFrame | None = None, ref: str = "ref") -> dict[str, DataFrame]:
     """All that storing entries does: merged, counters, rejected, and edges.
 
@@ -92,10 +100,7 @@ def upsert_entries(stored: DataFrame, incoming: DataFrame, keys: list[str], text
     merged = merge(stored, good, keys, seq, update)
     out = {"merged": merged, "counters": counters(merged), "rejected": bad}
     if edges is not None:
-        batch, before = (df.select(F.col(ref).alias("_ref"), F.col("uuid").alias("target_id")) for df in (last_per_key(good, keys, seq), stored))
-        found = resolve_citations(edges.withColumnRenamed("target_ref", "_ref"), batch, before, "_ref").withColumnRenamed("target_id", "target_uuid").drop("_ref", "tier").withColumnRenamed("source_ref", "_ref")
-        found = resolve_citations(found, batch, before, "_ref").withColumnRenamed("target_id", "source_uuid")
-        out["edges"] = found.select("source_uuid", "target_uuid", "relationship_type").distinct()
+        out["edges"] = resolved_edges(edges, last_per_key(good, keys, seq), stored, ref)
     return out
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions import web
 from docloom.operators import blocks, chunking, crawl, extraction, features, filters, merge
 from docloom.plans.registry import PROMPTS, operator
+from docloom.schemas import validate
 from docloom.sources import files
 
 
@@ -94,8 +95,10 @@ def recognized(spark: SparkSession, df: DataFrame, key: str = "document_hash", j
 
 
 @operator("chunk", "distance_chunking")
-def distance_chunking(spark: SparkSession, df: DataFrame, key: str = "document_hash", order: str = "page", text: str = "text", percentile_threshold: float = 95.0, threshold: float | None = None) -> DataFrame:
-    """Units are embedded by the default embedder."""
+def distance_chunking(spark: SparkSession, df: DataFrame, key: str = "document_hash", order: str = "page", text: str = "text", percentile_threshold: float = 95.0, threshold: float | None = None, chunk_size: int | None = None) -> DataFrame:
+    """Units are sentences or, with chunk_size, runs of so many words; they are embedded by the default embedder."""
+    if chunk_size:
+        return chunking.distance_chunks_of_words(df, [key], order, text, lambda units: features.embed(units, "unit"), chunk_size, percentile_threshold, threshold)
     return chunking.distance_chunks(df, [key], order, text, lambda units: features.embed(units, "unit"), percentile_threshold, threshold)
 
 
@@ -143,10 +146,27 @@ def merged_into(spark: SparkSession, path: str, incoming: DataFrame, keys: list[
 
 
 @operator("upsert", "upsert_entries")
-def upsert_entries(spark: SparkSession, df: DataFrame, path: str, keys: list[str], update_on_collision: bool = False, order: str | None = None) -> DataFrame:
-    """Merges into the table of versions at path and returns the actions. Of rows with one key the last by order counts (by all values, if no order is given)."""
-    seq = df.withColumn("_seq", F.col(order) if order else F.xxhash64(*df.columns))
-    return merged_into(spark, path, seq, keys, "_seq", update_on_collision)
+def upsert_entries(spark: SparkSession, df: DataFrame, path: str, keys: list[str], update_on_collision: bool = False, order: str | None = None, text: str | None = None, required: list[str] | None = None, edges: str | None = None, ref: str = "ref") -> DataFrame:
+    """Merges into the table of versions at path and returns the actions. Of rows with one key the last by order counts (by all values, if no order is given; rows with maps need one).
+
+    With text, rows get the content_hash of that column, which keys may name.
+    Rows without what is required go to a table below path/rejected instead. edges is a table
+    (source_ref, target_ref, relationship_type); both ends are looked up by
+    column ref among these rows, then in what is stored, and those found are
+    added once to the table of versions at path/edges.
+    """
+    good, bad = validate(df, required=tuple(required or ()))
+    good = good.withColumn("content_hash", merge.content_hash(F.col(text))) if text else good
+    before, new = next_version(spark, path)
+    if required:
+        bad.write.mode("overwrite").parquet(f"{path.rstrip('/')}/rejected/{new.rpartition('/')[2]}")
+    seq = good.withColumn("_seq", F.col(order) if order else F.xxhash64(*good.columns))
+    merged = merged_into(spark, path, seq, keys, "_seq", update_on_collision)
+    if edges:
+        stored = spark.read.parquet(before) if before else merged.limit(0)
+        found = merge.resolved_edges(spark.read.parquet(edges), merge.last_per_key(seq, keys, "_seq"), stored, ref)
+        merged_into(spark, f"{path.rstrip('/')}/edges", found.withColumn("_seq", F.lit(0)), ["source_uuid", "target_uuid", "relationship_type"], "_seq", False)
+    return merged
 
 
 @operator("upsert", "upsert_embeddings")

@@ -268,3 +268,29 @@ def test_manual_links_and_prompts(spark, tmp_path):
         assert sorted((r.n, str(r.feature)) for r in rows) == [(1, "a"), (1, "b"), (2, "None")]
     finally:
         del registry.PROMPTS["probe"]
+
+
+def test_registered_upsert_validates_hashes_and_links(spark, tmp_path):
+    upsert = registry.OPERATORS["upsert", "upsert_entries"]
+    path, links = str(tmp_path / "entries"), str(tmp_path / "links")
+    spark.createDataFrame([("a", "b", "next"), ("a", "b", "next"), ("b", "z", "next"), ("c", "a", "next")], "source_ref string, target_ref string, relationship_type string").write.parquet(links)
+    shape = "uuid string, string string, ref string, at int"
+    first = spark.createDataFrame([("u1", "one", "a", 1), ("u2", "two", "b", 1), ("u9", None, "x", 1), ("u8", "one", "a", 0)], shape)
+    out = upsert(spark, first, path, ["content_hash"], order="at", text="string", required=["string"], edges=links)
+    assert sorted((r.uuid, r.action) for r in out.collect()) == [("u1", "insert"), ("u2", "insert")] and out.where("content_hash is null").count() == 0
+    again = upsert(spark, spark.createDataFrame([("u3", "three", "c", 1), ("u4", "two", "b", 1)], shape), path, ["content_hash"], order="at", text="string", required=["string"], edges=links)
+    assert sorted((r.uuid, r.action) for r in again.collect()) == [("u1", "keep"), ("u2", "skip"), ("u3", "insert")]
+    assert [(r.uuid, r.reject_reasons) for r in spark.read.parquet(f"{path}/rejected/v=1").collect()] == [("u9", ["missing string"])]
+    known = spark.read.parquet(f"{path}/edges/v=2").select("source_uuid", "target_uuid").collect()
+    assert {tuple(r) for r in known} >= {("u1", "u2"), ("u3", "u1")}
+
+
+def test_selecting_from_a_deep_page_takes_time_by_its_size():
+    import time
+
+    began = time.time()
+    tree = crawl.Tree()
+    tree.feed("<div>x" * 30_000 + "</b>" * 30_000)
+    nodes = tree.finish().nodes
+    assert time.time() - began < 10 and len(nodes) == 30_000
+    assert crawl.extracted(nodes, 29_990, {"extract": "text"}) == {"text": "x" * 10} and nodes[0]["end"] == 29_999
