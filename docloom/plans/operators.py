@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import web
 from docloom.operators import blocks, chunking, crawl, extraction, features, filters, merge
+from docloom.plans import prompts as prompts
 from docloom.plans.registry import PROMPTS, operator
 from docloom.schemas import validate
 from docloom.sources import files

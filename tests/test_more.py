@@ -294,3 +294,17 @@ def test_selecting_from_a_deep_page_takes_time_by_its_size():
     nodes = tree.finish().nodes
     assert time.time() - began < 10 and len(nodes) == 30_000
     assert crawl.extracted(nodes, 29_990, {"extract": "text"}) == {"text": "x" * 10} and nodes[0]["end"] == 29_999
+
+
+def test_registered_prompts(spark):
+    """A pipeline file can name them; every one asks with its parts and falls back where it has a fallback."""
+    assert {"summarize_entry", "describe_image", "chunk_text", "LLM_chunk_rubric", "LLM_relative_evaluation", "extract_claims"} <= set(registry.PROMPTS)
+    assert errors({"stages": [{"name": "featurize", "functions": [{"name": "featurize_model", "params": {"prompt_name": "extract_claims"}}]}]}) == []
+    df = spark.createDataFrame([("one", "two", '{"summary": "s"}'), ("one", None, "no json")], "a string, b string, answer string")
+    made = registry.PROMPTS["summarize_entry"]
+    rows = df.select(made.messages(F.col("a"), F.col("b")).alias("m"), made.parsed(F.col("answer")).alias("p")).collect()
+    assert [r.m[1].content for r in rows] == ["Entry:\none\n\nDocument:\ntwo", "Entry:\none"] and [r.p.summary for r in rows] == ["s", ""] and rows[0].m[0].role == "system"
+    both = registry.PROMPTS["LLM_relative_evaluation"]
+    assert df.select(both.messages(F.col("a"), F.col("b")).alias("m"), both.parsed(F.col("answer")).alias("p")).first().p.winner == "tie"
+    out = registry.OPERATORS["featurize", "featurize_model"](spark, df, "extract_claims", text="a")
+    assert out.count() == 2 and "feature" in out.columns
