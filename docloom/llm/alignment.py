@@ -379,8 +379,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
 
     Where both vocabularies allow it, texts are cut at single spaces between
     words, and each distinct piece is encoded once as long as a task remembers
-    it (most pieces and groups; pieces of more than longest characters are not
-    remembered). Documents travel in blocks (one per Arrow batch) with a
+    it (up to most pieces and groups, and 100 * most characters). Documents travel in blocks (one per Arrow batch) with a
     dictionary of their groups: what is joined and shuffled are a block's
     distinct groups, whatever the lengths of texts; a group that all blocks have
     meets one row. A task holds one block, its texts and their distinct groups;
