@@ -421,16 +421,17 @@ def pages_shown(spark, d):
 
 
 
-@query("""SELECT user_id, event_type, arg_max(value, (event_id % 4) * 1e12 + event_id) AS value, count(DISTINCT event_id % 4)::BIGINT AS n_batches FROM events GROUP BY user_id, event_type""")
+@query("""SELECT source, lang, arg_max(n_chars, (doc_id % 4) * 1e12 + doc_id) AS n_chars, count(DISTINCT doc_id % 4)::BIGINT AS n_batches FROM documents GROUP BY source, lang""")
 def delta_upsert(spark, d):
-    """Events arrive in four batches; each writes its own rows into a table of deltas, some buckets are compacted on the way, and readers merge."""
-    events = t(spark, d, "events").select("user_id", "event_type", "value", "event_id")
-    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.drop("event_id").schema)
-    table = DeltaTable(spark, scratch(spark, "deltas"), shape, ("user_id", "event_type"), compact_after=2)
+    """Documents arrive in four batches; each writes its own rows into a table of deltas, some buckets are compacted on the way, and readers merge: the last length for each source and language."""
+    docs = t(spark, d, "documents").select("source", "lang", "n_chars", "doc_id")
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.drop("doc_id").schema)
+    table = DeltaTable(spark, scratch(spark, "deltas"), shape, ("source", "lang"), compact_after=3)
     for n in range(4):
-        table.write(events.where(F.col("event_id") % 4 == n), n, "event_id")
-    batches = events.groupBy("user_id", "event_type").agg(F.count_distinct(F.col("event_id") % 4).alias("n_batches"))
-    return table.read().join(batches, ["user_id", "event_type"]).select("user_id", "event_type", "value", "n_batches")
+        table.write(docs.where(F.col("doc_id") % 4 == n), n, "doc_id")
+    batches = docs.groupBy("source", "lang").agg(F.count_distinct(F.col("doc_id") % 4).alias("n_batches"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("source", "lang")]
+    return table.read().alias("a").join(batches.alias("b"), same).select("a.source", "a.lang", "a.n_chars", "b.n_batches")
 
 
 @query()

@@ -2,11 +2,13 @@
 
     deltas/batch=<n>/bucket=<b>   the rows of a batch, one for each key
     bases/upto=<n>/bucket=<b>     a bucket's state after batch n
-    log/batch=<n>                 which buckets the batch wrote, and which it compacted
+    manifests/batch=<n>           of each bucket its base and the deltas after it
 
-A batch counts once its log has been written, last of all; until then nothing of
-it is seen. Repeating a batch writes the same again, whether or not the first
-try came to its end.
+A batch counts once its manifest has been written, last of all; until then
+nothing of it is seen. Repeating a batch writes the same again, whether or not
+the first try came to its end. A manifest has a row for each bucket with at most
+so many deltas as are compacted, so it stays small however many batches come,
+and names the folders that a reader opens.
 """
 
 from __future__ import annotations
@@ -36,28 +38,29 @@ class DeltaTable:
     buckets: int = 64
     compact_after: int = 8
 
-    def part(self, name: str, columns: str) -> DataFrame | None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        there = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
-        return self.spark.read.schema(columns).parquet(f"{self.path}/{name}") if there else None
-
-    def log(self, before: int | None = None) -> DataFrame:
-        """(bucket, base, batch) of the batches that count, or of those before one."""
-        log = self.part("log", "bucket int, base boolean, batch bigint")
-        log = self.spark.createDataFrame([], "bucket int, base boolean, batch bigint") if log is None else log
-        return log if before is None else log.where(F.col("batch") < before)
-
-    def versions(self, log: DataFrame, only: DataFrame | None = None) -> DataFrame:
-        """All rows that readers have to merge, with _batch: of each bucket its last base and the deltas after it. only: buckets to look at."""
-        upto = log.groupBy("bucket").agg(F.coalesce(F.max(F.when(F.col("base"), F.col("batch"))), F.lit(-1)).alias("_upto"))
-        live = log.join(upto, "bucket").where((F.col("batch") > F.col("_upto")) | F.col("base") & (F.col("batch") == F.col("_upto")))
-        live = live if only is None else live.join(only, "bucket", "left_semi")
+    def names(self, folder: str, whole: bool = False) -> list[int]:
+        """The numbers n of folders named something=n below a folder; with whole only of those that were written to the end."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [s.getPath() for s in system.listStatus(path)] if system.exists(path) else []
+        return [int(p.getName().split("=")[1]) for p in found if "=" in p.getName() and (not whole or system.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))]
+
+    def manifest(self, before: int | None = None) -> dict[int, tuple[int | None, list[int]]]:
+        """(base, deltas after it) of each bucket as of the last batch that counts, or the last before one."""
+        known = [n for n in self.names("manifests", whole=True) if before is None or n < before]
+        if not known:
+            return {}
+        rows = self.spark.read.schema("bucket int, base bigint, deltas array<bigint>").parquet(f"{self.path}/manifests/batch={max(known)}").collect()
+        return {r.bucket: (r.base, list(r.deltas)) for r in rows}
+
+    def versions(self, manifest: dict[int, tuple[int | None, list[int]]]) -> DataFrame:
+        """All rows that readers have to merge, with the batch they are as of."""
         out = self.spark.createDataFrame([], f"{self.schema}, _batch bigint")
-        for name, column, own in (("bases", "upto", live.where("base and batch = _upto")), ("deltas", "batch", live.where("batch > _upto"))):
-            rows = self.part(name, f"{self.schema}, {column} bigint, bucket int")
-            if rows is not None:
-                known = own.select(F.col("bucket"), F.col("batch").alias(column)).distinct()
-                out = out.unionByName(rows.join(F.broadcast(known), ["bucket", column], "left_semi").withColumnRenamed(column, "_batch").drop("bucket"))
+        for name, column in (("bases", "upto"), ("deltas", "batch")):
+            own = [(b, n) for b, (base, deltas) in manifest.items() for n in ([base] if name == "bases" and base is not None else deltas if name == "deltas" else [])]
+            if own:
+                rows = self.spark.read.schema(f"{self.schema}, {column} bigint, bucket int").option("basePath", f"{self.path}/{name}").parquet(*[f"{self.path}/{name}/{column}={n}/bucket={b}" for b, n in own])
+                out = out.unionByName(rows.withColumnRenamed(column, "_batch").drop("bucket"))
         return out
 
     def merged(self, versions: DataFrame) -> DataFrame:
@@ -69,7 +72,7 @@ class DeltaTable:
         return own.select(*[c for c in versions.columns if c != "_batch"])
 
     def read(self) -> DataFrame:
-        return self.merged(self.versions(self.log()))
+        return self.merged(self.versions(self.manifest()))
 
     def bucketed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
@@ -78,14 +81,13 @@ class DeltaTable:
         """Adds a batch; of its rows with one key the last by seq counts. Batches are numbered in order."""
         own = self.bucketed(last_per_key(rows, list(self.keys), seq).drop(seq))
         own.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/deltas/batch={batch}")
-        touched = self.spark.read.schema(f"{self.schema}, bucket int").parquet(f"{self.path}/deltas/batch={batch}").select("bucket").distinct()
-        before = self.log(batch)
-        now = before.unionByName(touched.select("bucket", F.lit(False).alias("base"), F.lit(batch).cast("bigint").alias("batch")))
-        upto = before.where("base").groupBy("bucket").agg(F.max("batch").alias("_upto"))
-        since = now.join(upto, "bucket", "left").where(F.col("batch") > F.coalesce("_upto", F.lit(-1))).groupBy("bucket").agg(F.countDistinct("batch").alias("n"))
-        full = since.where(F.col("n") >= self.compact_after).join(touched, "bucket", "left_semi").select("bucket")
-        compact = [r.bucket for r in full.collect()]
-        if compact:
-            chosen = self.spark.createDataFrame([(b,) for b in compact], "bucket int")
-            self.bucketed(self.merged(self.versions(now, chosen))).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/bases/upto={batch}")
-        touched.select("bucket", F.col("bucket").isin(compact).alias("base")).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/batch={batch}")
+        now = self.manifest(batch)
+        for b in self.names(f"deltas/batch={batch}"):
+            base, deltas = now.get(b, (None, []))
+            now[b] = (base, [*deltas, batch])
+        full = {b: v for b, v in now.items() if v[1] and v[1][-1] == batch and len(v[1]) >= self.compact_after}
+        if full:
+            self.bucketed(self.merged(self.versions(full))).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/bases/upto={batch}")
+            now |= {b: (batch, []) for b in full}
+        rows = self.spark.createDataFrame([(b, base, deltas) for b, (base, deltas) in now.items()], "bucket int, base bigint, deltas array<bigint>")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifests/batch={batch}")
