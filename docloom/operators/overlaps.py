@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +37,9 @@ def overlapping(left: DataFrame, right: DataFrame, keys: list[str], left_span: t
     return met.drop("_bin", "_width")
 
 
-def numbered(rows: DataFrame, text: Column, name: str) -> DataFrame:
-    """rows with a number and their distinct words, written once so that both stay what they are."""
-    return written(rows.select(F.monotonically_increasing_id().alias(f"_{name}"), "*", tx.word_set(text).alias(f"_{name}_words")), name)
+def numbered(rows: DataFrame, keys: list[str], text: Column, name: str) -> DataFrame:
+    """rows that have their keys, with a number and their distinct words, written once so that both stay what they are."""
+    return written(rows.dropna(subset=keys).select(F.monotonically_increasing_id().alias(f"_{name}"), "*", tx.word_set(text).alias(f"_{name}_words")), name)
 
 
 def containing(left: DataFrame, right: DataFrame, keys: list[str], left_text: str, right_text: str, least: float) -> DataFrame:
@@ -46,17 +48,21 @@ def containing(left: DataFrame, right: DataFrame, keys: list[str], left_text: st
     Of the n words of a right text, more than least * n have to be met; so at
     least one of any n - floor(least * n) of them is. Those that the fewest left
     texts of the document have are joined with the left texts' words, and only
-    pairs met this way are compared. Right texts without words are in no pair.
+    pairs met this way are compared. A word of a document travels as one hash of
+    both; what collides is sorted out by the comparison. Right texts without
+    words are in no pair.
     """
-    l, r = numbered(left, F.col(left_text), "left"), numbered(right, F.col(right_text), "right")
-    have = rows_of(l, [*keys, "_left"], F.col("_left_words"), "_word")
-    common = have.groupBy(*keys, "_word").agg(F.count(F.lit(1)).alias("_n"))
-    want = rows_of(r, [*keys, "_right"], F.col("_right_words"), "_word").join(common, [*keys, "_word"], "left")
-    ordered = want.groupBy(*keys, "_right").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_word"))).alias("_w"))
+    l, r = numbered(left, keys, F.col(left_text), "left"), numbered(right, keys, F.col(right_text), "right")
+    hashes = lambda words: F.transform(words, lambda x: F.xxhash64(*keys, x))
+    have = rows_of(l, ["_left"], hashes(F.col("_left_words")), "_h")
+    common = have.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    want = rows_of(r, ["_right"], hashes(F.col("_right_words")), "_h").join(common, "_h", "left")
+    ordered = want.groupBy("_right").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_h").alias("h")))).alias("_w"))
     rare = F.slice("_w", F.lit(1), (F.size("_w") - F.floor(F.size("_w") * F.lit(float(least)))).cast("int"))
-    near = rows_of(ordered, [*keys, "_right"], F.col("_w") if least < 0 else rare, "_r").select(*keys, "_right", F.col("_r._word").alias("_word"), F.col("_r.n").alias("_n")).where("_n > 0").drop("_n")
-    pairs = near.join(have, [*keys, "_word"]).select("_left", "_right").distinct()
-    both = pairs.join(l, "_left").join(r.drop(*keys), "_right")
+    near = rows_of(ordered, ["_right"], F.filter(rare, lambda w: w["n"] > 0), "_r").select("_right", F.col("_r.h").alias("_h"))
+    pairs = near.join(have, "_h").select("_left", "_right").distinct()
+    same = [F.col(k) == F.col(f"_r_{k}") for k in keys]
+    both = pairs.join(l, "_left").join(r.withColumnsRenamed({k: f"_r_{k}" for k in keys}), "_right")
     share = F.size(F.array_intersect("_left_words", "_right_words")) / F.size("_right_words")
     rest = [c for c in right.columns if c not in keys]
-    return both.withColumn("share", share).where(F.col("share") > least).select(*left.columns, *rest, "share")
+    return both.where(reduce(Column.__and__, same)).withColumn("share", share).where(F.col("share") > least).select(*left.columns, *rest, "share")
