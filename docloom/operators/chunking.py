@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.functions.arrays import folded, let, rows_of, sums_before
-from docloom.functions.vectors import cosine
+from docloom.functions.vectors import cosine, fused
 from docloom.operators.overlaps import containing, overlapping
 
 
@@ -150,6 +150,20 @@ def build_chunks(chunks: DataFrame, entries: DataFrame, keys: list[str], order:
     return own.groupBy(*keys, "chunk_index", "chunk_text").agg(F.min("page").alias("min_primary_index"), F.max("page").alias("max_primary_index"), *[c.alias(n) for n, c in brought.items()]).withColumn("chunking_method", F.lit(method))
 
 
+def interpolated(df: DataFrame, keys: list[str], value: str, share: float, out: str) -> DataFrame:
+    """(keys, out): of each group's values the one at the given share of their order, interpolated as low * (1 - part) + high * part.
+
+    The sum is rounded once (Spark's percentile rounds both products), since
+    values are then compared with it and neighbours may differ in their last bit.
+    """
+    w = Window.partitionBy(*keys)
+    place = (F.count(F.lit(1)).over(w) - 1) * F.lit(share)
+    placed = df.select(*keys, F.col(value).alias("_v"), place.alias("_p"), (F.row_number().over(w.orderBy(value)) - 1).alias("_r"))
+    at = lambda p: F.max(F.when(F.col("_r") == p, F.col("_v")))
+    ends = placed.groupBy(*keys).agg(at(F.floor("_p")).alias("_low"), at(F.ceil("_p")).alias("_high"), F.max(F.col("_p") - F.floor("_p")).alias("_part"))
+    return ends.select(*keys, fused(F.col("_low"), 1 - F.col("_part"), F.col("_high") * F.col("_part")).alias(out))
+
+
 def cut_where_far(units: DataFrame, keys: list[str], order: list[str], embed, percent: float, threshold: float | None) -> DataFrame:
     """units with chunk_index from 1: a chunk ends after a unit whose cosine distance to the next is above threshold, or above the given percentile of the document's distances.
 
@@ -160,7 +174,7 @@ def cut_where_far(units: DataFrame, keys: list[str], order: list[str], embed, pe
     vectors = embed(units).withColumn("_far", F.coalesce(1 - cosine(F.col("embedding"), F.lead("embedding").over(w)), F.lit(0.0)))
     if threshold is None:
         has = vectors.withColumn("_next", F.lead(order[-1]).over(w)).where("_next is not null")
-        bound = has.groupBy(*keys).agg(F.percentile("_far", percent / 100).alias("_bound"))
+        bound = interpolated(has, keys, "_far", percent / 100, "_bound")
         vectors = vectors.join(bound, keys, "left")
     else:
         vectors = vectors.withColumn("_bound", F.lit(float(threshold)))
