@@ -16,6 +16,10 @@ SENTENCES = {
     3793: [17, 19, 26, 35, 24, 67, 16, 42, 68, 20, 17, 35, 20, 160, 30, 8, 12, 101, 56, 99, 151, 144, 440, 41, 14, 61, 8, 106, 37, 12, 16, 49, 14, 21],
     1497: [53, 42, 58, 17, 35, 23, 62, 22, 11, 26, 25, 56, 206, 58, 143, 127, 32, 29, 15, 39, 21, 17, 34, 14, 41, 8, 137, 120, 216, 26, 26, 22, 55, 42, 29, 10, 59, 56, 5, 32, 200, 58, 7, 27],
 }
+WORDS = {
+    3476: [66, 76, 72, 71, 63, 64, 65, 67, 65, 73, 65, 78, 100, 72, 70, 74, 70, 70, 67, 83, 70, 67, 77, 70, 72, 71, 86, 72, 84, 70, 68, 77, 85, 76, 72, 66, 76, 72, 63, 68, 87, 65, 70, 70, 64, 62, 86, 73, 71, 71, 76, 72, 77, 39],
+    4676: [74, 86, 87, 93, 68, 70, 61, 85, 73, 77, 63, 76, 57, 75, 85, 70, 64, 66, 78, 71, 97, 56, 68, 64, 65, 54, 68, 86, 71, 89, 71, 65, 77, 79, 72, 66, 87, 62, 66, 70, 93, 87, 63, 58],
+}
 
 
 def same(spark, path, name, texts):
@@ -29,6 +33,11 @@ def test_sentences(spark, tmp_path):
     assert same(spark, tmp_path, "distance_chunks", texts) == ""
 
 
+def test_units_of_words(spark, tmp_path):
+    texts = {i: " ".join("a " * 11 + "x" * (n - 22) for n in sizes) for i, sizes in WORDS.items()}
+    assert same(spark, tmp_path, "distance_chunks_of_words", texts) == ""
+
+
 def test_one_rounding(spark):
     draw = random.Random(3)
     rows = [(i, *(draw.random() for _ in range(3))) for i in range(2000)]
