@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docloom.sources.workspace import scratch as scratch
+from docloom.sources.workspace import small_batches as small_batches
 from docloom.sources.workspace import written as written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,16 +27,6 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
-    """Bounds the bytes of an Arrow batch that goes to Python workers: ten thousand long texts would be too much for one.
-
-    It is a setting of the session and stays, since plans run after their operator has returned.
-    """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(name, None) != str(most):
-        spark.conf.set(name, str(most))
-
-
 def running_total(df: DataFrame, group: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
     """Adds out: the sum of value over the rows of the group before this one, in the order (bucket, order).
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import web
+from docloom.sources.workspace import small_batches
 
 #: Takes (norm_url) and gives (norm_url, html, error), a row for each; mapInPandas over a client, or a join in tests.
 Fetcher = Callable[[DataFrame], DataFrame]
@@ -177,4 +178,5 @@ def with_extracts(pages: DataFrame, configs: dict[str, dict], html: str = "html"
                 found.append(json.dumps({"extracted_data": data, **rolled_up(data)}, ensure_ascii=False))
             yield pd.Series(found, dtype=object)
 
+    small_batches(pages.sparkSession)
     return pages.withColumn(out, run(F.col(html)))
