@@ -13,6 +13,7 @@ from docloom.functions import text as tx
 from docloom.functions.arrays import folded, let, rows_of, sums_before
 from docloom.functions.vectors import cosine, fused
 from docloom.operators.overlaps import containing, overlapping
+from docloom.sources.workspace import small_batches
 
 
 def sliding_words(df: DataFrame, keys: list[str], text: str = "text", size: int = 500, overlap: int = 50) -> DataFrame:
@@ -41,6 +42,19 @@ def sliding_words(df: DataFrame, keys: list[str], text: str = "text", size: int
     return at.select(*keys, (F.col("_n") + 1).alias("chunk_index"), (end - F.length("chunk_text")).alias("chunk_start"), end.alias("chunk_end"), "n_words", "chunk_text")
 
 
+def by_size(texts: list[str], most: int = 1 << 18) -> Iterator[list[str]]:
+    """texts in runs of at most so many characters (or one text): what a tokenizer keeps of a run takes a hundred times its size."""
+    run, size = [], 0
+    for text in texts:
+        if run and size + len(text) > most:
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += len(text)
+    if run:
+        yield run
+
+
 def sliding_tokens(df: DataFrame, keys: list[str], text: str, tokenizer_path: str, size: int = 500, overlap: int = 50) -> DataFrame:
     """Windows of size tokens of a public tokenizer file, as sliding_words: chunk_start and chunk_end come from the tokens' own offsets."""
     if not 0 <= overlap < size:
@@ -54,11 +68,12 @@ def sliding_tokens(df: DataFrame, keys: list[str], text: str, tokenizer_path: st
         tokenizer.encode_special_tokens = True
         for part in parts:
             out = []
-            for encoded in tokenizer.encode_batch(part.fillna("").tolist(), add_special_tokens=False):
+            for encoded in (e for run in by_size(part.fillna("").tolist()) for e in tokenizer.encode_batch(run, add_special_tokens=False)):
                 at = encoded.offsets
                 out.append([{"chunk_start": at[i][0], "chunk_end": at[min(i + size, len(at)) - 1][1], "n_tokens": min(size, len(at) - i)} for i in range(0, len(at), size - overlap)])
             yield pd.Series(out, dtype=object)
 
+    small_batches(df.sparkSession)
     rows = rows_of(df, [*keys, text], spans(F.col(text)), "_n", "s")
     body = F.col(text).substr(F.col("s.chunk_start") + 1, F.col("s.chunk_end") - F.col("s.chunk_start"))
     return rows.select(*keys, (F.col("_n") + 1).alias("chunk_index"), "s.chunk_start", "s.chunk_end", "s.n_tokens", body.alias("chunk_text"))
@@ -74,8 +89,9 @@ def tokenized(df: DataFrame, text: str, tokenizer_path: str, out: str = "tokens"
         tokenizer = Tokenizer.from_file(tokenizer_path)
         tokenizer.encode_special_tokens = True
         for part in parts:
-            yield pd.Series([e.ids for e in tokenizer.encode_batch(part.fillna("").tolist(), add_special_tokens=False)], dtype=object)
+            yield pd.Series([e.ids for run in by_size(part.fillna("").tolist()) for e in tokenizer.encode_batch(run, add_special_tokens=False)], dtype=object)
 
+    small_batches(df.sparkSession)
     return df.withColumn(out, run(F.col(text)))
 
 

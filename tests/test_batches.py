@@ -3,6 +3,7 @@
 import pytest
 
 from docloom import more_queries as m
+from docloom import queries as q
 
 BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -17,3 +18,14 @@ def unset(spark):
 def test_pages_go_to_workers_in_small_batches(spark, sf, unset):
     m.selector_extracts(spark, sf)
     assert int(spark.conf.get(BYTES)) <= 4 << 20
+
+
+def test_tokenizers_get_texts_in_runs_of_bounded_size(spark, sf, unset):
+    from docloom.operators.chunking import by_size
+
+    texts = ["a" * 10, "", "b" * 25, "c" * 9, "d"]
+    runs = list(by_size(texts, 20))
+    assert [t for r in runs for t in r] == texts and all(sum(map(len, r)) <= 20 or len(r) == 1 for r in runs)
+    assert list(by_size([])) == []
+    q.sliding_tokens(spark, sf)
+    assert int(spark.conf.get(BYTES)) <= 4 << 20
