@@ -282,10 +282,45 @@ def greedy_windows(df: DataFrame, keys: list[str], order: str, size: Column, mos
     return rows.select(*keys, F.col("_r.o").alias(order), F.col("_r.w").alias("window"))
 
 
-def climb(scores: np.ndarray) -> float:
-    """How far the scores rise from the first one until they fall."""
-    falls = np.flatnonzero(np.diff(scores) < 0)
-    return float(scores[falls[0] if len(falls) else -1] - scores[0])
+def climbs(scores: np.ndarray) -> np.ndarray:
+    """From each score how far the scores rise after it until they fall."""
+    top = scores.copy()
+    for g in range(len(top) - 2, -1, -1):
+        if scores[g + 1] >= scores[g]:
+            top[g] = top[g + 1]
+    return top - scores
+
+
+def block_similarities(codes: list[int], width: int, block: int) -> np.ndarray:
+    """Cosine of the word counts of the block of lines before and after each gap between lines of width words.
+
+    Both blocks move on by a line from gap to gap and their product and lengths
+    with them, in whole numbers: time and memory are in proportion to the text.
+    """
+    n, kinds = len(codes) // width, max(codes) + 1
+    counts, square, dot = ([0] * kinds, [0] * kinds), [0, 0], 0
+    scores = np.zeros(n - 1)
+
+    def move(side: int, line: int, by: int) -> None:
+        nonlocal dot
+        own, other = counts[side], counts[1 - side]
+        for w in codes[line * width : (line + 1) * width]:
+            square[side] += 1 + 2 * by * own[w]
+            dot += by * other[w]
+            own[w] += by
+
+    for line in range(1, min(n, block + 1)):
+        move(1, line, 1)
+    move(0, 0, 1)
+    for g in range(1, n):
+        scores[g - 1] = dot / max(np.sqrt(square[0]) * np.sqrt(square[1]), 1e-12)
+        move(1, g, -1)
+        move(0, g, 1)
+        if g >= block:
+            move(0, g - block, -1)
+        if g + block < n:
+            move(1, g + block, 1)
+    return scores
 
 
 def text_tiles(texts: list[str], width: int = 20, block: int = 10) -> list[str]:
@@ -298,14 +333,8 @@ def text_tiles(texts: list[str], width: int = 20, block: int = 10) -> list[str]:
             out.append(text)
             continue
         ids = {w: i for i, w in enumerate(dict.fromkeys(w.lower() for w in words))}
-        counts = np.zeros((n, len(ids)))
-        for i, w in enumerate(words[: n * width]):
-            counts[i // width, ids[w.lower()]] += 1
-        sums = np.vstack([np.zeros(len(ids)), counts.cumsum(axis=0)])
-        left = np.array([sums[g] - sums[max(0, g - block)] for g in range(1, n)])
-        right = np.array([sums[min(n, g + block)] - sums[g] for g in range(1, n)])
-        scores = (left * right).sum(axis=1) / np.maximum(np.linalg.norm(left, axis=1) * np.linalg.norm(right, axis=1), 1e-12)
-        depth = np.array([climb(scores[: g + 1][::-1]) + climb(scores[g:]) for g in range(n - 1)])
+        scores = block_similarities([ids[w.lower()] for w in words[: n * width]], width, block)
+        depth = climbs(scores[::-1])[::-1] + climbs(scores)
         floor = depth.mean() + depth.std() / 2
         rim = np.r_[-1.0, depth, -1.0]
         cuts = [g + 1 for g in range(n - 1) if depth[g] > floor and rim[g] < depth[g] >= rim[g + 2]]
@@ -322,6 +351,7 @@ def topic_segments(df: DataFrame, keys: list[str], text: str = "text") -> DataFr
         for part in parts:
             yield pd.Series(text_tiles(part.fillna("").str.replace("\f", " ").tolist()), dtype=object)
 
+    small_batches(df.sparkSession)
     tiles = F.filter(F.split(tiled(F.col(text)), "\f"), lambda t: F.trim(t) != "")
     rows = rows_of(df, keys, tiles, "_n", "chunk_text")
     return rows.select(*keys, (F.col("_n") + 1).alias("chunk_index"), "chunk_text")
