@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docloom.sources.workspace import scratch, written
+from docloom.sources.workspace import scratch, small_batches, written
 
 PACKED = "ids array<bigint>, features array<string>, vectors binary, size int"
 HITS = "query_id bigint, feature string, id bigint, score double"
@@ -65,7 +65,7 @@ def blocks(rows: DataFrame, id_col: str, vector: str, feature: str | None, block
 
 
 def matrices(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for row in table.select(["ids", "features", "vectors", "size"]).to_pylist():
+    for row in (r for batch in table.select(["ids", "features", "vectors", "size"]).to_batches(max_chunksize=1) for r in batch.to_pylist()):
         yield np.asarray(row["ids"], dtype=np.int64), np.asarray(row["features"], dtype=object), np.frombuffer(row["vectors"], dtype=np.float64).reshape(-1, row["size"])
 
 
@@ -100,13 +100,18 @@ def dense_top_k(corpus: DataFrame, queries: DataFrame, k: int = 10, ids: tuple[s
 
     The condition is applied before scoring; null vectors are left out. The
     cells of the grid (parts of corpus, parts of queries) follow from the counted
-    rows: at most about 262,144 vectors and 16,384 queries for each part. A
+    rows: at most about 65,536 vectors and 4,096 queries for each part. A
     vector is sent once to each part of the queries. Scores are rounded; ties go to the
     smaller id.
     """
     spark = corpus.sparkSession
     rows = corpus.where(condition) if condition is not None else corpus
-    many, asked = cells or (max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // 262_144)), max(1, -(-queries.count() // 16_384)))
+    small_batches(spark)
+    if cells is None:
+        asked = max(1, -(-queries.count() // 4_096))
+        many = max(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // asked), -(-rows.count() // 65_536))
+    else:
+        many, asked = cells
     deal = lambda n: F.pmod(F.xxhash64(F.col("ids")[0], F.size("ids")), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = blocks(rows, ids[0], vector, feature, block).select("*", deal(many).alias("part"), every(asked).alias("group"))

@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.functions.arrays import rows_of
-from docloom.sources.workspace import scratch
+from docloom.sources.workspace import scratch, small_batches
 
 #: Documents of a block, and blocks of a segment at most.
 BLOCK, BLOCKS = 128, 256
-#: Tokens after which a segment is closed.
-TOKENS = 8_000_000
+#: Tokens after which a segment is closed: they bound what a task holds to build a segment (some 50 bytes a token), and to search one.
+TOKENS = 2_000_000
 ROWS = "segment bigint, term string, n int, docs binary, weights binary, blocks binary, maxima binary, ids array<bigint>"
 NAMES = [c.split()[0] for c in ROWS.split(", ")]
 #: Where the rows of segments' documents lie, beside the buckets of terms.
@@ -151,6 +151,7 @@ def segmented(weighing: Weighing):
 def build_index(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None, buckets: int = 64, weighing: Weighing = Weighing()) -> SparseIndex:
     """Writes an index of docs below path (a fresh folder in the shared one if None). Null ids and texts may be; repeated rows are documents of their own."""
     spark = docs.sparkSession
+    small_batches(spark)
     path = path or scratch(spark, "sparse-index")
     rows = docs.select(F.spark_partition_id().alias("partition"), F.col(id_col).cast("bigint").alias("id"), tx.tokens(F.coalesce(F.col(text), F.lit(""))).alias("t"))
     made = rows.mapInArrow(segmented(weighing), ROWS).withColumn("bucket", F.when(F.col("term").isNotNull(), bucket_of(F.col("term"), buckets)).otherwise(DOCUMENTS))
@@ -236,7 +237,7 @@ def pruned(k: int, digits: int):
 
     def run(table: pa.Table) -> pa.Table:
         of: dict[int, list[Posting]] = {}
-        for row in table.to_pylist():
+        for row in (r for batch in table.to_batches(max_chunksize=256) for r in batch.to_pylist()):
             posting = Posting(row)
             for q in row["queries"]:
                 of.setdefault(q, []).append(posting)

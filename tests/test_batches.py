@@ -60,3 +60,12 @@ def test_similarities_of_blocks_are_those_of_whole_counts():
     plain = [cos(lines[max(0, g - block) : g].sum(axis=0), lines[g : g + block].sum(axis=0)) for g in range(1, 20)]
     assert np.allclose(block_similarities(codes, width, block), plain)
     assert climbs(np.array([1.0, 2.0, 2.0, 1.0, 3.0])).tolist() == [1.0, 0.0, 0.0, 2.0, 0.0]
+
+
+def test_segments_and_parts_of_the_grid_are_bounded(spark, sf, unset):
+    from docloom.operators import sparse_index
+
+    docs = spark.createDataFrame([(i, "a b c d e") for i in range(3)], "doc_id bigint, text string")
+    sparse_index.build_index(docs)
+    assert int(spark.conf.get(BYTES)) <= 4 << 20
+    assert sparse_index.TOKENS <= 2_000_000
