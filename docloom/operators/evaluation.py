@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.sources.workspace import written
+from docloom.sources.workspace import small_batches, written
 
 
 def chunk_metrics(chunks: DataFrame, keys: list[str], text: str = "chunk_text") -> DataFrame:
@@ -38,29 +39,61 @@ def compare_page_ranges(a: DataFrame, b: DataFrame, keys: list[str], order: str)
     return full.join(common, keys, "left_semi")
 
 
-def mean_pairwise_distance(df: DataFrame, key: str, vector: str, block: int = 512) -> DataFrame:
+def total_distance(a: np.ndarray, b: np.ndarray | None = None, strip: int = 256) -> float:
+    """Sum of the distances of all pairs of rows of a and b, or of a among themselves.
+
+    Squares come from products of matrices, a strip at a time. Where a square is
+    small beside the lengths of its rows, the product has lost its digits: such
+    pairs are taken again from their differences.
+    """
+    own = b is None
+    b = a if own else b
+    square_b, total = (b * b).sum(axis=1), 0.0
+    for at in range(0, len(a), strip):
+        x = a[at : at + strip]
+        other, lengths = (b[at:], square_b[at:]) if own else (b, square_b)
+        both = (x * x).sum(axis=1)[:, None] + lengths[None, :]
+        d = both - 2.0 * (x @ other.T)
+        for i, j in batched(np.argwhere(~(d > 1e-4 * both)), 4096):
+            d[i, j] = ((x[i] - other[j]) ** 2).sum(axis=1)
+        np.sqrt(d, out=d)
+        total += float(np.triu(d[:, : len(x)], 1).sum() + d[:, len(x) :].sum()) if own else float(d.sum())
+    return total
+
+
+def batched(places: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for at in range(0, len(places), most):
+        yield places[at : at + most, 0], places[at : at + most, 1]
+
+
+def mean_pairwise_distance(df: DataFrame, key: str, vector: str, block: int = 512, most: int = 8_192) -> DataFrame:
     """(key, n, mean_distance): mean Euclidean distance over the pairs of each group; 0 for fewer than two rows.
 
     Rows are dealt at random into blocks; each pair of blocks is one group of
-    about 2 * block rows, of which only sums come back. The mean is over all
-    pairs, so the work grows with the square of a group.
+    rows, of which only sums come back. A group's blocks number 16 at most until
+    they have so many rows that a task's memory would not do (most), and have
+    block rows at least: a row is sent once for each block of its group. The mean
+    is over all pairs, so the work grows with the square of a group.
     """
-    sizes = df.where(F.col(vector).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / block))
+    small_batches(df.sparkSession)
+    size = F.greatest(F.lit(block), F.least(F.lit(max(block, most)), F.ceil(F.col("n") / 16)))
+    sizes = df.where(F.col(vector).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / size))
     dealt = df.where(F.col(vector).isNotNull()).select(key, vector).join(sizes.select(key, "parts"), key)
     # Rows are dealt by their place, not by their value: equal vectors go to different blocks. Written, so that a repeated task deals them alike.
     rows = written(dealt.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))), "pairwise")
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("part", j).alias("i"), F.greatest("part", j).alias("j")))
     rows = rows.select(key, "part", vector, F.explode(cells).alias("c")).select(key, "part", F.col(vector).alias("v"), F.col("c.i").alias("i"), F.col("c.j").alias("j"))
 
-    def sums(frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = frame["i"].iloc[0], frame["j"].iloc[0]
-        a = np.array(frame.loc[frame["part"] == i, "v"].tolist(), dtype=float)
-        b = a if i == j else np.array(frame.loc[frame["part"] == j, "v"].tolist(), dtype=float)
-        total = sum(np.sqrt(((x[None, :] - (b[n + 1 :] if i == j else b)) ** 2).sum(axis=1)).sum() for n, x in enumerate(a)) if len(a) and len(b) else 0.0
-        return pd.DataFrame({key: [frame[key].iloc[0]], "total": [float(total)]})
+    def sums(table: pa.Table) -> pa.Table:
+        own = table.combine_chunks()
+        part, (i, j) = np.asarray(own["part"]), (own[c][0].as_py() for c in ("i", "j"))
+        vectors = np.asarray(own["v"].combine_chunks().flatten(), dtype=np.float64).reshape(len(own), -1)
+        a, b = vectors[part == i], vectors[part == j]
+        total = total_distance(a) if i == j else total_distance(a, b) if len(a) and len(b) else 0.0
+        return pa.table([own[key].slice(0, 1), pa.array([total], pa.float64())], [key, "total"])
 
     kind = df.schema[key].dataType.simpleString()
-    totals = rows.groupBy(key, "i", "j").applyInPandas(sums, f"`{key}` {kind}, total double").groupBy(key).agg(F.sum("total").alias("total"))
+    totals = rows.groupBy(key, "i", "j").applyInArrow(sums, f"`{key}` {kind}, total double").groupBy(key).agg(F.sum("total").alias("total"))
     pairs = F.col("n") * (F.col("n") - 1) / 2
     return sizes.join(totals, key, "left").select(key, "n", F.when(pairs > 0, F.col("total") / pairs).otherwise(F.lit(0.0)).alias("mean_distance"))
 
