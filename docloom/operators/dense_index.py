@@ -233,30 +233,36 @@ def to_probes(about: list, probes: int, more: bool):
     return run
 
 
-def search_dense_index(index: DenseIndex, queries: DataFrame, k: int = 10, probes: int | None = None, exact: bool = False, query: tuple[str, str] = ("query_id", "embedding"), digits: int = 6, block: int = 512) -> DataFrame:
+def search_dense_index(index: DenseIndex, queries: DataFrame, k: int = 10, probes: int | None = None, exact: bool = False, query: tuple[str, str] = ("query_id", "embedding"), digits: int = 6, block: int = 512, query_rows: int = 32_768) -> DataFrame:
     """(query_id, feature, id, score, rank): the k nearest vectors of the index per query and feature in the query's nearest cells: probes of them, or as many as the index has measured.
 
     With exact, cells follow that may hold a vector as near as the k-th found
     (of each feature; all cells if a feature has fewer than k so far), and the
     result is that of dense_top_k. A query goes to a part of a cell only if it
     looks there; the cells' centroids (bounded by the index) are all that is sent
-    to every task. Query ids are taken to be unique.
+    to every task. Queries are dealt into groups of about query_rows, so that a
+    task sees a part of a cell and a group at most, however many queries look
+    there. Query ids are taken to be unique.
     """
     about = index.centroids().collect()
     asked = queries.select(F.col(query[0]).cast("bigint").alias("query_id"), F.col(query[1]).cast("array<double>").alias("v")).where("v is not null")
     if not about:
         return ranked(asked.sparkSession.createDataFrame([], HITS), k)
 
+    small_batches(asked.sparkSession)
+    groups = max(1, -(-asked.count() // query_rows))
+
     def found(rows: DataFrame, more: bool) -> DataFrame:
         looks = rows.mapInArrow(to_probes(about, probes or about[0]["probes"], more), "query_id bigint, cell int, subs int")
-        own = looks.join(asked, "query_id").select("cell", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "query_id", "v")
+        own = looks.join(asked, "query_id").select("cell", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("group"), "query_id", "v")
 
         def gathered(left: pa.Table, right: pa.Table) -> pa.Table:
             own = pa.table({"id": right["query_id"], "feature": pa.array([""] * len(right), pa.string()), "v": right["v"]}).combine_chunks()
             made = list(packed(own.to_batches(), block))
             return met(k, digits)(left, pa.Table.from_batches(made) if made else right.select([]))
 
-        return index.table().groupBy("cell", "sub").cogroup(own.groupBy("cell", "sub")).applyInArrow(gathered, HITS)
+        table = index.table().withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        return table.groupBy("cell", "sub", "group").cogroup(own.groupBy("cell", "sub", "group")).applyInArrow(gathered, HITS)
 
     first = ranked(found(asked.withColumn("least", F.lit(None).cast("double")), False), k)
     if not exact:

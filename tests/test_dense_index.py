@@ -74,3 +74,15 @@ def test_no_vectors_and_no_queries(vectors, asked):
 def test_recall_of_near_cells(spark, sf):
     rows = queries.dense_index_recall(spark, sf).collect()
     assert rows and sum(r.n_found for r in rows) >= 0.9 * sum(r.n_exact for r in rows)
+
+
+def test_groups_of_queries_give_the_same_hits(spark, sf):
+    """A task sees a group of the queries that look into its cell; before, all of them."""
+    from docloom.operators.dense_index import build_dense_index, search_dense_index
+
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    queries = e.select(e.vec_id.alias("query_id"), "embedding")
+    index = build_dense_index(e, cells=8)
+    for exact in (False, True):
+        whole, parts = (sorted(map(tuple, search_dense_index(index, queries, 5, exact=exact, query_rows=n).collect())) for n in (10**6, 37))
+        assert whole and whole == parts
