@@ -82,7 +82,8 @@ def run_stream(content: DataFrame, folder: str, id_col: str, files_per_batch: in
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     keyed = keyed_state(located(reader.parquet(f"{folder}/content"), id_col).select("digest", "locator"))
-    spark.createDataFrame([], keyed.schema).coalesce(1).write.mode("ignore").parquet(f"{out}/batch=-1")
+    none = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in keyed.schema])
+    none.coalesce(1).write.mode("ignore").parquet(f"{out}/batch=-1")
     before = {k: spark.conf.get(k, None) for k in STATE}
     for k, v in STATE.items():
         spark.conf.set(k, v)

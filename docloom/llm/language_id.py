@@ -34,6 +34,8 @@ SIZES = (1, 2, 3)
 MOST_WEIGHTS = 1 << 24
 #: Characters from which on a text is counted in slices.
 LONG = 500_000
+#: Characters of a run of texts: a worker holds about a hundred bytes for each.
+RUN = 1 << 17
 UNKNOWN = "und"
 #: Names of the columns that are added, not to clash with the table's own.
 PREDICTED, SCORE = "_lang_pred", "_lang_score"
@@ -105,8 +107,8 @@ def counts_of_long(text: str, bits: int = BITS, size: int = LONG) -> tuple[np.nd
     return counts, many
 
 
-def cut(texts: list[str], most: int = LONG, rows: int = 200):
-    """Runs of at most so many characters (a longer text stands alone, to be counted in slices) and rows."""
+def cut(texts: list[str], most: int = RUN, rows: int = 200):
+    """Runs of at most so many characters (a longer text stands alone; beyond LONG it is counted in slices) and rows."""
     start = total = 0
     for i, t in enumerate(texts):
         if i - start == rows or (total and total + len(t) > most):
@@ -236,7 +238,8 @@ def fit(learn: DataFrame, sample_rows: int = 2000, epochs: int = 3, alpha: float
     small_batches(learn.sparkSession)
     has_letter = F.rlike("text", F.lit(r"\p{L}"))
     learn = learn.where(F.col("lang").isNotNull() & has_letter).select("doc_id", "text", "lang")
-    per = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = written(learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-sizes")
+    per = {r["lang"]: r["n"] for r in sizes.collect()}
     if not per:
         return None
     languages = tuple(sorted(per))
@@ -248,7 +251,8 @@ def fit(learn: DataFrame, sample_rows: int = 2000, epochs: int = 3, alpha: float
     idf = np.log((1 + n) / (1 + df)) + 1.0
 
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    shares = learn.sparkSession.createDataFrame([(lang, min(1.0, sample_rows / len(languages) / count)) for lang, count in per.items()], "lang string, share double")
+    # Not by createDataFrame: it would start Python workers of another kind on every executor, which stay.
+    shares = sizes.select("lang", F.least(F.lit(1.0), F.lit(sample_rows / len(languages)) / F.col("n")).alias("share"))
     picked = learn.withColumn("order", order).join(F.broadcast(shares), "lang").where(F.pmod("order", F.lit(1 << 30)) < F.col("share") * (1 << 30))
     sample = picked.select("order", "lang", "text").mapInArrow(counted(bits), "order bigint, lang string, features array<int>, counts array<int>")
     sample = written(sample, "lang-sample").orderBy("order", "lang", F.hash("features")).limit(2 * sample_rows).toPandas()

@@ -35,8 +35,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: Bytes that are hashed at a time; only a longer word makes a longer block.
-BLOCK = 1 << 20
+#: Bytes that are hashed at a time, some fifty bytes of memory for each; only a longer word makes a longer block.
+BLOCK = 1 << 17
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
