@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.functions.arrays import rows_of
+from docloom.functions.arrays import let, rows_of
+from docloom.sources.workspace import written
 
 #: Share of an abbreviation's occurrences that have a period, and the least score.
 USUAL, LEAST = 0.99, 0.3
+#: Up to so many abbreviations stand in the plan itself, and each text is cut where it is read.
+LISTED = 2000
 
 
 def bare(token: Column) -> Column:
@@ -30,8 +33,11 @@ def word(token: Column) -> Column:
 
 def abbreviations(df: DataFrame, text: str = "text", least: float = LEAST) -> DataFrame:
     """(word, n, n_dotted, score) of the words that are taken for abbreviations. Tokens without a letter don't count."""
-    tokens = rows_of(df, [], tx.words(F.col(text)), "t").select(word(F.col("t")).alias("word"), F.endswith(bare(F.col("t")), F.lit(".")).cast("bigint").alias("dot"))
-    counts = tokens.where(F.rlike("word", F.lit(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"))).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("dot").alias("n_dotted"))
+    # Tokens are counted as they stand, so that patterns run once per distinct token.
+    spelt = rows_of(df, [], F.split(F.col(text), r"\s+"), "t").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    tokens = spelt.select(word(F.col("t")).alias("word"), "n", F.when(F.endswith(bare(F.col("t")), F.lit(".")), F.col("n")).otherwise(F.lit(0)).alias("dot"))
+    counts = tokens.where(F.rlike("word", F.lit(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"))).groupBy("word").agg(F.sum("n").alias("n"), F.sum("dot").alias("n_dotted"))
+    counts = written(counts, "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_dotted"), F.lit(0)).alias("d")).first()
     share = min(max(total.d / max(total.n, 1), 1e-12), 1 - 1e-12)
     without = F.col("n") - F.col("n_dotted")
@@ -42,15 +48,29 @@ def abbreviations(df: DataFrame, text: str = "text", least: float = LEAST) -> Da
     return scored.where(F.col("score") >= least)
 
 
+def cut_in_place(df: DataFrame, keys: list[str], text: str, known: list[str]) -> DataFrame:
+    """(keys, _s): the sentences of each text as an array, without a shuffle."""
+    goes_on = lambda p: F.when(F.endswith(p, F.lit(".")), word(F.regexp_extract(p, r"(\S+)$", 1)).isin(known)).otherwise(F.lit(False))
+    pieces = df.select(*keys, F.split(F.col(text), r"(?<=[.!?])(?=\s)").alias("_p"))
+    ends = F.filter(F.transform("_p", lambda p, i: F.when(~goes_on(p) | (i == F.size("_p") - 1), i + 1)), lambda i: i.isNotNull())
+    cut = pieces.withColumn("_e", ends)
+    own = F.transform("_e", lambda e, k: let(F.coalesce(F.get("_e", k - 1), F.lit(0)), lambda b: F.array_join(F.slice("_p", b + 1, e - b), "")))
+    return cut.select(*keys, F.filter(F.transform(own, lambda x: F.regexp_replace(x, r"^\s+", "")), lambda x: x != "").alias("_s"))
+
+
 def learnt_sentences(df: DataFrame, keys: list[str], text: str = "text", known: DataFrame | None = None, most: int = 200_000) -> DataFrame:
     """(keys, sentence_no from 1, sentence): texts cut after . ! or ? before white space, but not after an abbreviation.
 
     Abbreviations are those of known (column word), else learnt from all texts of
-    df. They are counted: up to most are sent to every task, more are joined by a
+    df. They are counted: up to LISTED (and most) are part of the plan, and no
+    text is shuffled; up to most are sent to every task, more are joined by a
     shuffle. keys have to tell texts apart. What stands between two pieces of a
     sentence stays as it is. Null and blank texts have no sentences.
     """
     known = (abbreviations(df, text) if known is None else known).select(F.col("word").alias("_word")).distinct().withColumn("_known", F.lit(True))
+    listed = [r["_word"] for r in known.limit(min(LISTED, most) + 1).collect()]
+    if len(listed) <= min(LISTED, most):
+        return rows_of(cut_in_place(df, keys, text, [w for w in listed if w is not None]), keys, F.col("_s"), "_n", "sentence").select(*keys, (F.col("_n") + 1).alias("sentence_no"), "sentence")
     few = known.limit(most + 1).count() <= most
     pieces = rows_of(df, keys, F.split(F.col(text), r"(?<=[.!?])(?=\s)"), "_pos", "_piece")
     last = F.regexp_extract("_piece", r"(\S+)$", 1)

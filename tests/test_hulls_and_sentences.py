@@ -116,3 +116,15 @@ def test_known_abbreviations_and_none(spark):
     assert [r.sentence for r in sentences.learnt_sentences(df, ["id"], known=none).orderBy("sentence_no").collect()] == ["See Dr.", "Who.", "He left."]
     assert [r.sentence for r in sentences.learnt_sentences(df, ["id"], known=own).orderBy("sentence_no").collect()] == ["See Dr. Who.", "He left."]
     assert sentences.learnt_sentences(df.limit(0), ["id"]).collect() == []
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tokens_are_counted_before_patterns_and_texts_stay_where_they_are(spark, texts, tmp_path):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    known = spark.createDataFrame([("dr",), (None,)], "word string")
+    assert "Window" not in plan_of(sentences.learnt_sentences(df, ["id"], known=known))
+    found = {n: sorted(sentences.learnt_sentences(df, ["id"], known=known, most=n).collect()) for n in (200_000, 0)}
+    assert found[200_000] == found[0] != []
