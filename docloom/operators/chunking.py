@@ -127,11 +127,11 @@ def generative_chunks(entries: DataFrame, keys: list[str], order: str, text: str
 
 
 def joined_entries(entries: DataFrame, keys: list[str], order: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(keys, text of all entries in order without separator) and (keys, order, entry_start, entry_end)."""
+    """(keys, text of all entries in order without separator) and (keys, order, entry_start, entry_end); an entry of null text stands nowhere and has no span."""
     w = Window.partitionBy(*keys).orderBy(order)
     size = F.length(F.coalesce(text, F.lit("")))
     start = F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    spans = entries.select(*keys, order, start.alias("entry_start"), (start + size).alias("entry_end"))
+    spans = entries.select(*keys, order, start.alias("entry_start"), (start + size).alias("entry_end"), F.col(text).isNotNull().alias("_has")).where("_has").drop("_has")
     whole = entries.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, F.coalesce(text, F.lit("")).alias("t")))).alias("_e"))
     return whole.select(*keys, F.array_join(F.col("_e.t"), "").alias("text")), spans
 

@@ -49,3 +49,10 @@ def test_one_rounding(spark):
 def test_small_groups(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 1.0), (2, 3.0), (3, 2.0), (3, 2.0), (3, 4.0)], "k int, v double")
     assert {r.k: r.b for r in interpolated(df, ["k"], "v", 0.5, "b").collect()} == {1: 5.0, 2: 2.0, 3: 2.0}
+
+
+def test_entries_without_text(spark, tmp_path):
+    rows = [(1, i, "user", t) for i, t in enumerate([None, "a b c", None, " d e f", "", " g " * 30, None])]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = compare.differences(q.QUERIES["distance_chunks_of_words"](spark, str(tmp_path)), compare.connect(str(tmp_path)), q.ORACLES["distance_chunks_of_words"])
+    assert found == ""
